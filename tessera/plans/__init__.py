@@ -3,5 +3,6 @@
 from tessera.plans.registry import ORACLE_SQL, QUERIES, register
 from tessera.plans import bundles as _bundles  # noqa: F401  (registers queries)
 from tessera.plans import schedule as _schedule  # noqa: F401
+from tessera.plans import web as _web  # noqa: F401
 
 __all__ = ["QUERIES", "ORACLE_SQL", "register"]
