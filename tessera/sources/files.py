@@ -53,4 +53,4 @@ def write_scores_csv(df: DataFrame, path: str) -> None:
 
 
 def read_scores_csv(spark: SparkSession, path: str, schema: T.StructType = EVAL_SCORE_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).csv(path)
