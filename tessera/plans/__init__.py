@@ -7,5 +7,6 @@ from tessera.plans import web as _web  # noqa: F401
 from tessera.plans import text as _text  # noqa: F401
 from tessera.plans import graph as _graph  # noqa: F401
 from tessera.plans import contacts as _contacts  # noqa: F401
+from tessera.plans import stats as _stats  # noqa: F401
 
 __all__ = ["QUERIES", "ORACLE_SQL", "register"]
