@@ -141,8 +141,10 @@ def price_value(price: Column) -> Column:
 
 
 def composition(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Material shares written as ``NN% word``: ``(page_id, part_pos, percentage, material)``."""
-    text = strip_tags(F.col(html_col))
+    """Material shares written as ``NN% word``: ``(page_id, part_pos, percentage, material)``.
+
+    Tags become spaces so that neighbouring list items stay separate words."""
+    text = F.regexp_replace(F.col(html_col), r"<[^>]*>", " ")
     return (
         pages.select(id_col, F.posexplode(F.regexp_extract_all(text, F.lit(f"({PERCENT_PART})"), 1))
                      .alias("part_pos", "token"))

@@ -93,7 +93,8 @@ def page_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("page_composition", f"""
 WITH t AS (
   SELECT page_id, unnest(l) AS token, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS part_pos
-  FROM (SELECT page_id, regexp_extract_all({_strip('html')}, '({W.PERCENT_PART})', 1) AS l FROM pages))
+  FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '<[^>]*>', ' ', 'g'), '({W.PERCENT_PART})', 1) AS l
+        FROM pages))
 SELECT page_id, part_pos, CAST(regexp_extract(token, '{W.PERCENT_PART}', 1) AS INTEGER) AS percentage,
        regexp_extract(token, '{W.PERCENT_PART}', 2) AS material
 FROM t""")
