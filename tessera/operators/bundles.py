@@ -64,6 +64,21 @@ def _fold(max_target: int, with_bundle: bool) -> Column:
     )
 
 
+def solve_menus(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int,
+                with_bundle: bool = False) -> DataFrame:
+    """One row per group: its menu ``offers`` and the solved table ``best`` where
+    ``best[n]`` is the optimum for target ``n`` (index 0 is the empty bundle)."""
+    if max_target < 1:
+        raise ValueError("max_target must be >= 1")
+    keys = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    menus = (
+        offers.where(F.col("amount").between(1, max_target))
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct("amount", "price_cents")).alias("offers"))
+    )
+    return menus.select(*keys, "offers", _fold(max_target, with_bundle).alias("best"))
+
+
 def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int,
                  with_bundle: bool = False) -> DataFrame:
     """Best bundle for every target ``n`` in ``1..max_target`` of every group.
@@ -73,15 +88,9 @@ def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target:
     sorted list of offer amounts; among equal (price, orders) the lexicographically
     smallest sorted list wins, which the recurrence preserves exactly.
     """
-    if max_target < 1:
-        raise ValueError("max_target must be >= 1")
     keys = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    menus = (
-        offers.where(F.col("amount").between(1, max_target))
-        .groupBy(*keys)
-        .agg(F.collect_list(F.struct("amount", "price_cents")).alias("offers"))
-    )
-    solved = menus.select(*keys, F.posexplode(_fold(max_target, with_bundle)).alias("n", "best"))
+    solved = solve_menus(offers, keys, max_target, with_bundle).select(
+        *keys, F.posexplode("best").alias("n", "best"))
     cols = [
         *keys,
         F.col("n"),
@@ -94,18 +103,20 @@ def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target:
     return solved.where(F.col("n") >= 1).select(*cols)
 
 
-def beaten_offers(offers: DataFrame, best: DataFrame, group_cols: Sequence[str] | str) -> DataFrame:
+def beaten_offers(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int) -> DataFrame:
     """Offers that a combination of other offers undercuts (``best(amount) < price``).
 
-    Equi-join on ``(group, amount = n)``: both sides are partitioned on the group key.
+    Read off the solved table in the same row as the menu: no join, no second scan.
     """
     keys = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    b = best.select(*keys, F.col("n").alias("amount"), "best_cents", "orders")
+    solved = solve_menus(offers, keys, max_target)
+    beaten = F.filter("offers", lambda o: F.col("best")[o["amount"]]["c"] < o["price_cents"])
     return (
-        offers.join(b, [*keys, "amount"], "inner")
-        .where(F.col("best_cents") < F.col("price_cents"))
-        .select(*keys, "amount", "price_cents", "best_cents", "orders",
-                (F.col("price_cents") - F.col("best_cents")).alias("saving_cents"))
+        solved.select(*keys, "best", F.explode(beaten).alias("o"))
+        .select(*keys, F.col("o.amount").alias("amount"), F.col("o.price_cents").alias("price_cents"),
+                F.col("best")[F.col("o.amount")]["c"].alias("best_cents"),
+                F.col("best")[F.col("o.amount")]["o"].alias("orders"))
+        .withColumn("saving_cents", F.col("price_cents") - F.col("best_cents"))
     )
 
 
@@ -133,12 +144,14 @@ def unit_price_minima(best: DataFrame, group_cols: Sequence[str] | str) -> DataF
 def bundle_mix(best_with_bundle: DataFrame, group_cols: Sequence[str] | str) -> DataFrame:
     """Multiplicity of each offer inside each best bundle: ``(*group, n, amount, times)``.
 
-    ``count(*) over (group, n)`` of the result is the number of distinct offers combined.
+    Counted inside each row from the bundle list (no shuffle); the number of rows per
+    ``(group, n)`` is the number of distinct offers combined.
     """
     keys = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    counts = F.transform(F.array_distinct("bundle"),
+                         lambda a: F.struct(a.alias("amount"),
+                                            F.size(F.filter("bundle", lambda x: x == a)).cast("bigint").alias("times")))
     return (
         best_with_bundle.where(F.col("feasible"))
-        .select(*keys, "n", F.explode("bundle").alias("amount"))
-        .groupBy(*keys, "n", "amount")
-        .agg(F.count(F.lit(1)).alias("times"))
+        .select(*keys, "n", F.inline(counts))
     )

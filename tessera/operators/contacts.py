@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tessera.operators.parallelism import spread
+
 PHONE_PATTERN = r"\+\d+ \(\d{3}\) \d{3}-\d{4}"
 MAX_STARS_NONDECREASING = 12
 MAX_STARS_ALL = 6
@@ -86,7 +88,8 @@ def expand_masks(masks: DataFrame, mask_col: str = "mask", mode: str = "nondecre
 def extract_numbers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Phone numbers written in documents, with their compact form ``+<digits>``."""
     return (
-        docs.select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(f"({PHONE_PATTERN})"), 1))
+        spread(docs.select(id_col, text_col))
+        .select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(f"({PHONE_PATTERN})"), 1))
                     .alias("pos", "raw"))
         .select(id_col, "pos", "raw",
                 F.concat(F.lit("+"), F.regexp_replace("raw", r"\D", "")).alias("number"))

@@ -106,7 +106,7 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
     extends paths from the graph's smallest node (a Hamiltonian cycle contains it).
     """
     g = list(graph_cols)
-    adj = symmetric(canonical_edges(edges, g), g)
+    adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
     sizes = _sizes(adj, g)
     if max_len is None:
         max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
@@ -126,7 +126,6 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
         frontier = cut_lineage(frontier)
         if frontier.isEmpty():
             break
-        found[-1] = cut_lineage(found[-1])
     if not found:
         return starts.select(*g, F.lit(0).alias("length"), F.array("node").alias("cycle")).where(F.lit(False))
     out = found[0]
@@ -142,7 +141,7 @@ def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
     """Every path through all nodes of its graph once (reversal counted once):
     ``(graph, path)`` with ``path[0] < path[-1]``; graphs of one node have none."""
     g = list(graph_cols)
-    adj = symmetric(canonical_edges(edges, g), g)
+    adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
     sizes = _sizes(adj, g)
     max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
     frontier = _nodes(adj, g).join(sizes.select(*g, "n_nodes"), g) \
@@ -171,7 +170,7 @@ def components(edges: DataFrame, graph_cols: Sequence[str], max_iter: int = 10_0
     """Component label (smallest reachable node) per ``(graph, node)`` by min-label
     propagation; one join + aggregate per round until no label changes."""
     g = list(graph_cols)
-    adj = symmetric(canonical_edges(edges, g), g)
+    adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
     labels = _nodes(adj, g).select(*g, "node", F.col("node").alias("label"))
     for _ in range(max_iter):
         pushed = labels.join(adj.withColumnRenamed("u", "node"), [*g, "node"]) \
@@ -193,7 +192,7 @@ def degree_euler(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
     odd-degree nodes; an Euler cycle iff connected and 0 odd-degree nodes.
     """
     g = list(graph_cols)
-    canon = canonical_edges(edges, g)
+    canon = cut_lineage(canonical_edges(edges, g))
     deg = symmetric(canon, g).groupBy(*g, F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
     per = deg.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n_nodes"),

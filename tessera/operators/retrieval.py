@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tessera.operators.parallelism import spread
+from tessera.session import cut_lineage
+
 # Word token = run of characters that are not whitespace or punctuation.
 TOKEN = r'[^ \t\n\r\f.,;:!?()\[\]{}<>"]+'
 # Prompt template and the separator between context passages.
@@ -109,80 +112,102 @@ def _topk_scan(corpus: DataFrame, keys: list[str], key_types: list[T.DataType],
 
 # --- BM25 first stage ---------------------------------------------------------------
 
+_TF_SCHEMA_FIELDS = [
+    T.StructField("dl", T.IntegerType()),
+    T.StructField("tids", T.ArrayType(T.IntegerType())),
+    T.StructField("tfs", T.ArrayType(T.IntegerType())),
+]
+
+
+def _term_frequencies(corpus: DataFrame, keys: list[str], key_types: list[T.DataType], text_col: str,
+                      terms: list[str]) -> DataFrame:
+    """One tokenisation pass: per row its length in tokens and the sparse counts of the
+    query-vocabulary terms it contains ``(keys, dl, tids, tfs)``."""
+    schema = T.StructType([T.StructField(c, t) for c, t in zip(keys, key_types)] + _TF_SCHEMA_FIELDS)
+    bc = corpus.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = pd.Index(bc.value)
+        nv = max(len(index), 1)
+        for pdf in batches:
+            toks = pdf["text"].fillna("").str.lower().str.findall(TOKEN)
+            dl = toks.str.len().to_numpy(dtype=np.int64)
+            flat = toks.explode()
+            flat = flat[flat.notna()]
+            tid = index.get_indexer(flat.to_numpy()) if len(flat) else np.array([], dtype=np.int64)
+            row = flat.index.to_numpy()
+            keep = tid >= 0
+            uniq, tf = np.unique(row[keep] * nv + tid[keep], return_counts=True)
+            r, t = uniq // nv, (uniq % nv).astype(np.int32)
+            bounds = np.searchsorted(r, np.arange(len(pdf) + 1))
+            out = pdf[keys].copy()
+            out["dl"] = dl.astype(np.int32)
+            out["tids"] = [t[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            out["tfs"] = [tf[a:b].astype(np.int32) for a, b in zip(bounds[:-1], bounds[1:])]
+            yield out
+
+    return spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(run, schema)
+
+
 def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: str,
                keys: Sequence[str], text_col: str, k: int = 10) -> DataFrame:
     """Top-``k`` corpus rows per query by BM25: ``(qid, *keys, score, rank)``.
 
-    Only rows sharing at least one token with the query are candidates.  Corpus
-    statistics (row count, mean length, document frequency of query terms) come from
-    one aggregation pass; document frequencies are restricted to the query vocabulary
-    by a join with its (size-checked) broadcast.
+    Only rows sharing at least one token with the query are candidates.  The corpus is
+    tokenised once into a compact table of query-vocabulary term counts (written as a
+    reliable checkpoint); corpus statistics (row count, mean length, document
+    frequencies) and the scoring scan both read that table instead of the text.
     """
     keys = list(keys)
     key_types = [corpus.schema[c].dataType for c in keys]
-    toks = corpus.select(*keys, tokens(F.col(text_col)).alias("toks"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     results = []
     for block in _query_blocks(queries, qid_col):
         qterms = block.select(F.col(qid_col).cast("bigint").alias("qid"),
                               F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term"))
-        vocab = qterms.select("term").distinct()
-        dfreq = (
-            toks.select(F.explode(F.array_distinct("toks")).alias("term"))
-            .join(F.broadcast(vocab), "term")
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        )
-        vocab_rows = _collect_bounded(vocab.join(dfreq, "term", "left"), MAX_QUERY_TERMS, "query vocabulary")
-        terms = [r["term"] for r in vocab_rows]
-        dfs = np.array([r["df"] or 0 for r in vocab_rows], dtype=np.float64)
-        idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
-        term_index = {t: i for i, t in enumerate(terms)}
         qt_rows = _collect_bounded(qterms, MAX_QUERY_TERMS, "query terms")
-        qids = np.array(sorted({r["qid"] for r in qt_rows}), dtype=np.int64)
-        if len(qids) == 0:
+        if not qt_rows:
             continue
+        terms = sorted({r["term"] for r in qt_rows})
+        term_index = {t: i for i, t in enumerate(terms)}
+        tf = cut_lineage(_term_frequencies(corpus, keys, key_types, text_col, terms))
+        stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+        n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
+        dfs = np.zeros(len(terms), dtype=np.float64)
+        for r in tf.select(F.explode("tids").alias("t")).groupBy("t").count().collect():
+            dfs[r["t"]] = r["count"]
+        idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
+        qids = np.array(sorted({r["qid"] for r in qt_rows}), dtype=np.int64)
         qpos = {q: i for i, q in enumerate(qids)}
         # CSR: term -> queries containing it.
         pairs = sorted((term_index[r["term"]], qpos[r["qid"]]) for r in qt_rows)
         t_arr = np.array([p[0] for p in pairs], dtype=np.int64)
         q_arr = np.array([p[1] for p in pairs], dtype=np.int64)
         indptr = np.searchsorted(t_arr, np.arange(len(terms) + 1))
-        sc = corpus.sparkSession.sparkContext
-        bc = sc.broadcast({"terms": terms, "idf": idf, "indptr": indptr, "q": q_arr,
-                           "nq": len(qids), "avgdl": avgdl})
+        bc = corpus.sparkSession.sparkContext.broadcast(
+            {"idf": idf, "indptr": indptr, "q": q_arr, "nq": len(qids), "avgdl": avgdl})
 
         def scorer(part: pd.DataFrame, bc=bc) -> np.ndarray:
             v = bc.value
-            index = pd.Index(v["terms"])
-            toks_s = part["text"].fillna("").str.lower().str.findall(TOKEN)
-            dl = toks_s.str.len().to_numpy(dtype=np.float64)
             S = np.zeros((len(part), v["nq"]), dtype=np.float64)
-            flat = toks_s.explode()
-            flat = flat[flat.notna()]
-            if len(flat) == 0:
-                return np.full_like(S, np.nan)
-            tid = index.get_indexer(flat.to_numpy())
-            row = flat.index.to_numpy()
-            keep = tid >= 0
-            row, tid = row[keep], tid[keep]
-            if len(row):
-                uniq, tf = np.unique(row * len(v["terms"]) + tid, return_counts=True)
-                r, t = uniq // len(v["terms"]), uniq % len(v["terms"])
-                norm = BM25_K1 * (1 - BM25_B + BM25_B * dl[r] / v["avgdl"]) if v["avgdl"] > 0 else BM25_K1
-                w = v["idf"][t] * tf * (BM25_K1 + 1) / (tf + norm)
-                starts, ends = v["indptr"][t], v["indptr"][t + 1]
-                reps = ends - starts
-                rr = np.repeat(r, reps)
-                ww = np.repeat(w, reps)
-                first = np.cumsum(reps) - reps
-                idx = np.arange(int(reps.sum())) - np.repeat(first, reps) + np.repeat(starts, reps)
-                qq = v["q"][idx]
-                np.add.at(S, (rr, qq), ww)
+            lens = part["tids"].map(len).to_numpy()
+            if lens.sum() == 0:
+                return S
+            r = np.repeat(np.arange(len(part)), lens)
+            t = np.concatenate(part["tids"].to_numpy()).astype(np.int64)
+            tf = np.concatenate(part["tfs"].to_numpy()).astype(np.float64)
+            dl = part["dl"].to_numpy(dtype=np.float64)
+            norm = BM25_K1 * (1 - BM25_B + BM25_B * dl[r] / v["avgdl"]) if v["avgdl"] > 0 else BM25_K1
+            w = v["idf"][t] * tf * (BM25_K1 + 1) / (tf + norm)
+            starts, ends = v["indptr"][t], v["indptr"][t + 1]
+            reps = ends - starts
+            first = np.cumsum(reps) - reps
+            idx = np.arange(int(reps.sum())) - np.repeat(first, reps) + np.repeat(starts, reps)
+            np.add.at(S, (np.repeat(r, reps), v["q"][idx]), np.repeat(w, reps))
             return S
 
-        src = corpus.select(*keys, F.col(text_col).alias("text"))
-        results.append(_topk_scan(src, keys, key_types, scorer, qids, k, min_score=0.0))
+        results.append(_topk_scan(tf, keys, key_types, scorer, qids, k, min_score=0.0))
+    if not results:
+        raise ValueError("no query has any token")
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

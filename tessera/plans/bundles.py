@@ -68,9 +68,7 @@ SELECT o.l_partkey, o.amount, o.price_cents, b.best_cents, b.orders,
 FROM offers o JOIN best b ON o.l_partkey = b.l_partkey AND o.amount = b.n
 WHERE b.best_cents < o.price_cents""")
 def bundle_beaten_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    offers = _offers(spark, sf_dir)
-    best = B.best_bundles(offers, "l_partkey", MAX_TARGET)
-    return B.beaten_offers(offers, best, "l_partkey")
+    return B.beaten_offers(_offers(spark, sf_dir), "l_partkey", MAX_TARGET)
 
 
 @register("bundle_unit_price_min", f"""

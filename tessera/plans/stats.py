@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.operators import diagnostics as D
 from tessera.operators import experiment as X
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources import read_table
 
 PCA_K = 5
@@ -105,7 +106,7 @@ def _n_control(units: DataFrame) -> int:
 WITH {_ARMS_SQL}, {_PERM_SQL}
 SELECT perm, mean_first, mean_rest, mean_first - mean_rest AS diff FROM perms""")
 def ab_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = _units(spark, sf_dir)
+    units = cut_lineage(_units(spark, sf_dir).select("user_id", "arm", "total_value"))
     return X.permutation_diffs(units, "user_id", "total_value", _n_control(units), PERMUTATIONS)
 
 
@@ -116,7 +117,7 @@ SELECT obs.d AS observed_diff, count(*) AS permutations,
        avg(CASE WHEN abs(mean_first - mean_rest) >= abs(obs.d) THEN 1.0 ELSE 0.0 END)::DOUBLE AS p_value
 FROM perms CROSS JOIN obs GROUP BY obs.d""")
 def ab_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = _units(spark, sf_dir)
+    units = cut_lineage(_units(spark, sf_dir).select("user_id", "arm", "total_value"))
     obs = units.groupBy().agg(
         (F.avg(F.when(F.col("arm") == "A", F.col("total_value")))
          - F.avg(F.when(F.col("arm") == "B", F.col("total_value")))).alias("observed_diff")).first()[0]
