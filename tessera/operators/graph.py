@@ -229,3 +229,29 @@ def parse_graph_messages(messages: DataFrame, graph_cols: Sequence[str], msg_col
     edges = parsed.select(*g, F.explode("m.edges_list").alias("e")) \
         .select(*g, F.element_at("e", 1).alias("u"), F.element_at("e", 2).alias("v"))
     return nodes, edges
+
+
+def evenly_spaced(paths: DataFrame, graph_cols: Sequence[str], order_col: str, picks: int = 6) -> DataFrame:
+    """Pick ``picks`` items per graph at positions ``i * n // picks - 1`` (1-based ``i``)
+    of the ``order_col`` order, a negative position counting from the end as list
+    indexing does: ``(graph, pick, ...)``.  The window is per graph."""
+    g = list(graph_cols)
+    w = Window.partitionBy(*g).orderBy(order_col)
+    wn = Window.partitionBy(*g)
+    ranked = paths.withColumn("_pos", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(wn))
+    want = F.sequence(F.lit(1), F.lit(picks))
+    hit = F.filter(want, lambda i: F.pmod(F.floor(i * F.col("_n") / picks) - 1, F.col("_n")) == F.col("_pos"))
+    return ranked.select("*", F.explode(hit).alias("pick")).drop("_pos", "_n")
+
+
+def path_steps(paths: DataFrame, path_col: str, closed: bool = True) -> DataFrame:
+    """Consecutive node pairs of each path ``(..., step, u, v)``; ``closed`` adds the edge
+    back to the first node (a cycle)."""
+    nxt = F.slice(path_col, 2, F.size(path_col))
+    if closed:
+        nxt = F.concat(nxt, F.array(F.element_at(path_col, 1)))
+    pairs = F.arrays_zip(F.col(path_col).alias("u"), nxt.alias("v"))
+    if not closed:
+        pairs = F.slice(pairs, 1, F.size(path_col) - 1)
+    return paths.select("*", F.posexplode(pairs).alias("step", "_p")) \
+        .select(*[c for c in paths.columns], "step", F.col("_p.u").alias("u"), F.col("_p.v").alias("v"))

@@ -152,3 +152,17 @@ def composition(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 F.regexp_extract("token", PERCENT_PART, 1).cast("int").alias("percentage"),
                 F.regexp_extract("token", PERCENT_PART, 2).alias("material"))
     )
+
+
+def first_item(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """The first item of each page's grid (first row of ``page_items``), found inside the
+    page row by array functions: ``(page_id, item_pos, product_id, product_link)``."""
+    items = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<li[^>]*>.*?</li>)"), 1)
+    rows = F.transform(items, lambda e, i: F.struct(
+        i.alias("item_pos"),
+        F.coalesce(_nullif_empty(F.regexp_extract(e, PRODUCT_ID_ATTR, 1)),
+                   _nullif_empty(trim_ws(strip_tags(F.regexp_extract(e, ANCHOR_TEXT, 1))))).alias("product_id"),
+        _nullif_empty(F.regexp_extract(e, ANCHOR_HREF, 1)).alias("product_link")))
+    first = F.try_element_at(F.filter(rows, lambda r: r["product_id"].isNotNull()), F.lit(1))
+    return pages.select(id_col, first.alias("f")).where(F.col("f").isNotNull()) \
+        .select(id_col, "f.item_pos", "f.product_id", "f.product_link")

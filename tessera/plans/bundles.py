@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators import bundles as B
 from tessera.plans.registry import register
@@ -93,3 +94,13 @@ SELECT l_partkey, n, amount, count(*) AS times FROM parts GROUP BY 1, 2, 3""")
 def bundle_offer_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = B.best_bundles(_offers(spark, sf_dir), "l_partkey", MAX_TARGET, with_bundle=True)
     return B.bundle_mix(best, "l_partkey")
+
+
+@register("bundle_offer_counts", f"""
+WITH {_OFFERS_SQL}, {_FOLD_B_SQL}
+SELECT l_partkey, n, CAST(len(list_distinct(bundle)) AS INTEGER) AS n_offers,
+       CAST(len(bundle) AS INTEGER) AS n_orders FROM best""")
+def bundle_offer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = B.best_bundles(_offers(spark, sf_dir), "l_partkey", MAX_TARGET, with_bundle=True)
+    return best.where("feasible").select("l_partkey", "n", F.size(F.array_distinct("bundle")).alias("n_offers"),
+                                         F.size("bundle").alias("n_orders"))

@@ -150,3 +150,30 @@ def graph_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = pn.select("graph_id", F.col("node_id").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"))
     return pe.join(a, ["graph_id", "u"]).join(b, ["graph_id", "v"]).select(
         "graph_id", "u", "v", "ux", "uy", "vx", "vy")
+
+
+@register("graph_cycle_samples", f"""
+WITH RECURSIVE {_EV_SQL}, {_CYCLES_SQL},
+h AS (SELECT c.user_id, c.week, c.cycle FROM cycles c JOIN sizes s USING (user_id, week) WHERE c.length = s.n_nodes),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, week ORDER BY cycle) - 1 AS pos,
+             count(*) OVER (PARTITION BY user_id, week) AS n FROM h)
+SELECT user_id, week, cycle, CAST(i.range AS INTEGER) AS pick
+FROM r JOIN range(1, 7) i ON (CAST(floor(i.range * r.n / 6) AS BIGINT) - 1 + r.n) % r.n = r.pos""")
+def graph_cycle_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cyc = G.simple_cycles(_event_edges(spark, sf_dir), _G, hamiltonian=True)
+    named = cyc.select(*_G, F.concat_ws(">", "cycle").alias("cycle"))
+    return G.evenly_spaced(named, _G, "cycle", 6).select(*_G, "cycle", "pick")
+
+
+@register("graph_cycle_steps", f"""
+WITH RECURSIVE {_EV_SQL}, {_CYCLES_SQL},
+h AS (SELECT c.user_id, c.week, c.cycle, string_split(c.cycle, '>') AS p
+      FROM cycles c JOIN sizes s USING (user_id, week) WHERE c.length = s.n_nodes),
+hi AS (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM h)
+SELECT user_id, week, cycle, CAST(i - 1 AS INTEGER) AS step, p[i] AS u,
+       CASE WHEN i = len(p) THEN p[1] ELSE p[i + 1] END AS v
+FROM hi""")
+def graph_cycle_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cyc = G.simple_cycles(_event_edges(spark, sf_dir), _G, hamiltonian=True)
+    named = cyc.select(*_G, F.col("cycle").alias("path"), F.concat_ws(">", "cycle").alias("cycle"))
+    return G.path_steps(named, "path").select(*_G, "cycle", "step", "u", "v")

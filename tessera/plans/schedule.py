@@ -34,7 +34,8 @@ cat AS (
          CAST(NULL AS VARCHAR) AS "order"
   FROM part),
 clean AS (
-  SELECT *, revenue - cost AS benefit, row_number() OVER (ORDER BY key) - 1 AS id
+  SELECT *, revenue - cost AS benefit, row_number() OVER (ORDER BY key) - 1 AS id,
+         CAST(regexp_extract(xp, '(\\d+)', 1) AS BIGINT) AS xp_value
   FROM cat WHERE duration >= 1)"""
 
 _CAND_SQL = f"""
@@ -44,17 +45,26 @@ cand AS (
   FROM clean c, range(0, {H}) h
   WHERE {_feas('CAST(h.range AS INTEGER)', 'CAST(ceil(c.duration) AS INTEGER)')})"""
 
-_RUNS_SQL = """
+def _runs_sql(value: str) -> str:
+    return f"""
 runs0 AS (
-  SELECT collection, CAST(ceil(duration) AS INTEGER) AS d, max(benefit) AS b
+  SELECT collection, CAST(ceil(duration) AS INTEGER) AS d, max({value}) AS b
   FROM clean GROUP BY 1, 2),
 runs1 AS (
   SELECT r.collection, r.d, r.b, min(c.id) AS id
   FROM runs0 r JOIN clean c
-    ON c.collection = r.collection AND CAST(ceil(c.duration) AS INTEGER) = r.d AND c.benefit = r.b
+    ON c.collection = r.collection AND CAST(ceil(c.duration) AS INTEGER) = r.d AND c.{value} = r.b
   GROUP BY 1, 2, 3),
 menus AS (
-  SELECT collection, list({'d': d, 'b': b, 'id': id}) AS runs FROM runs1 GROUP BY 1)"""
+  SELECT collection, list({{'d': d, 'b': b, 'id': id}}) AS runs FROM runs1 GROUP BY 1)"""
+
+
+_RUNS_SQL = _runs_sql("benefit")
+
+_OCC_FOLD = f"""CAST({SLOTS} * list_reduce(range({H - 1}, -1, -1),
+    lambda acc, h: list_prepend(greatest(acc[1], coalesce(list_max(list_transform(
+        list_filter(runs, lambda r: {_feas('h', 'r.d')}), lambda r: r.b + acc[r.d])), acc[1])), acc),
+    [0::BIGINT])[1] AS BIGINT)"""
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +100,7 @@ def schedule_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("schedule_value_occupancy", f"""
 WITH {_CLEAN_SQL}, {_RUNS_SQL}
-SELECT collection, {SLOTS} AS slots, CAST({SLOTS} * list_reduce(range({H - 1}, -1, -1),
-    lambda acc, h: list_prepend(greatest(acc[1], coalesce(list_max(list_transform(
-        list_filter(runs, lambda r: {_feas('h', 'r.d')}), lambda r: r.b + acc[r.d])), acc[1])), acc),
-    [0::BIGINT])[1] AS BIGINT) AS value
+SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value
 FROM menus""")
 def schedule_value_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.best_value(_catalog(spark, sf_dir), "collection", SLOTS, DAYS, BLOCKED,
@@ -154,3 +161,12 @@ def schedule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = S.best_plan(cat, "collection", SLOTS, DAYS, BLOCKED)
     return plan.join(cat.select("id", "title", "benefit"), "id", "left").select(
         "collection", "id", "start", "finish", "slot", "title", "benefit")
+
+
+@register("schedule_value_xp", f"""
+WITH {_CLEAN_SQL}, {_runs_sql('xp_value')}
+SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value
+FROM menus""")
+def schedule_value_xp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cat = _catalog(spark, sf_dir).withColumn("xp_value", C.numeric_suffix("xp").cast("bigint"))
+    return S.best_value(cat, "collection", SLOTS, DAYS, BLOCKED, mode="occupancy", value_col="xp_value")

@@ -100,3 +100,19 @@ SELECT page_id, part_pos, CAST(regexp_extract(token, '{W.PERCENT_PART}', 1) AS I
 FROM t""")
 def page_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.composition(_pages(spark, sf_dir))
+
+
+@register("page_first_item", f"""
+WITH i AS (
+  SELECT page_id, unnest(l) AS item, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS item_pos
+  FROM (SELECT page_id, regexp_extract_all(html, '(?s)(<li[^>]*>.*?</li>)', 1) AS l FROM pages)),
+j AS (
+  SELECT page_id, item_pos,
+    coalesce(nullif(regexp_extract(item, '{W.PRODUCT_ID_ATTR}', 1), ''),
+             nullif({_trim(_strip(f"regexp_extract(item, '{W.ANCHOR_TEXT}', 1)"))}, '')) AS product_id,
+    nullif(regexp_extract(item, '{W.ANCHOR_HREF}', 1), '') AS product_link
+  FROM i)
+SELECT page_id, item_pos, product_id, product_link FROM j WHERE product_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY item_pos) = 1""")
+def page_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.first_item(_pages(spark, sf_dir))
