@@ -297,3 +297,51 @@ def assemble_context(kept: DataFrame, corpus: DataFrame, queries: DataFrame, qid
     return ctx.join(q, qid_col).select(
         qid_col, "n_passages", "context",
         F.concat(F.lit(head), F.col("context"), F.lit(mid), F.col("_q"), F.lit(tail)).alias("prompt"))
+
+
+# --- approximate first stage and text vectors -----------------------------------------
+
+def lsh_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qvec_col: str, key_col: str,
+              vec_col: str, k: int = 10, bucket_length: float = 1.0, tables: int = 4,
+              seed: int = 7) -> DataFrame:
+    """Approximate top-``k`` by Euclidean distance of L2-normalised vectors (same order as
+    cosine) with random-projection LSH: only pairs sharing a hash bucket are compared
+    (an equi-join on bucket ids, no cartesian product).  ``(qid, key, distance, rank)``."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
+    from pyspark.ml.functions import array_to_vector
+
+    def prep(df: DataFrame, id_col: str, v: str, out_id: str) -> DataFrame:
+        vec = df.select(F.col(id_col).alias(out_id), array_to_vector(F.col(v).cast("array<double>")).alias("_raw"))
+        return Normalizer(inputCol="_raw", outputCol="features", p=2.0).transform(vec).select(out_id, "features")
+
+    q = prep(queries, qid_col, qvec_col, "qid")
+    c = prep(corpus, key_col, vec_col, "key")
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
+                                        numHashTables=tables, seed=seed).fit(c)
+    pairs = model.approxSimilarityJoin(q, c, 2.0, distCol="distance") \
+        .select(F.col("datasetA.qid").alias(qid_col), F.col("datasetB.key").alias(key_col), "distance")
+    w = Window.partitionBy(qid_col).orderBy("distance", key_col)
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def recall_at_k(approx: DataFrame, exact: DataFrame, qid_col: str, key_col: str, k: int) -> DataFrame:
+    """Share of the exact top-k found by the approximate top-k, per query."""
+    hits = exact.select(qid_col, key_col).join(approx.select(qid_col, key_col), [qid_col, key_col], "left_semi")
+    per = hits.groupBy(qid_col).agg(F.count(F.lit(1)).alias("hits"))
+    found = approx.groupBy(qid_col).agg(F.count(F.lit(1)).alias("n_found"))
+    return exact.select(qid_col).distinct().join(per, qid_col, "left").join(found, qid_col, "left").select(
+        qid_col, F.coalesce("hits", F.lit(0)).alias("hits"), F.coalesce("n_found", F.lit(0)).alias("n_found"),
+        (F.coalesce("hits", F.lit(0)) / F.lit(float(k))).alias("recall_at_k"))
+
+
+def text_vectors(corpus: DataFrame, keys: Sequence[str], text_col: str, num_features: int = 1 << 18) -> DataFrame:
+    """TF-IDF text vectors, L2-normalised (``pyspark.ml``: tokenizer, hashing TF, IDF fit
+    by one distributed document-frequency pass, normaliser): ``(*keys, features)``."""
+    from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
+
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN, gaps=False, toLowercase=True)
+    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
+    base = tf.transform(tok.transform(corpus.select(*keys, text_col)))
+    idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(base)
+    out = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0).transform(idf.transform(base))
+    return out.select(*keys, "features")

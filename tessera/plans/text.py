@@ -307,3 +307,23 @@ def retrieval_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     nb = _knn(spark, sf_dir).withColumn("label", F.col("label").cast("int"))
     return EV.label_retrieval_scores(nb, emb.select("vec_id", "label"), "label", "vec_id", "label", K)
+
+
+@register("knn_lsh_recall")
+def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings")
+    cen = _centroids(emb)
+    approx = R.lsh_top_k(cen, emb, "label", "c", "vec_id", "embedding", k=K)
+    exact = _knn(spark, sf_dir).select("label", "vec_id")
+    return R.recall_at_k(approx, exact, "label", "vec_id", K)
+
+
+@register("chunk_tfidf_vectors")
+def chunk_tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    vec = R.text_vectors(_chunks(spark, sf_dir), ["doc_id", "chunk_pos"], "chunk", num_features=1 << 12)
+    arr = vector_to_array("features")
+    return vec.select("doc_id", "chunk_pos", arr.alias("w")).select(
+        "doc_id", "chunk_pos", F.size(F.filter("w", lambda x: x != 0)).alias("nnz"),
+        F.array_max("w").alias("max_weight"))
