@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.operators.parallelism import spread
+from tessera.operators.parallelism import bounded_broadcast, spread
 from tessera.session import cut_lineage
 
 # Word token = run of characters that are not whitespace or punctuation.
@@ -53,9 +53,10 @@ def _collect_bounded(df: DataFrame, limit: int, what: str) -> list:
 
 
 def _query_blocks(queries: DataFrame, qid: str) -> list[DataFrame]:
-    """Split the query set into passes of at most MAX_QUERIES_PER_PASS queries."""
+    """Split the query set into passes over the corpus, each expected to hold at most half
+    of MAX_QUERIES_PER_PASS queries (hash split; every query lands in exactly one pass)."""
     n = queries.count()
-    passes = max(1, -(-n // MAX_QUERIES_PER_PASS))
+    passes = max(1, -(-2 * n // MAX_QUERIES_PER_PASS))
     if passes == 1:
         return [queries]
     return [queries.where(F.pmod(F.xxhash64(qid), F.lit(passes)) == i) for i in range(passes)]
@@ -267,9 +268,9 @@ def rerank(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, qid_col
     keys = list(keys)
     cand = candidates.select(qid_col, *keys, F.col("rank").alias("stage1_rank"),
                              F.col("score").alias("stage1_score"))
-    texts = corpus.select(*keys, F.col(text_col).alias("_ctext")).join(F.broadcast(cand), keys)
+    texts = corpus.select(*keys, F.col(text_col).alias("_ctext")).join(bounded_broadcast(cand), keys)
     q = queries.select(F.col(qid_col), tokens(F.col(qtext_col)).alias("_qt"))
-    scored = texts.join(F.broadcast(q), qid_col).withColumn(
+    scored = texts.join(bounded_broadcast(q), qid_col).withColumn(
         "score", jaccard(F.col("_qt"), tokens(F.col("_ctext"))))
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("stage1_rank").asc())
     return (
@@ -286,7 +287,7 @@ def assemble_context(kept: DataFrame, corpus: DataFrame, queries: DataFrame, qid
     """
     keys = list(keys)
     texts = corpus.select(*keys, F.col(text_col).alias("_t")).join(
-        F.broadcast(kept.select(qid_col, *keys, "rank")), keys)
+        bounded_broadcast(kept.select(qid_col, *keys, "rank")), keys)
     ctx = texts.groupBy(qid_col).agg(
         F.count(F.lit(1)).alias("n_passages"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "_t"))), lambda x: x["_t"]),
