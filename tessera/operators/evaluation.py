@@ -2,7 +2,6 @@
 
 * ``label_retrieval_scores``: precision@k, recall@k and reciprocal rank of the first
   hit for queries whose relevant set is "rows with the same label".
-* ``support_scores``: per query, token-overlap measures of the kept passages.
 * ``score_summary`` / ``score_grid`` / ``score_extremes``: per-metric mean/min/max, the
   question x metric grid with bands and cell text colour, and the lowest/highest pairs.
 """

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tessera.functions.text import strip_tags, trim_ws
 
 ANCHOR_HREF = r'<a[^>]*href="([^"]*)"'
-LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
-ARTICLE = r"(?s)<article[^>]*>(.*?)</article>"
+LIST_ITEM = r"(?s)(<li[^>]*>.*?</li>)"
+ARTICLE = r"(?s)(<article[^>]*>.*?</article>)"
 HEADER = r"(?s)<h1[^>]*>(.*?)</h1>"
 PRODUCT_ID_ATTR = r'data-productid="([^"]*)"'
 ANCHOR_TEXT = r"(?s)<a[^>]*>(.*?)</a>"
@@ -105,7 +105,7 @@ def page_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     The id is the ``data-productid`` attribute, else the anchor text; items without an
     id are dropped, a missing link stays null.
     """
-    items = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<li[^>]*>.*?</li>)"), 1)
+    items = F.regexp_extract_all(F.col(html_col), F.lit(LIST_ITEM), 1)
     e = F.col("item")
     pid = F.coalesce(
         _nullif_empty(F.regexp_extract(e, PRODUCT_ID_ATTR, 1)),
@@ -122,7 +122,7 @@ def page_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 def page_headers(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Per content block: header text (fallback ``info_<pos>``) and the first price
     (fallback ``N/A``): ``(page_id, block_pos, header, price)``."""
-    blocks = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<article[^>]*>.*?</article>)"), 1)
+    blocks = F.regexp_extract_all(F.col(html_col), F.lit(ARTICLE), 1)
     b = F.col("block")
     header = _nullif_empty(trim_ws(strip_tags(F.regexp_extract(b, HEADER, 1))))
     price = _nullif_empty(F.regexp_extract(strip_tags(b), PRICE, 0))
@@ -157,7 +157,7 @@ def composition(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
 def first_item(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """The first item of each page's grid (first row of ``page_items``), found inside the
     page row by array functions: ``(page_id, item_pos, product_id, product_link)``."""
-    items = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)(<li[^>]*>.*?</li>)"), 1)
+    items = F.regexp_extract_all(F.col(html_col), F.lit(LIST_ITEM), 1)
     rows = F.transform(items, lambda e, i: F.struct(
         i.alias("item_pos"),
         F.coalesce(_nullif_empty(F.regexp_extract(e, PRODUCT_ID_ATTR, 1)),
