@@ -99,3 +99,25 @@ def pca_scores(df: DataFrame, id_col: str, vec_col: str, k: int, upper: float =
                   F.percentile_approx("spe", upper).alias("spe_lim")).first()
     return out.select(id_col, "t2", "spe", (F.col("t2") > F.lit(lim["t2_lim"])).alias("t2_outlier"),
                       (F.col("spe") > F.lit(lim["spe_lim"])).alias("spe_outlier"))
+
+
+def cross_validate(df: DataFrame, id_col: str, vec_col: str, k: int, folds: int = 5) -> DataFrame:
+    """k-fold validation of the component model: rows go to folds by a hash of their id;
+    for each fold the scaler and PCA are refitted on the other folds and the held-out
+    rows' squared prediction error is summarised.  ``folds`` fits, each distributed.
+    Output ``(fold, n_train, n_test, explained, mean_spe_test)``."""
+    spark = df.sparkSession
+    tagged = df.withColumn("_fold", F.pmod(F.xxhash64(F.col(id_col)), F.lit(folds)).cast("int"))
+    rows = []
+    for f in range(folds):
+        train = tagged.where(F.col("_fold") != f)
+        test = tagged.where(F.col("_fold") == f)
+        scaler, pca, _ = fit_pca(train, vec_col, k)
+        vec = test.withColumn("_x", array_to_vector(F.col(vec_col).cast("array<double>")))
+        scored = pca.transform(scaler.transform(vec)).select(
+            vector_to_array("_z").alias("z"), vector_to_array("_t").alias("t"))
+        sq = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
+        r = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(sq(F.col("z")) - sq(F.col("t"))).alias("spe")).first()
+        rows.append((f, int(train.count()), int(r["n"]), float(sum(pca.explainedVariance.toArray())),
+                     None if r["spe"] is None else float(r["spe"])))
+    return spark.createDataFrame(rows, "fold INT, n_train BIGINT, n_test BIGINT, explained DOUBLE, mean_spe_test DOUBLE")

@@ -212,7 +212,8 @@ def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: s
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
-    return out.withColumnRenamed("qid", qid_col)
+    # queries x k rows: written once so later size checks and joins do not rescan.
+    return cut_lineage(out.withColumnRenamed("qid", qid_col))
 
 
 # --- cosine first stage ---------------------------------------------------------------
@@ -247,7 +248,7 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qvec_col:
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
-    return out.withColumnRenamed("qid", qid_col)
+    return cut_lineage(out.withColumnRenamed("qid", qid_col))
 
 
 # --- second stage, context, answers ---------------------------------------------------
@@ -273,7 +274,7 @@ def rerank(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, qid_col
     scored = texts.join(bounded_broadcast(q), qid_col).withColumn(
         "score", jaccard(F.col("_qt"), tokens(F.col("_ctext"))))
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("stage1_rank").asc())
-    return (
+    return cut_lineage(
         scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
         .select(qid_col, *keys, "stage1_rank", "stage1_score", "score", "rank")
     )
@@ -342,7 +343,26 @@ def text_vectors(corpus: DataFrame, keys: Sequence[str], text_col: str, num_feat
 
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN, gaps=False, toLowercase=True)
     tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
-    base = tf.transform(tok.transform(corpus.select(*keys, text_col)))
+    # Tokenise and hash once; the IDF fit and the transform both read the written table.
+    base = cut_lineage(tf.transform(tok.transform(spread(corpus.select(*keys, text_col)))).drop(text_col, "_tok"))
     idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(base)
     out = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0).transform(idf.transform(base))
     return out.select(*keys, "features")
+
+
+def vector_stats(vectors: DataFrame, keys: Sequence[str], vec_col: str = "features") -> DataFrame:
+    """Per row: non-zeros and largest weight of an ML vector, read from its sparse form in
+    Arrow batches (no dense conversion): ``(*keys, nnz, max_weight)``."""
+    keys = list(keys)
+    schema = T.StructType([vectors.schema[c] for c in keys] + [
+        T.StructField("nnz", T.IntegerType()), T.StructField("max_weight", T.DoubleType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            vals = [np.asarray(v["values"], dtype=np.float64) for v in pdf[vec_col]]
+            out = pdf[keys].copy()
+            out["nnz"] = np.array([int(np.count_nonzero(x)) for x in vals], dtype=np.int32)
+            out["max_weight"] = [float(x.max()) if len(x) else None for x in vals]
+            yield out
+
+    return vectors.select(*keys, vec_col).mapInPandas(run, schema)

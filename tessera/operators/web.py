@@ -166,3 +166,15 @@ def first_item(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     first = F.try_element_at(F.filter(rows, lambda r: r["product_id"].isNotNull()), F.lit(1))
     return pages.select(id_col, first.alias("f")).where(F.col("f").isNotNull()) \
         .select(id_col, "f.item_pos", "f.product_id", "f.product_link")
+
+
+def category_lists(categorised: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """Links of each (page, category) as one list in page order, joined by a space:
+    ``(page_id, category, n_links, links)``.  A group holds one page's links only."""
+    return (
+        categorised.where(F.col("category").isNotNull())
+        .groupBy(id_col, "category")
+        .agg(F.count(F.lit(1)).alias("n_links"),
+             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("first_pos", "href"))),
+                                      lambda s: s["href"]), " ").alias("links"))
+    )

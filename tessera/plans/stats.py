@@ -140,3 +140,8 @@ SELECT arm, count(*) AS n_units, avg(r1)::DOUBLE AS retention_d1, avg(r7)::DOUBL
 FROM flags GROUP BY arm""")
 def ab_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.retention(_units(spark, sf_dir), "arm")
+
+
+@register("pca_cross_validation")
+def pca_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.cross_validate(_emb(spark, sf_dir), "vec_id", "embedding", PCA_K, folds=5)

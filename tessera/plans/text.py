@@ -146,7 +146,7 @@ def _context(spark: SparkSession, sf_dir: str, kept: DataFrame) -> DataFrame:
 
 
 def _eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = _kept(spark, sf_dir).cache()
+    kept = _kept(spark, sf_dir)
     ctx = _context(spark, sf_dir, kept)
     q = _queries(spark, sf_dir).select("item_id", F.col("text").alias("user_input"),
                                        F.array_distinct(R.tokens(F.col("text"))).alias("_qt"))
@@ -320,10 +320,5 @@ def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("chunk_tfidf_vectors")
 def chunk_tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    vec = R.text_vectors(_chunks(spark, sf_dir), ["doc_id", "chunk_pos"], "chunk", num_features=1 << 12)
-    arr = vector_to_array("features")
-    return vec.select("doc_id", "chunk_pos", arr.alias("w")).select(
-        "doc_id", "chunk_pos", F.size(F.filter("w", lambda x: x != 0)).alias("nnz"),
-        F.array_max("w").alias("max_weight"))
+    vec = R.text_vectors(_chunks(spark, sf_dir), ["doc_id", "chunk_pos"], "chunk")
+    return R.vector_stats(vec, ["doc_id", "chunk_pos"])

@@ -116,3 +116,11 @@ SELECT page_id, item_pos, product_id, product_link FROM j WHERE product_id IS NO
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY item_pos) = 1""")
 def page_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.first_item(_pages(spark, sf_dir))
+
+
+@register("page_category_lists", f"""
+WITH {_DISTINCT_SQL}
+SELECT page_id, category, count(*) AS n_links, string_agg(href, ' ' ORDER BY first_pos) AS links
+FROM c WHERE category IS NOT NULL GROUP BY page_id, category""")
+def page_category_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.category_lists(W.categorise_links(_pages(spark, sf_dir)))

@@ -13,7 +13,8 @@ _spec = importlib.util.spec_from_file_location(
 oc = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(oc)
 
-ROWS_ONLY = {"doc_chunks_recursive", "pca_diagnostics", "pca_variance", "knn_lsh_recall", "chunk_tfidf_vectors"}
+ROWS_ONLY = {"doc_chunks_recursive", "pca_diagnostics", "pca_variance", "knn_lsh_recall", "chunk_tfidf_vectors",
+             "pca_cross_validation"}
 
 
 @pytest.fixture(scope="module")

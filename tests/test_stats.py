@@ -53,3 +53,12 @@ def test_dense_index_is_dense_and_ordered(spark):
     rows = dense_index(df, ["k"], "i").collect()
     ordered = sorted(rows, key=lambda r: r["k"])
     assert [r["i"] for r in ordered] == list(range(5000))
+
+
+def test_pca_cross_validation(spark):
+    rng = np.random.default_rng(4)
+    M = rng.normal(size=(200, 5)) @ rng.normal(size=(5, 5))
+    df = spark.createDataFrame([(i, M[i].tolist()) for i in range(200)], "id BIGINT, v ARRAY<DOUBLE>")
+    rows = D.cross_validate(df, "id", "v", 2, folds=4).collect()
+    assert len(rows) == 4 and sum(r["n_test"] for r in rows) == 200
+    assert all(r["n_train"] + r["n_test"] == 200 and r["mean_spe_test"] >= 0 for r in rows)

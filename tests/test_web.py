@@ -48,3 +48,11 @@ def test_items_headers_composition(spark):
     assert comp == [(60, "cotton"), (40, "linen")]
     val = spark.createDataFrame([("29,95 EUR",)], "p STRING").select(W.price_value(W.F.col("p")).alias("v")).first()
     assert abs(val["v"] - 29.95) < 1e-9
+
+
+def test_category_lists_and_folding(spark):
+    pages = _pages(spark)
+    lists = {r["category"]: (r["n_links"], r["links"]) for r in W.category_lists(W.categorise_links(pages)).collect()}
+    assert lists["hombre"] == (3, "/woman/new /man/shirts /hombre") and lists["ninos"] == (1, "/KIDS")
+    from tessera.functions import fold_lower_ascii
+    assert spark.createDataFrame([("NIÑOS",)], "c STRING").select(fold_lower_ascii(W.F.col("c"))).first()[0] == "ninos"
