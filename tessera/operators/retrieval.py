@@ -174,6 +174,7 @@ def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: s
         stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
         n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
         dfs = np.zeros(len(terms), dtype=np.float64)
+        # at most one row per query term (the vocabulary was size-checked above)
         for r in tf.select(F.explode("tids").alias("t")).groupBy("t").count().collect():
             dfs[r["t"]] = r["count"]
         idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
