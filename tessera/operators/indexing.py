@@ -21,9 +21,9 @@ from tessera.session import cut_lineage
 def dense_index(df: DataFrame, order_cols: Sequence[str], name: str = "id",
                 start: int = 0) -> DataFrame:
     """Append ``name`` = position of the row in ``order_cols`` order, from ``start``."""
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # No explicit partition count: adaptive execution may coalesce small ranges.
     ranged = (
-        df.repartitionByRange(n_parts, *order_cols)
+        df.repartitionByRange(*order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
