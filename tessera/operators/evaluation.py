@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import truncate_ellipsis
 from tessera.operators.indexing import dense_index
+from tessera.operators.parallelism import bounded_broadcast
 
 # Metric names, the rule-of-thumb bands and the cell text-colour rule.
 METRICS = ["faithfulness", "answer_relevancy", "nv_context_relevance"]
@@ -37,7 +38,7 @@ def label_retrieval_scores(neighbours: DataFrame, labels: DataFrame, qid_col: st
     pop = labels.groupBy(F.col(label_col).alias(qid_col)).agg(F.count(F.lit(1)).alias("_pop"))
     hit = (F.col("_lab") == F.col(qid_col))
     per_q = (
-        neighbours.join(lab, key_col)
+        lab.join(bounded_broadcast(neighbours.select(qid_col, key_col, "rank")), key_col)
         .groupBy(qid_col)
         .agg(F.sum(hit.cast("int")).cast("bigint").alias("hits"),
              F.min(F.when(hit, F.col("rank"))).alias("_first"))

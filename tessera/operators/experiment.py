@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.operators.parallelism import bounded_broadcast
+
 HASH_BUCKETS_HEX = 4  # leading hex digits of md5 used to bucket a permutation's order
 
 
@@ -87,7 +89,7 @@ def permutation_diffs(units: DataFrame, id_col: str, value_col: str, n_first: in
     bounds = edge.join(below, "perm", "left").select(
         "perm", "_tb", F.coalesce("_nb", F.lit(0)).alias("_nb"), F.coalesce("_sb", F.lit(0.0)).alias("_sb"))
     wr = Window.partitionBy("perm").orderBy("_h")
-    inside = p.join(bounds, "perm").where(F.col("_b") == F.col("_tb")) \
+    inside = p.join(bounded_broadcast(bounds), "perm").where(F.col("_b") == F.col("_tb")) \
         .withColumn("_r", F.row_number().over(wr)) \
         .where(F.col("_r") <= F.lit(n_first) - F.col("_nb")) \
         .groupBy("perm").agg(F.sum("_v").alias("_se"))
