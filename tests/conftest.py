@@ -25,7 +25,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
     yield s
     s.stop()
