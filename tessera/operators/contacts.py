@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.operators.parallelism import spread
+from tessera.operators.parallelism import bounded_broadcast, spread
 
 PHONE_PATTERN = r"\+\d+ \(\d{3}\) \d{3}-\d{4}"
 MAX_STARS_NONDECREASING = 12
@@ -149,7 +149,7 @@ def upsert_latest(rows: DataFrame, key_cols: list[str], order_cols: list[str]) -
 def resolve_error_codes(info: DataFrame, codes: DataFrame, code_col: str = "error_code") -> DataFrame:
     """FK lookup with ``ON DELETE SET NULL`` semantics: unknown codes become null."""
     known = codes.select(F.col("id").alias("_id"), F.col("description").alias("error_description"))
-    j = info.join(known, info[code_col] == known["_id"], "left")
+    j = info.join(bounded_broadcast(known), info[code_col] == known["_id"], "left")
     return j.withColumn(code_col, F.when(F.col("_id").isNotNull(), F.col(code_col))).drop("_id")
 
 

@@ -255,3 +255,20 @@ def path_steps(paths: DataFrame, path_col: str, closed: bool = True) -> DataFram
         pairs = F.slice(pairs, 1, F.size(path_col) - 1)
     return paths.select("*", F.posexplode(pairs).alias("step", "_p")) \
         .select(*[c for c in paths.columns], "step", F.col("_p.u").alias("u"), F.col("_p.v").alias("v"))
+
+
+def edge_coordinates(messages: DataFrame, graph_cols: Sequence[str], msg_col: str = "message") -> DataFrame:
+    """Edges of each parsed message with both end points' coordinates, looked up in a map
+    built from the same message's node list (in-row, no join):
+    ``(graph, u, v, ux, uy, vx, vy)``."""
+    g = list(graph_cols)
+    parsed = messages.select(*g, F.from_json(msg_col, GRAPH_MESSAGE_SCHEMA).alias("m"))
+    pos = F.map_from_entries(F.transform("m.nodes_dict", lambda n: F.struct(
+        n["node_id"], F.struct(n["x"].alias("x"), n["y"].alias("y")))))
+    return (
+        parsed.select(*g, pos.alias("_pos"), F.explode("m.edges_list").alias("e"))
+        .select(*g, F.element_at("e", 1).alias("u"), F.element_at("e", 2).alias("v"), "_pos")
+        .select(*g, "u", "v",
+                F.element_at("_pos", F.col("u"))["x"].alias("ux"), F.element_at("_pos", F.col("u"))["y"].alias("uy"),
+                F.element_at("_pos", F.col("v"))["x"].alias("vx"), F.element_at("_pos", F.col("v"))["y"].alias("vy"))
+    )

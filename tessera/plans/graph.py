@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources import read_table
 
 _G = ["user_id", "week"]
@@ -143,13 +144,9 @@ SELECT e.graph_id, e.u, e.v, a.x AS ux, a.y AS uy, b.x AS vx, b.y AS vy
 FROM gedges e JOIN gnodes a ON a.graph_id = e.graph_id AND a.node_id = e.u
               JOIN gnodes b ON b.graph_id = e.graph_id AND b.node_id = e.v""")
 def graph_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = _grid_nodes(spark, sf_dir)
+    nodes = cut_lineage(_grid_nodes(spark, sf_dir))
     msgs = G.graph_messages(nodes, G.sight_edges(nodes, ["graph_id"]), ["graph_id"])
-    pn, pe = G.parse_graph_messages(msgs, ["graph_id"])
-    a = pn.select("graph_id", F.col("node_id").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy"))
-    b = pn.select("graph_id", F.col("node_id").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"))
-    return pe.join(a, ["graph_id", "u"]).join(b, ["graph_id", "v"]).select(
-        "graph_id", "u", "v", "ux", "uy", "vx", "vy")
+    return G.edge_coordinates(msgs, ["graph_id"])
 
 
 @register("graph_cycle_samples", f"""

@@ -102,3 +102,13 @@ def test_transitions_cross_buckets(spark):
     assert pairs == [(1, "a", "b"), (1, "b", "c"), (1, "c", "c")]
     edges = sorted((r["u"], r["v"]) for r in G.transition_edges(ev, ["user"], "ts", "id", "t").collect())
     assert edges == [("a", "b"), ("b", "c")]
+
+
+def test_edge_coordinates_in_row(spark):
+    nodes = spark.createDataFrame([("grid", k, x, y) for k, (x, y) in NODES.items()],
+                                  "graph_id STRING, node_id BIGINT, x INT, y INT")
+    edges = spark.createDataFrame([("grid", u, v) for u, v in AXIS_EDGES], "graph_id STRING, u BIGINT, v BIGINT")
+    got = G.edge_coordinates(G.graph_messages(nodes, edges, ["graph_id"]), ["graph_id"]).collect()
+    assert len(got) == 19
+    for r in got:
+        assert (r["ux"], r["uy"]) == NODES[r["u"]] and (r["vx"], r["vy"]) == NODES[r["v"]]
