@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.parallelism import bounded_broadcast
+from tessera.session import cut_lineage
 
 HASH_BUCKETS_HEX = 4  # leading hex digits of md5 used to bucket a permutation's order
 
@@ -86,10 +86,11 @@ def permutation_diffs(units: DataFrame, id_col: str, value_col: str, n_first: in
         .groupBy("perm").agg(F.max_by("_cn", "_b").alias("_nb"), F.max_by("_cs", "_b").alias("_sb"))
     tot = units.agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("s")).first()
     n_all, s_all = int(tot["n"]), float(tot["s"] or 0.0)
-    bounds = edge.join(below, "perm", "left").select(
-        "perm", "_tb", F.coalesce("_nb", F.lit(0)).alias("_nb"), F.coalesce("_sb", F.lit(0.0)).alias("_sb"))
+    # One row per permutation (a parameter-sized table): written once, then broadcast.
+    bounds = cut_lineage(edge.join(below, "perm", "left").select(
+        "perm", "_tb", F.coalesce("_nb", F.lit(0)).alias("_nb"), F.coalesce("_sb", F.lit(0.0)).alias("_sb")))
     wr = Window.partitionBy("perm").orderBy("_h")
-    inside = p.join(bounded_broadcast(bounds), "perm").where(F.col("_b") == F.col("_tb")) \
+    inside = p.join(F.broadcast(bounds), "perm").where(F.col("_b") == F.col("_tb")) \
         .withColumn("_r", F.row_number().over(wr)) \
         .where(F.col("_r") <= F.lit(n_first) - F.col("_nb")) \
         .groupBy("perm").agg(F.sum("_v").alias("_se"))
