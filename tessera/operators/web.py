@@ -1,6 +1,6 @@
 """Extraction from stored web pages: links, link categories, item grids, headers, prices.
 
-Pages are independent rows, so every job here is a per-row expression pipeline
+Pages are independent rows, so every job here is a chain of per-row expressions
 (``regexp_extract_all`` + ``posexplode``) with no shuffle at all; element kinds are
 matched by regular expressions instead of a DOM parser.  Patterns use only syntax that
 both Java regex and RE2 read the same way (``(?s)``, ``(?i)``, classes, lazy ``*?``).
