@@ -53,7 +53,7 @@ def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("embedding_moments", """
 SELECT CAST(pos - 1 AS INTEGER) AS pos, count(v) AS n, avg(v) AS mean, stddev_samp(v) AS std
 FROM (SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings)
-GROUP BY pos""")
+GROUP BY pos""", rounded=('mean', 'std'))
 def embedding_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.column_moments(_emb(spark, sf_dir), "embedding")
 
@@ -63,7 +63,7 @@ WITH x AS (
   SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS p, unnest(embedding)::DOUBLE AS v
   FROM embeddings)
 SELECT a.p AS i, b.p AS j, covar_samp(a.v, b.v) AS cov
-FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.p <= b.p GROUP BY 1, 2""")
+FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.p <= b.p GROUP BY 1, 2""", rounded=('cov',))
 def embedding_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.covariance(_emb(spark, sf_dir), "embedding")
 
@@ -85,7 +85,7 @@ per AS (SELECT arm, count(*) AS n_units FROM arms GROUP BY arm),
 e AS (SELECT arm, n_units, sum(n_units) OVER () / 2.0::DOUBLE AS expected FROM per)
 SELECT arm, n_units, expected, (n_units - expected) * (n_units - expected) / expected AS chi2_part,
        sum((n_units - expected) * (n_units - expected) / expected) OVER () AS chi2
-FROM e""")
+FROM e""", rounded=('expected', 'chi2_part', 'chi2'))
 def ab_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.balance(_units(spark, sf_dir), "arm")
 
@@ -93,7 +93,7 @@ def ab_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ab_summary", f"""
 WITH {_ARMS_SQL},
 per AS (SELECT arm, count(*) AS n_units, avg(total_value) AS mean, var_samp(total_value) AS var FROM arms GROUP BY arm)
-SELECT arm, n_units, mean, var, mean / max(CASE WHEN arm = 'A' THEN mean END) OVER () - 1 AS lift FROM per""")
+SELECT arm, n_units, mean, var, mean / max(CASE WHEN arm = 'A' THEN mean END) OVER () - 1 AS lift FROM per""", rounded=('mean', 'var', 'lift'))
 def ab_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.arm_summary(_units(spark, sf_dir), "arm", "total_value")
 
@@ -104,7 +104,7 @@ def _n_control(units: DataFrame) -> int:
 
 @register("ab_permutation", f"""
 WITH {_ARMS_SQL}, {_PERM_SQL}
-SELECT perm, mean_first, mean_rest, mean_first - mean_rest AS diff FROM perms""")
+SELECT perm, mean_first, mean_rest, mean_first - mean_rest AS diff FROM perms""", rounded=('mean_first', 'mean_rest', 'diff'), decimals=6)
 def ab_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = cut_lineage(_units(spark, sf_dir).select("user_id", "arm", "total_value"))
     return X.permutation_diffs(units, "user_id", "total_value", _n_control(units), PERMUTATIONS)
@@ -115,7 +115,7 @@ WITH {_ARMS_SQL}, {_PERM_SQL},
 obs AS (SELECT avg(total_value) FILTER (WHERE arm = 'A') - avg(total_value) FILTER (WHERE arm = 'B') AS d FROM arms)
 SELECT obs.d AS observed_diff, count(*) AS permutations,
        avg(CASE WHEN abs(mean_first - mean_rest) >= abs(obs.d) THEN 1.0 ELSE 0.0 END)::DOUBLE AS p_value
-FROM perms CROSS JOIN obs GROUP BY obs.d""")
+FROM perms CROSS JOIN obs GROUP BY obs.d""", rounded=('observed_diff', 'p_value'), decimals=6)
 def ab_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = cut_lineage(_units(spark, sf_dir).select("user_id", "arm", "total_value"))
     obs = units.groupBy().agg(
@@ -137,7 +137,7 @@ flags AS (
 SELECT arm, count(*) AS n_units, avg(r1)::DOUBLE AS retention_d1, avg(r7)::DOUBLE AS retention_d7,
        avg(purchase_value) AS revenue_per_unit,
        avg(CASE WHEN purchase_value > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS paying_share
-FROM flags GROUP BY arm""")
+FROM flags GROUP BY arm""", rounded=('retention_d1', 'retention_d7', 'revenue_per_unit', 'paying_share'))
 def ab_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.retention(_units(spark, sf_dir), "arm")
 

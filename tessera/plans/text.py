@@ -219,7 +219,7 @@ def answer_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("eval_scores", f"""
 WITH {_CHUNKS_SQL}, {_STAGE1_SQL}, {_STAGE2_SQL}, {_EVAL_SQL}
-SELECT item_id, user_input, faithfulness, answer_relevancy, nv_context_relevance FROM ev""")
+SELECT item_id, user_input, faithfulness, answer_relevancy, nv_context_relevance FROM ev""", rounded=('faithfulness', 'answer_relevancy', 'nv_context_relevance'))
 def eval_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _eval(spark, sf_dir)
 
@@ -227,7 +227,7 @@ def eval_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("score_summary", f"""
 WITH {_CHUNKS_SQL}, {_STAGE1_SQL}, {_STAGE2_SQL}, {_EVAL_SQL}
 SELECT metric, count(score) AS n, avg(score) AS mean, min(score) AS min, max(score) AS max
-FROM lng GROUP BY metric""")
+FROM lng GROUP BY metric""", rounded=('mean', 'min', 'max'))
 def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return EV.score_summary(_eval(spark, sf_dir))
 
@@ -240,7 +240,7 @@ SELECT q, question, metric, score,
   CASE WHEN least(greatest(score, 0.0::DOUBLE), 1.0::DOUBLE) < {EV.WHITE_BELOW}::DOUBLE
          OR least(greatest(score, 0.0::DOUBLE), 1.0::DOUBLE) > {EV.WHITE_ABOVE}::DOUBLE
        THEN 'white' ELSE 'black' END AS text_colour
-FROM lng""")
+FROM lng""", rounded=('score',))
 def score_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = EV.label_questions(_eval(spark, sf_dir), "item_id", "user_input")
     return EV.score_grid(labelled)
@@ -253,7 +253,7 @@ SELECT 'lowest' AS kind, CAST(row_number() OVER (ORDER BY score ASC, q, metric)
 FROM nn QUALIFY pos <= 3
 UNION ALL
 SELECT 'highest', CAST(row_number() OVER (ORDER BY score DESC, q, metric) AS INTEGER) AS pos, q, metric, score
-FROM nn QUALIFY pos <= 3""")
+FROM nn QUALIFY pos <= 3""", rounded=('score',))
 def score_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = EV.label_questions(_eval(spark, sf_dir), "item_id", "user_input")
     return EV.score_extremes(labelled, 3)
@@ -261,7 +261,7 @@ def score_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("csv_round_trip", f"""
 WITH {_CHUNKS_SQL}, {_STAGE1_SQL}, {_STAGE2_SQL}, {_EVAL_SQL}
-SELECT user_input, faithfulness, answer_relevancy, nv_context_relevance FROM ev""")
+SELECT user_input, faithfulness, answer_relevancy, nv_context_relevance FROM ev""", rounded=('faithfulness', 'answer_relevancy', 'nv_context_relevance'))
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "csv_round_trip", uuid.uuid4().hex)
@@ -302,7 +302,7 @@ per AS (
   FROM nb JOIN embeddings e USING (vec_id) GROUP BY nb.label)
 SELECT per.label, hits, hits / {float(K)}::DOUBLE AS precision_at_k, CAST(hits AS DOUBLE) / pop AS recall_at_k,
        coalesce(1.0::DOUBLE / first_hit, 0.0::DOUBLE) AS mrr
-FROM per JOIN pop USING (label)""")
+FROM per JOIN pop USING (label)""", rounded=('precision_at_k', 'recall_at_k', 'mrr'))
 def retrieval_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     nb = _knn(spark, sf_dir).withColumn("label", F.col("label").cast("int"))
