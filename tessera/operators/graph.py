@@ -174,13 +174,15 @@ def components(edges: DataFrame, graph_cols: Sequence[str], max_iter: int = 10_0
     labels = _nodes(adj, g).select(*g, "node", F.col("node").alias("label"))
     for _ in range(max_iter):
         pushed = labels.join(adj.withColumnRenamed("u", "node"), [*g, "node"]) \
-            .select(*g, F.col("v").alias("node"), F.col("label"))
-        new = labels.unionByName(pushed).groupBy(*g, "node").agg(F.min("label").alias("label"))
-        new = cut_lineage(new)
-        changed = new.alias("n").join(labels.alias("o"), [*g, "node"]) \
-            .where(F.col("n.label") != F.col("o.label")).limit(1).count()
-        labels = new
-        if changed == 0:
+            .select(*g, F.col("v").alias("node"), F.col("label"), F.lit(False).alias("_own"))
+        # The node's previous label travels with the candidates, so "did it change" is
+        # decided in the same aggregation and read back from the written table.
+        new = labels.select(*g, "node", "label", F.lit(True).alias("_own")).unionByName(pushed) \
+            .groupBy(*g, "node").agg(F.min("label").alias("label"),
+                                     F.min(F.when(F.col("_own"), F.col("label"))).alias("_old"))
+        new = cut_lineage(new.withColumn("_changed", F.col("label") < F.col("_old")).drop("_old"))
+        labels = new.drop("_changed")
+        if new.where(F.col("_changed")).isEmpty():
             break
     return labels
 

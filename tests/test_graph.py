@@ -112,3 +112,14 @@ def test_edge_coordinates_in_row(spark):
     assert len(got) == 19
     for r in got:
         assert (r["ux"], r["uy"]) == NODES[r["u"]] and (r["vx"], r["vy"]) == NODES[r["v"]]
+
+
+def test_components_and_euler_on_split_graphs(spark):
+    graphs = {"two": [(1, 2), (2, 3), (3, 1), (7, 8)], "path": [(1, 2), (2, 3), (3, 4), (4, 5)],
+              "ring": [(1, 2), (2, 3), (3, 4), (4, 1)]}
+    lab = {(r["g"], r["node"]): r["label"] for r in G.components(_edges(spark, graphs), ["g"]).collect()}
+    assert lab[("two", 3)] == 1 and lab[("two", 8)] == 7 and lab[("path", 5)] == 1
+    eu = {r["g"]: r for r in G.degree_euler(_edges(spark, graphs), ["g"]).collect()}
+    assert not eu["two"]["connected"] and not eu["two"]["euler_path"]
+    assert eu["path"]["euler_path"] and not eu["path"]["euler_cycle"]
+    assert eu["ring"]["euler_cycle"] and eu["ring"]["n_odd"] == 0
