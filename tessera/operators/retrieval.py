@@ -5,8 +5,9 @@ broadcast variable; each task scores its slice of the corpus against all queries
 Arrow batches (``mapInPandas`` + numpy) and keeps only a partial top-k per query under
 the total order ``(score desc, keys asc)``.  The partials (at most ``k`` rows per query
 and task) are merged by ``row_number() <= k`` per query.  The corpus is read once and
-never shuffled; the only shuffle carries ``queries x k x tasks`` rows.  Query sets larger
-than ``max_queries_per_pass`` are split into passes over the corpus.
+never shuffled; the only shuffle carries ``queries x k x tasks`` rows.  The query set is
+collected once behind a row bound; sets larger than ``MAX_QUERIES_PER_PASS`` are scored
+in several passes over the corpus.
 
 Scorers: BM25 over word tokens (text corpus) and cosine similarity (vector corpus).
 Second stage: Jaccard overlap of token sets on the ``k`` candidates only, keep ``n``.
@@ -36,8 +37,9 @@ CONTEXT_SEPARATOR = "\n\n"
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DECIMALS = 9
-MAX_QUERIES_PER_PASS = 4096
+MAX_QUERIES_PER_PASS = 2048
 MAX_QUERY_TERMS = 2_000_000
+MAX_QUERY_VECTORS = 100_000
 SUB_BATCH = 2048
 
 
@@ -46,20 +48,16 @@ def tokens(c: Column) -> Column:
 
 
 def _collect_bounded(df: DataFrame, limit: int, what: str) -> list:
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{what}: {n} rows exceed the broadcast bound {limit}")
-    return df.collect()
+    """Collect a frame that must stay small; one job, fails loudly above ``limit`` rows."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{what}: more than {limit} rows; split the query set")
+    return rows
 
 
-def _query_blocks(queries: DataFrame, qid: str) -> list[DataFrame]:
-    """Split the query set into passes over the corpus, each expected to hold at most half
-    of MAX_QUERIES_PER_PASS queries (hash split; every query lands in exactly one pass)."""
-    n = queries.count()
-    passes = max(1, -(-2 * n // MAX_QUERIES_PER_PASS))
-    if passes == 1:
-        return [queries]
-    return [queries.where(F.pmod(F.xxhash64(qid), F.lit(passes)) == i) for i in range(passes)]
+def _blocks(ids: list, size: int) -> list[list]:
+    """Consecutive blocks of at most ``size`` query ids: one corpus pass per block."""
+    return [ids[i:i + size] for i in range(0, len(ids), size)] or [[]]
 
 
 def _merge_topk(frames: list[pd.DataFrame], keys: list[str], k: int) -> pd.DataFrame:
@@ -161,27 +159,29 @@ def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: s
     """
     keys = list(keys)
     key_types = [corpus.schema[c].dataType for c in keys]
+    qterms = queries.select(F.col(qid_col).cast("bigint").alias("qid"),
+                            F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term"))
+    qt_rows = _collect_bounded(qterms, MAX_QUERY_TERMS, "query terms")
+    if not qt_rows:
+        raise ValueError("no query has any token")
+    terms = sorted({r["term"] for r in qt_rows})
+    term_index = {t: i for i, t in enumerate(terms)}
+    tf = cut_lineage(_term_frequencies(corpus, keys, key_types, text_col, terms))
+    stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
+    dfs = np.zeros(len(terms), dtype=np.float64)
+    # at most one row per query term (the vocabulary was size-checked above)
+    for r in tf.select(F.explode("tids").alias("t")).groupBy("t").count().collect():
+        dfs[r["t"]] = r["count"]
+    idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
+    by_query: dict[int, list[int]] = {}
+    for r in qt_rows:
+        by_query.setdefault(r["qid"], []).append(term_index[r["term"]])
     results = []
-    for block in _query_blocks(queries, qid_col):
-        qterms = block.select(F.col(qid_col).cast("bigint").alias("qid"),
-                              F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term"))
-        qt_rows = _collect_bounded(qterms, MAX_QUERY_TERMS, "query terms")
-        if not qt_rows:
-            continue
-        terms = sorted({r["term"] for r in qt_rows})
-        term_index = {t: i for i, t in enumerate(terms)}
-        tf = cut_lineage(_term_frequencies(corpus, keys, key_types, text_col, terms))
-        stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-        n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-        dfs = np.zeros(len(terms), dtype=np.float64)
-        # at most one row per query term (the vocabulary was size-checked above)
-        for r in tf.select(F.explode("tids").alias("t")).groupBy("t").count().collect():
-            dfs[r["t"]] = r["count"]
-        idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
-        qids = np.array(sorted({r["qid"] for r in qt_rows}), dtype=np.int64)
-        qpos = {q: i for i, q in enumerate(qids)}
-        # CSR: term -> queries containing it.
-        pairs = sorted((term_index[r["term"]], qpos[r["qid"]]) for r in qt_rows)
+    for block in _blocks(sorted(by_query), MAX_QUERIES_PER_PASS):
+        qids = np.array(block, dtype=np.int64)
+        # CSR: term -> queries (of this block) containing it.
+        pairs = sorted((t, i) for i, q in enumerate(block) for t in by_query[q])
         t_arr = np.array([p[0] for p in pairs], dtype=np.int64)
         q_arr = np.array([p[1] for p in pairs], dtype=np.int64)
         indptr = np.searchsorted(t_arr, np.arange(len(terms) + 1))
@@ -208,8 +208,6 @@ def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: s
             return S
 
         results.append(_topk_scan(tf, keys, key_types, scorer, qids, k, min_score=0.0))
-    if not results:
-        raise ValueError("no query has any token")
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
@@ -224,16 +222,16 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qvec_col:
     """Exact top-``k`` by cosine similarity: ``(qid, *keys, score, rank)``."""
     keys = list(keys)
     key_types = [corpus.schema[c].dataType for c in keys]
+    rows = _collect_bounded(queries.select(F.col(qid_col).cast("bigint").alias("q"),
+                                           F.col(qvec_col).cast("array<double>").alias("v")),
+                            MAX_QUERY_VECTORS, "query vectors")
+    if not rows:
+        raise ValueError("no query vectors")
+    rows.sort(key=lambda r: r["q"])
     results = []
-    for block in _query_blocks(queries, qid_col):
-        rows = _collect_bounded(block.select(F.col(qid_col).cast("bigint").alias("q"),
-                                             F.col(qvec_col).cast("array<double>").alias("v")),
-                                MAX_QUERIES_PER_PASS, "query vectors")
-        if not rows:
-            continue
-        rows.sort(key=lambda r: r["q"])
-        qids = np.array([r["q"] for r in rows], dtype=np.int64)
-        Q = np.array([r["v"] for r in rows], dtype=np.float64)
+    for block in _blocks(rows, MAX_QUERIES_PER_PASS):
+        qids = np.array([r["q"] for r in block], dtype=np.int64)
+        Q = np.array([r["v"] for r in block], dtype=np.float64)
         qn = np.linalg.norm(Q, axis=1)
         Qn = Q / np.where(qn == 0, np.nan, qn)[:, None]
         bc = corpus.sparkSession.sparkContext.broadcast(Qn)

@@ -119,3 +119,18 @@ def test_rerank_and_context(spark):
                              "chunk").first()
     assert ctx["context"] == "red cat"
     assert ctx["prompt"].endswith("Question: red cat sun\n<think>\n")
+
+
+def test_multi_pass_query_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    vocab = ["red", "blue", "green", "cat", "dog", "fish"]
+    docs = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 8))) for _ in range(40)]
+    queries = [" ".join(rng.sample(vocab, 2)) for _ in range(5)]
+    corpus = spark.createDataFrame([(i, 0, d) for i, d in enumerate(docs)], "doc_id BIGINT, chunk_pos INT, chunk STRING")
+    q = spark.createDataFrame(list(enumerate(queries)), "qid BIGINT, text STRING")
+    one = {(r["qid"], r["rank"]): r["doc_id"] for r in
+           R.bm25_top_k(q, corpus, "qid", "text", ["doc_id", "chunk_pos"], "chunk", k=4).collect()}
+    monkeypatch.setattr(R, "MAX_QUERIES_PER_PASS", 2)
+    many = {(r["qid"], r["rank"]): r["doc_id"] for r in
+            R.bm25_top_k(q, corpus, "qid", "text", ["doc_id", "chunk_pos"], "chunk", k=4).collect()}
+    assert one == many and len(one) == 20
