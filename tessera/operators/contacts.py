@@ -72,14 +72,15 @@ def expand_masks(masks: DataFrame, mask_col: str = "mask", mode: str = "nondecre
         raise ValueError("mode must be 'nondecreasing' or 'all'")
     cap = MAX_STARS_NONDECREASING if mode == "nondecreasing" else MAX_STARS_ALL
     m = masks.select(F.col(mask_col).alias("mask")).withColumn("_k", star_count(F.col("mask")))
-    bad = m.where(F.col("_k") > cap).limit(1).count()
-    if bad:
-        raise ValueError(f"masks with more than {cap} stars are not expanded in mode {mode!r}")
+    # Checked inside the same job: a mask above the cap fails the query instead of
+    # being expanded partially.
+    too_many = F.raise_error(F.lit(f"mask has more than {cap} stars (mode {mode})"))
     fill = F.expr("""aggregate(_digits, mask,
         (s, d) -> concat(substring_index(s, '*', 1), cast(d as string), substr(s, instr(s, '*') + 1)))""")
     return (
         m.withColumn("_digits", F.explode(
-            F.when(F.col("_k") == 0, F.array(F.array().cast("array<int>")))
+            F.when(F.col("_k") > cap, too_many)
+            .when(F.col("_k") == 0, F.array(F.array().cast("array<int>")))
             .otherwise(_fillings("_k", mode == "nondecreasing"))))
         .select("mask", fill.alias("candidate"))
     )

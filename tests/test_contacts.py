@@ -39,3 +39,10 @@ def test_records_upsert_and_fk(spark):
     codes = spark.createDataFrame(T.ERROR_CODES, "id INT, description STRING")
     out = T.resolve_error_codes(latest, codes).collect()
     assert len(out) == 1 and out[0]["doc_id"] == 2 and out[0]["error_code"] is None
+
+
+def test_mask_cap_fails_loudly(spark):
+    import pytest
+    masks = spark.createDataFrame([("*******",)], "mask STRING")
+    with pytest.raises(Exception):
+        T.expand_masks(masks, mode="all").collect()
