@@ -108,6 +108,7 @@ def cross_validate(df: DataFrame, id_col: str, vec_col: str, k: int, folds: int
     Output ``(fold, n_train, n_test, explained, mean_spe_test)``."""
     spark = df.sparkSession
     tagged = df.withColumn("_fold", F.pmod(F.xxhash64(F.col(id_col)), F.lit(folds)).cast("int"))
+    n_all = tagged.count()
     rows = []
     for f in range(folds):
         train = tagged.where(F.col("_fold") != f)
@@ -118,6 +119,6 @@ def cross_validate(df: DataFrame, id_col: str, vec_col: str, k: int, folds: int
             vector_to_array("_z").alias("z"), vector_to_array("_t").alias("t"))
         sq = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
         r = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(sq(F.col("z")) - sq(F.col("t"))).alias("spe")).first()
-        rows.append((f, int(train.count()), int(r["n"]), float(sum(pca.explainedVariance.toArray())),
+        rows.append((f, n_all - int(r["n"]), int(r["n"]), float(sum(pca.explainedVariance.toArray())),
                      None if r["spe"] is None else float(r["spe"])))
     return spark.createDataFrame(rows, "fold INT, n_train BIGINT, n_test BIGINT, explained DOUBLE, mean_spe_test DOUBLE")
