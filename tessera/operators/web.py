@@ -178,3 +178,44 @@ def category_lists(categorised: DataFrame, id_col: str = "page_id") -> DataFrame
              F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("first_pos", "href"))),
                                       lambda s: s["href"]), " ").alias("links"))
     )
+
+
+NAV_BLOCK = r"(?s)<nav[^>]*>(.*?)</nav>"
+ANCHOR_BODY = r"(?s)<a[^>]*>(.*?)</a>"
+
+
+def _synonym_map(categories: Sequence[tuple[str, Sequence[str]]]) -> str:
+    pairs = ", ".join(f"'{name}', array({', '.join(repr(t) for t in syn)})" for name, syn in categories)
+    return f"map({pairs})"
+
+
+def categorise_by_page_menu(pages: DataFrame, categories: Sequence[tuple[str, Sequence[str]]] = CATEGORIES,
+                            id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Categories named by the page itself, as in the original: the anchor texts of the
+    page's navigation block (lower-cased, ``ñ`` folded to ``n``, first occurrence kept)
+    are the category names, each with its synonyms from the fixed map plus the name.
+    Every distinct link of the page goes to the first category (menu order) with a term
+    contained in it, case-insensitively; the matched term is reported.
+
+    Names and links of one page are compared inside the page row (array functions), so
+    no category x link rows are produced.  Terms are matched as literal text.
+    Output ``(page_id, href, first_pos, category, term)`` for categorised links.
+    """
+    syn = _synonym_map(categories)
+    names = F.expr(f"""filter(transform(
+        regexp_extract_all(regexp_extract({html_col}, '{NAV_BLOCK}', 1), '{ANCHOR_BODY}', 1),
+        x -> translate(lower(regexp_replace(regexp_replace(x, '<[^>]*>', ''), '^\\\\s+|\\\\s+$', '')), 'ñ', 'n')),
+        x -> x != '')""")
+    cats = F.expr(f"""transform(filter(_names, (x, i) -> array_position(_names, x) = i + 1),
+        (n, i) -> named_struct('cat_pos', i, 'category', n,
+                               'terms', concat(coalesce(try_element_at({syn}, n), cast(array() as array<string>)), array(n))))""")
+    hit = F.expr("try_element_at(filter(_cats, c -> exists(c.terms, t -> instr(lower(href), t) > 0)), 1)")
+    term = F.expr("try_element_at(filter(_hit.terms, t -> instr(lower(href), t) > 0), 1)")
+    with_cats = pages.select(id_col, html_col, names.alias("_names")).select(id_col, html_col, cats.alias("_cats"))
+    links = distinct_links(with_cats.select(id_col, html_col), id_col, html_col)
+    return (
+        links.join(with_cats.select(id_col, "_cats"), id_col)
+        .select(id_col, "href", "first_pos", hit.alias("_hit"))
+        .where(F.col("_hit").isNotNull())
+        .select(id_col, "href", "first_pos", F.col("_hit.category").alias("category"), term.alias("term"))
+    )

@@ -124,3 +124,35 @@ SELECT page_id, category, count(*) AS n_links, string_agg(href, ' ' ORDER BY fir
 FROM c WHERE category IS NOT NULL GROUP BY page_id, category""")
 def page_category_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.category_lists(W.categorise_links(_pages(spark, sf_dir)))
+
+
+def _syn_case(x: str) -> str:
+    whens = " ".join(f"WHEN '{name}' THEN [{', '.join(repr(t) for t in syn)}]" for name, syn in W.CATEGORIES)
+    return f"CASE {x} {whens} ELSE []::VARCHAR[] END"
+
+
+@register("page_links_by_page_menu", f"""
+WITH pg AS (
+  SELECT page_id, list_filter(list_transform(
+      regexp_extract_all(regexp_extract(html, '{W.NAV_BLOCK}', 1), '{W.ANCHOR_BODY}', 1),
+      lambda x: replace(lower({_trim(_strip('x'))}), 'ñ', 'n')),
+    lambda x: x <> '') AS names
+  FROM pages),
+cat AS (
+  SELECT page_id, list_transform(list_filter(names, lambda x, i: list_position(names, x) = i),
+      lambda n, i: {{'cat_pos': i - 1, 'category': n, 'terms': list_concat({_syn_case('n')}, [n])}}) AS cats
+  FROM pg),
+a AS (
+  SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) - 1 AS pos
+  FROM (SELECT page_id, list_filter(regexp_extract_all(html, '{W.ANCHOR_HREF}', 1), lambda x: x <> '') AS l
+        FROM pages)),
+d AS (SELECT page_id, href, CAST(min(pos) AS INTEGER) AS first_pos FROM a GROUP BY 1, 2),
+m AS (
+  SELECT d.page_id, d.href, d.first_pos,
+         list_filter(cat.cats, lambda c: len(list_filter(c.terms, lambda t: instr(lower(d.href), t) > 0)) > 0)[1] AS hit
+  FROM d JOIN cat USING (page_id))
+SELECT page_id, href, first_pos, hit.category AS category,
+       list_filter(hit.terms, lambda t: instr(lower(href), t) > 0)[1] AS term
+FROM m WHERE hit IS NOT NULL""")
+def page_links_by_page_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.categorise_by_page_menu(_pages(spark, sf_dir))

@@ -56,3 +56,16 @@ def test_category_lists_and_folding(spark):
     assert lists["hombre"] == (3, "/woman/new /man/shirts /hombre") and lists["ninos"] == (1, "/KIDS")
     from tessera.functions import fold_lower_ascii
     assert spark.createDataFrame([("NIÑOS",)], "c STRING").select(fold_lower_ascii(W.F.col("c"))).first()[0] == "ninos"
+
+
+def test_categories_named_by_the_page_menu(spark):
+    page = ('<html><nav><ul><li><a href="/c/mujer">Mujer</a></li><li><a href="/c/hombre"> Hombre </a></li>'
+            '<li><a href="/c/ninos">NIÑOS</a></li><li><a href="/c/mujer">Mujer</a></li></ul></nav>'
+            '<div><a href="/woman/dress">x</a><a href="/man/shirt">y</a><a href="/kids/toy">z</a>'
+            '<a href="/sale">s</a></div></html>')
+    pages = spark.createDataFrame([(1, page)], "page_id BIGINT, html STRING")
+    got = {r["href"]: (r["category"], r["term"]) for r in W.categorise_by_page_menu(pages).collect()}
+    assert got == {
+        "/c/mujer": ("mujer", "mujer"), "/c/hombre": ("hombre", "hombre"), "/c/ninos": ("ninos", "ninos"),
+        "/woman/dress": ("mujer", "woman"), "/man/shirt": ("hombre", "man"), "/kids/toy": ("ninos", "kids"),
+    }
