@@ -211,11 +211,16 @@ def categorise_by_page_menu(pages: DataFrame, categories: Sequence[tuple[str, Se
                                'terms', concat(coalesce(try_element_at({syn}, n), cast(array() as array<string>)), array(n))))""")
     hit = F.expr("try_element_at(filter(_cats, c -> exists(c.terms, t -> instr(lower(href), t) > 0)), 1)")
     term = F.expr("try_element_at(filter(_hit.terms, t -> instr(lower(href), t) > 0), 1)")
-    with_cats = pages.select(id_col, html_col, names.alias("_names")).select(id_col, html_col, cats.alias("_cats"))
-    links = distinct_links(with_cats.select(id_col, html_col), id_col, html_col)
+    links = F.filter(F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_HREF), 1), lambda x: x != "")
+    rows = (
+        pages.select(id_col, html_col, names.alias("_names"))
+        .select(id_col, cats.alias("_cats"), links.alias("_links"))
+        .select(id_col, "_cats", "_links", F.explode(F.array_distinct("_links")).alias("href"))
+        .select(id_col, "_cats", "href",
+                (F.array_position("_links", F.col("href")) - 1).cast("int").alias("first_pos"))
+    )
     return (
-        links.join(with_cats.select(id_col, "_cats"), id_col)
-        .select(id_col, "href", "first_pos", hit.alias("_hit"))
+        rows.select(id_col, "href", "first_pos", hit.alias("_hit"))
         .where(F.col("_hit").isNotNull())
         .select(id_col, "href", "first_pos", F.col("_hit.category").alias("category"), term.alias("term"))
     )
