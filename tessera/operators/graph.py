@@ -98,12 +98,22 @@ def _extend(frontier: DataFrame, adj: DataFrame, g: list[str]) -> DataFrame:
     return frontier.join(adj.withColumnRenamed("u", "last"), [*g, "last"])
 
 
+def _guard(frontier: DataFrame, max_frontier_rows: int | None) -> None:
+    """Fail loudly (never truncate) when a frontier outgrows an explicit bound."""
+    if max_frontier_rows is not None and frontier.limit(max_frontier_rows + 1).count() > max_frontier_rows:
+        raise RuntimeError(f"path frontier exceeds {max_frontier_rows} rows; raise the bound or "
+                           "split the graphs")
+
+
 def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | None = None,
-                  hamiltonian: bool = False) -> DataFrame:
+                  hamiltonian: bool = False, max_frontier_rows: int | None = None) -> DataFrame:
     """Every simple cycle (length >= 3) once: ``(graph, length, cycle)``.
 
     ``hamiltonian=True`` keeps cycles through all nodes of their graph, and then only
     extends paths from the graph's smallest node (a Hamiltonian cycle contains it).
+    ``max_len`` limits the cycle length (a parameter of the enumeration, not a cap on
+    results); ``max_frontier_rows`` makes an exponential blow-up fail instead of filling
+    the cluster.
     """
     g = list(graph_cols)
     adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
@@ -124,6 +134,7 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
         frontier = nxt.where((F.col("v") > F.col("start")) & ~F.array_contains("path", F.col("v"))) \
             .select(*g, "start", F.col("v").alias("last"), F.array_append("path", F.col("v")).alias("path"))
         frontier = cut_lineage(frontier)
+        _guard(frontier, max_frontier_rows)
         if frontier.isEmpty():
             break
     if not found:
@@ -137,7 +148,8 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
     return out
 
 
-def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
+def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str],
+                      max_frontier_rows: int | None = None) -> DataFrame:
     """Every path through all nodes of its graph once (reversal counted once):
     ``(graph, path)`` with ``path[0] < path[-1]``; graphs of one node have none."""
     g = list(graph_cols)
@@ -152,6 +164,7 @@ def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
         frontier = nxt.where(~F.array_contains("path", F.col("v"))) \
             .select(*g, "n_nodes", F.col("v").alias("last"), F.array_append("path", F.col("v")).alias("path"))
         frontier = cut_lineage(frontier)
+        _guard(frontier, max_frontier_rows)
         done.append(frontier.where((F.size("path") == F.col("n_nodes"))
                                    & (F.element_at("path", 1) < F.element_at("path", -1)))
                     .select(*g, "path"))

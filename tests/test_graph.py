@@ -123,3 +123,11 @@ def test_components_and_euler_on_split_graphs(spark):
     assert not eu["two"]["connected"] and not eu["two"]["euler_path"]
     assert eu["path"]["euler_path"] and not eu["path"]["euler_cycle"]
     assert eu["ring"]["euler_cycle"] and eu["ring"]["n_odd"] == 0
+
+
+def test_frontier_guard_fails_loudly(spark):
+    import pytest
+    both = _edges(spark, {"both": AXIS_EDGES + DIAGONAL_EDGES})
+    with pytest.raises(RuntimeError):
+        G.simple_cycles(both, ["g"], max_frontier_rows=100)
+    assert G.simple_cycles(_edges(spark, {"axis": AXIS_EDGES}), ["g"], max_frontier_rows=10_000).count() == 40
