@@ -21,12 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _ACC = "array<struct<c:bigint,o:int>>"
-_ACC_B = "array<struct<c:bigint,o:int,b:array<int>>>"
 
 
 def offers_from_lines(lines: DataFrame, group_col: str, amount_col: str, price_col: str,
@@ -44,24 +43,28 @@ def offers_from_lines(lines: DataFrame, group_col: str, amount_col: str, price_c
     )
 
 
-def _fold(max_target: int, with_bundle: bool) -> Column:
-    if with_bundle:
-        step = ("x -> named_struct('c', acc[n - x.amount].c + x.price_cents, "
-                "'o', acc[n - x.amount].o + 1, "
-                "'b', array_sort(concat(acc[n - x.amount].b, array(x.amount))))")
-        init = f"cast(array(named_struct('c', 0L, 'o', 0, 'b', array())) as {_ACC_B})"
-        acc_t = _ACC_B
-    else:
-        step = ("x -> named_struct('c', acc[n - x.amount].c + x.price_cents, "
-                "'o', acc[n - x.amount].o + 1)")
-        init = f"cast(array(named_struct('c', 0L, 'o', 0)) as {_ACC})"
-        acc_t = _ACC
-    return F.expr(
-        f"""aggregate(sequence(1, {int(max_target)}), {init},
+def _fold_sql(max_target: int) -> str:
+    """Unbounded knapsack over targets 1..max_target as one ``aggregate`` fold."""
+    return f"""aggregate(sequence(1, {int(max_target)}), cast(array(named_struct('c', 0L, 'o', 0)) as {_ACC}),
               (acc, n) -> cast(concat(acc, array(array_min(filter(
-                  transform(filter(offers, x -> x.amount <= n), {step}),
-                  y -> y.c is not null)))) as {acc_t}))"""
-    )
+                  transform(filter(offers, x -> x.amount <= n),
+                            x -> named_struct('c', acc[n - x.amount].c + x.price_cents,
+                                              'o', acc[n - x.amount].o + 1)),
+                  y -> y.c is not null)))) as {_ACC}))"""
+
+
+# The lexicographically smallest sorted optimal bundle for n starts with the smallest
+# amount a that keeps the rest optimal (best(n-a) + (price(a), 1) = best(n)), and its rest
+# is the smallest optimal bundle for n-a.  So it is rebuilt from the (cents, orders)
+# table by a greedy walk of ``orders`` steps instead of carrying lists through the fold.
+_WALK = """transform(bst, (t, n) -> case when t.c is null then cast(null as struct<c:bigint,o:int,b:array<int>>)
+    else named_struct('c', t.c, 'o', t.o, 'b', aggregate(sequence(1, t.o + 1), named_struct('rem', n, 'b', cast(array() as array<int>)),
+        (s, i) -> case when s.rem = 0 then s else transform(array(array_min(transform(
+            filter(offers, x -> x.amount <= s.rem
+                                and bst[s.rem - x.amount].c + x.price_cents = bst[s.rem].c
+                                and bst[s.rem - x.amount].o + 1 = bst[s.rem].o),
+            x -> x.amount))), a -> named_struct('rem', s.rem - a, 'b', concat(s.b, array(a))))[0] end,
+        s -> s.b)) end)"""
 
 
 def solve_menus(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int,
@@ -76,7 +79,12 @@ def solve_menus(offers: DataFrame, group_cols: Sequence[str] | str, max_target:
         .groupBy(*keys)
         .agg(F.collect_list(F.struct("amount", "price_cents")).alias("offers"))
     )
-    return menus.select(*keys, "offers", _fold(max_target, with_bundle).alias("best"))
+    fold = F.expr(_fold_sql(max_target))
+    if with_bundle:
+        # one expression: the solved table is bound to ``bst`` once and the walk reads it,
+        # so the optimizer cannot inline the fold into every lookup of the walk
+        fold = F.expr(f"transform(array({_fold_sql(max_target)}), bst -> {_WALK})[0]")
+    return menus.select(*keys, "offers", fold.alias("best"))
 
 
 def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int,
@@ -89,8 +97,10 @@ def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target:
     smallest sorted list wins, which the recurrence preserves exactly.
     """
     keys = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    # ``best`` always holds index 0, so the outer form returns the same rows; it avoids the
+    # inferred ``size(best) > 0`` filter, which would evaluate the fold a second time.
     solved = solve_menus(offers, keys, max_target, with_bundle).select(
-        *keys, F.posexplode("best").alias("n", "best"))
+        *keys, F.posexplode_outer("best").alias("n", "best"))
     cols = [
         *keys,
         F.col("n"),
