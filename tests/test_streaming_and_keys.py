@@ -10,13 +10,20 @@ from tessera.streaming import run_incremental
 def test_incremental_page_links(spark, tmp_path):
     pages = read_table(spark, SF_SMALL, "pages").select("page_id", "html")
     src = str(tmp_path / "src")
-    pages.where("page_id < 25").write.parquet(src + "/part1")
     sink = str(tmp_path / "sink")
     schema = pages.schema
-    run_incremental(spark, src + "/part1", schema, W.page_links, sink, str(tmp_path / "ck"))
-    got = spark.read.parquet(sink)
+    pages.where("page_id < 25").write.parquet(src + "/a")
+    ck = str(tmp_path / "ck")
+    run_incremental(spark, src + "/a", schema, W.page_links, sink, ck)
     exp = W.page_links(pages.where("page_id < 25"))
+    got = spark.read.parquet(sink)
     assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
+    # new files arrive: a rerun with the same checkpoint processes only those
+    pages.where("page_id >= 25").write.mode("append").parquet(src + "/a")
+    run_incremental(spark, src + "/a", schema, W.page_links, sink, ck)
+    exp_all = W.page_links(pages)
+    got_all = spark.read.parquet(sink)
+    assert got_all.count() == exp_all.count() and got_all.exceptAll(exp_all).count() == 0
 
 
 def test_keys_round_trip(spark):
