@@ -4,7 +4,7 @@
   on a grid (rows, columns and 45-degree diagonals) with ``lead`` windows.
 * Cycle and path enumeration: a frontier of partial paths extended one hop per
   iteration by an equi-join with the adjacency on ``(graph, last node)``; every hop is
-  cut from the lineage with a reliable checkpoint, so a lost executor recomputes one hop,
+  written as a table in the checkpoint folder, so a lost executor recomputes one hop,
   not the whole chain.  Canonical forms avoid duplicates without any post-hoc distinct:
   a cycle starts at its smallest node and runs towards the smaller neighbour; a path
   starts at the smaller end.

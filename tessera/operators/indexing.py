@@ -2,7 +2,7 @@
 
 ``row_number() over (order by k)`` with no partition moves every row into one task.
 Instead the frame is range-partitioned on the order key (balanced by sampling),
-sorted within partitions and checkpointed once so the assignment is stable under
+sorted within partitions and written once as a table so the assignment is stable under
 recomputation; a per-partition count (one row per partition, so its size is bounded by
 the partition count) gives each partition its offset.
 """

@@ -154,7 +154,7 @@ def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: s
 
     Only rows sharing at least one token with the query are candidates.  The corpus is
     tokenised once into a compact table of query-vocabulary term counts (written as a
-    reliable checkpoint); corpus statistics (row count, mean length, document
+    table in the checkpoint folder); corpus statistics (row count, mean length, document
     frequencies) and the scoring scan both read that table instead of the text.
     """
     keys = list(keys)
