@@ -2,6 +2,8 @@
 
 * ``label_retrieval_scores``: precision@k, recall@k and reciprocal rank of the first
   hit for queries whose relevant set is "rows with the same label".
+* ``support_scores``: per question, model-free scores of the kept passages: share of the
+  question's tokens found in the context, overlap of the best passage, mean overlap.
 * ``score_summary`` / ``score_grid`` / ``score_extremes``: per-metric mean/min/max, the
   question x metric grid with bands and cell text colour, and the lowest/highest pairs.
 """
@@ -105,3 +107,24 @@ def score_extremes(labelled: DataFrame, n: int = 3, metrics: Sequence[str] = MET
     high = lng.withColumn("pos", F.row_number().over(hi)).where(F.col("pos") <= n) \
         .withColumn("kind", F.lit("highest"))
     return low.unionByName(high).select("kind", "pos", "q", "metric", "score")
+
+
+def support_scores(kept: DataFrame, context: DataFrame, queries: DataFrame, qid_col: str,
+                   qtext_col: str) -> DataFrame:
+    """Evaluation rows without a judge model, one per question:
+    ``(qid, user_input, faithfulness, answer_relevancy, nv_context_relevance)`` where
+    faithfulness is the share of the question's distinct tokens present in the assembled
+    context, answer relevancy the overlap score of the first kept passage and context
+    relevance the mean overlap of the kept passages (at most ``n`` rows per question)."""
+    from tessera.operators.retrieval import tokens
+
+    q = queries.select(qid_col, F.col(qtext_col).alias("user_input"),
+                       F.array_distinct(tokens(F.col(qtext_col))).alias("_qt"))
+    top1 = kept.where(F.col("rank") == 1).select(qid_col, F.col("score").alias("answer_relevancy"))
+    mean = kept.groupBy(qid_col).agg(F.avg("score").alias("nv_context_relevance"))
+    ctx_t = F.array_distinct(tokens(F.col("context")))
+    faith = (F.size(F.array_intersect(F.col("_qt"), ctx_t)) / F.size(F.col("_qt"))).cast("double")
+    return (
+        context.join(q, qid_col).join(top1, qid_col).join(mean, qid_col)
+        .select(qid_col, "user_input", faith.alias("faithfulness"), "answer_relevancy", "nv_context_relevance")
+    )

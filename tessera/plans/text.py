@@ -147,18 +147,7 @@ def _context(spark: SparkSession, sf_dir: str, kept: DataFrame) -> DataFrame:
 
 def _eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = _kept(spark, sf_dir)
-    ctx = _context(spark, sf_dir, kept)
-    q = _queries(spark, sf_dir).select("item_id", F.col("text").alias("user_input"),
-                                       F.array_distinct(R.tokens(F.col("text"))).alias("_qt"))
-    top1 = kept.where(F.col("rank") == 1).select("item_id", F.col("score").alias("answer_relevancy"))
-    mean = kept.groupBy("item_id").agg(F.avg("score").alias("nv_context_relevance"))
-    ctx_t = F.array_distinct(R.tokens(F.col("context")))
-    faith = (F.size(F.array_intersect(F.col("_qt"), ctx_t)) / F.size(F.col("_qt"))).cast("double")
-    return (
-        ctx.join(q, "item_id").join(top1, "item_id").join(mean, "item_id")
-        .select("item_id", "user_input", faith.alias("faithfulness"), "answer_relevancy",
-                "nv_context_relevance")
-    )
+    return EV.support_scores(kept, _context(spark, sf_dir, kept), _queries(spark, sf_dir), "item_id", "text")
 
 
 @register("doc_chunks_fixed", f"""
