@@ -174,3 +174,17 @@ def graph_cycle_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     cyc = G.simple_cycles(_event_edges(spark, sf_dir), _G, hamiltonian=True)
     named = cyc.select(*_G, F.col("cycle").alias("path"), F.concat_ws(">", "cycle").alias("cycle"))
     return G.path_steps(named, "path").select(*_G, "cycle", "step", "u", "v")
+
+
+@register("graph_axis_edges", """
+WITH gnodes AS (
+  SELECT c_mktsegment AS graph_id, c_nationkey AS x, CAST(floor(c_acctbal / 1000) AS INTEGER) AS y,
+         min(c_custkey) AS node_id
+  FROM customer GROUP BY 1, 2, 3),
+ge AS (
+  SELECT graph_id, node_id AS a, lead(node_id) OVER (PARTITION BY graph_id, y ORDER BY x) AS b FROM gnodes
+  UNION ALL SELECT graph_id, node_id, lead(node_id) OVER (PARTITION BY graph_id, x ORDER BY y) FROM gnodes)
+SELECT graph_id, least(a, b) AS u, greatest(a, b) AS v, 'axis' AS kind FROM ge WHERE b IS NOT NULL""")
+def graph_axis_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns only: the next node in the same row or column."""
+    return G.sight_edges(_grid_nodes(spark, sf_dir), ["graph_id"], diagonals=False)
