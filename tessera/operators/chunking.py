@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.parallelism import spread
+from tessera.session import ship_package
 
 # Splitter parameters and separators, tried in this order.
 CHUNK_SIZE = 1024
@@ -154,5 +155,6 @@ def recursive_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                 "chunk": pd.Series(texts, dtype="object")})
 
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    ship_package(docs.sparkSession)
     out = spread(src).mapInPandas(run, _RECURSIVE_SCHEMA)
     return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out

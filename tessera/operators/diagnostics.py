@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import ship_package
+
 
 def column_moments(df: DataFrame, vec_col: str) -> DataFrame:
     return (
@@ -58,6 +60,7 @@ def covariance(df: DataFrame, vec_col: str) -> DataFrame:
         yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": np.full(len(ii), n),
                             "si": s[ii], "sj": s[jj], "sij": g[ii, jj]})
 
+    ship_package(df.sparkSession)
     parts = df.select(F.col(vec_col).alias("v")).mapInPandas(partial, _GRAM_SCHEMA)
     tot = parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("si").alias("si"),
                                       F.sum("sj").alias("sj"), F.sum("sij").alias("sij"))

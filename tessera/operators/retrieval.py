@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.operators.parallelism import bounded_broadcast, spread
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ship_package
 
 # Word token = run of characters that are not whitespace or punctuation.
 TOKEN = r'[^ \t\n\r\f.,;:!?()\[\]{}<>"]+'
@@ -104,6 +104,7 @@ def _topk_scan(corpus: DataFrame, keys: list[str], key_types: list[T.DataType],
         if state is not None:
             yield state[["qid", *keys, "score"]]
 
+    ship_package(corpus.sparkSession)
     partial = corpus.mapInPandas(run, schema)
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), *[F.col(c).asc() for c in keys])
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -145,6 +146,7 @@ def _term_frequencies(corpus: DataFrame, keys: list[str], key_types: list[T.Data
             out["tfs"] = [tf[a:b].astype(np.int32) for a, b in zip(bounds[:-1], bounds[1:])]
             yield out
 
+    ship_package(corpus.sparkSession)
     return spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(run, schema)
 
 
@@ -364,4 +366,5 @@ def vector_stats(vectors: DataFrame, keys: Sequence[str], vec_col: str = "featur
             out["max_weight"] = [float(x.max()) if len(x) else None for x in vals]
             yield out
 
+    ship_package(vectors.sparkSession)
     return vectors.select(*keys, vec_col).mapInPandas(run, schema)
