@@ -15,6 +15,7 @@ Second stage: Jaccard overlap of token sets on the ``k`` candidates only, keep `
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -119,15 +120,29 @@ _TF_SCHEMA_FIELDS = [
 ]
 
 
+_VOCAB_CACHE: dict[str, pd.Index] = {}
+
+
+def _vocab_index(bc) -> pd.Index:
+    """Hash index of the broadcast query vocabulary, built once per Python worker
+    (workers are reused across tasks) and keyed by the broadcast's token."""
+    key = bc.value["key"]
+    index = _VOCAB_CACHE.get(key)
+    if index is None:
+        _VOCAB_CACHE.clear()
+        index = _VOCAB_CACHE[key] = pd.Index(bc.value["terms"])
+    return index
+
+
 def _term_frequencies(corpus: DataFrame, keys: list[str], key_types: list[T.DataType], text_col: str,
                       terms: list[str]) -> DataFrame:
     """One tokenisation pass: per row its length in tokens and the sparse counts of the
     query-vocabulary terms it contains ``(keys, dl, tids, tfs)``."""
     schema = T.StructType([T.StructField(c, t) for c, t in zip(keys, key_types)] + _TF_SCHEMA_FIELDS)
-    bc = corpus.sparkSession.sparkContext.broadcast(terms)
+    bc = corpus.sparkSession.sparkContext.broadcast({"key": uuid.uuid4().hex, "terms": terms})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = pd.Index(bc.value)
+        index = _vocab_index(bc)
         nv = max(len(index), 1)
         for pdf in batches:
             toks = pdf["text"].fillna("").str.lower().str.findall(TOKEN)
