@@ -137,19 +137,22 @@ def _runs(catalog: DataFrame, group_col: str, value_col: str) -> DataFrame:
 def best_value(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1,
                blocked: Sequence[int] = (), check: str = "ends", mode: str = "occupancy",
                value_col: str = "benefit") -> DataFrame:
-    """Best total value per group: ``(group, slots, value)``; ``value`` covers all slots."""
+    """Best total value per group: ``(group, slots, value, feasible)``; ``value`` covers
+    all slots and ``feasible`` says whether any product can run at all (a status column
+    instead of a solver state: an infeasible group has value 0 and ``feasible = false``)."""
     validate(slots, days)
     horizon = HOURS_PER_DAY * days
     feas = _feasible_sql("h", "r.d", horizon, blocked, check)
     runs = _runs(catalog, group_col, value_col)
+    feasible = F.expr(f"exists(runs, r -> exists(sequence(0, {horizon - 1}), h -> {feas}))").alias("feasible")
     if mode == "occupancy":
         v0 = F.expr(f"""aggregate(sequence({horizon - 1}, 0, -1), cast(array(0L) as array<bigint>),
             (acc, h) -> concat(array(greatest(acc[0], coalesce(array_max(transform(
                 filter(runs, r -> {feas}), r -> r.b + acc[r.d - 1])), acc[0]))), acc))[0]""")
-        out = runs.select(group_col, v0.alias("v"))
+        out = runs.select(group_col, v0.alias("v"), feasible)
     elif mode == "window":
         lb = runs.select(
-            group_col,
+            group_col, feasible,
             F.expr(f"transform(sequence(0, {horizon - 1}), h -> "
                    f"array_max(transform(filter(runs, r -> {feas}), r -> r.d)))").alias("L"),
             F.expr(f"transform(sequence(0, {horizon - 1}), h -> "
@@ -161,11 +164,11 @@ def best_value(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1
         v0 = F.expr(f"""aggregate(sequence({horizon - 1}, 0, -1), cast(array(0L) as array<bigint>),
             (acc, h) -> concat(array(case when L[h] is null then acc[0]
                 else greatest(acc[0], B[h] + acc[R[h] - h]) end), acc))[0]""")
-        out = lbr.select(group_col, v0.alias("v"))
+        out = lbr.select(group_col, v0.alias("v"), "feasible")
     else:
         raise ValueError("mode must be 'occupancy' or 'window'")
     return out.select(group_col, F.lit(slots).alias("slots"),
-                      (F.col("v") * slots).cast("bigint").alias("value"))
+                      (F.col("v") * slots).cast("bigint").alias("value"), "feasible")
 
 
 def best_plan(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1,

@@ -66,6 +66,10 @@ _OCC_FOLD = f"""CAST({SLOTS} * list_reduce(range({H - 1}, -1, -1),
     [0::BIGINT])[1] AS BIGINT)"""
 
 
+_FEASIBLE = (f"(len(list_filter(runs, lambda r: len(list_filter(range(0, {H}), "
+             f"lambda h: {_feas('h', 'r.d')})) > 0)) > 0)")
+
+
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     return C.clean_catalog(C.catalog_from_part(part), order_cols=["key"])
@@ -99,7 +103,7 @@ def schedule_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("schedule_value_occupancy", f"""
 WITH {_CLEAN_SQL}, {_RUNS_SQL}
-SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value
+SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value, {_FEASIBLE} AS feasible
 FROM menus""")
 def schedule_value_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.best_value(_catalog(spark, sf_dir), "collection", SLOTS, DAYS, BLOCKED,
@@ -109,7 +113,7 @@ def schedule_value_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("schedule_value_window", f"""
 WITH {_CLEAN_SQL}, {_RUNS_SQL},
 lb AS (
-  SELECT collection,
+  SELECT collection, {_FEASIBLE} AS feasible,
     list_transform(range(0, {H}), lambda h: list_max(list_transform(
         list_filter(runs, lambda r: {_feas('h', 'r.d')}), lambda r: r.d))) AS L,
     list_transform(range(0, {H}), lambda h: list_max(list_transform(
@@ -122,7 +126,7 @@ lbr AS (
 SELECT collection, {SLOTS} AS slots, CAST({SLOTS} * list_reduce(range({H - 1}, -1, -1),
     lambda acc, h: list_prepend(CASE WHEN L[h + 1] IS NULL THEN acc[1]
         ELSE greatest(acc[1], B[h + 1] + acc[R[h + 1] - h + 1]) END, acc),
-    [0::BIGINT])[1] AS BIGINT) AS value
+    [0::BIGINT])[1] AS BIGINT) AS value, feasible
 FROM lbr""")
 def schedule_value_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.best_value(_catalog(spark, sf_dir), "collection", SLOTS, DAYS, BLOCKED,
@@ -164,7 +168,7 @@ def schedule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("schedule_value_xp", f"""
 WITH {_CLEAN_SQL}, {_runs_sql('xp_value')}
-SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value
+SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value, {_FEASIBLE} AS feasible
 FROM menus""")
 def schedule_value_xp(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = _catalog(spark, sf_dir).withColumn("xp_value", C.numeric_suffix("xp").cast("bigint"))

@@ -25,8 +25,10 @@ def test_empty_inputs(spark):
 def test_all_hours_blocked_and_too_long(spark):
     cat = spark.createDataFrame([("a", 0, 3.0, 10), ("b", 1, 30.0, 99)],
                                 "collection STRING, id BIGINT, duration DOUBLE, benefit BIGINT")
-    vals = {r["collection"]: r["value"] for r in S.best_value(cat, "collection", 2, 1, list(range(24))).collect()}
-    assert vals == {"a": 0, "b": 0}
+    rows = S.best_value(cat, "collection", 2, 1, list(range(24))).collect()
+    assert {r["collection"]: (r["value"], r["feasible"]) for r in rows} == {"a": (0, False), "b": (0, False)}
+    open_day = {r["collection"]: r["feasible"] for r in S.best_value(cat, "collection").collect()}
+    assert open_day == {"a": True, "b": False}
     win = {r["collection"]: r["value"] for r in S.best_value(cat, "collection", 1, 1, [], mode="window").collect()}
     assert win == {"a": 80, "b": 0}
     assert S.best_plan(cat, "collection", 1, 1, list(range(24))).count() == 0
