@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.operators.indexing import dense_index
+from tessera.operators.parallelism import bounded_broadcast
 from tessera.session import cut_lineage
 
 
@@ -249,14 +251,18 @@ def parse_graph_messages(messages: DataFrame, graph_cols: Sequence[str], msg_col
 def evenly_spaced(paths: DataFrame, graph_cols: Sequence[str], order_col: str, picks: int = 6) -> DataFrame:
     """Pick ``picks`` items per graph at positions ``i * n // picks - 1`` (1-based ``i``)
     of the ``order_col`` order, a negative position counting from the end as list
-    indexing does: ``(graph, pick, ...)``.  The window is per graph."""
+    indexing does: ``(graph, pick, ...)``.
+
+    Positions come from one global dense index over (graph, order) -- range-partitioned,
+    so a graph with most of the items is spread over many tasks -- minus each graph's
+    first index (one aggregate row per graph)."""
     g = list(graph_cols)
-    w = Window.partitionBy(*g).orderBy(order_col)
-    wn = Window.partitionBy(*g)
-    ranked = paths.withColumn("_pos", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(wn))
+    idx = dense_index(paths, [*g, order_col], "_gpos")
+    first = idx.groupBy(*g).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    ranked = idx.join(bounded_broadcast(first), g).withColumn("_pos", F.col("_gpos") - F.col("_start"))
     want = F.sequence(F.lit(1), F.lit(picks))
     hit = F.filter(want, lambda i: F.pmod(F.floor(i * F.col("_n") / picks) - 1, F.col("_n")) == F.col("_pos"))
-    return ranked.select("*", F.explode(hit).alias("pick")).drop("_pos", "_n")
+    return ranked.select("*", F.explode(hit).alias("pick")).drop("_gpos", "_start", "_pos", "_n")
 
 
 def path_steps(paths: DataFrame, path_col: str, closed: bool = True) -> DataFrame:

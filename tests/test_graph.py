@@ -131,3 +131,11 @@ def test_frontier_guard_fails_loudly(spark):
     with pytest.raises(RuntimeError):
         G.simple_cycles(both, ["g"], max_frontier_rows=100)
     assert G.simple_cycles(_edges(spark, {"axis": AXIS_EDGES}), ["g"], max_frontier_rows=10_000).count() == 40
+
+
+def test_evenly_spaced_matches_list_indexing(spark):
+    items = {"g1": ["a", "b", "c", "d"], "g2": [f"x{i:02d}" for i in range(13)]}
+    df = spark.createDataFrame([(g, v) for g, vs in items.items() for v in vs], "g STRING, v STRING")
+    got = sorted((r["g"], r["pick"], r["v"]) for r in G.evenly_spaced(df, ["g"], "v", 6).collect())
+    exp = sorted((g, i, sorted(vs)[i * len(vs) // 6 - 1]) for g, vs in items.items() for i in range(1, 7))
+    assert got == exp
