@@ -1,6 +1,7 @@
 """Graph jobs over many small undirected graphs at once (``graph_cols`` identify a graph).
 
-* Edge derivation: transitions between consecutive events, and line-of-sight neighbours
+* Edge derivation: transitions between consecutive events (range-partitioned, so a hot
+  key is spread over many tasks), and line-of-sight neighbours
   on a grid (rows, columns and 45-degree diagonals) with ``lead`` windows.
 * Cycle and path enumeration: a frontier of partial paths extended one hop per
   iteration by an equi-join with the adjacency on ``(graph, last node)``; every hop is
@@ -43,22 +44,30 @@ def symmetric(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
 
 
 def transitions(events: DataFrame, key_cols: Sequence[str], ts_col: str, tie_col: str,
-                value_col: str, bucket_unit: str = "hour") -> DataFrame:
-    """Consecutive ``(prev, next)`` value pairs per key in ``(ts, tie)`` order.
-
-    A hot key is split into time buckets: ``lag`` runs per (key, bucket), and the pairs
-    that cross bucket boundaries come from a small table holding only the first and last
-    event of each bucket (``min_by``/``max_by``, partial-aggregated).
+                value_col: str) -> DataFrame:
+    """Consecutive ``(a, b)`` value pairs per key in ``(ts, tie)`` order.
+
+    Skew-proof: rows are range-partitioned on (key, ts, tie) -- a key holding a third of
+    all rows spans many partitions -- and written once so the partition of every row is
+    fixed.  ``lead`` runs per (partition, key); the pairs that cross a partition
+    boundary come from a table of each (key, partition)'s first and last value, which
+    has at most one row per key and partition.
     """
     k = list(key_cols)
-    order = F.struct(F.col(ts_col), F.col(tie_col))
-    df = events.select(*k, F.date_trunc(bucket_unit, ts_col).alias("_b"), order.alias("_o"),
-                       F.col(value_col).alias("_val"))
-    w = Window.partitionBy(*k, "_b").orderBy("_o")
-    inner = df.select(*k, F.lag("_val").over(w).alias("a"), F.col("_val").alias("b")).where(F.col("a").isNotNull())
-    ends = df.groupBy(*k, "_b").agg(F.min_by("_val", "_o").alias("_first"), F.max_by("_val", "_o").alias("_last"))
-    wb = Window.partitionBy(*k).orderBy("_b")
-    cross = ends.select(*k, F.lag("_last").over(wb).alias("a"), F.col("_first").alias("b")).where(F.col("a").isNotNull())
+    order = [ts_col, tie_col]
+    base = events.select(*k, *order, F.col(value_col).alias("_v"))
+    ordered = cut_lineage(base.repartitionByRange(*k, *order).sortWithinPartitions(*k, *order)
+                          .withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy("_pid", *k).orderBy(*order)
+    inner = (ordered.select(*k, F.col("_v").alias("a"), F.lead("_v").over(w).alias("b"),
+                            F.lead(F.lit(1)).over(w).alias("_has"))
+             .where(F.col("_has").isNotNull()).drop("_has"))
+    pos = F.struct(*[F.col(c) for c in order])
+    ends = ordered.groupBy(*k, "_pid").agg(F.min_by("_v", pos).alias("_first"), F.max_by("_v", pos).alias("_last"))
+    wp = Window.partitionBy(*k).orderBy("_pid")
+    cross = (ends.select(*k, F.col("_last").alias("a"), F.lead("_first").over(wp).alias("b"),
+                         F.lead(F.lit(1)).over(wp).alias("_has"))
+             .where(F.col("_has").isNotNull()).drop("_has"))
     return inner.unionByName(cross)
 
 

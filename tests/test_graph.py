@@ -139,3 +139,20 @@ def test_evenly_spaced_matches_list_indexing(spark):
     got = sorted((r["g"], r["pick"], r["v"]) for r in G.evenly_spaced(df, ["g"], "v", 6).collect())
     exp = sorted((g, i, sorted(vs)[i * len(vs) // 6 - 1]) for g, vs in items.items() for i in range(1, 7))
     assert got == exp
+
+
+def test_transitions_hot_key_across_partitions(spark):
+    import random
+    rng = random.Random(5)
+    rows = [(1, i, rng.choice("abcd")) for i in range(4000)] + [(u, i, rng.choice("abcd")) for u in (2, 3) for i in range(50)]
+    ev = spark.createDataFrame(rows, "user BIGINT, t BIGINT, v STRING").withColumn("ts", F.timestamp_seconds("t"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((r["user"], r["a"], r["b"]) for r in G.transitions(ev, ["user"], "ts", "t", "v").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    exp = []
+    for u in (1, 2, 3):
+        seq = [v for uu, _, v in sorted(r for r in rows if r[0] == u)]
+        exp += [(u, a, b) for a, b in zip(seq, seq[1:])]
+    assert got == sorted(exp)
