@@ -43,19 +43,19 @@ def symmetric(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
     return edges.select(*g, "u", "v").unionByName(edges.select(*g, F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def transitions(events: DataFrame, key_cols: Sequence[str], ts_col: str, tie_col: str,
-                value_col: str) -> DataFrame:
-    """Consecutive ``(a, b)`` value pairs per key in ``(ts, tie)`` order.
+def consecutive_pairs(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str],
+                      value_col: str) -> DataFrame:
+    """Every value and the next one in ``order_cols`` order within its key: ``(*keys, a, b)``.
 
-    Skew-proof: rows are range-partitioned on (key, ts, tie) -- a key holding a third of
-    all rows spans many partitions -- and written once so the partition of every row is
-    fixed.  ``lead`` runs per (partition, key); the pairs that cross a partition
+    Skew-proof ``lead``: rows are range-partitioned on (key, order) -- a key holding a
+    third of all rows spans many partitions -- and written once so every row's partition
+    is fixed.  ``lead`` runs per (partition, key); the pairs that cross a partition
     boundary come from a table of each (key, partition)'s first and last value, which
     has at most one row per key and partition.
     """
     k = list(key_cols)
-    order = [ts_col, tie_col]
-    base = events.select(*k, *order, F.col(value_col).alias("_v"))
+    order = list(order_cols)
+    base = df.select(*k, *order, F.col(value_col).alias("_v"))
     ordered = cut_lineage(base.repartitionByRange(*k, *order).sortWithinPartitions(*k, *order)
                           .withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", *k).orderBy(*order)
@@ -71,6 +71,12 @@ def transitions(events: DataFrame, key_cols: Sequence[str], ts_col: str, tie_col
     return inner.unionByName(cross)
 
 
+def transitions(events: DataFrame, key_cols: Sequence[str], ts_col: str, tie_col: str,
+                value_col: str) -> DataFrame:
+    """Consecutive ``(a, b)`` value pairs per key in ``(ts, tie)`` order."""
+    return consecutive_pairs(events, key_cols, [ts_col, tie_col], value_col)
+
+
 def transition_edges(events: DataFrame, key_cols: Sequence[str], ts_col: str, tie_col: str,
                      value_col: str) -> DataFrame:
     """Undirected graph per key: an edge joins two different consecutive values."""
@@ -82,19 +88,21 @@ def sight_edges(nodes: DataFrame, graph_cols: Sequence[str], diagonals: bool = T
                 node_col: str = "node_id", x: str = "x", y: str = "y") -> DataFrame:
     """Edges to the nearest node along each row and column (``kind='axis'``) and, when
     ``diagonals``, along each 45-degree line (``kind='diagonal'``): a node hidden behind
-    another on the same line is never joined, exactly the unobstructed neighbours."""
+    another on the same line is never joined, exactly the unobstructed neighbours.
+
+    All line families go through one skew-proof ``consecutive_pairs`` pass keyed by
+    (graph, family, line) and ordered by the position on the line."""
     g = list(graph_cols)
-    families = [("axis", F.col(y), F.col(x)), ("axis", F.col(x), F.col(y))]
+    families = [("axis", 0, F.col(y), F.col(x)), ("axis", 1, F.col(x), F.col(y))]
     if diagonals:
-        families += [("diagonal", F.col(x) - F.col(y), F.col(x)), ("diagonal", F.col(x) + F.col(y), F.col(x))]
-    out = None
-    for kind, line, pos in families:
-        w = Window.partitionBy(*g, line).orderBy(pos)
-        e = nodes.select(*g, F.col(node_col).alias("a"), F.lead(node_col).over(w).alias("b")) \
-            .where(F.col("b").isNotNull()) \
-            .select(*g, F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.lit(kind).alias("kind"))
-        out = e if out is None else out.unionByName(e)
-    return out
+        families += [("diagonal", 2, F.col(x) - F.col(y), F.col(x)), ("diagonal", 3, F.col(x) + F.col(y), F.col(x))]
+    lines = None
+    for kind, fam, line, pos in families:
+        part = nodes.select(*g, F.lit(kind).alias("_kind"), F.lit(fam).alias("_fam"), line.alias("_line"),
+                            pos.alias("_pos"), F.col(node_col).alias("_node"))
+        lines = part if lines is None else lines.unionByName(part)
+    pairs = consecutive_pairs(lines, [*g, "_kind", "_fam", "_line"], ["_pos"], "_node")
+    return pairs.select(*g, F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.col("_kind").alias("kind"))
 
 
 def _nodes(adj: DataFrame, g: list[str]) -> DataFrame:
