@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tessera.operators.parallelism import bounded_broadcast, spread
 
@@ -152,9 +151,3 @@ def resolve_error_codes(info: DataFrame, codes: DataFrame, code_col: str = "erro
     known = codes.select(F.col("id").alias("_id"), F.col("description").alias("error_description"))
     j = info.join(bounded_broadcast(known), info[code_col] == known["_id"], "left")
     return j.withColumn(code_col, F.when(F.col("_id").isNotNull(), F.col(code_col))).drop("_id")
-
-
-def key_rank(rows: DataFrame, key_cols: list[str], order_cols: list[str]) -> DataFrame:
-    """Row number per key, newest first (for reporting superseded versions)."""
-    w = Window.partitionBy(*key_cols).orderBy(*[F.col(c).desc() for c in order_cols])
-    return rows.withColumn("version", F.row_number().over(w))
