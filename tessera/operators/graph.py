@@ -141,7 +141,7 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
         max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
     starts = _nodes(adj, g)
     if hamiltonian:
-        starts = starts.join(sizes, g).where(F.col("node") == F.col("min_node")).select(*g, "node")
+        starts = starts.join(bounded_broadcast(sizes), g).where(F.col("node") == F.col("min_node")).select(*g, "node")
     frontier = starts.select(*g, F.col("node").alias("start"), F.col("node").alias("last"),
                              F.array("node").alias("path"))
     found = []
@@ -163,7 +163,10 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
         out = out.unionByName(f)
     out = out.withColumnRenamed("path", "cycle")
     if hamiltonian:
-        out = out.join(sizes.select(*g, "n_nodes"), g).where(F.col("length") == F.col("n_nodes")).drop("n_nodes")
+        # one row per graph, broadcast after a size check: a graph with most of the cycles
+        # is not shuffled into one task
+        out = out.join(bounded_broadcast(sizes.select(*g, "n_nodes")), g) \
+            .where(F.col("length") == F.col("n_nodes")).drop("n_nodes")
     return out
 
 
@@ -175,7 +178,7 @@ def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str],
     adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
     sizes = _sizes(adj, g)
     max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
-    frontier = _nodes(adj, g).join(sizes.select(*g, "n_nodes"), g) \
+    frontier = _nodes(adj, g).join(bounded_broadcast(sizes.select(*g, "n_nodes")), g) \
         .select(*g, "n_nodes", F.col("node").alias("last"), F.array("node").alias("path"))
     done = []
     for _ in range(1, int(max_len)):
