@@ -13,6 +13,14 @@ _spec = importlib.util.spec_from_file_location(
 oc = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(oc)
 
+_TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+          "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
+def _duck_type(t):
+    return _TYPES.get(repr(t), repr(t))
+
+
 ROWS_ONLY = {"doc_chunks_recursive", "pca_diagnostics", "pca_variance", "knn_lsh_recall", "chunk_tfidf_vectors",
              "pca_cross_validation"}
 
@@ -36,14 +44,18 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
+    """Rows, column names, column types and exact values."""
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
     res = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert {f.name: _duck_type(f.dataType) for f in df.schema.fields} == \
+        {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert len(srows) == len(drows)
-    assert oc.digest(df.columns, srows)[0] == oc.digest(dcols, drows)[0]
+    assert oc.digest(df.columns, srows, exact=True)[0] == oc.digest(dcols, drows, exact=True)[0]
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
