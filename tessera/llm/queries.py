@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, packing, token_files
+from tessera.llm import bpe, line_dedup, packing, quality, token_files
 from tessera.llm.common import read_documents, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,5 +34,16 @@ def op8_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_bit_plane_files, op8_segment_tree_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean_lines(read_documents(spark, sf_dir)).drop("cleaned")
+
+
+def op9_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_documents(spark, sf_dir)).select(
+        "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"),
+        F.col("n_removed").cast("bigint").alias("n_removed"), F.md5("deduped").alias("text_md5"))
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files,
+                                   op8_segment_tree_bpe, op9_winnowed_line_dedup)}
+ORACLE_SQL = {"op9_winnowed_line_dedup": line_dedup.oracle_sql()}
