@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, line_dedup, packing, quality, token_files
+from tessera.llm import bpe, line_dedup, packing, quality, token_files, toxicity
 from tessera.llm.common import read_documents, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,24 @@ def op9_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_removed").cast("bigint").alias("n_removed"), F.md5("deduped").alias("text_md5"))
 
 
+def _crc_mod(id_col, n: int):
+    return F.crc32(id_col.cast("string").cast("binary")) % n
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
+    """Learned only from rows whose crc32 of the id is not divisible by five."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.train(docs, labels, lambda i: _crc_mod(i, 5) == 0)
+
+
+def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    model = toxicity_model(spark, docs, sf_dir)
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(_crc_mod(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files,
-                                   op8_segment_tree_bpe, op9_winnowed_line_dedup)}
+                                   op8_segment_tree_bpe, op9_winnowed_line_dedup, op10_levenshtein_toxicity)}
 ORACLE_SQL = {"op9_winnowed_line_dedup": line_dedup.oracle_sql()}
