@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, line_dedup, packing, quality, token_files, toxicity
+from tessera.llm import bpe, language, line_dedup, packing, pii, quality, token_files, toxicity
 from tessera.llm.common import read_documents, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -14,6 +14,11 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    return pii.digest(pii.find(docs, pii.train(docs)))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(read_documents(spark, sf_dir), BYTE_BPE)
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -27,6 +32,14 @@ def op4_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_output_codes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    model = language.train(docs, lambda i: _crc_mod(i, 3) == 1)
+    return language.identify(docs, model).select(
+        "doc_id", F.coalesce(_crc_mod(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+        "lang_pred", "score", "ambiguous")
+
+
 def op8_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(read_documents(spark, sf_dir), MULTI_BPE, public_tokenizers.PATTERN)
     decoded = bpe.decode_documents(encoded, MULTI_BPE, public_tokenizers.PATTERN)
@@ -62,6 +75,6 @@ def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files,
+QUERIES = {f.__name__: f for f in (op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op6_output_codes_language,
                                    op8_segment_tree_bpe, op9_winnowed_line_dedup, op10_levenshtein_toxicity)}
 ORACLE_SQL = {"op9_winnowed_line_dedup": line_dedup.oracle_sql()}
