@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -63,21 +63,23 @@ class ChunkEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, with each distinct chunk
     between spaces encoded once per Python worker.
 
-    ``encode_chunks(list of str) -> list of bytes`` encodes strings on their own.  A text is
-    cut only where no match of the tokenizer's pattern can reach across:
+    ``encode(list of str) -> list of bytes`` encodes strings on their own.  A text is cut only
+    where no match of the tokenizer's pattern can reach across:
 
     * ``space_free=False`` (byte-level pattern ``' ?letters | ... | \\s+(?!\\S) | \\s+'``): in
       front of a space or a line feed, unless the piece before ends in white space (then a
       white-space run would be cut, and the text is encoded whole).
     * ``space_free=True`` (white space separates words and is dropped): at every space and
       line feed.
+    * between a letter and a comma or full stop that ends a chunk.
     """
 
-    def __init__(self, encode_chunks: Callable[[list[str]], list[bytes]], space_free: bool,
-                 limit: int = 600_000):
-        self.encode_chunks = encode_chunks
-        self.space_free = space_free
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], space_free: bool,
+                 limit: int = 1_000_000):
+        self.encode, self.space_free = encode, space_free
         self.memo = Bounded(limit)  # words as cut -> ids, None where the text must stay whole
+        self.stops = {p: encode([p])[0] for p in ",."}
+        self.feed = encode(["\n"])[0]
 
     def _cut(self, text: str) -> list[str]:
         if self.space_free:
@@ -89,40 +91,66 @@ class ChunkEncoder:
             words[-1] = "\1" + words[-1]
         return words
 
-    def _raw(self, word: str) -> str | None:
-        """The text of a cut word, None if a run of white space may go on behind it."""
+    def _fill(self, needed: set[str]) -> None:
+        """Put ids of new words into the memo."""
+        memo, stops = self.memo, self.stops
+        ended = [w for w in needed if w[-1:] in stops and w[-2:-1].isalpha()]
+        plain = needed.difference(ended).union(b for w in ended if (b := w[:-1]) not in memo)
         if self.space_free:
-            return word
-        if word[:1] == "\0":
-            raw = word[1:]
-        elif word[:1] == "\1":
-            return word[1:] if word[1:2] == "\n" else " " + word[1:]
+            words = list(plain)
+            memo.update(zip(words, self.encode(words), strict=True))
         else:
-            raw = word if word[:1] == "\n" else " " + word
-        return None if raw and raw[-1].isspace() else raw
+            words, raws, fed = [], [], []
+            for w in plain:
+                head = w[:1]
+                if head == "\1":
+                    words.append(w)
+                    raws.append(w[1:] if w[1:2] == "\n" else " " + w[1:])
+                elif w[-1:].isspace() or w == "":
+                    memo[w] = None
+                elif head == "\n":
+                    words.append(w)
+                    if w[1].isspace():
+                        raws.append(w)
+                    else:
+                        fed.append(w)
+                        raws.append(w[1:])
+                else:
+                    words.append(w)
+                    raws.append(w[1:] if head == "\0" else " " + w)
+            memo.update(zip(words, self.encode(raws), strict=True))
+            for w in fed:
+                memo[w] = self.feed + memo[w]
+        for w in ended:
+            base = memo[w[:-1]]
+            memo[w] = None if base is None else base + stops[w[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) if "\0" not in t and "\1" not in t else None for t in texts]
-        needed = set().union(*(c for c in cut if c)) - self.memo.keys()
-        if len(needed) + len(self.memo) > self.memo.limit:
+        known = self.memo.__contains__
+        needed = set(chain.from_iterable(filterfalse(known, c) for c in cut if c is not None))
+        if 2 * len(needed) + len(self.memo) > self.memo.limit:
             self.memo.clear()
-            needed = set().union(*(c for c in cut if c))
-        raws = {w: self._raw(w) for w in needed}
-        new = [w for w, r in raws.items() if r is not None]
-        self.memo.update(zip(new, self.encode_chunks([raws[w] for w in new]), strict=True))
-        self.memo.update((w, None) for w, r in raws.items() if r is None)
+            needed = set(chain.from_iterable(c for c in cut if c is not None))
+        self._fill(needed)
         out, get = [], self.memo.__getitem__
         for text, words in zip(texts, cut, strict=True):
             got = list(map(get, words)) if words is not None else [None]
-            out.append(self.encode_chunks([text])[0] if None in got else b"".join(got))
+            out.append(self.encode([text])[0] if None in got else b"".join(got))
         return out
 
 
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
+#: Chunks that one call of the library encodes as a single string.
+JOINED = 64
 
 
 def library_encoder(path: str, space_free: bool) -> ChunkEncoder:
-    """Chunk-cached encoder of a ``tokenizers`` file, one per Python worker."""
+    """Chunk-cached encoder of a ``tokenizers`` file, one per Python worker.
+
+    Many chunks go into one call, parted by a string that is one id of its own wherever it
+    stands: a line feed for the byte-level pattern (before a chunk that starts with a letter or
+    sign, or one space and such), a zero between spaces where white space is dropped."""
     key = (path, space_free)
     if key not in _ENCODERS:
         import os
@@ -132,31 +160,43 @@ def library_encoder(path: str, space_free: bool) -> ChunkEncoder:
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
+        between = " \0 " if space_free else "\n"
+        mark = tok.encode(between, add_special_tokens=False).ids
+        parted = len(mark) == 1
 
-        def encode(chunks: list[str]) -> list[bytes]:
+        def joinable(c: str) -> bool:
+            if space_free:
+                return "\0" not in c
+            return "\n" not in c and not c[-1:].isspace() and not (c[1:2] if c[0] == " " else c[0]).isspace()
+
+        def alone(chunks: list[str]) -> list[bytes]:
             return [np.asarray(e.ids, "<u4").tobytes()
                     for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
+        def encode(chunks: list[str]) -> list[bytes]:
+            if not parted or len(chunks) < 2:
+                return alone(chunks)
+            out: list[bytes | None] = [None] * len(chunks)
+            single = [k for k, c in enumerate(chunks) if not c or not joinable(c)]
+            for k, ids in zip(single, alone([chunks[k] for k in single]), strict=True):
+                out[k] = ids
+            rest = [k for k, ids in enumerate(out) if ids is None]
+            groups = [rest[i:i + JOINED] for i in range(0, len(rest), JOINED)]
+            texts = [between.join([chunks[k] for k in g]) for g in groups]
+            for g, e in zip(groups, tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.asarray(e.ids, "<u4")
+                raw = ids.tobytes()
+                stops = (np.flatnonzero(ids == mark[0]) * 4).tolist()
+                start = 0
+                for k, stop in zip(g, [*stops, len(raw)], strict=True):
+                    out[k] = raw[start:stop]
+                    start = stop + 4
+            return out
+
         _ENCODERS[key] = ChunkEncoder(encode, space_free)
     return _ENCODERS[key]
 
 
-def labelled_sample(df: DataFrame, by: str, limit: int, seed: int) -> DataFrame:
-    """About ``limit`` rows per value of ``by`` (all if there are fewer), chosen by a hash of
-    the row.  One counting pass over the label column; nothing else reaches the driver."""
-    counts = {r[by]: r["n"] for r in df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col(by) == F.lit(value), F.lit(min(1.0, limit / n))).otherwise(share)
-    unit = (F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns if c != by]).bitwiseAND(F.lit((1 << 31) - 1))
-            / F.lit(float(1 << 31)))
-    return df.where(unit < share)
-
-
-def flat(lists: Iterable[Iterable]) -> list:
-    return list(chain.from_iterable(lists))
-
-
 def write_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of ``spark.checkpoint.dir``, read back.
 
