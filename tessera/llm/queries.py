@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, language, line_dedup, packing, pii, quality, token_files, toxicity
+from tessera.llm import bpe, embeddings, language, line_dedup, packing, pii, quality, token_files, toxicity
 from tessera.llm.common import read_documents, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,10 @@ def op4_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_projection_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
 def op6_output_codes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     model = language.train(docs, lambda i: _crc_mod(i, 3) == 1)
@@ -75,6 +79,6 @@ def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op6_output_codes_language,
+QUERIES = {f.__name__: f for f in (op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup, op6_output_codes_language,
                                    op8_segment_tree_bpe, op9_winnowed_line_dedup, op10_levenshtein_toxicity)}
 ORACLE_SQL = {"op9_winnowed_line_dedup": line_dedup.oracle_sql()}
