@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, embeddings, language, line_dedup, packing, pii, quality, token_files, toxicity
+from tessera.llm import bpe, embeddings, language, line_dedup, near_dedup, packing, pii, quality, token_files, toxicity
 from tessera.llm.common import read_documents, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,10 @@ def op6_output_codes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred", "score", "ambiguous")
 
 
+def op7_weighted_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_documents(spark, sf_dir))
+
+
 def op8_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(read_documents(spark, sf_dir), MULTI_BPE, public_tokenizers.PATTERN)
     decoded = bpe.decode_documents(encoded, MULTI_BPE, public_tokenizers.PATTERN)
@@ -79,6 +83,8 @@ def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup, op6_output_codes_language,
-                                   op8_segment_tree_bpe, op9_winnowed_line_dedup, op10_levenshtein_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup,
+    op6_output_codes_language, op7_weighted_minhash_dedup, op8_segment_tree_bpe, op9_winnowed_line_dedup,
+    op10_levenshtein_toxicity)}
 ORACLE_SQL = {"op9_winnowed_line_dedup": line_dedup.oracle_sql()}
