@@ -111,24 +111,35 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, max_lines: int =
     return spans.select("k1", "k2", F.aggregate("spans", empty, extend).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_lines: int = MAX_LINES,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, deduped (text without later repeated runs), n_lines,
-    n_removed, runs (null if none)."""
-    # Every row of one key has the same runs; the table is written so that both sides of the
-    # join are plain shuffles, which adaptive execution can split where a key is hot.
+def cut_runs(docs: DataFrame, min_words: int = MIN_WORDS, max_lines: int = MAX_LINES,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: row (its columns, as a struct), deduped (the text without later
+    repeated runs; null stays null), n_lines, n_removed, runs (null if none)."""
     runs = write_table(repeated_runs(docs, min_words, max_lines, id_col, text_col))
-    joined = _keyed(docs, id_col, text_col).join(runs, ["k1", "k2"], "left")
-    lines = F.split("text", "\n", -1)
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col(f"row.{id_col}").alias("_id"), F.coalesce(F.col(f"row.{text_col}"), F.lit("")).alias("_text"))
+    rows = rows.select("row", F.xxhash64("_id", "_text").alias("k1"), F.xxhash64(F.lit(1), "_text", "_id").alias("k2"))
+    # No bound holds for the runs of a corpus, so this is a merge join at every size; the table of
+    # runs is written, so both sides are plain shuffles and a hot key can be split.
+    joined = rows.join(runs.hint("merge"), ["k1", "k2"], "left")
+    text = F.coalesce(F.col(f"row.{text_col}"), F.lit(""))
+    lines = F.split(text, "\n", -1)
     starts = F.concat(F.array(F.lit(0)), F.col("runs.stop"))
-    stops = F.concat(F.col("runs.start"), F.array(F.size(lines)))
+    stops = F.concat(F.col("runs.start"), F.array(F.size("lines")))
     gaps = F.zip_with(starts, stops, lambda a, b: F.slice("lines", a + 1, b - a))
-    return (joined.withColumn("lines", F.when(F.col("runs").isNotNull(), lines))
-            .select("doc_id",
-                    F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(gaps), "\n")).alias("deduped"),
-                    (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n_lines"),
-                    F.coalesce(F.aggregate("runs", F.lit(0), lambda n, x: n + x["stop"] - x["start"]), F.lit(0)).alias("n_removed"),
-                    "runs"))
+    return (joined.withColumn("lines", F.when(F.col("runs").isNotNull(), lines)).select(
+        "row",
+        F.when(F.col("runs").isNull(), F.col(f"row.{text_col}")).otherwise(F.array_join(F.flatten(gaps), "\n")).alias("deduped"),
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n_lines"),
+        F.coalesce(F.aggregate("runs", F.lit(0), lambda n, x: n + x["stop"] - x["start"]), F.lit(0)).alias("n_removed"),
+        "runs"))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_lines: int = MAX_LINES,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, deduped, n_lines, n_removed, runs (see ``cut_runs``)."""
+    return cut_runs(docs.select(id_col, text_col), min_words, max_lines, id_col, text_col).select(
+        F.col(f"row.{id_col}").alias("doc_id"), "deduped", "n_lines", "n_removed", "runs")
 
 
 def oracle_sql(min_words: int = MIN_WORDS, max_lines: int = MAX_LINES) -> str:

@@ -357,9 +357,13 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text")
 SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
-def find(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
-    """Every column of ``docs`` and then: pii_fixed, pii_added (arrays of kind number, start,
-    end in code points, end exclusive) and pii_redacted (the text with every span replaced).
+OUT = ("pii_fixed", "pii_added", "pii_redacted")
+
+
+def find(docs: DataFrame, model: dict | None, text_col: str = "text", names: tuple = OUT) -> DataFrame:
+    """Every column of ``docs`` and then (under ``names``): pii_fixed, pii_added (arrays of kind
+    number, start, end in code points, end exclusive) and pii_redacted (the text with every span
+    replaced).
 
     A narrow pass over whole texts.  A null text has no spans and stays null; repeated rows give
     repeated rows."""
@@ -375,11 +379,11 @@ def find(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFra
                 redacted.append(None if text is None else redact(text, a + b))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(fixed, SPAN), pa.array(added, SPAN), pa.array(redacted, pa.string())],
-                [*batch.schema.names, "pii_fixed", "pii_added", "pii_redacted"])
+                [*batch.schema.names, *names])
 
     span = "array<struct<kind:int,start:int,end:int>>"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
-                        f"pii_fixed {span}", f"pii_added {span}", "pii_redacted string"])
+                        f"`{names[0]}` {span}", f"`{names[1]}` {span}", f"`{names[2]}` string"])
     return arrow_pass(spread_scan(docs), schema, rows)
 
 

@@ -62,7 +62,7 @@ def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read_documents(spark, sf_dir)).select(
         "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"),
-        F.col("n_removed").cast("bigint").alias("n_removed"), F.md5("deduped").alias("text_md5"))
+        F.col("n_removed").cast("bigint").alias("n_removed"), F.md5(F.coalesce("deduped", F.lit(""))).alias("text_md5"))
 
 
 def _crc_mod(id_col, n: int):
