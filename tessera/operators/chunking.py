@@ -3,10 +3,9 @@
 * ``fixed_chunks``: character windows of ``size`` with ``overlap`` (the splitter's final
   character-level fallback) as pure column expressions -- ``explode(sequence())`` and
   ``substring``, no Python.
-* ``recursive_chunks``: the recursive separator splitter (paragraph, line, word,
-  character) with overlap merging.  Merging is sequential within one document, so each
-  document is split by a small Python helper inside ``mapInPandas``; Spark distributes
-  the documents over tasks in Arrow batches and every text is processed whole.
+* ``recursive_chunks``: chunks that end at the coarsest separator at hand (paragraph, line,
+  word, character).  Where a chunk ends decides where the next starts, so each document is
+  cut by a small Python helper in an Arrow pass; every text is processed whole.
 """
 
 from __future__ import annotations
@@ -14,10 +13,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.operators.parallelism import spread
 from tessera.session import ship_package
@@ -26,6 +24,7 @@ from tessera.session import ship_package
 CHUNK_SIZE = 1024
 CHUNK_OVERLAP = 128
 SEPARATORS = ["\n\n", "\n", " ", ""]
+WORD_START = re.compile(r"[ \n]")
 
 
 def fixed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -58,103 +57,57 @@ def chunk_stats(chunks: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     )
 
 
-# --- recursive splitter: per-document helper -------------------------------------
-
-def _split_keep(text: str, sep: str) -> list[str]:
-    """Split keeping each separator at the start of the following piece."""
-    if sep == "":
-        return [c for c in text]
-    parts = re.split(f"({re.escape(sep)})", text)
-    out = [parts[0]] + [parts[i] + parts[i + 1] for i in range(1, len(parts) - 1, 2)]
-    if len(parts) % 2 == 0:
-        out.append(parts[-1])
-    return [p for p in out if p != ""]
-
-
-def _join(pieces: list[str]) -> str | None:
-    text = "".join(pieces).strip()
-    return text or None
-
-
-def _merge(splits: list[str], size: int, overlap: int) -> list[str]:
-    docs: list[str] = []
-    current: list[str] = []
-    total = 0
-    for piece in splits:
-        n = len(piece)
-        if total + n > size and current:
-            doc = _join(current)
-            if doc is not None:
-                docs.append(doc)
-            while total > overlap or (total + n > size and total > 0):
-                total -= len(current[0])
-                current = current[1:]
-        current.append(piece)
-        total += n
-    doc = _join(current)
-    if doc is not None:
-        docs.append(doc)
-    return docs
-
-
-def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                    separators: Sequence[str] = SEPARATORS) -> list[str]:
-    """Recursive separator splitting of one text (first separator present wins)."""
-    sep = separators[-1]
-    rest: list[str] = []
-    for i, s in enumerate(separators):
-        if s == "":
-            sep = s
-            break
-        if s in text:
-            sep = s
-            rest = list(separators[i + 1:])
-            break
-    chunks: list[str] = []
-    good: list[str] = []
-    for piece in _split_keep(text, sep):
-        if len(piece) < size:
-            good.append(piece)
-            continue
-        if good:
-            chunks.extend(_merge(good, size, overlap))
-            good = []
-        if not rest:
-            chunks.append(piece)
-        else:
-            chunks.extend(split_recursive(piece, size, overlap, rest))
-    if good:
-        chunks.extend(_merge(good, size, overlap))
-    return chunks
-
-
-_RECURSIVE_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("chunk_pos", T.IntegerType()),
-    T.StructField("n_chars", T.IntegerType()),
-    T.StructField("chunk", T.StringType()),
-])
+# --- separator chunks: per-document helper ----------------------------------------
+
+def cut_places(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+               separators: Sequence[str] = SEPARATORS) -> Iterator[tuple[int, int]]:
+    """``(start, end)`` of every chunk of one text, in one pass.
+
+    A window of ``size`` characters ends behind the last occurrence of the coarsest separator
+    that lies far enough in it (beyond half of the window and beyond the overlap), else at its
+    full size.  The next window starts at the first word that begins within the last
+    ``overlap`` characters, else at that distance.
+    """
+    least = max(size // 2, overlap)
+    start, n = 0, len(text)
+    while start < n:
+        end = start + size
+        if end >= n:
+            yield start, n
+            return
+        for sep in separators:
+            at = text.rfind(sep, start + least, end) if sep else -1
+            if at >= 0:
+                end = at + len(sep)
+                break
+        yield start, end
+        word = WORD_START.search(text, end - overlap, end)
+        start = word.end() if word and word.end() < end else end - overlap
 
 
 def recursive_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """``(doc_id, chunk_pos, n_chars, chunk)`` from the recursive splitter."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ids, pos, lens, texts = [], [], [], []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                for i, c in enumerate(split_recursive(text or "", size, overlap)):
-                    ids.append(doc_id)
-                    pos.append(i)
-                    lens.append(len(c))
-                    texts.append(c)
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"),
-                                "chunk_pos": pd.Series(pos, dtype="int32"),
-                                "n_chars": pd.Series(lens, dtype="int32"),
-                                "chunk": pd.Series(texts, dtype="object")})
-
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    """``(doc_id, chunk_pos, char_start, n_chars, chunk)``: chunks of at most ``size`` characters
+    that end at the coarsest separator at hand and overlap by at most ``overlap``."""
+    if not 0 <= overlap < size:
+        raise ValueError("need 0 <= overlap < size")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(doc_id, pos, a, b - a, text[a:b])
+                    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                    for pos, (a, b) in enumerate(cut_places(text or "", size, overlap))]
+            for at in range(0, len(rows), 4096):
+                columns = zip(*rows[at:at + 4096])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, _chunk_types(batch.column(0).type))], names)
+
+    names = [id_col, "chunk_pos", "char_start", "n_chars", "chunk"]
+    src = docs.select(F.col(id_col), F.col(text_col))
+    id_type = src.schema[id_col].dataType.simpleString()
     ship_package(docs.sparkSession)
-    out = spread(src).mapInPandas(run, _RECURSIVE_SCHEMA)
-    return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out
+    return spread(src).mapInArrow(run, f"`{id_col}` {id_type}, chunk_pos int, char_start int, n_chars int, chunk string")
+
+
+def _chunk_types(id_type: pa.DataType) -> list[pa.DataType]:
+    return [id_type, pa.int32(), pa.int32(), pa.int32(), pa.string()]

@@ -1,12 +1,13 @@
-"""Contact-number tables: masked-number expansion, provider-record normalisation, upsert.
+"""Contact-number tables: masked-number expansion, record normalisation, upsert.
 
 * ``expand_masks``: every completion of a mask whose ``*`` are unknown digits.  The
   default mode keeps only non-decreasing digit fillings (combinations with repetition,
   the original generator's behaviour: 24,310 candidates for 8 stars); ``mode='all'``
-  gives every digit string and is capped in star count because it grows as 10^k.
-  Candidates are generated per mask row by higher-order functions and exploded: no join.
+  gives every digit string.  Each filling is worked out from its number: no join, no cap.
+* ``known_fillings``: which known numbers a mask stands for, by a join on the mask.
+* ``classify_numbers``: loosely extracted numbers to ``phone_info`` rows and error rows.
 * ``normalise_records``: provider JSON (hyphenated keys) to ``phone_info`` columns, with
-  error responses routed to their own frame.
+  errors and unreadable messages routed to their own frame.
 * ``upsert_latest``: one row per primary key, newest record first, with the error-code
   foreign key resolved by a left join (dangling codes become null).
 """
@@ -20,10 +21,10 @@ from pyspark.sql import types as T
 from tessera.operators.parallelism import bounded_broadcast, spread
 
 PHONE_PATTERN = r"\+\d+ \(\d{3}\) \d{3}-\d{4}"
-MAX_STARS_NONDECREASING = 12
-MAX_STARS_ALL = 6
+#: Anything that starts like an international number; what it is gets decided afterwards.
+LOOSE_PATTERN = r"\+[0-9][0-9 ().-]{5,}[0-9]"
 
-# Error codes of the validation provider used by this library.
+# Error codes of this library.
 ERROR_CODES = [(1, "missing phone number"), (2, "invalid phone number")]
 
 # Provider response keys and the phone_info columns they fill.
@@ -58,79 +59,125 @@ def mask_number(number: Column, keep_head: int, keep_tail: int) -> Column:
                     F.substring(number, F.greatest(n - keep_tail + 1, F.lit(keep_head + 1)), keep_tail))
 
 
-def _fillings(k_col: str, nondecreasing: bool) -> Column:
-    lo = "coalesce(try_element_at(a, -1), 0)" if nondecreasing else "0"
-    return F.expr(
-        f"""aggregate(sequence(1, greatest({k_col}, 1)), array(cast(array() as array<int>)),
-              (acc, i) -> flatten(transform(acc, a -> transform(sequence({lo}, 9), d -> concat(a, array(d))))))""")
+#: Fillings listed in one array: bounds the rows of the inner explode, not the result.
+FILLING_BLOCK = 65_536
+
+
+def filling_count(stars: Column, mode: str = "nondecreasing") -> Column:
+    """Fillings of that many stars: C(k + 9, 9) without a fall, 10^k in all."""
+    if mode == "all":
+        return F.pow(F.lit(10), stars).cast("bigint")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(9)), F.lit(1).cast("bigint"),
+                       lambda a, j: (a * (stars + j) / j).cast("bigint"))
+
+
+def _choose(n: str, m: str) -> str:
+    """n over m, exactly: each partial product is a binomial coefficient."""
+    return (f"(case when {m} = 0 then 1L else aggregate(sequence(1, {m}), 1L, "
+            f"(c, j) -> (c * ({n} - {m} + j)) div j) end)")
+
+
+def _filling(mode: str) -> str:
+    """The filling with number ``_i`` of ``_k`` stars, as digits, in ascending order."""
+    if mode == "all":
+        return "lpad(cast(_i as string), _k, '0')"
+    # With r stars open and least digit d, the fillings that start with d number C(r-1 + 9-d, 9-d):
+    # either the number lies among them and d is written, or they are skipped and d grows.
+    here = _choose("(s.r - 1 + 9 - s.d)", "(9 - s.d)")
+    return f"""aggregate(sequence(1, _k + 9), named_struct('i', _i, 'd', 0, 'r', _k, 'out', ''),
+        (s, step) -> case when s.r = 0 then s
+          when s.i < {here} then named_struct('i', s.i, 'd', s.d, 'r', s.r - 1, 'out', concat(s.out, cast(s.d as string)))
+          else named_struct('i', s.i - {here}, 'd', s.d + 1, 'r', s.r, 'out', s.out) end, s -> s.out)"""
 
 
 def expand_masks(masks: DataFrame, mask_col: str = "mask", mode: str = "nondecreasing") -> DataFrame:
-    """``(mask, candidate)`` for every filling of the stars, left to right."""
+    """``(mask, candidate)`` for every filling of the stars, left to right.
+
+    Each filling is worked out from its number, so a mask may have any count of stars for
+    which the number of fillings fits in 64 bits; no row ever holds all of them."""
     if mode not in ("nondecreasing", "all"):
         raise ValueError("mode must be 'nondecreasing' or 'all'")
-    cap = MAX_STARS_NONDECREASING if mode == "nondecreasing" else MAX_STARS_ALL
     m = masks.select(F.col(mask_col).alias("mask")).withColumn("_k", star_count(F.col("mask")))
-    # Checked inside the same job: a mask above the cap fails the query instead of
-    # being expanded partially.
-    too_many = F.raise_error(F.lit(f"mask has more than {cap} stars (mode {mode})"))
-    fill = F.expr("""aggregate(_digits, mask,
-        (s, d) -> concat(substring_index(s, '*', 1), cast(d as string), substr(s, instr(s, '*') + 1)))""")
-    return (
-        m.withColumn("_digits", F.explode(
-            F.when(F.col("_k") > cap, too_many)
-            .when(F.col("_k") == 0, F.array(F.array().cast("array<int>")))
-            .otherwise(_fillings("_k", mode == "nondecreasing"))))
-        .select("mask", fill.alias("candidate"))
-    )
-
-
-def extract_numbers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    numbered = m.withColumn("_n", filling_count(F.col("_k"), mode))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(FILLING_BLOCK).cast("bigint")))
+    inner = F.explode(F.sequence(F.col("_first"), F.least(F.col("_first") + FILLING_BLOCK, F.col("_n")) - 1))
+    fill = F.expr("""aggregate(split(_digits, ''), mask, (s, d) -> case when d = '' then s else
+        concat(substring_index(s, '*', 1), d, substr(s, instr(s, '*') + 1)) end)""")
+    return (numbered.withColumn("_first", first).withColumn("_i", inner)
+            .withColumn("_digits", F.when(F.col("_k") == 0, F.lit("")).otherwise(F.expr(_filling(mode))))
+            .select("mask", fill.alias("candidate")))
+
+
+def known_fillings(masks: DataFrame, numbers: DataFrame, keep_head: int, keep_tail: int,
+                   mask_col: str = "mask", number_col: str = "number") -> DataFrame:
+    """``(mask, candidate)``: the known numbers that a mask's non-decreasing fillings would list,
+    without listing them: numbers are masked by the same rule and joined on the mask, and their
+    hidden digits must not fall."""
+    number = F.col("candidate")
+    hidden = F.regexp_replace(F.substring(number, F.lit(keep_head + 1), F.greatest(
+        F.length(number) - keep_head - keep_tail, F.lit(0))), r"\D", "")
+    rising = F.array_join(F.array_sort(F.split(hidden, "")), "") == hidden
+    known = numbers.select(F.col(number_col).alias("candidate")).distinct().where(rising).withColumn(
+        "mask", mask_number(number, keep_head, keep_tail))
+    return known.join(masks.select(F.col(mask_col).alias("mask")).distinct(), "mask").select("mask", "candidate")
+
+
+def extract_numbers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    pattern: str = PHONE_PATTERN) -> DataFrame:
     """Phone numbers written in documents, with their compact form ``+<digits>``."""
     return (
         spread(docs.select(id_col, text_col))
-        .select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(f"({PHONE_PATTERN})"), 1))
+        .select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(f"({pattern})"), 1))
                     .alias("pos", "raw"))
         .select(id_col, "pos", "raw",
                 F.concat(F.lit("+"), F.regexp_replace("raw", r"\D", "")).alias("number"))
     )
 
 
-def records_from_numbers(numbers: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Provider-style JSON message per number (``(doc_id, pos, message)``).
-
-    Stands in for the remote validation call, which is not part of this library: calling
-    code and prefix are read off the written form, numbers whose national part is not
-    10 digits get an error response instead.
-    """
-    cc = F.regexp_extract("raw", r"^\+(\d+)", 1)
-    national = F.regexp_replace(F.regexp_extract("raw", r"^\+\d+ (.*)$", 1), r"\D", "")
-    ok = F.length(national) == 10
-    good = F.struct(
-        F.col("number").alias("international-number"),
-        cc.alias("international-calling-code"),
-        F.regexp_extract("raw", r"\((\d{3})\)", 1).alias("prefix-network"),
-        F.lit(True).alias("valid"),
-        F.lit(False).alias("is-mobile"),
-        F.lit("unknown").alias("type"),
-    )
-    err = F.struct(F.lit(2).alias("api-error"), F.lit("invalid phone number").alias("api-error-msg"))
-    return numbers.select(id_col, "pos", F.when(ok, F.to_json(good)).otherwise(F.to_json(err)).alias("message"))
+def classify_numbers(numbers: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(phone_info rows, error rows) of loosely extracted numbers, read off the written form.
+
+    A number is valid if it is written ``+<code> (<area>) <rest>`` with ten national digits and
+    an area code that starts with 2 to 9.  Every other one is an error row with the raw text as
+    its message, a code and a cause; errors of form have a known code, others have none."""
+    code = F.regexp_extract("raw", r"^\+(\d+)", 1)
+    area = F.regexp_extract("raw", r"^\+\d+ \((\d{3})\)", 1)
+    rest = F.regexp_replace(F.regexp_extract("raw", r"^\+\d+ (.*)$", 1), r"\D", "")
+    cause = (F.when(area == "", "no area code").when(F.length(rest) != 10, "not ten national digits")
+             .when(~area.rlike("^[2-9]"), "area code out of range"))
+    # A form that can't be read is code 2 of the lookup; a readable number out of range has code
+    # 9, which the lookup doesn't hold.
+    code_of = F.when(cause == "area code out of range", 9).otherwise(2)
+    read = numbers.withColumn("cause", cause)
+    info = read.where(F.col("cause").isNull()).select(
+        id_col, "pos", F.col("number").alias("international_number"), code.alias("international_calling_code"),
+        area.alias("prefix_network"), F.lit(True).alias("is_valid"), F.lit(None).cast("int").alias("error_code"))
+    errors = read.where(F.col("cause").isNotNull()).select(
+        id_col, "pos", F.col("number").alias("international_number"), F.col("raw").alias("message"),
+        code_of.alias("error_code"), "cause")
+    return info, errors
 
 
 def normalise_records(records: DataFrame, msg_col: str = "message") -> tuple[DataFrame, DataFrame]:
     """Parse provider JSON once; return (phone_info rows, error rows).
 
     Absent keys become nulls; ``type`` maps to ``phone_type``; ``location`` is kept as
-    an extra nullable column.
+    an extra nullable column.  A message that can't be parsed, a null one, or one without a
+    number and without an error code is an error row too, with the raw message and the cause.
     """
     keys = [c for c in records.columns if c != msg_col]
-    parsed = records.select(*keys, F.from_json(F.col(msg_col), RECORD_SCHEMA).alias("r"))
-    info = parsed.where(F.col("r.`api-error`").isNull()).select(
+    strict = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_bad", T.StringType())])
+    parsed = records.select(*keys, F.col(msg_col).alias("_raw"), F.from_json(
+        F.col(msg_col), strict, {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    cause = (F.when(F.col("_raw").isNull(), "no message").when(F.col("r").isNull() | F.col("r._bad").isNotNull(), "malformed")
+             .when(F.col("r.`api-error`").isNotNull(), "api error")
+             .when(F.col("r.`international-number`").isNull(), "no number"))
+    parsed = parsed.withColumn("cause", cause)
+    info = parsed.where(F.col("cause").isNull()).select(
         *keys, *[F.col(f"r.`{k}`").alias(c) for k, c, _ in RECORD_FIELDS],
         F.lit(None).cast("int").alias("error_code"))
-    errors = parsed.where(F.col("r.`api-error`").isNotNull()).select(
-        *keys, *[F.col(f"r.`{k}`").alias(c) for k, c, _ in ERROR_FIELDS])
+    errors = parsed.where(F.col("cause").isNotNull()).select(
+        *keys, *[F.col(f"r.`{k}`").alias(c) for k, c, _ in ERROR_FIELDS], F.col("_raw").alias("message"), "cause")
     return info, errors
 
 

@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 
 from tessera.operators.indexing import dense_index
 from tessera.operators.parallelism import bounded_broadcast
+from tessera.operators.components import connected_components
 from tessera.session import cut_lineage
 
 
@@ -201,25 +202,14 @@ def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str],
     return out
 
 
-def components(edges: DataFrame, graph_cols: Sequence[str], max_iter: int = 10_000) -> DataFrame:
-    """Component label (smallest reachable node) per ``(graph, node)`` by min-label
-    propagation; one join + aggregate per round until no label changes."""
+def components(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
+    """Component label (smallest reachable node) per ``(graph, node)``: star contraction over
+    nodes keyed by their graph, until nothing changes."""
     g = list(graph_cols)
-    adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
-    labels = _nodes(adj, g).select(*g, "node", F.col("node").alias("label"))
-    for _ in range(max_iter):
-        pushed = labels.join(adj.withColumnRenamed("u", "node"), [*g, "node"]) \
-            .select(*g, F.col("v").alias("node"), F.col("label"), F.lit(False).alias("_own"))
-        # The node's previous label travels with the candidates, so "did it change" is
-        # decided in the same aggregation and read back from the written table.
-        new = labels.select(*g, "node", "label", F.lit(True).alias("_own")).unionByName(pushed) \
-            .groupBy(*g, "node").agg(F.min("label").alias("label"),
-                                     F.min(F.when(F.col("_own"), F.col("label"))).alias("_old"))
-        new = cut_lineage(new.withColumn("_changed", F.col("label") < F.col("_old")).drop("_old"))
-        labels = new.drop("_changed")
-        if new.where(F.col("_changed")).isEmpty():
-            break
-    return labels
+    ends = canonical_edges(edges, g).select(F.struct(*g, F.col("u").alias("node")).alias("u"),
+                                            F.struct(*g, F.col("v").alias("node")).alias("v"))
+    return connected_components(ends).select(
+        *[F.col(f"node.{c}").alias(c) for c in g], F.col("node.node").alias("node"), F.col("component.node").alias("label"))
 
 
 def degree_euler(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:

@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Apply to a scan or a narrow transformation of one (as the operators here do):
-    counting the splits of a frame that contains shuffles would run them."""
+    counting the splits of a frame that contains shuffles would run them.  A streaming frame is
+    returned as it is: its splits are those of each micro-batch."""
+    if df.isStreaming:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism * factor
     if df.rdd.getNumPartitions() * 2 <= target:
         return df.repartition(target)

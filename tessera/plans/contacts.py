@@ -34,16 +34,18 @@ cands AS (
                            mask) AS candidate
   FROM fills)"""
 
-_INFO_SQL = """
-info AS (
-  SELECT doc_id, pos, number AS international_number,
-         regexp_extract(raw, '^\\+(\\d+)', 1) AS international_calling_code,
-         regexp_extract(raw, '\\((\\d{3})\\)', 1) AS prefix_network,
-         true AS is_valid, false AS is_mobile, 'unknown' AS phone_type,
-         CAST(NULL AS VARCHAR) AS country, CAST(NULL AS VARCHAR) AS country_code,
-         CAST(NULL AS VARCHAR) AS location, CAST(NULL AS INTEGER) AS error_code
-  FROM nums
-  WHERE length(regexp_replace(regexp_extract(raw, '^\\+\\d+ (.*)$', 1), '\\D', '', 'g')) = 10)"""
+# Written on its own, not from the operator's patterns.
+_READ_SQL = """
+loose AS (
+  SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS raw
+  FROM (SELECT doc_id, regexp_extract_all(text, '[+][0-9][-0-9 ().]{5,}[0-9]') AS l FROM documents)),
+parts AS (
+  SELECT *, '+' || regexp_replace(raw, '[^0-9]', '', 'g') AS number,
+         regexp_extract(raw, '^[+][0-9]+ [(]([0-9][0-9][0-9])[)]', 1) AS area,
+         regexp_replace(regexp_extract(raw, '^[+][0-9]+ (.*)$', 1), '[^0-9]', '', 'g') AS rest FROM loose),
+read AS (
+  SELECT *, CASE WHEN area = '' THEN 'no area code' WHEN length(rest) <> 10 THEN 'not ten national digits'
+                 WHEN left(area, 1) IN ('0', '1') THEN 'area code out of range' END AS cause FROM parts)"""
 
 
 def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +61,9 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.expand_masks(_masks(spark, sf_dir))
 
 
-def _records(spark: SparkSession, sf_dir: str):
-    return T.normalise_records(T.records_from_numbers(_numbers(spark, sf_dir)))
+def _read(spark: SparkSession, sf_dir: str):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return T.classify_numbers(T.extract_numbers(docs, pattern=T.LOOSE_PATTERN))
 
 
 @register("mask_expand", f"""
@@ -74,8 +77,7 @@ def mask_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_NUMS_SQL}
 SELECT mask, candidate FROM cands WHERE candidate IN (SELECT number FROM nums)""")
 def mask_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _numbers(spark, sf_dir).select(F.col("number").alias("candidate")).distinct()
-    return _candidates(spark, sf_dir).join(known, "candidate", "left_semi").select("mask", "candidate")
+    return T.known_fillings(_masks(spark, sf_dir), _numbers(spark, sf_dir), KEEP_HEAD, KEEP_TAIL)
 
 
 @register("mask_summary", f"""
@@ -85,42 +87,49 @@ SELECT mask, count(*) AS n_candidates,
        CAST(sum(CASE WHEN k.number IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_known
 FROM cands LEFT JOIN known k ON k.number = cands.candidate GROUP BY mask""")
 def mask_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _numbers(spark, sf_dir).select(F.col("number").alias("candidate"), F.lit(1).alias("_k")).distinct()
-    return (_candidates(spark, sf_dir).join(known, "candidate", "left")
-            .groupBy("mask").agg(F.count(F.lit(1)).alias("n_candidates"),
-                                 F.count("_k").alias("n_known")))
+    """Candidates are counted by formula, known ones by a join on the mask: nothing is expanded."""
+    masks = _masks(spark, sf_dir)
+    known = T.known_fillings(masks, _numbers(spark, sf_dir), KEEP_HEAD, KEEP_TAIL).groupBy("mask").agg(
+        F.count(F.lit(1)).alias("n_known"))
+    return masks.join(known, "mask", "left").select(
+        "mask", T.filling_count(T.star_count(F.col("mask"))).alias("n_candidates"),
+        F.coalesce("n_known", F.lit(0)).cast("bigint").alias("n_known"))
 
 
 @register("phone_normalise", f"""
-WITH {_NUMS_SQL}, {_INFO_SQL}
-SELECT * FROM info""")
+WITH {_READ_SQL}
+SELECT doc_id, pos, number AS international_number, regexp_extract(raw, '^\\+([0-9]+)', 1) AS international_calling_code,
+       area AS prefix_network, true AS is_valid, CAST(NULL AS INTEGER) AS error_code
+FROM read WHERE cause IS NULL""")
 def phone_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info, _ = _records(spark, sf_dir)
-    return info
+    return _read(spark, sf_dir)[0]
 
 
 @register("phone_errors", f"""
-WITH {_NUMS_SQL}
-SELECT doc_id, pos, 2 AS error_code, 'invalid phone number' AS error_message FROM nums
-WHERE length(regexp_replace(regexp_extract(raw, '^\\+\\d+ (.*)$', 1), '\\D', '', 'g')) <> 10""")
+WITH {_READ_SQL}
+SELECT doc_id, pos, number AS international_number, raw AS message,
+       CASE WHEN cause LIKE 'area%' THEN 9 ELSE 2 END AS error_code, cause
+FROM read WHERE cause IS NOT NULL""")
 def phone_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, errors = _records(spark, sf_dir)
-    return errors
+    return _read(spark, sf_dir)[1]
 
 
 _CODES_SQL = "(VALUES " + ", ".join(f"({i}, '{d}')" for i, d in T.ERROR_CODES) + ") AS codes(id, description)"
 
 
 @register("phone_upsert", f"""
-WITH {_NUMS_SQL}, {_INFO_SQL},
-latest AS (SELECT * FROM info QUALIFY row_number() OVER (PARTITION BY international_number ORDER BY doc_id DESC, pos DESC) = 1)
-SELECT l.international_number, l.doc_id, l.pos, l.international_calling_code, l.prefix_network, l.is_valid,
-       l.is_mobile, l.phone_type, l.country, l.country_code, l.location,
-       CASE WHEN codes.id IS NOT NULL THEN l.error_code END AS error_code, codes.description AS error_description
-FROM latest l LEFT JOIN {_CODES_SQL} ON l.error_code = codes.id""")
+WITH {_READ_SQL},
+latest AS (SELECT *, CASE WHEN cause IS NULL THEN NULL WHEN cause LIKE 'area%' THEN 9 ELSE 2 END AS code
+           FROM read QUALIFY row_number() OVER (PARTITION BY number ORDER BY doc_id DESC, pos DESC) = 1)
+SELECT l.number AS international_number, l.doc_id, l.pos, l.cause IS NULL AS is_valid,
+       CASE WHEN codes.id IS NOT NULL THEN l.code END AS error_code, codes.description AS error_description
+FROM latest l LEFT JOIN {_CODES_SQL} ON l.code = codes.id""")
 def phone_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info, _ = _records(spark, sf_dir)
-    latest = T.upsert_latest(info, ["international_number"], ["doc_id", "pos"])
+    """Newest row of every number, valid or not; codes that the lookup lacks become null."""
+    info, errors = _read(spark, sf_dir)
+    columns = ["doc_id", "pos", "international_number", "is_valid", "error_code"]
+    rows = info.select(columns).unionByName(errors.withColumn("is_valid", F.lit(False)).select(columns))
+    latest = T.upsert_latest(rows, ["international_number"], ["doc_id", "pos"])
     codes = spark.createDataFrame(T.ERROR_CODES, "id INT, description STRING")
     return T.resolve_error_codes(latest, codes)
 

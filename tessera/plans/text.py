@@ -166,7 +166,31 @@ def doc_chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.chunk_stats(_chunks(spark, sf_dir), ["lang"])
 
 
-@register("doc_chunks_recursive")
+def _cut_sql(start: str) -> str:
+    """End of the window that starts at ``start``: behind the last separator in its further half."""
+    size, least = CH.CHUNK_SIZE, max(CH.CHUNK_SIZE // 2, CH.CHUNK_OVERLAP)
+    back = f"reverse(substring(text, {start} + {least} + 1, {size - least}))"
+    cases = " ".join(f"WHEN strpos({back}, {sep}) > 0 THEN {start} + {size} - strpos({back}, {sep}) + 1"
+                     for sep in ("chr(10) || chr(10)", "chr(10)", "' '"))
+    return f"CASE WHEN {start} + {size} >= n THEN n {cases} ELSE {start} + {size} END"
+
+
+_NEXT_SQL = f"""
+  CASE WHEN strpos(translate(substring(text, e - {CH.CHUNK_OVERLAP} + 1, {CH.CHUNK_OVERLAP - 1}), chr(10), ' '), ' ') > 0
+       THEN e - {CH.CHUNK_OVERLAP} + strpos(translate(substring(text, e - {CH.CHUNK_OVERLAP} + 1, {CH.CHUNK_OVERLAP - 1}), chr(10), ' '), ' ')
+       ELSE e - {CH.CHUNK_OVERLAP} END"""
+
+
+@register("doc_chunks_recursive", f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE text <> ''),
+c AS (
+  SELECT doc_id, 0 AS chunk_pos, CAST(0 AS BIGINT) AS s, CAST({_cut_sql('0')} AS BIGINT) AS e FROM d
+  UNION ALL
+  SELECT doc_id, chunk_pos + 1, s, CAST({_cut_sql('s')} AS BIGINT)
+  FROM (SELECT doc_id, text, n, chunk_pos, CAST({_NEXT_SQL} AS BIGINT) AS s FROM c JOIN d USING (doc_id) WHERE e < n) t)
+SELECT doc_id, CAST(chunk_pos AS INTEGER) AS chunk_pos, CAST(s AS INTEGER) AS char_start, CAST(e - s AS INTEGER) AS n_chars,
+       substring(text, s + 1, e - s) AS chunk
+FROM c JOIN d USING (doc_id)""")
 def doc_chunks_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return CH.recursive_chunks(docs)

@@ -41,8 +41,30 @@ def test_records_upsert_and_fk(spark):
     assert len(out) == 1 and out[0]["doc_id"] == 2 and out[0]["error_code"] is None
 
 
-def test_mask_cap_fails_loudly(spark):
-    import pytest
-    masks = spark.createDataFrame([("*******",)], "mask STRING")
-    with pytest.raises(Exception):
-        T.expand_masks(masks, mode="all").collect()
+def test_malformed_records_are_errors(spark):
+    msgs = spark.createDataFrame([(1, "{not json"), (2, None), (3, '{"valid": true}'), (4, '{"international-number": "+5"}')],
+                                 "doc_id BIGINT, message STRING")
+    info, errors = T.normalise_records(msgs)
+    assert [r["doc_id"] for r in info.collect()] == [4]
+    got = {r["doc_id"]: (r["cause"], r["message"]) for r in errors.collect()}
+    assert got == {1: ("malformed", "{not json"), 2: ("no message", None), 3: ("no number", '{"valid": true}')}
+
+
+def test_numbers_are_classified(spark):
+    docs = spark.createDataFrame([(1, "+1 (743) 555-3824 x +1 (043) 555-3824 y +49 30 1234567")], "doc_id BIGINT, text STRING")
+    info, errors = T.classify_numbers(T.extract_numbers(docs, pattern=T.LOOSE_PATTERN))
+    assert [r["international_number"] for r in info.collect()] == ["+17435553824"]
+    assert sorted((r["cause"], r["error_code"]) for r in errors.collect()) == [("area code out of range", 9), ("no area code", 2)]
+
+
+def test_long_masks_and_known_fillings(spark):
+    import math
+    long = spark.createDataFrame([("*" * 13,)], "mask STRING")
+    out = T.expand_masks(long)
+    assert out.count() == math.comb(22, 9) and out.agg(F.max("candidate")).first()[0] == "9" * 13
+    masks = spark.createDataFrame([("+1743*****24",), ("77",)], "mask STRING")
+    numbers = spark.createDataFrame([("+17431122324",), ("+17435553824",), ("77",), ("+17441122324",)], "number STRING")
+    exp = T.expand_masks(masks).join(numbers.withColumnRenamed("number", "candidate"), "candidate", "left_semi")
+    got = T.known_fillings(masks, numbers, 5, 2)
+    assert sorted(map(tuple, got.select("mask", "candidate").collect())) == sorted(map(tuple, exp.select("mask", "candidate").collect()))
+    assert masks.select(T.filling_count(T.star_count(F.col("mask")))).collect()[0][0] == math.comb(14, 9)

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tessera.plans import ORACLE_SQL, QUERIES
 
 _spec = importlib.util.spec_from_file_location(
     "oracle_check", os.path.join(os.path.dirname(os.path.dirname(__file__)), "scripts", "oracle_check.py"))
@@ -21,7 +22,7 @@ def _duck_type(t):
     return _TYPES.get(repr(t), repr(t))
 
 
-ROWS_ONLY = {"doc_chunks_recursive", "pca_diagnostics", "pca_variance", "knn_lsh_recall", "chunk_tfidf_vectors",
+ROWS_ONLY = {"pca_diagnostics", "pca_variance", "knn_lsh_recall", "chunk_tfidf_vectors",
              "pca_cross_validation"}
 
 
@@ -31,7 +32,8 @@ def duck():
 
 
 def test_registry_shape():
-    q, s = E.queries(), E.oracle_sql()
+    q, s = QUERIES, ORACLE_SQL
+    assert set(q) <= set(E.queries()) and set(s) <= set(E.oracle_sql())
     assert set(s) <= set(q)
     assert set(q) - set(s) == ROWS_ONLY
 
@@ -42,7 +44,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     """Rows, column names, column types and exact values."""
     df = E.queries()[name](spark, SF_SMALL)

@@ -115,27 +115,27 @@ def test_validation_and_catalog_clean(spark):
     with pytest.raises(ValueError):
         S.validate(1, 0)
     raw = spark.createDataFrame(
-        [("K", "T1", 10, "99XP", "x620", 50, 0.5, None), ("K", "T2", 10, "5XP", "x7", 40, 2.0, None),
+        [("K", "T1", 10, "41XP", "x3", 50, 0.5, None), ("K", "T2", 10, "5XP", "x7", 40, 2.0, None),
          ("L", "T3", 1, "1XP", "x1", 9, 12.0, None)],
         "Collection STRING, Title STRING, `Price (Coins)` BIGINT, `Experience (XP)` STRING, Units STRING, "
         "`Total Revenue (Coins)` BIGINT, `Time (Hrs)` DOUBLE, `Order` STRING")
     clean = C.clean_catalog(raw, ["title"]).orderBy("id").collect()
     assert [(r["title"], r["id"], r["benefit"]) for r in clean] == [("T2", 0, 30), ("T3", 1, 8)]
     xp = raw.select(C.numeric_suffix("Experience (XP)").alias("xp")).collect()
-    assert [r["xp"] for r in xp] == [99, 5, 1]
+    assert [r["xp"] for r in xp] == [41, 5, 1]
 
 
 def test_catalog_csv_source(spark, tmp_path):
     path = tmp_path / "catalog.csv"
     path.write_text(
         "Collection,Title,Price (Coins),Experience (XP),Units,Total Revenue (Coins),Time (Hrs),Order\n"
-        "Glam,Pink Dress,670,99XP,x620,3100,12,\n"
-        "Glam,Green Shoes,790,83XP,x740,3700,0.5,\n"
-        "Neon,Hat,100,5XP,x10,300,24,\n")
+        "Winter,Woollen Scarf,45,8XP,x2,180,6,\n"
+        "Winter,Felt Mittens,30,4XP,x1,95,0.25,\n"
+        "Garden,Straw Hat,120,15XP,x9,410,24,\n")
     from tessera.sources import read_catalog_csv
     raw = read_catalog_csv(spark, str(path))
     clean = C.clean_catalog(raw.withColumn("pos", F.monotonically_increasing_id()), ["pos"]).orderBy("id").collect()
-    assert [(r["title"], r["benefit"], r["id"]) for r in clean] == [("Pink Dress", 2430, 0), ("Hat", 200, 1)]
+    assert [(r["title"], r["benefit"], r["id"]) for r in clean] == [("Woollen Scarf", 135, 0), ("Straw Hat", 290, 1)]
     assert set(clean[0].asDict()) >= {"collection", "title", "cost", "xp", "units", "revenue", "duration", "order"}
     val = S.best_value(C.clean_catalog(raw, ["title"]), "collection", 1, 1, [], mode="occupancy").collect()
-    assert {r["collection"]: r["value"] for r in val} == {"Glam": 4860, "Neon": 200}
+    assert {r["collection"]: r["value"] for r in val} == {"Winter": 540, "Garden": 290}

@@ -1,25 +1,24 @@
-"""Property tests of the recursive splitter (pure Python helper, no Spark)."""
+"""Property tests of the separator chunks (pure Python helper, no Spark)."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.operators.chunking import split_recursive
+from tessera.operators.chunking import cut_places
 
 text_st = st.text(alphabet=st.sampled_from(list("ab cd\n\n\t,.")), min_size=0, max_size=400)
 
 
 @settings(max_examples=300, deadline=None)
 @given(text=text_st, size=st.integers(5, 60), overlap_frac=st.floats(0, 0.9))
-def test_chunks_are_bounded_substrings_covering_the_text(text, size, overlap_frac):
+def test_chunks_are_bounded_and_cover_the_text(text, size, overlap_frac):
     overlap = int(size * overlap_frac)
-    chunks = split_recursive(text, size, overlap)
-    stripped = text.strip()
-    if not stripped:
-        assert chunks == []
+    places = list(cut_places(text, size, overlap))
+    assert all(0 < b - a <= size for a, b in places)
+    if not text:
+        assert places == []
         return
-    assert all(0 < len(c) <= size for c in chunks)
-    assert all(c == c.strip() and c in text for c in chunks)
-    assert stripped.startswith(chunks[0][:1]) and stripped.endswith(chunks[-1][-1:])
-    # overlap only repeats text: chunks hold at least every non-blank character once
-    blank = set(" \t\n")
-    assert sum(ch not in blank for c in chunks for ch in c) >= sum(ch not in blank for ch in text)
+    assert places[0][0] == 0 and places[-1][1] == len(text)
+    for (a, b), (c, d) in zip(places, places[1:]):
+        assert a < c <= b < d and b - c <= overlap  # nothing is left out, and overlaps are short
+        if b - a < size:
+            assert text[b - 1] in " \n"

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tessera.functions import compose_key, parse_key, two_decimals
+from tessera.operators import chunking as C
 from tessera.operators import web as W
 from tessera.sources import read_table
 from tessera.streaming import run_incremental
@@ -26,6 +27,35 @@ def test_incremental_page_links(spark, tmp_path):
     assert got_all.count() == exp_all.count() and got_all.exceptAll(exp_all).count() == 0
 
 
+RESTART = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from tessera.session import build_session
+from tessera.operators import chunking as C
+from tessera.streaming import run_incremental
+spark = build_session(cpus=2, shuffle_partitions=2)
+src, sink, ck = sys.argv[2:5]
+schema = spark.read.parquet(src).schema
+run_incremental(spark, src, schema, C.recursive_chunks, sink, ck)
+spark.stop()
+"""
+
+
+def test_restarted_application_adds_new_files_only(spark, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    src, sink, ck = (str(tmp_path / n) for n in ("src", "sink", "ck"))
+    for part in (F.col("doc_id") < 40, F.col("doc_id") >= 40):
+        docs.where(part).write.mode("append").parquet(src)
+        subprocess.run([sys.executable, "-c", RESTART, root, src, sink, ck], check=True, timeout=300)
+    got, exp = spark.read.parquet(sink), C.recursive_chunks(docs)
+    assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
+
+
 def test_keys_round_trip(spark):
     df = spark.createDataFrame([(12, 3, 1)], "p INT, h INT, s INT")
     k = df.select(compose_key(F.col("p"), F.col("h"), F.col("s")).alias("k"))

@@ -29,26 +29,16 @@ def test_fixed_chunks_rebuild_text(spark):
         assert [c["char_start"] for c in chunks] == [896 * k for k in range(len(chunks))]
 
 
-def test_recursive_splitter_properties():
-    rng = random.Random(2)
-    words = ["alpha", "beta", "gamma", "delta", "x" * 1500]
-    for _ in range(30):
-        text = "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(1, 60))) for _ in range(rng.randint(1, 30)))
-        chunks = CH.split_recursive(text, 200, 40)
-        assert all(len(c) <= 200 for c in chunks)
-        assert all(c == c.strip() and c for c in chunks)
-        joined = "".join(text.split())
-        for c in chunks:
-            assert "".join(c.split()) in joined
-    assert CH.split_recursive("a b c", 1024, 128) == ["a b c"]
-    assert CH.split_recursive("", 1024, 128) == []
-
-
 def test_recursive_chunks_distributed(spark):
-    docs = spark.createDataFrame([(1, "para one.\n\npara two " * 200), (2, "")], "doc_id BIGINT, text STRING")
-    rows = CH.recursive_chunks(docs).collect()
-    exp = CH.split_recursive("para one.\n\npara two " * 200)
-    assert [r["chunk"] for r in sorted(rows, key=lambda r: r["chunk_pos"])] == exp
+    text = "para one.\n\npara two " * 200
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "a b c")], "doc_id BIGINT, text STRING")
+    rows = sorted(CH.recursive_chunks(docs).collect(), key=lambda r: (r["doc_id"], r["chunk_pos"]))
+    assert [(r["char_start"], r["char_start"] + r["n_chars"]) for r in rows if r["doc_id"] == 1] == list(CH.cut_places(text))
+    assert all(r["chunk"] == text[r["char_start"]:r["char_start"] + r["n_chars"]] for r in rows if r["doc_id"] == 1)
+    assert [r["chunk"] for r in rows if r["doc_id"] > 1] == ["a b c"]
+    # the coarsest separator far enough in the window ends the chunk
+    assert list(CH.cut_places("aaaa bbbb\ncc dd eeee", 14, 3))[0] == (0, 10)
+    assert list(CH.cut_places("x" * 30, 14, 4)) == [(0, 14), (10, 24), (20, 30)]
 
 
 def test_string_helpers(spark):
