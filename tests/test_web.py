@@ -37,19 +37,46 @@ def test_links_and_categories(spark):
     assert len(cats) == W.links_by_category(pages).count() + len(left)
 
 
+SHOP = (
+    '<ul><li class="product-grid-product _product" data-productid="P1"><a class="x" href="/no"></a>'
+    '<ul><li>inner</li></ul><a class="y product-link" href=\'/p/1?a=1&amp;b=2\'>Dress</a></li>'
+    '<li class="product-grid-product _product other" data-productid="P2"><span>no link</span></li>'
+    '<li class="product-grid-product _product"><a class="product-link" href="/p/3">no id</a></li>'
+    '<li class="product-grid-product" data-productid="P4">one class only</li></ul>'
+    '<div class="product-detail-view-x info"><div class="the-main"><h1 class="a header-name b">  Linen Dress </h1>'
+    '<p>Now 29,95 EUR instead of 40 EUR</p></div></div>'
+    '<div class="product-detail-view info2"><div class="main">none here</div></div>'
+    '<div class="product-detail-view info3"><div class="secondary"><ul>'
+    '<li class="composition-part"><span class="part-name">Outer</span><ul><li>60% cotton</li><li>40% linen</li></ul></li>'
+    '<li class="composition-part">plain</li></ul></div></div>')
+
+
 def test_items_headers_composition(spark):
-    pages = _pages(spark)
-    items = {r["product_id"]: r["product_link"] for r in W.page_items(pages).collect()}
-    assert items["P1"] == "/p/1" and items["Woman"] == "/woman/new"
-    assert "no href" in items and items["no href"] is None
-    heads = [(r["header"], r["price"]) for r in W.page_headers(pages).orderBy("block_pos").collect()]
-    assert heads == [("Linen Dress", "29,95 EUR"), ("info_1", "N/A")]
-    comp = [(r["percentage"], r["material"]) for r in W.composition(pages).orderBy("part_pos").collect()]
-    assert comp == [(60, "cotton"), (40, "linen")]
+    pages = spark.createDataFrame([(1, SHOP), (2, None), (3, "")], "page_id BIGINT, html STRING")
+    items = [tuple(r) for r in W.page_items(pages).orderBy("item_pos").collect()]
+    assert items == [(1, 0, "P1", "/p/1?a=1&b=2"), (1, 1, "P2", None)]
+    assert [tuple(r) for r in W.first_item(pages).collect()] == items[:1]
+    heads = [(r["block_pos"], r["header"], r["price"]) for r in W.page_headers(pages).orderBy("block_pos").collect()]
+    assert heads == [(0, "Linen Dress", "29,95 EUR"), (1, "info_1", "N/A")]
+    comp = [(r["part_name"], r["shares"]) for r in W.composition(pages).orderBy("part_pos").collect()]
+    assert comp == [("Outer", ["60% cotton", "40% linen"]), ("N/A", [])]
     val = spark.createDataFrame([("29,95 EUR",)], "p STRING").select(W.price_value(W.F.col("p")).alias("v")).first()
     assert abs(val["v"] - 29.95) < 1e-9
 
 
+def test_links_of_either_quotes_only_from_anchors(spark):
+    html = ('<article data-href="/no"></article><area href="/no"><abbr href="/no"></abbr><a data-href="/no" '
+            "href='/one'>x</a><A\nHREF = \"/two?a=1&amp;b=2\">y</A><a href=''>z</a>")
+    pages = spark.createDataFrame([(1, html)], "page_id BIGINT, html STRING")
+    assert [r["href"] for r in W.page_links(pages).orderBy("link_pos").collect()] == ["/one", "/two?a=1&b=2"]
+
+
+def test_nested_elements_stay_whole(spark):
+    html = "<li>a<ul><li>b</li></ul>c</li><li>d</li><lithium>e</lithium><li>open"
+    row = spark.createDataFrame([(html,)], "h STRING").select(W.elements(W.F.col("h"), "li").alias("e")).first()
+    assert row["e"] == ["<li>a<ul><li>b</li></ul>c</li>", "<li>d</li>"]
+
+
 def test_category_lists_and_folding(spark):
     pages = _pages(spark)
     lists = {r["category"]: (r["n_links"], r["links"]) for r in W.category_lists(W.categorise_links(pages)).collect()}
