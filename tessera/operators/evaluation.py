@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import truncate_ellipsis
 from tessera.operators.indexing import dense_index
-from tessera.operators.parallelism import bounded_broadcast
+
 
 # Metric names, the rule-of-thumb bands and the cell text-colour rule.
 METRICS = ["faithfulness", "answer_relevancy", "nv_context_relevance"]
@@ -40,7 +40,7 @@ def label_retrieval_scores(neighbours: DataFrame, labels: DataFrame, qid_col: st
     pop = labels.groupBy(F.col(label_col).alias(qid_col)).agg(F.count(F.lit(1)).alias("_pop"))
     hit = (F.col("_lab") == F.col(qid_col))
     per_q = (
-        lab.join(bounded_broadcast(neighbours.select(qid_col, key_col, "rank")), key_col)
+        lab.join(neighbours.select(qid_col, key_col, "rank"), key_col)
         .groupBy(qid_col)
         .agg(F.sum(hit.cast("int")).cast("bigint").alias("hits"),
              F.min(F.when(hit, F.col("rank"))).alias("_first"))
@@ -109,22 +109,38 @@ def score_extremes(labelled: DataFrame, n: int = 3, metrics: Sequence[str] = MET
     return low.unionByName(high).select("kind", "pos", "q", "metric", "score")
 
 
-def support_scores(kept: DataFrame, context: DataFrame, queries: DataFrame, qid_col: str,
-                   qtext_col: str) -> DataFrame:
-    """Evaluation rows without a judge model, one per question:
-    ``(qid, user_input, faithfulness, answer_relevancy, nv_context_relevance)`` where
-    faithfulness is the share of the question's distinct tokens present in the assembled
-    context, answer relevancy the overlap score of the first kept passage and context
-    relevance the mean overlap of the kept passages (at most ``n`` rows per question)."""
-    from tessera.operators.retrieval import tokens
+def first_sentence(text: Column) -> Column:
+    return F.trim(F.regexp_extract(text, r"(?s)^([^.!?]*[.!?]?)", 1))
+
+
+def eval_rows(kept: DataFrame, candidates: DataFrame, corpus: DataFrame, queries: DataFrame, qid_col: str,
+              qtext_col: str, keys: Sequence[str], text_col: str) -> DataFrame:
+    """One row per question: ``(qid, user_input, response, retrieved_contexts)``.
+
+    The response is extractive: the first sentence of the best first-stage passage.  The
+    contexts are the kept passages in rank order, an array of at most ``n`` texts."""
+    keys = list(keys)
+    texts = corpus.select(*keys, F.col(text_col).alias("_t"))
+    contexts = texts.join(kept.select(qid_col, *keys, "rank"), keys).groupBy(qid_col).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "_t"))), lambda x: x["_t"]).alias("retrieved_contexts"))
+    answers = texts.join(candidates.where(F.col("rank") == 1).select(qid_col, *keys), keys).select(
+        qid_col, first_sentence(F.col("_t")).alias("response"))
+    return (queries.select(qid_col, F.col(qtext_col).alias("user_input")).join(answers, qid_col).join(contexts, qid_col)
+            .select(qid_col, "user_input", "response", "retrieved_contexts"))
+
+
+def support_scores(rows: DataFrame, kept: DataFrame, qid_col: str) -> DataFrame:
+    """Scores of evaluation rows without a judge model: ``(qid, user_input, faithfulness,
+    answer_relevancy, nv_context_relevance)``.
+
+    Faithfulness is the share of the response's distinct tokens found in the contexts, answer
+    relevancy the token overlap of response and question, context relevance the mean
+    second-stage score of the kept passages (at most ``n`` rows per question)."""
+    from tessera.operators.retrieval import coverage, jaccard, tokens
 
-    q = queries.select(qid_col, F.col(qtext_col).alias("user_input"),
-                       F.array_distinct(tokens(F.col(qtext_col))).alias("_qt"))
-    top1 = kept.where(F.col("rank") == 1).select(qid_col, F.col("score").alias("answer_relevancy"))
     mean = kept.groupBy(qid_col).agg(F.avg("score").alias("nv_context_relevance"))
-    ctx_t = F.array_distinct(tokens(F.col("context")))
-    faith = (F.size(F.array_intersect(F.col("_qt"), ctx_t)) / F.size(F.col("_qt"))).cast("double")
-    return (
-        context.join(q, qid_col).join(top1, qid_col).join(mean, qid_col)
-        .select(qid_col, "user_input", faith.alias("faithfulness"), "answer_relevancy", "nv_context_relevance")
-    )
+    answer, question = tokens(F.col("response")), tokens(F.col("user_input"))
+    context = tokens(F.array_join("retrieved_contexts", "\n\n"))
+    return rows.join(mean, qid_col).select(
+        qid_col, "user_input", coverage(answer, context).alias("faithfulness"),
+        jaccard(answer, question).alias("answer_relevancy"), "nv_context_relevance")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.operators.indexing import dense_index
-from tessera.operators.parallelism import bounded_broadcast
+
 from tessera.operators.components import connected_components
 from tessera.session import cut_lineage
 
@@ -142,7 +142,7 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
         max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
     starts = _nodes(adj, g)
     if hamiltonian:
-        starts = starts.join(bounded_broadcast(sizes), g).where(F.col("node") == F.col("min_node")).select(*g, "node")
+        starts = starts.join(sizes, g).where(F.col("node") == F.col("min_node")).select(*g, "node")
     frontier = starts.select(*g, F.col("node").alias("start"), F.col("node").alias("last"),
                              F.array("node").alias("path"))
     found = []
@@ -164,9 +164,9 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
         out = out.unionByName(f)
     out = out.withColumnRenamed("path", "cycle")
     if hamiltonian:
-        # one row per graph, broadcast after a size check: a graph with most of the cycles
+        # one row per graph, broadcast if adaptive execution finds it small: a graph with most of the cycles
         # is not shuffled into one task
-        out = out.join(bounded_broadcast(sizes.select(*g, "n_nodes")), g) \
+        out = out.join(sizes.select(*g, "n_nodes"), g) \
             .where(F.col("length") == F.col("n_nodes")).drop("n_nodes")
     return out
 
@@ -179,7 +179,7 @@ def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str],
     adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
     sizes = _sizes(adj, g)
     max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
-    frontier = _nodes(adj, g).join(bounded_broadcast(sizes.select(*g, "n_nodes")), g) \
+    frontier = _nodes(adj, g).join(sizes.select(*g, "n_nodes"), g) \
         .select(*g, "n_nodes", F.col("node").alias("last"), F.array("node").alias("path"))
     done = []
     for _ in range(1, int(max_len)):
@@ -269,7 +269,7 @@ def evenly_spaced(paths: DataFrame, graph_cols: Sequence[str], order_col: str, p
     g = list(graph_cols)
     idx = dense_index(paths, [*g, order_col], "_gpos")
     first = idx.groupBy(*g).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    ranked = idx.join(bounded_broadcast(first), g).withColumn("_pos", F.col("_gpos") - F.col("_start"))
+    ranked = idx.join(first, g).withColumn("_pos", F.col("_gpos") - F.col("_start"))
     want = F.sequence(F.lit(1), F.lit(picks))
     hit = F.filter(want, lambda i: F.pmod(F.floor(i * F.col("_n") / picks) - 1, F.col("_n")) == F.col("_pos"))
     return ranked.select("*", F.explode(hit).alias("pick")).drop("_gpos", "_start", "_pos", "_n")

@@ -22,16 +22,3 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     if df.rdd.getNumPartitions() * 2 <= target:
         return df.repartition(target)
     return df
-
-
-MAX_BROADCAST_ROWS = 5_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count; above the bound the frame is
-    returned unhinted and the join falls back to a shuffle join (or AQE's own size-checked
-    broadcast decision)."""
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

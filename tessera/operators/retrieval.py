@@ -1,16 +1,17 @@
 """Two-stage retrieval: exact top-k first stage, rescoring second stage, context text.
 
-First stage (exact, no pair table): a bounded query set is shipped to every task as a
-broadcast variable; each task scores its slice of the corpus against all queries in
-Arrow batches (``mapInPandas`` + numpy) and keeps only a partial top-k per query under
-the total order ``(score desc, keys asc)``.  The partials (at most ``k`` rows per query
-and task) are merged by ``row_number() <= k`` per query.  The corpus is read once and
-never shuffled; the only shuffle carries ``queries x k x tasks`` rows.  The query set is
-collected once behind a row bound; sets larger than ``MAX_QUERIES_PER_PASS`` are scored
-in several passes over the corpus.
+First stage (exact, no pair table): queries are taken in blocks of about
+``QUERIES_PER_BLOCK``, chosen by a hash of the id, so the driver holds one block at a time
+whatever the size of the query set.  A block is shipped to every task as a broadcast
+variable; each task scores its slice of the corpus against it in Arrow batches
+(``mapInPandas`` + numpy) and keeps only a partial top-k per query under the total order
+``(score desc, keys asc)``.  The partials (at most ``k`` rows per query and task) are merged
+by ``row_number() <= k`` per query.  The corpus is read once a block and never shuffled; the
+only shuffle carries ``queries x k x tasks`` rows.
 
 Scorers: BM25 over word tokens (text corpus) and cosine similarity (vector corpus).
-Second stage: Jaccard overlap of token sets on the ``k`` candidates only, keep ``n``.
+Second stage: any scorer of two token arrays (Jaccard overlap by default) on the ``k``
+candidates only, keep ``n``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.operators.parallelism import bounded_broadcast, spread
+from tessera.operators.parallelism import spread
 from tessera.session import cut_lineage, ship_package
 
 # Word token = run of characters that are not whitespace or punctuation.
@@ -38,9 +39,7 @@ CONTEXT_SEPARATOR = "\n\n"
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DECIMALS = 9
-MAX_QUERIES_PER_PASS = 2048
-MAX_QUERY_TERMS = 2_000_000
-MAX_QUERY_VECTORS = 100_000
+QUERIES_PER_BLOCK = 2048
 SUB_BATCH = 2048
 
 
@@ -48,17 +47,21 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), 0)
 
 
-def _collect_bounded(df: DataFrame, limit: int, what: str) -> list:
-    """Collect a frame that must stay small; one job, fails loudly above ``limit`` rows."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what}: more than {limit} rows; split the query set")
-    return rows
+def _query_blocks(queries: DataFrame, qid_col: str) -> list[DataFrame]:
+    """The queries in blocks of about ``QUERIES_PER_BLOCK`` by a hash of the id."""
+    n = queries.count()
+    blocks = -(-n // QUERIES_PER_BLOCK)
+    if blocks <= 1:
+        return [queries]
+    at = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(blocks))
+    return [queries.where(at == i) for i in range(blocks)]
 
 
-def _blocks(ids: list, size: int) -> list[list]:
-    """Consecutive blocks of at most ``size`` query ids: one corpus pass per block."""
-    return [ids[i:i + size] for i in range(0, len(ids), size)] or [[]]
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def _merge_topk(frames: list[pd.DataFrame], keys: list[str], k: int) -> pd.DataFrame:
@@ -175,61 +178,60 @@ def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: s
     frequencies) and the scoring scan both read that table instead of the text.
     """
     keys = list(keys)
+    blocks = [_bm25_block(q, corpus, qid_col, qtext_col, keys, text_col, k) for q in _query_blocks(queries, qid_col)]
+    # queries x k rows: written once so later joins do not rescan.
+    return cut_lineage(_union(blocks).withColumnRenamed("qid", qid_col))
+
+
+def _bm25_block(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: str, keys: list[str],
+                text_col: str, k: int) -> DataFrame:
+    """Top-k of one block of queries, whose terms are held by the driver."""
     key_types = [corpus.schema[c].dataType for c in keys]
-    qterms = queries.select(F.col(qid_col).cast("bigint").alias("qid"),
-                            F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term"))
-    qt_rows = _collect_bounded(qterms, MAX_QUERY_TERMS, "query terms")
-    if not qt_rows:
-        raise ValueError("no query has any token")
+    qt_rows = queries.select(F.col(qid_col).cast("bigint").alias("qid"),
+                             F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term")).collect()
     terms = sorted({r["term"] for r in qt_rows})
     term_index = {t: i for i, t in enumerate(terms)}
     tf = cut_lineage(_term_frequencies(corpus, keys, key_types, text_col, terms))
     stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     dfs = np.zeros(len(terms), dtype=np.float64)
-    # at most one row per query term (the vocabulary was size-checked above)
+    # at most one row per term of the block
     for r in tf.select(F.explode("tids").alias("t")).groupBy("t").count().collect():
         dfs[r["t"]] = r["count"]
     idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
     by_query: dict[int, list[int]] = {}
     for r in qt_rows:
         by_query.setdefault(r["qid"], []).append(term_index[r["term"]])
-    results = []
-    for block in _blocks(sorted(by_query), MAX_QUERIES_PER_PASS):
-        qids = np.array(block, dtype=np.int64)
-        # CSR: term -> queries (of this block) containing it.
-        pairs = sorted((t, i) for i, q in enumerate(block) for t in by_query[q])
-        t_arr = np.array([p[0] for p in pairs], dtype=np.int64)
-        q_arr = np.array([p[1] for p in pairs], dtype=np.int64)
-        indptr = np.searchsorted(t_arr, np.arange(len(terms) + 1))
-        bc = corpus.sparkSession.sparkContext.broadcast(
-            {"idf": idf, "indptr": indptr, "q": q_arr, "nq": len(qids), "avgdl": avgdl})
-
-        def scorer(part: pd.DataFrame, bc=bc) -> np.ndarray:
-            v = bc.value
-            S = np.zeros((len(part), v["nq"]), dtype=np.float64)
-            lens = part["tids"].map(len).to_numpy()
-            if lens.sum() == 0:
-                return S
-            r = np.repeat(np.arange(len(part)), lens)
-            t = np.concatenate(part["tids"].to_numpy()).astype(np.int64)
-            tf = np.concatenate(part["tfs"].to_numpy()).astype(np.float64)
-            dl = part["dl"].to_numpy(dtype=np.float64)
-            norm = BM25_K1 * (1 - BM25_B + BM25_B * dl[r] / v["avgdl"]) if v["avgdl"] > 0 else BM25_K1
-            w = v["idf"][t] * tf * (BM25_K1 + 1) / (tf + norm)
-            starts, ends = v["indptr"][t], v["indptr"][t + 1]
-            reps = ends - starts
-            first = np.cumsum(reps) - reps
-            idx = np.arange(int(reps.sum())) - np.repeat(first, reps) + np.repeat(starts, reps)
-            np.add.at(S, (np.repeat(r, reps), v["q"][idx]), np.repeat(w, reps))
+    block = sorted(by_query)
+    qids = np.array(block, dtype=np.int64)
+    # CSR: term -> queries (of this block) containing it.
+    pairs = sorted((t, i) for i, q in enumerate(block) for t in by_query[q])
+    t_arr = np.array([p[0] for p in pairs], dtype=np.int64)
+    q_arr = np.array([p[1] for p in pairs], dtype=np.int64)
+    indptr = np.searchsorted(t_arr, np.arange(len(terms) + 1))
+    bc = corpus.sparkSession.sparkContext.broadcast(
+        {"idf": idf, "indptr": indptr, "q": q_arr, "nq": len(qids), "avgdl": avgdl})
+
+    def scorer(part: pd.DataFrame) -> np.ndarray:
+        v = bc.value
+        S = np.zeros((len(part), v["nq"]), dtype=np.float64)
+        lens = part["tids"].map(len).to_numpy()
+        if lens.sum() == 0:
             return S
-
-        results.append(_topk_scan(tf, keys, key_types, scorer, qids, k, min_score=0.0))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    # queries x k rows: written once so later size checks and joins do not rescan.
-    return cut_lineage(out.withColumnRenamed("qid", qid_col))
+        r = np.repeat(np.arange(len(part)), lens)
+        t = np.concatenate(part["tids"].to_numpy()).astype(np.int64)
+        tf = np.concatenate(part["tfs"].to_numpy()).astype(np.float64)
+        dl = part["dl"].to_numpy(dtype=np.float64)
+        norm = BM25_K1 * (1 - BM25_B + BM25_B * dl[r] / v["avgdl"]) if v["avgdl"] > 0 else BM25_K1
+        w = v["idf"][t] * tf * (BM25_K1 + 1) / (tf + norm)
+        starts, ends = v["indptr"][t], v["indptr"][t + 1]
+        reps = ends - starts
+        first = np.cumsum(reps) - reps
+        idx = np.arange(int(reps.sum())) - np.repeat(first, reps) + np.repeat(starts, reps)
+        np.add.at(S, (np.repeat(r, reps), v["q"][idx]), np.repeat(w, reps))
+        return S
+
+    return _topk_scan(tf, keys, key_types, scorer, qids, k, min_score=0.0)
 
 
 # --- cosine first stage ---------------------------------------------------------------
@@ -239,19 +241,16 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qvec_col:
     """Exact top-``k`` by cosine similarity: ``(qid, *keys, score, rank)``."""
     keys = list(keys)
     key_types = [corpus.schema[c].dataType for c in keys]
-    rows = _collect_bounded(queries.select(F.col(qid_col).cast("bigint").alias("q"),
-                                           F.col(qvec_col).cast("array<double>").alias("v")),
-                            MAX_QUERY_VECTORS, "query vectors")
-    if not rows:
-        raise ValueError("no query vectors")
-    rows.sort(key=lambda r: r["q"])
+    src = corpus.select(*keys, F.col(vec_col).alias("vec"))
     results = []
-    for block in _blocks(rows, MAX_QUERIES_PER_PASS):
-        qids = np.array([r["q"] for r in block], dtype=np.int64)
+    for part in _query_blocks(queries, qid_col):
+        block = sorted(part.select(F.col(qid_col).cast("bigint").alias("q"),
+                                   F.col(qvec_col).cast("array<double>").alias("v")).collect(), key=lambda r: r["q"])
+        if not block:
+            continue
         Q = np.array([r["v"] for r in block], dtype=np.float64)
         qn = np.linalg.norm(Q, axis=1)
-        Qn = Q / np.where(qn == 0, np.nan, qn)[:, None]
-        bc = corpus.sparkSession.sparkContext.broadcast(Qn)
+        bc = corpus.sparkSession.sparkContext.broadcast(Q / np.where(qn == 0, np.nan, qn)[:, None])
 
         def scorer(part: pd.DataFrame, bc=bc) -> np.ndarray:
             V = np.stack([np.asarray(x, dtype=np.float64) for x in part["vec"]])
@@ -259,12 +258,10 @@ def cosine_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qvec_col:
             Vn = V / np.where(vn == 0, np.nan, vn)[:, None]
             return Vn @ bc.value.T
 
-        src = corpus.select(*keys, F.col(vec_col).alias("vec"))
-        results.append(_topk_scan(src, keys, key_types, scorer, qids, k, min_score=None))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return cut_lineage(out.withColumnRenamed("qid", qid_col))
+        results.append(_topk_scan(src, keys, key_types, scorer, np.array([r["q"] for r in block]), k, min_score=None))
+    if not results:
+        raise ValueError("no query vectors")
+    return cut_lineage(_union(results).withColumnRenamed("qid", qid_col))
 
 
 # --- second stage, context, answers ---------------------------------------------------
@@ -274,21 +271,30 @@ def jaccard(a: Column, b: Column) -> Column:
     return (F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).cast("double")
 
 
+def coverage(a: Column, b: Column) -> Column:
+    """Share of the first text's distinct tokens that the second holds."""
+    a = F.array_distinct(a)
+    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(0.0)).cast("double")
+
+
 def rerank(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, qid_col: str,
-           qtext_col: str, keys: Sequence[str], text_col: str, n: int = 3) -> DataFrame:
-    """Rescore the first-stage candidates by token-set overlap and keep the best ``n``.
+           qtext_col: str, keys: Sequence[str], text_col: str, n: int = 3,
+           scorer: Callable[[Column, Column], Column] = jaccard) -> DataFrame:
+    """Rescore the first-stage candidates by ``scorer(query tokens, passage tokens)`` and keep
+    the best ``n``.
 
     Output ``(qid, *keys, stage1_rank, stage1_score, score, rank)``; ties keep the
-    first-stage order.  Candidates (queries x k rows, bounded by the checked query set)
-    are broadcast into the corpus scan, so the corpus is not shuffled.
+    first-stage order.  Give a ``corpus`` cut down to the candidates' documents where the
+    passages are made on the fly; whether candidates are broadcast is left to the size check
+    of adaptive execution.
     """
     keys = list(keys)
     cand = candidates.select(qid_col, *keys, F.col("rank").alias("stage1_rank"),
                              F.col("score").alias("stage1_score"))
-    texts = corpus.select(*keys, F.col(text_col).alias("_ctext")).join(bounded_broadcast(cand), keys)
+    texts = corpus.select(*keys, F.col(text_col).alias("_ctext")).join(cand, keys)
     q = queries.select(F.col(qid_col), tokens(F.col(qtext_col)).alias("_qt"))
-    scored = texts.join(bounded_broadcast(q), qid_col).withColumn(
-        "score", jaccard(F.col("_qt"), tokens(F.col("_ctext"))))
+    scored = texts.join(q, qid_col).withColumn(
+        "score", scorer(F.col("_qt"), tokens(F.col("_ctext"))))
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("stage1_rank").asc())
     return cut_lineage(
         scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
@@ -303,8 +309,7 @@ def assemble_context(kept: DataFrame, corpus: DataFrame, queries: DataFrame, qid
     ``(qid, n_passages, context, prompt)``; one group holds at most ``n`` passages.
     """
     keys = list(keys)
-    texts = corpus.select(*keys, F.col(text_col).alias("_t")).join(
-        bounded_broadcast(kept.select(qid_col, *keys, "rank")), keys)
+    texts = corpus.select(*keys, F.col(text_col).alias("_t")).join(kept.select(qid_col, *keys, "rank"), keys)
     ctx = texts.groupBy(qid_col).agg(
         F.count(F.lit(1)).alias("n_passages"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "_t"))), lambda x: x["_t"]),

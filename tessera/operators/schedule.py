@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.parallelism import bounded_broadcast
+
 
 HOURS_PER_DAY = 24
 
@@ -112,10 +112,10 @@ def conflict_counts(catalog: DataFrame, group_col: str, days: int = 1,
                      aggregate(filter(cnt, c -> c.hour = h), 0L, (s, c) -> s + c.n), 0L))))"""
                ).alias("pre"),
     )
-    # One small row per group: broadcast after a size check, so a hot group's candidates
+    # One small row per group: broadcast if adaptive execution finds it small, so a hot group's candidates
     # are never shuffled into one task.
     return (
-        cand.join(bounded_broadcast(prefix), group_col)
+        cand.join(prefix, group_col)
         .select(group_col, "id", "hour", "finish",
                 (F.expr("pre[finish + 1]") - F.expr("pre[hour]")).alias("n_conflicts"))
     )

@@ -82,15 +82,24 @@ _HEAD, _REST = R.PROMPT_TEMPLATE.split("{context}")
 _MID, _TAIL = _REST.split("{question}")
 
 _EVAL_SQL = f"""
+er AS (
+  SELECT k.item_id, list(c.chunk ORDER BY k.rank) AS retrieved_contexts
+  FROM kept k JOIN ch c USING (doc_id, chunk_pos) GROUP BY k.item_id),
+rows AS (
+  SELECT er.item_id, q.text AS user_input, trim(regexp_extract(c.chunk, '(?s)^([^.!?]*[.!?]?)', 1)) AS response, retrieved_contexts
+  FROM er JOIN q USING (item_id) JOIN top t ON t.item_id = er.item_id AND t.rank = 1
+    JOIN ch c ON c.doc_id = t.doc_id AND c.chunk_pos = t.chunk_pos),
+tk AS (
+  SELECT item_id, user_input, list_distinct(regexp_extract_all(lower(response), '{TOK}', 0)) AS a,
+         list_distinct(regexp_extract_all(lower(user_input), '{TOK}', 0)) AS b,
+         list_distinct(regexp_extract_all(lower(array_to_string(retrieved_contexts, chr(10) || chr(10))), '{TOK}', 0)) AS c
+  FROM rows),
 ev AS (
-  SELECT ctx.item_id, q.text AS user_input,
-    CAST(len(list_intersect(list_distinct(qa.toks),
-         list_distinct(regexp_extract_all(lower(ctx.context), '{TOK}', 0)))) AS DOUBLE)
-      / len(list_distinct(qa.toks)) AS faithfulness,
-    a.score AS answer_relevancy, m.avg_score AS nv_context_relevance
-  FROM ctx JOIN q USING (item_id) JOIN qa USING (item_id)
-    JOIN (SELECT item_id, score FROM kept WHERE rank = 1) a USING (item_id)
-    JOIN (SELECT item_id, avg(score) AS avg_score FROM kept GROUP BY 1) m USING (item_id)),
+  SELECT tk.item_id, user_input,
+    CASE WHEN len(a) = 0 THEN 0.0::DOUBLE ELSE CAST(len(list_intersect(a, c)) AS DOUBLE) / len(a) END AS faithfulness,
+    CAST(len(list_intersect(a, b)) AS DOUBLE) / len(list_distinct(list_concat(a, b))) AS answer_relevancy,
+    m.avg_score AS nv_context_relevance
+  FROM tk JOIN (SELECT item_id, avg(score) AS avg_score FROM kept GROUP BY 1) m USING (item_id)),
 lab AS (
   SELECT 'Q' || CAST(row_number() OVER (ORDER BY item_id) AS VARCHAR) AS q,
          substring(user_input, 1, {EV.QUESTION_CHARS}) || '…' AS question, *
@@ -135,19 +144,36 @@ def _stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ["doc_id", "chunk_pos"], "chunk", k=K)
 
 
-def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.rerank(_stage1(spark, sf_dir), _queries(spark, sf_dir), _chunks(spark, sf_dir),
-                    "item_id", "text", ["doc_id", "chunk_pos"], "chunk", n=N_KEEP)
+def _chunks_of(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Chunks of the documents that ``rows`` name: only their texts are cut again."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return CH.fixed_chunks(docs.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), carry=["lang"])
+
+
+def _two_stages(spark: SparkSession, sf_dir: str, scorer=R.jaccard) -> tuple[DataFrame, DataFrame]:
+    """(first-stage candidates, kept rows)."""
+    candidates = _stage1(spark, sf_dir)
+    kept = R.rerank(candidates, _queries(spark, sf_dir), _chunks_of(spark, sf_dir, candidates),
+                    "item_id", "text", ["doc_id", "chunk_pos"], "chunk", n=N_KEEP, scorer=scorer)
+    return candidates, kept
 
 
 def _context(spark: SparkSession, sf_dir: str, kept: DataFrame) -> DataFrame:
-    return R.assemble_context(kept, _chunks(spark, sf_dir), _queries(spark, sf_dir), "item_id",
+    return R.assemble_context(kept, _chunks_of(spark, sf_dir, kept), _queries(spark, sf_dir), "item_id",
                               "text", ["doc_id", "chunk_pos"], "chunk")
 
 
+def _eval_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    candidates, kept = _two_stages(spark, sf_dir)
+    best = candidates.where("rank = 1").select("doc_id").union(kept.select("doc_id"))
+    rows = EV.eval_rows(kept, candidates, _chunks_of(spark, sf_dir, best), _queries(spark, sf_dir), "item_id", "text",
+                        ["doc_id", "chunk_pos"], "chunk")
+    return rows, kept
+
+
 def _eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = _kept(spark, sf_dir)
-    return EV.support_scores(kept, _context(spark, sf_dir, kept), _queries(spark, sf_dir), "item_id", "text")
+    rows, kept = _eval_rows(spark, sf_dir)
+    return EV.support_scores(rows, kept, "item_id")
 
 
 @register("doc_chunks_fixed", f"""
@@ -207,7 +233,20 @@ def retrieve_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_CHUNKS_SQL}, {_STAGE1_SQL}, {_STAGE2_SQL}
 SELECT item_id, doc_id, chunk_pos, stage1_rank, stage1_score, score, rank FROM kept""")
 def rerank_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _kept(spark, sf_dir)
+    return _two_stages(spark, sf_dir)[1]
+
+
+@register("rerank_coverage", f"""
+WITH {_CHUNKS_SQL}, {_STAGE1_SQL},
+rr AS (
+  SELECT t.item_id, t.doc_id, t.chunk_pos, t.rank AS stage1_rank, t.score AS stage1_score,
+    CAST(len(list_intersect(list_distinct(qa.toks), list_distinct(ca.toks))) AS DOUBLE) / len(list_distinct(qa.toks)) AS score
+  FROM top t JOIN qa USING (item_id) JOIN ct0 ca USING (doc_id, chunk_pos))
+SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, stage1_rank) AS INTEGER) AS rank
+FROM rr QUALIFY rank <= {N_KEEP}""")
+def rerank_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second stage with another scorer: share of the question's tokens in the passage."""
+    return _two_stages(spark, sf_dir, R.coverage)[1]
 
 
 @register("context_prompt", f"""
@@ -216,18 +255,29 @@ SELECT ctx.item_id, n_passages, context,
        {_sql_str(_HEAD)} || context || {_sql_str(_MID)} || q.text || {_sql_str(_TAIL)} AS prompt
 FROM ctx JOIN q USING (item_id)""")
 def context_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _context(spark, sf_dir, _kept(spark, sf_dir))
+    return _context(spark, sf_dir, _two_stages(spark, sf_dir)[1])
+
 
+#: A marker that does occur in the given conversations; the operator's usual one is tested inline.
+ANSWER_MARKER = ". "
 
-@register("answer_clean", """
+
+@register("answer_clean", f"""
 SELECT conv_id, turn, role,
-  CASE WHEN instr(text, '</think>') > 0
-       THEN regexp_replace(string_split(text, '</think>')[-1], '^\\s+|\\s+$', '', 'g')
+  CASE WHEN instr(text, '{ANSWER_MARKER}') > 0
+       THEN regexp_replace(string_split(text, '{ANSWER_MARKER}')[-1], '^\\s+|\\s+$', '', 'g')
        ELSE text END AS answer
 FROM conversations""")
 def answer_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = read_table(spark, sf_dir, "conversations")
-    return conv.select("conv_id", "turn", "role", after_marker(F.col("text"), "</think>").alias("answer"))
+    return conv.select("conv_id", "turn", "role", after_marker(F.col("text"), ANSWER_MARKER).alias("answer"))
+
+
+@register("eval_rows", f"""
+WITH {_CHUNKS_SQL}, {_STAGE1_SQL}, {_STAGE2_SQL}, {_EVAL_SQL.rsplit("lab AS (", 1)[0].rstrip().rstrip(",")}
+SELECT item_id, user_input, response, retrieved_contexts FROM rows""")
+def eval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _eval_rows(spark, sf_dir)[0]
 
 
 @register("eval_scores", f"""

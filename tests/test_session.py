@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tessera import session as S
-from tessera.operators.parallelism import bounded_broadcast, spread
+from tessera.operators.parallelism import spread
 
 
 def test_cut_lineage_round_trip(spark):
@@ -21,12 +21,6 @@ def test_ship_package_is_idempotent(spark):
     assert spark.sparkContext.applicationId in S._SHIPPED
 
 
-def test_guards(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(bounded_broadcast(spark.range(10), 100))
-    big = bounded_broadcast(spark.range(1000), 10)
-    assert not hinted(big) and big.count() == 1000
+def test_spread_never_lowers_the_number_of_partitions(spark):
     one = spark.range(0, 100, 1, 1)
     assert spread(one).rdd.getNumPartitions() >= one.rdd.getNumPartitions()
