@@ -120,7 +120,7 @@ def test_multi_pass_query_blocks(spark, monkeypatch):
     q = spark.createDataFrame(list(enumerate(queries)), "qid BIGINT, text STRING")
     one = {(r["qid"], r["rank"]): r["doc_id"] for r in
            R.bm25_top_k(q, corpus, "qid", "text", ["doc_id", "chunk_pos"], "chunk", k=4).collect()}
-    monkeypatch.setattr(R, "MAX_QUERIES_PER_PASS", 2)
+    monkeypatch.setattr(R, "QUERIES_PER_BLOCK", 2)
     many = {(r["qid"], r["rank"]): r["doc_id"] for r in
             R.bm25_top_k(q, corpus, "qid", "text", ["doc_id", "chunk_pos"], "chunk", k=4).collect()}
     assert one == many and len(one) == 20
