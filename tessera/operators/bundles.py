@@ -13,8 +13,8 @@ Money is integer cents, so ties are exact.
 Scale: offers are pre-aggregated to one row per ``(group, amount)`` (map-side partial
 aggregation, so a hot group shrinks before the shuffle) and amounts above the largest
 target are dropped before collection, so each collected menu is bounded by
-``max_target`` entries no matter how many source rows a group has.  The fold runs per
-group in whole-stage generated code; one shuffle in total.
+``max_target`` entries no matter how many source rows a group has.  The fold is one array
+expression per group (interpreted: Spark has no generated code for it).
 """
 
 from __future__ import annotations
@@ -33,11 +33,12 @@ def offers_from_lines(lines: DataFrame, group_col: str, amount_col: str, price_c
     """Menu ``(group, amount, price_cents)``: lowest price seen for each quantity.
 
     The ``amount <= max_target`` filter is pushed into the scan; larger offers can never
-    be part of an exact bundle for a smaller target.
+    be part of an exact bundle for a smaller target.  A fractional quantity is no offer.
     """
     return (
         lines.where(F.col(amount_col) <= max_target)
         .where(F.col(amount_col) >= 1)
+        .where(F.col(amount_col) == F.floor(F.col(amount_col)))
         .groupBy(F.col(group_col), F.col(amount_col).cast("int").alias("amount"))
         .agg(F.min(F.round(F.col(price_col) * 100).cast("bigint")).alias("price_cents"))
     )

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,37 +35,38 @@ def column_moments(df: DataFrame, vec_col: str) -> DataFrame:
 
 
 _GRAM_SCHEMA = T.StructType([
+    T.StructField("part", T.IntegerType()),
     T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()),
     T.StructField("n", T.LongType()), T.StructField("si", T.DoubleType()),
     T.StructField("sj", T.DoubleType()), T.StructField("sij", T.DoubleType()),
 ])
 
 
-def covariance(df: DataFrame, vec_col: str) -> DataFrame:
-    """``(i, j, cov)`` for ``i <= j`` from merged per-task sums (n, sum x, sum xy)."""
+def gram_sums(df: DataFrame, vec_col: str, part: Column) -> DataFrame:
+    """``(part, i, j, n, si, sj, sij)`` for ``i <= j``: per-task sums of x and of xy by part, merged.
+    One scan; parts x dimension^2 rows leave a task."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, s, g = 0, None, None
+        sums: dict[int, list] = {}
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
-            n += X.shape[0]
-            s = X.sum(axis=0) if s is None else s + X.sum(axis=0)
-            g = X.T @ X if g is None else g + X.T @ X
-        if n == 0:
-            return
-        d = len(s)
-        ii, jj = np.triu_indices(d)
-        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": np.full(len(ii), n),
-                            "si": s[ii], "sj": s[jj], "sij": g[ii, jj]})
+            for k, rows in pdf.groupby("part", sort=True):
+                X = np.stack([np.asarray(v, dtype=np.float64) for v in rows["v"]])
+                n, s, g = sums.get(k, (0, 0.0, 0.0))
+                sums[k] = (n + X.shape[0], s + X.sum(axis=0), g + X.T @ X)
+        for k, (n, s, g) in sums.items():
+            ii, jj = np.triu_indices(len(s))
+            yield pd.DataFrame({"part": np.full(len(ii), k, dtype="int32"), "i": ii.astype("int32"), "j": jj.astype("int32"),
+                                "n": np.full(len(ii), n), "si": s[ii], "sj": s[jj], "sij": g[ii, jj]})
 
     ship_package(df.sparkSession)
-    parts = df.select(F.col(vec_col).alias("v")).mapInPandas(partial, _GRAM_SCHEMA)
-    tot = parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("si").alias("si"),
-                                      F.sum("sj").alias("sj"), F.sum("sij").alias("sij"))
-    return tot.select("i", "j", ((F.col("sij") - F.col("si") * F.col("sj") / F.col("n"))
-                                 / (F.col("n") - 1)).alias("cov"))
+    parts = df.select(part.alias("part"), F.col(vec_col).alias("v")).mapInPandas(partial, _GRAM_SCHEMA)
+    return parts.groupBy("part", "i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")))
+
+
+def covariance(df: DataFrame, vec_col: str) -> DataFrame:
+    """``(i, j, cov)`` for ``i <= j`` from merged per-task sums (n, sum x, sum xy)."""
+    return gram_sums(df, vec_col, F.lit(0)).select(
+        "i", "j", ((F.col("sij") - F.col("si") * F.col("sj") / F.col("n")) / (F.col("n") - 1)).alias("cov"))
 
 
 def fit_pca(df: DataFrame, vec_col: str, k: int):
@@ -105,23 +106,34 @@ def pca_scores(df: DataFrame, id_col: str, vec_col: str, k: int, upper: float =
 
 
 def cross_validate(df: DataFrame, id_col: str, vec_col: str, k: int, folds: int = 5) -> DataFrame:
-    """k-fold validation of the component model: rows go to folds by a hash of their id;
-    for each fold the scaler and PCA are refitted on the other folds and the held-out
-    rows' squared prediction error is summarised.  ``folds`` fits, each distributed.
-    Output ``(fold, n_train, n_test, explained, mean_spe_test)``."""
-    spark = df.sparkSession
-    tagged = df.withColumn("_fold", F.pmod(F.xxhash64(F.col(id_col)), F.lit(folds)).cast("int"))
-    n_all = tagged.count()
+    """k-fold validation of the component model: rows go to folds by a hash of their id; for each
+    fold the components are those of the other folds, and the held-out rows' squared prediction
+    error is summarised.  Output ``(fold, n_train, n_test, explained, mean_spe_test)``.
+
+    One scan: sums and Gram matrices are additive, so the training sums of a fold are all sums
+    less its own, and the held-out error follows from its own sums.  The driver gets folds x
+    dimension^2 numbers and solves one eigenproblem of that dimension a fold."""
+    fold = F.pmod(F.xxhash64(F.col(id_col)), F.lit(folds)).cast("int")
+    sums = gram_sums(df, vec_col, fold).toPandas()
+    d = int(sums["i"].max()) + 1 if len(sums) else 0
+    n, s, g = np.zeros(folds), np.zeros((folds, d)), np.zeros((folds, d, d))
+    for r in sums.itertuples():
+        n[r.part] = r.n
+        s[r.part, r.i], s[r.part, r.j] = r.si, r.sj
+        g[r.part, r.i, r.j] = g[r.part, r.j, r.i] = r.sij
     rows = []
     for f in range(folds):
-        train = tagged.where(F.col("_fold") != f)
-        test = tagged.where(F.col("_fold") == f)
-        scaler, pca, _ = fit_pca(train, vec_col, k)
-        vec = test.withColumn("_x", array_to_vector(F.col(vec_col).cast("array<double>")))
-        scored = pca.transform(scaler.transform(vec)).select(
-            vector_to_array("_z").alias("z"), vector_to_array("_t").alias("t"))
-        sq = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
-        r = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(sq(F.col("z")) - sq(F.col("t"))).alias("spe")).first()
-        rows.append((f, n_all - int(r["n"]), int(r["n"]), float(sum(pca.explainedVariance.toArray())),
-                     None if r["spe"] is None else float(r["spe"])))
-    return spark.createDataFrame(rows, "fold INT, n_train BIGINT, n_test BIGINT, explained DOUBLE, mean_spe_test DOUBLE")
+        m = n.sum() - n[f]
+        if m < 2:
+            rows.append((f, int(m), int(n[f]), None, None))
+            continue
+        mean = (s.sum(axis=0) - s[f]) / m
+        cov = ((g.sum(axis=0) - g[f]) - m * np.outer(mean, mean)) / (m - 1)
+        std = np.sqrt(np.maximum(np.diag(cov), 0))
+        scale = np.divide(1.0, std, out=np.zeros_like(std), where=std > 0)
+        values, vectors = np.linalg.eigh(cov * np.outer(scale, scale))
+        top = vectors[:, ::-1][:, :k]
+        held = (g[f] - np.outer(s[f], mean) - np.outer(mean, s[f]) + n[f] * np.outer(mean, mean)) * np.outer(scale, scale)
+        error = None if not n[f] else float((np.trace(held) - np.trace(top.T @ held @ top)) / n[f])
+        rows.append((f, int(m), int(n[f]), float(values[::-1][:k].sum() / values.sum()), error))
+    return df.sparkSession.createDataFrame(rows, "fold INT, n_train BIGINT, n_test BIGINT, explained DOUBLE, mean_spe_test DOUBLE")

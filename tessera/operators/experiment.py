@@ -96,8 +96,9 @@ def permutation_diffs(units: DataFrame, id_col: str, value_col: str, n_first: in
         .groupBy("perm").agg(F.sum("_v").alias("_se"))
     first_sum = bounds.join(inside, "perm", "left").select(
         "perm", (F.col("_sb") + F.coalesce("_se", F.lit(0.0))).alias("_sa"))
-    mean_first = F.col("_sa") / F.lit(float(n_first))
-    mean_rest = (F.lit(s_all) - F.col("_sa")) / F.lit(float(n_all - n_first))
+    # An empty side has no mean.
+    mean_first = F.try_divide(F.col("_sa"), F.lit(float(n_first)))
+    mean_rest = F.try_divide(F.lit(s_all) - F.col("_sa"), F.lit(float(n_all - n_first)))
     return first_sum.select("perm", mean_first.alias("mean_first"), mean_rest.alias("mean_rest"),
                             (mean_first - mean_rest).alias("diff"))
 

@@ -18,14 +18,14 @@ graphs processed together, which is what the frontier join distributes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.operators.indexing import dense_index
-
 from tessera.operators.components import connected_components
+from tessera.operators.indexing import dense_index
 from tessera.session import cut_lineage
 
 
@@ -85,22 +85,30 @@ def transition_edges(events: DataFrame, key_cols: Sequence[str], ts_col: str, ti
     return canonical_edges(t.withColumnRenamed("a", "u").withColumnRenamed("b", "v"), key_cols)
 
 
-def sight_edges(nodes: DataFrame, graph_cols: Sequence[str], diagonals: bool = True,
+def sight_directions(max_step: int) -> list[tuple[int, int]]:
+    """One of each pair of opposite coprime directions with steps of at most ``max_step``."""
+    return [(dx, dy) for dx in range(max_step + 1) for dy in range(-max_step, max_step + 1)
+            if gcd(dx, dy) == 1 and (dx > 0 or dy > 0)]
+
+
+def sight_edges(nodes: DataFrame, graph_cols: Sequence[str], diagonals: bool = True, max_step: int = 1,
                 node_col: str = "node_id", x: str = "x", y: str = "y") -> DataFrame:
     """Edges to the nearest node along each row and column (``kind='axis'``) and, when
-    ``diagonals``, along each 45-degree line (``kind='diagonal'``): a node hidden behind
-    another on the same line is never joined, exactly the unobstructed neighbours.
+    ``diagonals``, along the lines of every coprime direction with steps of at most ``max_step``
+    (``kind='diagonal'``; 1: the 45-degree lines): a node hidden behind another on the same line
+    is never joined.  With the extent of the grid as ``max_step`` every visible pair is an edge.
 
     All line families go through one skew-proof ``consecutive_pairs`` pass keyed by
-    (graph, family, line) and ordered by the position on the line."""
+    (graph, direction, line) and ordered by the position on the line.  Coordinates are whole."""
     g = list(graph_cols)
-    families = [("axis", 0, F.col(y), F.col(x)), ("axis", 1, F.col(x), F.col(y))]
-    if diagonals:
-        families += [("diagonal", 2, F.col(x) - F.col(y), F.col(x)), ("diagonal", 3, F.col(x) + F.col(y), F.col(x))]
     lines = None
-    for kind, fam, line, pos in families:
+    for fam, (dx, dy) in enumerate(sight_directions(max_step)):
+        kind = "axis" if 0 in (dx, dy) else "diagonal"
+        if kind == "diagonal" and not diagonals:
+            continue
+        line = F.col(x) * dy - F.col(y) * dx
         part = nodes.select(*g, F.lit(kind).alias("_kind"), F.lit(fam).alias("_fam"), line.alias("_line"),
-                            pos.alias("_pos"), F.col(node_col).alias("_node"))
+                            F.col(x if dx else y).alias("_pos"), F.col(node_col).alias("_node"))
         lines = part if lines is None else lines.unionByName(part)
     pairs = consecutive_pairs(lines, [*g, "_kind", "_fam", "_line"], ["_pos"], "_node")
     return pairs.select(*g, F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.col("_kind").alias("kind"))
@@ -148,12 +156,14 @@ def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | No
     found = []
     for _ in range(int(max_len)):
         nxt = _extend(frontier, adj, g)
-        closing = nxt.where((F.col("v") == F.col("start")) & (F.size("path") >= 3)
-                            & (F.element_at("path", 2) < F.col("last")))
-        found.append(closing.select(*g, F.size("path").alias("length"), "path"))
-        frontier = nxt.where((F.col("v") > F.col("start")) & ~F.array_contains("path", F.col("v"))) \
-            .select(*g, "start", F.col("v").alias("last"), F.array_append("path", F.col("v")).alias("path"))
-        frontier = cut_lineage(frontier)
+        closes = (F.col("v") == F.col("start")) & (F.size("path") >= 3) & (F.element_at("path", 2) < F.col("last"))
+        goes_on = (F.col("v") > F.col("start")) & ~F.array_contains("path", F.col("v"))
+        # One join and one table a hop: the cycles that close here and the longer paths.
+        hop = cut_lineage(nxt.where(closes | goes_on).select(
+            *g, "start", F.col("v").alias("last"), closes.alias("closes"),
+            F.when(closes, F.col("path")).otherwise(F.array_append("path", F.col("v"))).alias("path")))
+        found.append(hop.where("closes").select(*g, F.size("path").alias("length"), "path"))
+        frontier = hop.where("not closes").drop("closes")
         _guard(frontier, max_frontier_rows)
         if frontier.isEmpty():
             break

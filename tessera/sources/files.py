@@ -49,8 +49,9 @@ def read_offer_csv(spark: SparkSession, path: str, group_id: int = 0) -> DataFra
 
 def write_scores_csv(df: DataFrame, path: str) -> None:
     """Header CSV, no index column; overwrite keeps reruns idempotent after failures."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_scores_csv(spark: SparkSession, path: str, schema: T.StructType = EVAL_SCORE_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).csv(path)
+    """Quotes inside a field are doubled, as common writers do (not escaped by a backslash)."""
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)

@@ -156,3 +156,15 @@ def test_transitions_hot_key_across_partitions(spark):
         seq = [v for uu, _, v in sorted(r for r in rows if r[0] == u)]
         exp += [(u, a, b) for a, b in zip(seq, seq[1:])]
     assert got == sorted(exp)
+
+
+def test_sight_lines_in_every_direction(spark):
+    from fixtures import AXIS_EDGES, DIAGONAL_EDGES, NODES
+    nodes = spark.createDataFrame([(0, k, x, y) for k, (x, y) in NODES.items()], "g INT, node_id INT, x INT, y INT")
+    rows = G.sight_edges(nodes, ["g"], max_step=4).collect()
+    axis = {(r["u"], r["v"]) for r in rows if r["kind"] == "axis"}
+    diagonal = {(r["u"], r["v"]) for r in rows if r["kind"] == "diagonal"}
+    assert axis == {tuple(sorted(e)) for e in AXIS_EDGES}
+    assert {tuple(sorted(e)) for e in DIAGONAL_EDGES} <= diagonal and len(diagonal) == 46
+    near = {(r["u"], r["v"]) for r in G.sight_edges(nodes, ["g"]).collect() if r["kind"] == "diagonal"}
+    assert len(near) == 14 and near < diagonal

@@ -62,3 +62,18 @@ def test_pca_cross_validation(spark):
     rows = D.cross_validate(df, "id", "v", 2, folds=4).collect()
     assert len(rows) == 4 and sum(r["n_test"] for r in rows) == 200
     assert all(r["n_train"] + r["n_test"] == 200 and r["mean_spe_test"] >= 0 for r in rows)
+    fold = np.array([r[0] for r in df.select(F.pmod(F.xxhash64("id"), F.lit(4))).collect()])
+    for r in rows:
+        train, test = M[fold != r["fold"]], M[fold == r["fold"]]
+        z = lambda x: (x - train.mean(axis=0)) / train.std(axis=0, ddof=1)
+        values, vectors = np.linalg.eigh(np.cov(z(train).T))
+        top = vectors[:, ::-1][:, :2]
+        spe = (z(test) ** 2).sum(axis=1) - ((z(test) @ top) ** 2).sum(axis=1)
+        assert abs(r["mean_spe_test"] - spe.mean()) < 1e-8
+        assert abs(r["explained"] - values[::-1][:2].sum() / values.sum()) < 1e-9
+
+
+def test_an_empty_arm_has_no_mean(spark):
+    df = spark.createDataFrame([(i, float(i)) for i in range(20)], "user_id BIGINT, total_value DOUBLE")
+    rows = X.permutation_diffs(df, "user_id", "total_value", 20, 3).collect()
+    assert all(r["mean_rest"] is None and r["diff"] is None and abs(r["mean_first"] - 9.5) < 1e-9 for r in rows)
