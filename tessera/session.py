@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +66,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    for paths in _OPEN_SCOPES:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``cut_lineage`` writes inside the block when it ends.
+
+    For callers that consume a result (write or collect it) before they leave the block;
+    frames built inside can't be read after it."""
+    paths: list[str] = []
+    _OPEN_SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN_SCOPES.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

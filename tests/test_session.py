@@ -15,6 +15,16 @@ def test_cut_lineage_round_trip(spark):
     assert empty.count() == 0 and empty.columns == df.columns
 
 
+def test_scope_deletes_its_tables(spark):
+    import os
+    folder = S.ensure_checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/tables"
+    outside = S.cut_lineage(spark.range(5))
+    before = set(os.listdir(folder))
+    with S.scratch_scope(spark):
+        assert S.cut_lineage(spark.range(10)).count() == 10 and len(os.listdir(folder)) == len(before) + 1
+    assert set(os.listdir(folder)) == before and outside.count() == 5
+
+
 def test_ship_package_is_idempotent(spark):
     S.ship_package(spark)
     S.ship_package(spark)
