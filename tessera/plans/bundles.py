@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.keys import two_decimals
 from tessera.operators import bundles as B
 from tessera.plans.registry import register
-from tessera.sources import read_table
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources import read_offer_csv, read_table
 
 MAX_TARGET = 50
 
@@ -104,3 +109,15 @@ def bundle_offer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = B.best_bundles(_offers(spark, sf_dir), "l_partkey", MAX_TARGET, with_bundle=True)
     return best.where("feasible").select("l_partkey", "n", F.size(F.array_distinct("bundle")).alias("n_offers"),
                                          F.size("bundle").alias("n_orders"))
+
+
+@register("offer_csv_round_trip", """
+SELECT CAST(0 AS BIGINT) AS group_id, CAST(l_quantity AS INTEGER) AS amount, min(CAST(round(l_extendedprice * 100) AS BIGINT)) AS price_cents
+FROM lineitem WHERE l_quantity >= 1 AND l_quantity = floor(l_quantity) GROUP BY 2""")
+def offer_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest price of every quantity, written as an offer menu with two decimals and read back."""
+    li = read_table(spark, sf_dir, "lineitem").withColumn("menu", F.lit(0))
+    offers = B.offers_from_lines(li, "menu", "l_quantity", "l_extendedprice", 2**31 - 1)
+    path = os.path.join(ensure_checkpoint_dir(spark), "offer_csv", uuid.uuid4().hex)
+    offers.select("amount", two_decimals(F.col("price_cents") / 100).alias("price")).write.option("header", True).csv(path)
+    return read_offer_csv(spark, path)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.functions.keys import compose_key, parse_key
 from tessera.operators import catalog as C
 from tessera.operators import schedule as S
 from tessera.plans.registry import register
@@ -17,8 +19,8 @@ H = 24 * DAYS
 _BL = "[" + ", ".join(str(b) for b in BLOCKED) + "]"
 
 
-def _feas(h: str, d: str) -> str:
-    return (f"({h} + {d} - 1 <= {H - 1} AND NOT list_contains({_BL}, {h}) "
+def _feas(h: str, d: str, horizon: int = H) -> str:
+    return (f"({h} + {d} - 1 <= {horizon - 1} AND NOT list_contains({_BL}, {h}) "
             f"AND NOT list_contains({_BL}, {h} + {d} - 1))")
 
 
@@ -60,14 +62,20 @@ menus AS (
 
 _RUNS_SQL = _runs_sql("benefit")
 
-_OCC_FOLD = f"""CAST({SLOTS} * list_reduce(range({H - 1}, -1, -1),
+def _occ_fold(horizon: int) -> str:
+    return f"""CAST({SLOTS} * list_reduce(range({horizon - 1}, -1, -1),
     lambda acc, h: list_prepend(greatest(acc[1], coalesce(list_max(list_transform(
-        list_filter(runs, lambda r: {_feas('h', 'r.d')}), lambda r: r.b + acc[r.d])), acc[1])), acc),
+        list_filter(runs, lambda r: {_feas('h', 'r.d', horizon)}), lambda r: r.b + acc[r.d])), acc[1])), acc),
     [0::BIGINT])[1] AS BIGINT)"""
 
 
-_FEASIBLE = (f"(len(list_filter(runs, lambda r: len(list_filter(range(0, {H}), "
-             f"lambda h: {_feas('h', 'r.d')})) > 0)) > 0)")
+def _feasible(horizon: int) -> str:
+    return (f"(len(list_filter(runs, lambda r: len(list_filter(range(0, {horizon}), "
+            f"lambda h: {_feas('h', 'r.d', horizon)})) > 0)) > 0)")
+
+
+_OCC_FOLD, _FEASIBLE = _occ_fold(H), _feasible(H)
+SEVERAL_DAYS = 3
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +118,29 @@ def schedule_value_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
                         mode="occupancy")
 
 
+@register("schedule_value_days", f"""
+WITH {_CLEAN_SQL}, {_RUNS_SQL}
+SELECT collection, {SLOTS} AS slots, {_occ_fold(24 * SEVERAL_DAYS)} AS value, {_feasible(24 * SEVERAL_DAYS)} AS feasible
+FROM menus""")
+def schedule_value_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar of several days; the blocked hours are those of the first."""
+    return S.best_value(_catalog(spark, sf_dir), "collection", SLOTS, SEVERAL_DAYS, BLOCKED, mode="occupancy")
+
+
+@register("schedule_keys", f"""
+WITH {_CLEAN_SQL}, {_CAND_SQL},
+k AS (SELECT collection, id || '_' || hour || '_' || s.range AS key FROM cand, range(1, {SLOTS + 1}) s)
+SELECT collection, key, CAST(split_part(key, '_', 1) AS BIGINT) AS id, CAST(split_part(key, '_', 2) AS BIGINT) AS hour,
+       CAST(split_part(key, '_', 3) AS BIGINT) AS slot
+FROM k""")
+def schedule_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates under their packed key, and the parts read back from it."""
+    cand = S.candidates(_catalog(spark, sf_dir), "collection", SLOTS, DAYS, BLOCKED)
+    keyed = cand.select("collection", compose_key(F.col("id"), F.col("hour"), F.col("slot")).alias("key"))
+    parts = parse_key(F.col("key"), 3, cast="bigint")
+    return keyed.select("collection", "key", *(c.alias(n) for c, n in zip(parts, ("id", "hour", "slot"))))
+
+
 @register("schedule_value_window", f"""
 WITH {_CLEAN_SQL}, {_RUNS_SQL},
 lb AS (

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.functions.text import base_name
 from tessera.operators import web as W
 from tessera.plans.registry import register
 from tessera.sources import read_table
@@ -194,3 +196,9 @@ SELECT page_id, href, first_pos, hit.category AS category,
 FROM m WHERE hit IS NOT NULL""")
 def page_links_by_page_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.categorise_by_page_menu(_pages(spark, sf_dir))
+
+
+@register("page_names", "SELECT page_id, string_split(url, '/')[-1] AS name FROM pages")
+def page_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last part of each page's address."""
+    return read_table(spark, sf_dir, "pages").select("page_id", base_name(F.col("url")).alias("name"))
