@@ -213,3 +213,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     component = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                          component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+def oracle_sql(threshold: float = THRESHOLD) -> str:
+    """DuckDB statement for the result over ``embeddings`` with distinct ids: every pair of a label
+    compared, components by reachability."""
+    return f"""
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+      where list_cosine_similarity(a.e, b.e) >= {threshold}),
+reach as (select a, b from p union select r.a, p.b from reach r join p on r.b = p.a),
+n as (select a, count(*) as n from p group by a),
+c as (select a, least(a, min(b)) as c from reach group by a)
+select vec_id, coalesce(n.n, 0)::bigint as n_links, coalesce(c.c, vec_id) as component_id, vec_id = coalesce(c.c, vec_id) as kept
+from embeddings left join n on n.a = vec_id left join c on c.a = vec_id"""

@@ -141,3 +141,50 @@ def clean_lines(docs: DataFrame, min_share: float = MIN_SHARE_KEPT, id_col: str
     id_type = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, " + ", ".join(f"{name} {kind}" for name, kind, _ in COLUMNS)
     return arrow_pass(spread_scan(source), schema, rows)
+
+
+def oracle_sql(min_share: float = MIN_SHARE_KEPT) -> str:
+    """DuckDB statement for the columns of ``clean_lines`` but the cleaned text, over ``documents``
+    with distinct ids."""
+    def sql(pattern: re.Pattern) -> str:
+        flags = "(?i)" if pattern.flags & re.I else ""
+        return "'" + flags + pattern.pattern.replace("'", "''") + "'"
+
+    word = "'[^\\x20\\x09-\\x0D]+'"
+    count = lambda x, kind: f"length(regexp_replace({x}, '[^{kind}]', '', 'g'))"
+    return f"""
+with doc as (select doc_id, coalesce(text, '') as text from documents),
+line as (select doc_id, unnest(string_split(text, chr(10))) as line,
+                unnest(generate_series(1, len(string_split(text, chr(10))))) as pos from doc),
+told as (select *, regexp_extract_all(line, {word}) as ws from line),
+judged as (
+  select *, len(ws) as n, row_number() over (partition by doc_id, line order by pos) > 1 as again,
+    (len(regexp_extract_all(line, {sql(MARKS)})) > {CROWDED} * len(ws) and len(ws) > 1)
+    or (len(ws) > 2 and len(list_filter(ws, lambda w: w in ('|', '>', '»', '›', '·', '•', '/', chr(92), '-', '::', '->'))) > {SEPARATED} * len(ws))
+    or (length(line) < 400 and (regexp_matches(line, {sql(MENU)}) or regexp_matches(line, {sql(BOILERPLATE)})))
+    or (len(ws) >= {LONG_LINE} and len(list_distinct(ws)) < {DISTINCT_SHARE} * len(ws) and len(list_distinct(ws)) < 60)
+    or (len(ws) >= {LONG_LINE} and not regexp_matches(line, {sql(SENTENCE)}))
+    or (len(ws) > 2 and {count("line", "!")} >= 0.5 * len(ws) and {count("line", "\\p{L}")} > 0
+        and {count("line", "\\p{Lu}")} > {CAPITALS_SHARE} * {count("line", "\\p{L}")}) as fails
+  from told),
+lines as (
+  select doc_id, count(*) filter (where again and n > 0) as n_dup_lines, count(*) filter (where fails and n > 0) as n_lines_removed,
+         coalesce(sum(n) filter (where not fails and n > 0), 0) as n_words_left from judged group by doc_id),
+words as (select doc_id, unnest(regexp_extract_all(text, {word})) as w,
+                 unnest(generate_series(1, len(regexp_extract_all(text, {word})))) as i from doc),
+grams as (select doc_id, i, w, lead(w) over d as w2, lead(w, 2) over d as w3 from words window d as (partition by doc_id order by i)),
+twice as (select doc_id, i from grams where w3 is not null qualify count(*) over (partition by doc_id, w, w2, w3) > 1),
+covered as (select doc_id, count(distinct i + k) as n from twice, (values (0), (1), (2)) s(k) group by doc_id),
+total as (
+  select doc_id, len(regexp_extract_all(text, {word})) as n_words,
+         length(text) - length(regexp_replace(text, '[^\\x20\\x09-\\x0D]', '', 'g')) as word_chars,
+         {count("text", "#*$%&|<>")} as n_symbols from doc),
+one as (
+  select t.*, l.n_dup_lines, coalesce(c.n, 0) as n_repeat_words, l.n_lines_removed, l.n_words_left,
+         n_words < {MIN_WORDS} or 100 * coalesce(c.n, 0) > {MAX_REPEAT_PERCENT} * n_words as base_failed
+  from total t join lines l using (doc_id) left join covered c using (doc_id))
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+       n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
+       not base_failed and n_words_left >= {min_share} * n_words as kept,
+       n_lines_removed::bigint as n_lines_removed, n_words_left::bigint as n_words_left
+from one"""

@@ -87,4 +87,5 @@ QUERIES = {f.__name__: f for f in (
     op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup,
     op6_output_codes_language, op7_weighted_minhash_dedup, op8_segment_tree_bpe, op9_winnowed_line_dedup,
     op10_levenshtein_toxicity)}
-ORACLE_SQL = {"op9_winnowed_line_dedup": line_dedup.oracle_sql()}
+ORACLE_SQL = {"op3_line_first_cleaning": quality.oracle_sql(), "op5_projection_forest_dedup": embeddings.oracle_sql(),
+              "op9_winnowed_line_dedup": line_dedup.oracle_sql()}

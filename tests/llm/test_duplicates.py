@@ -62,10 +62,11 @@ def test_line_dedup_messy(messy, empty):
     assert out.where("doc_id = 6").first().n_removed > 20  # repeats within one document
 
 
-def test_line_dedup_oracle(spark):
-    name = "op9_winnowed_line_dedup"
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_oracles(spark, name):
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = con.sql(ORACLE_SQL[name]).df()
     got = QUERIES[name](spark, SF).toPandas()[list(want.columns)]
     order = list(want.columns)
