@@ -44,17 +44,25 @@ REPORTING = frozenset("said says say saying called calls word words term terms q
 ADDRESS = frozenset("you your you're youre u ur du dich dein ihr tu te toi vous ton eres tú usted".split())
 LETTERS = re.compile(r"[^\W\d_]+")
 LEET = str.maketrans("013457@$", "oieastas")
-FEATURES = ("exact", "exact_share", "near", "far", "stem", "stem_share", "quoted", "addressed", "distinct", "lone_stem")
+FEATURES = ("words", "word_share", "stem", "stem_share", "quoted", "addressed", "distinct", "lone_stem")
+#: What a hit counts for by its kind.
+COUNTS = {"exact": 1.0, "near": 0.8, "far": 0.6}
+#: An entry is matched without edits if its misspellings are in more clean documents than this
+#: share (and in more than one).
+NOISY = 0.0005
 
 
-def edits_allowed(word: str) -> int:
-    return 0 if len(word) < 5 else 1 if len(word) < 9 else 2
+def edits_allowed(entry: str) -> int:
+    """Edits that a word may be away from an entry; none for stems (``*``) and for words marked
+    ``=``, whose misspellings are words of clean text."""
+    return 0 if len(entry) < 5 or entry[-1] in "*=" else 1 if len(entry) < 9 else 2
 
 
 class Lexicon:
     """Deterministic Levenshtein-trie automaton, built lazily.
 
-    Entries ending in ``*`` are stems: any word that starts with the stem is a hit."""
+    Entries ending in ``*`` are stems: any word that starts with the stem is a hit.  Entries
+    ending in ``=`` are matched without edits."""
 
     def __init__(self, entries: Iterable[str]):
         self.children: list[dict[str, int]] = [{}]
@@ -62,8 +70,8 @@ class Lexicon:
         self.stem: list[str | None] = [None]
         self.allowed: list[int] = [0]  # most edits of any entry below a node
         for entry in entries:
-            stem, letters = entry.endswith("*"), entry.rstrip("*")
-            node, allowed = 0, 0 if stem else edits_allowed(letters)
+            stem, letters = entry.endswith("*"), entry.rstrip("*=")
+            node, allowed = 0, edits_allowed(entry)
             self.allowed[0] = max(self.allowed[0], allowed)
             for c in letters:
                 if c not in self.children[node]:
@@ -186,10 +194,9 @@ class Scorer:
             quoted += marks or bool(words & REPORTING)
             addressed += bool(words & ADDRESS) or tokens[i].endswith("!")
         n, total = len(tokens), len(at)
-        plain = kinds["exact"]
-        return [math.log1p(plain), math.sqrt(plain / n), math.log1p(kinds["near"]), math.log1p(kinds["far"]),
-                math.log1p(kinds["stem"]), math.sqrt(kinds["stem"] / n), quoted / total, addressed / total,
-                math.log1p(len(distinct)), float(total == kinds["stem"] == 1)]
+        plain = sum(kinds[k] * c for k, c in COUNTS.items())
+        return [math.log1p(plain), math.sqrt(plain / n), math.log1p(kinds["stem"]), math.sqrt(kinds["stem"] / n),
+                quoted / total, addressed / total, math.log1p(len(distinct)), float(total == kinds["stem"] == 1)]
 
     def scores(self, texts: list[str]) -> np.ndarray:
         x = np.array([self.features(t) for t in texts]).reshape(len(texts), len(FEATURES))
@@ -269,6 +276,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w[:-1], float(w[-1])
 
 
+def _without_noise(entries: list[str], clean: list[str]) -> list[str]:
+    """Entries whose misspellings clean texts hold are marked to be matched without edits."""
+    scorer, found = Scorer(entries, [0.0] * len(FEATURES), 0.0), Counter()
+    for text in clean:
+        scorer.features(text)
+        found.update({m[1] for t in set(text.split()) if (m := scorer.hits.get(t)) and m[0] in ("near", "far")})
+    limit = max(1, NOISY * len(clean))
+    return [e + "=" if found[e] > limit else e for e in entries]
+
+
 def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = None) -> dict:
     """The model from labelled texts; ``totals`` are the label counts of the whole training set,
     to which the sample's classes are weighted back."""
@@ -280,6 +297,7 @@ def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = Non
         rate = float(y.mean()) if len(y) else 0.0
         rate = min(max(rate, 1e-3), 1 - 1e-3)
         return {"entries": [], "weights": [0.0] * len(FEATURES), "bias": math.log(rate / (1 - rate))}
+    entries = _without_noise(entries, [t for t, k in zip(texts, labels, strict=True) if not k])
     scorer = Scorer(entries, [0.0] * len(FEATURES), 0.0)
     x = np.array([scorer.features(t) for t in texts])
     weight = np.array([totals[k] / have[k] for k in labels])

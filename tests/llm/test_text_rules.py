@@ -151,16 +151,16 @@ def brute_distance(a, b):
 
 
 def test_automaton_equals_edit_distance():
-    entries = ["scum", "idiot", "pathetic", "disgusting", "rotte*"]
+    entries = ["scum", "idiot", "pathetic", "disgusting", "rotte*", "loser="]
     lexicon, rng = toxicity.Lexicon(entries), random.Random(8)
-    words = [e.rstrip("*") for e in entries] + ["rotten", "rottweiler"]
+    words = [e.rstrip("*=") for e in entries] + ["rotten", "rottweiler"]
     for _ in range(3000):
         w = list(rng.choice(words))
         for _ in range(rng.randint(0, 3)):
             k = rng.randrange(len(w) + 1)
             w[k:k + rng.randint(0, 1)] = rng.choice(["", "a", "i", "t"])
         w = "".join(w)
-        near = min(((d, e) for e in entries[:4] if (d := brute_distance(w, e)) <= toxicity.edits_allowed(e)), default=None)
+        near = min(((d, e) for e in (*entries[:4], entries[5]) if (d := brute_distance(w, e.rstrip("="))) <= toxicity.edits_allowed(e)), default=None)
         want = (("exact", "near", "far")[near[0]], near[1]) if near else ("stem", "rotte*") if w.startswith("rotte") else None
         assert lexicon.match(w) == want, w
 
@@ -179,11 +179,13 @@ def test_abuse_is_told_from_clean_text(spark, messy, empty):
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
     label = spark.createDataFrame(labels + [(None, 1), (5000, None)], "doc_id BIGINT, toxic INT")
     model = toxicity.train(docs, label, lambda i: i % 5 == 0)
-    assert set(bad) <= set(model["entries"])
+    assert set(bad) <= {e.rstrip("=") for e in model["entries"]}
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     assert all((got[k] >= 0.5) == (t == 1) for k, t in labels)
     scorer = toxicity.scorer_of(model)
     assert scorer.scores([prose(5, 30) + " you patethic idiiot and loser!"])[0] >= 0.5
+    misspelled = prose(6, 30) + " patethic, disgustting! Idiiot, disgusing pathetc."
+    assert scorer.scores([misspelled])[0] >= 0.5 > scorer.scores([prose(6, 30)])[0]
     features = dict(zip(toxicity.FEATURES, scorer.features('he said the word "idiot" once'), strict=True))
     assert features["quoted"] == 1
     out = toxicity.score(messy, model, score_col="toxicity")
