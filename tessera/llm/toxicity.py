@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Bounded, arrow_pass, slices, spread_scan, texts_of
 
 #: Labelled documents of each label that are fitted on, about (all if there are fewer).
-TRAIN_DOCS = 2000
+TRAIN_DOCS = 1500
 MAX_ENTRIES = 500
 #: Likelihood ratio (chi-square, one degree of freedom) and precision an entry must reach.
 MIN_G2 = 22.0
