@@ -3,8 +3,9 @@
 A text is its multiset of five-word shingles (a text of fewer words is one shingle); the k-th
 occurrence of a shingle is an element of its own, so term frequency counts.  An element weighs
 the mean inverse document frequency of its words, rounded to a quarter octave.  Document
-frequencies are counted over all documents in a fixed number of word buckets, so the table that
-every task gets has a fixed size however large the corpus is.
+frequencies are counted for each word (by 64 bits of hash) over all documents.  The commonest
+words, 2^DF_BITS at most, go to every task, so that table has a fixed size however large the
+corpus is; the counts of all others are joined to the texts that hold them.
 
 1. Improved consistent weighted sampling draws ``SAMPLES`` elements a text: each element's draw
    (Gamma, Gamma, uniform) comes from a table by a hash of element and sample number, and the
@@ -40,8 +41,10 @@ SAMPLES, ROWS = 64, 4
 #: Share of samples below which a pair of at least SIMILARITY practically never falls: four
 #: standard deviations (0.05 each with 64 samples) and more.
 LEAST_AGREEMENT = 0.58
-#: Word buckets of the document-frequency table.
+#: Every task gets the counts of at most 2^DF_BITS words.
 DF_BITS = 18
+#: Distinct words of texts that a task holds before it sums them up.
+HELD = 1 << 20
 #: Weights are 2 ** (level / 4).
 LEVELS = 32
 SLOT_BITS = 16
@@ -74,15 +77,51 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(WORD_HASH.__getitem__, words), np.uint64, len(words))
 
 
-def elements(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(element hashes in ascending order, weight level of each)."""
+class Weights:
+    """Smoothed inverse document frequency by word hash; words not given are in one text only."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, texts: int):
+        self.texts, self.tables = texts, []
+        self._add(words, counts)
+
+    def _add(self, words: np.ndarray, counts: np.ndarray) -> None:
+        if len(words):
+            words, first = np.unique(words.astype(np.int64).view(np.uint64), return_index=True)
+            self.tables.append((words, self._idf(counts[first])))
+
+    def _idf(self, counts: np.ndarray) -> np.ndarray:
+        return np.log((1 + self.texts) / (1 + counts)) + 1
+
+    def joined(self, words: np.ndarray, counts: np.ndarray) -> Weights:
+        """These and the counts of further words."""
+        out = Weights(words, counts, self.texts)
+        out.tables = self.tables + out.tables
+        return out
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), bool)
+        for words, _ in self.tables:
+            out |= words[np.minimum(np.searchsorted(words, hashes), len(words) - 1)] == hashes
+        return out
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), self._idf(np.int64(1)))
+        for words, values in self.tables:
+            at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+            out = np.where(words[at] == hashes, values[at], out)
+        return out
+
+
+def elements(hashes: np.ndarray, idf: Weights | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(element hashes in ascending order, weight level of each); a plain array has a weight for
+    each value of the upper DF_BITS bits of a word hash."""
     m = len(hashes)
     if not m:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     k = min(WORDS, m)
     shingles = np.zeros(m - k + 1, np.uint64)
     weight = np.zeros(m - k + 1)
-    own = idf[(hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+    own = idf.of(hashes) if isinstance(idf, Weights) else idf[(hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)]
     for j in range(k):
         shingles = shingles * STEP + hashes[j:m - k + 1 + j]
         weight += own[j:m - k + 1 + j]
@@ -161,7 +200,7 @@ def _links(ids: np.ndarray, own: np.ndarray, i: int, j: int, close: np.ndarray)
     return out[out["a"] != out["b"]]
 
 
-def similarities(texts: list[str], idf: np.ndarray) -> np.ndarray:
+def similarities(texts: list[str], idf: Weights | np.ndarray) -> np.ndarray:
     """Weighted Jaccard similarity of all pairs."""
     n = len(texts)
     parts = [elements(word_hashes(t), idf) for t in texts]
@@ -187,25 +226,65 @@ def similarities(texts: list[str], idf: np.ndarray) -> np.ndarray:
     return np.divide(common, union, out=np.zeros_like(common), where=union > 0)
 
 
-def document_frequencies(source: DataFrame) -> tuple[np.ndarray, int]:
-    """Smoothed inverse document frequency of every word bucket, and the number of texts: counts
-    over all documents, summed up in each task and again on the way; 2^DF_BITS rows at most."""
+def document_frequencies(source: DataFrame) -> tuple[Weights, int, DataFrame | None]:
+    """Weights of the commonest words, the number of texts, and the counts of the other words that
+    two or more texts hold (word, n; None if there are none): exact counts over all documents,
+    summed up in each task and again on the way."""
     def count(batches):
-        df, texts = np.zeros(1 << DF_BITS, np.int64), 0
+        def summed():
+            words, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+
+        held, size = [], 0
         for batch in slices(batches):
             for text in texts_of(batch, "text"):
-                df[np.unique((word_hashes(text) >> np.uint64(64 - DF_BITS)).astype(np.int64))] += 1
-                texts += 1
-        found = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[found, -1]), pa.array(np.r_[df[found], texts])], ["bucket", "n"])
-
-    rows = (arrow_pass(source.select("text"), "bucket bigint, n bigint", count)
-            .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
-    df = np.zeros(1 << DF_BITS)
-    own = rows["bucket"] >= 0
-    df[rows["bucket"][own]] = rows["n"][own]
-    n = int(rows["n"][~own].sum())
-    return np.log((1 + n) / (1 + df)) + 1, n
+                held.append(np.unique(word_hashes(text)))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield summed()
+                    held, size = [], 0
+        if size:
+            yield summed()
+
+    counts = write_table(arrow_pass(source.select("text"), "word bigint, n bigint", count)
+                         .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"))
+    texts = source.count()
+    # Quarter octaves of n, from the top while their words fit.
+    octave = F.floor(4 * F.log2("n"))
+    least, total, more = None, 0, False
+    for r in counts.groupBy(octave.alias("o")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("o")).collect():
+        total += r.words
+        if total > 1 << DF_BITS:
+            more = True
+            break
+        least = r.o
+    common = counts.where(octave >= least if least is not None else F.lit(False)).toPandas()
+    rest = (counts.where(octave < least) if least is not None else counts) if more else None
+    return Weights(common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), texts), texts, rest
+
+
+def _rest_of_texts(source: DataFrame, common, rest: DataFrame) -> DataFrame:
+    """th, words, counts: the words of ``rest`` in each text, by the hash ``th`` of the text (texts
+    that share it share the list, as a word has one count)."""
+    def pairs(batches):
+        seen = Bounded(1_000_000)
+        for batch in slices(batches):
+            keys, words = [], []
+            for th, text in zip(batch.column("th").to_pylist(), texts_of(batch, "text"), strict=True):
+                if th in seen:
+                    continue
+                seen.room(1)
+                seen[th] = None
+                own = np.unique(word_hashes(text))
+                own = own[~common.value.has(own)]
+                keys.append(np.full(len(own), th, np.int64))
+                words.append(own.view(np.int64))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(words))], ["th", "word"])
+
+    found = arrow_pass(source.select("th", "text"), "th bigint, word bigint", pairs).join(rest.hint("merge"), "word")
+    return write_table(found.groupBy("th").agg(F.collect_list(F.struct("word", "n")).alias("l"))
+                       .select("th", F.col("l.word").alias("words"), F.col("l.n").alias("counts")))
 
 
 def _blocked(rows: DataFrame, group: str, by: str, block: int) -> DataFrame:
@@ -229,23 +308,33 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     spread = spread_scan(source)
-    idf = spark.sparkContext.broadcast(document_frequencies(spread)[0])
+    common, _, rest = document_frequencies(spread)
+    idf = spark.sparkContext.broadcast(common)
+    rest = None if rest is None else _rest_of_texts(spread, idf, rest)
+
+    def with_rest(df: DataFrame) -> DataFrame:
+        """``df`` with the words of its texts that not every task knows."""
+        if rest is None:
+            return df.select("*", *(F.lit(None).cast("array<bigint>").alias(c) for c in ("words", "counts")))
+        # Written and of any size, so a merge join; a hot text can be split.
+        return df.join(rest.hint("merge"), "th", "left")
 
     def sign(batches):
         sampler = Sampler()
         for batch in slices(batches):
             k1, k2, signatures = [], [], []
-            for text in texts_of(batch, "text"):
+            for text, words, n in zip(texts_of(batch, "text"), batch.column("words"), batch.column("counts"), strict=True):
                 hashes = word_hashes(text)
+                weights = idf.value.joined(words.values.to_numpy(), n.values.to_numpy()) if words.is_valid else idf.value
                 key = xxhash.xxh3_128_intdigest(hashes.tobytes())
                 k1.append((key >> 64) - (1 << 63))
                 k2.append((key & (1 << 64) - 1) - (1 << 63))
-                signatures.append(sampler.signature(*elements(hashes, idf.value)) if len(hashes) else None)
+                signatures.append(sampler.signature(*elements(hashes, weights)) if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                [batch.column("doc_id"), batch.column("th"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                  pa.array(signatures, pa.binary())], ["doc_id", "th", "k1", "k2", "signature"])
 
-    signed = write_table(arrow_pass(spread, f"doc_id {id_type}, th bigint, k1 bigint, k2 bigint, signature binary", sign))
+    signed = write_table(arrow_pass(with_rest(spread), f"doc_id {id_type}, th bigint, k1 bigint, k2 bigint, signature binary", sign))
     classes = write_table(
         signed.where(F.col("signature").isNotNull() & F.col("doc_id").isNotNull()).groupBy("k1", "k2")
         .agg(F.min(F.struct("doc_id", "th")).alias("r"), F.first("signature").alias("signature"))
@@ -278,11 +367,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     placed = _blocked(write_table(families.join(sizes, "component")), "component", "node", FAMILY_BLOCK)
     named = write_table(classes.join(families, F.col("rep") == F.col("node"), "left_semi").select("rep", "th"))
     # No bound holds for the size of either side, so these joins are merge joins at every size.
-    texts = write_table(source.join(named.hint("merge"), (F.col("rep") == F.col("doc_id")) & (named["th"] == source["th"]))
-                        .select("rep", "text").dropDuplicates(["rep"]))
+    texts = write_table(with_rest(source.join(named.hint("merge"), (F.col("rep") == F.col("doc_id")) & (named["th"] == source["th"]))
+                                  .select("rep", "text", source["th"]).dropDuplicates(["rep"])).drop("th"))
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
-        close = similarities(group["text"].tolist(), idf.value) >= similarity
+        weights = idf.value
+        if group["words"].notna().any():
+            weights = weights.joined(*(np.concatenate(group[c].dropna().tolist()).astype(np.int64) for c in ("words", "counts")))
+        close = similarities(group["text"].tolist(), weights) >= similarity
         np.fill_diagonal(close, False)
         return _links(group["rep"].to_numpy(), group["own"].to_numpy(), int(group["i"].iloc[0]), int(group["j"].iloc[0]), close)
 

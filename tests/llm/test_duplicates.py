@@ -126,6 +126,41 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, block):
     assert got == want and len(set(want.values())) < len(want)
 
 
+@pytest.mark.parametrize("bits", [18, 3, 0])
+def test_near_dedup_weighs_each_word_by_its_own_count(spark, monkeypatch, bits):
+    docs = copies() + [(1000, None), (1001, "")]
+    sets = [set((t or "").split()) for _, t in docs]
+    df = {w: sum(w in s for s in sets) for w in set().union(*sets)}
+    idf = {w: np.log((1 + len(docs)) / (1 + n)) + 1 for w, n in df.items()}
+
+    def weighed(text):  # (shingle, occurrence) -> weight
+        words, out, seen = text.split(), {}, {}
+        k = min(5, len(words))
+        for s in range(len(words) - k + 1 if words else 0):
+            shingle = tuple(words[s:s + k])
+            seen[shingle] = seen.get(shingle, 0) + 1
+            out[shingle, seen[shingle]] = 2.0 ** (np.clip(np.rint(4 * np.log2(sum(idf[w] for w in shingle) / k)), 0, 31) / 4)
+        return out
+
+    parts = [weighed(t or "") for _, t in docs]
+    close = []
+    for i, p in enumerate(parts):
+        for j, q in enumerate(parts[:i]):
+            common = sum(p[x] for x in p.keys() & q.keys())
+            if common and common / (sum(p.values()) + sum(q.values()) - common) >= 0.8:
+                close.append((docs[i][0], docs[j][0]))
+    monkeypatch.setattr(near_dedup, "DF_BITS", bits)
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    weights, n, rest = near_dedup.document_frequencies(frame)
+    rows = [] if rest is None else rest.collect()
+    assert n == len(docs) and (rest is None) == (bits == 18) and sum(len(w) for w, _ in weights.tables) <= 1 << bits
+    known = weights.joined(np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
+    words = sorted(df)
+    assert np.allclose(known.of(near_dedup.word_hashes(" ".join(words))), [idf[w] for w in words])
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame).collect()}
+    assert got == components([i for i, _ in docs], close)
+
+
 def test_samples_agree_as_often_as_texts_are_alike():
     idf = np.ones(1 << near_dedup.DF_BITS)
     rng = random.Random(2)
