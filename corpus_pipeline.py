@@ -48,6 +48,24 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return _with_text(kept, F.col(text), docs.columns)
 
 
+def drop_whole_copies(docs: DataFrame) -> DataFrame:
+    """Of the documents of one text the one with the least id stays, and rows with a null id; texts
+    without a word stay as they are."""
+    k1, k2, first = (_unused(docs, n) for n in ("copy_k1", "copy_k2", "first_id"))
+    keyed = docs.select("*", F.xxhash64("text").alias(k1), F.xxhash64(F.lit(1), "text").alias(k2))
+    firsts = write_table(keyed.where(F.col("text").rlike(r"\S")).groupBy(k1, k2)
+                         .agg(F.min("doc_id").alias(first), F.count(F.lit(1)).alias("n")).where("n > 1").select(k1, k2, first))
+    later = F.col("doc_id") > F.col(first)
+    return keyed.join(firsts.hint("merge"), [k1, k2], "left").where(~F.coalesce(later, F.lit(False))).select(
+        *(keyed[c] for c in docs.columns))
+
+
+def drop_copies_and_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole copies go before lines are cut: behind its last full window a copy keeps lines, and
+    what is left of it no longer resembles its original."""
+    return drop_repeated_lines(spark, write_table(drop_whole_copies(docs)), sf_dir)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id (rows of one
     id are one document, and stay or go together)."""
@@ -70,7 +88,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("line_dedup", drop_repeated_lines),
+    ("line_dedup", drop_copies_and_repeated_lines),
     ("minhash_near_dedup", drop_near_copies),
     ("pii", redact_personal_data),
     ("best_fit_packing", pack),

@@ -258,6 +258,23 @@ def test_pipeline_stages_take_effect(spark):
     assert run.count() > 0 and {"doc_id", "sequence_id", "ids_crc32"} <= set(run.columns)
 
 
+def test_pipeline_keeps_one_of_copies_that_end_in_short_lines(spark):
+    docs, k = [], 0
+    for group in range(4):
+        text = "\n".join(prose(900 + 10 * group + n, words) for n, words in enumerate([60, 22, 93, 2 + group]))
+        for _ in range(3):
+            docs.append((k, text))
+            k += 1
+    docs += [(100, None), (101, ""), (102, ""), (103, " \n "), (None, docs[0][1])]
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["minhash_near_dedup"](spark, stages["line_dedup"](spark, frame, SF), SF).collect()
+    ids = sorted(r.doc_id for r in left if r.doc_id is not None)
+    assert [i for i in ids if i >= 3] == [3, 6, 9, 100, 101, 102, 103]
+    assert [i for i in ids if i < 3] == [0]  # cut after the null id, which is first, but none of its copies
+    assert {r.doc_id: r.text for r in left}[3] == docs[3][1]
+
+
 def test_registered():
     names = {n.split("_")[0] for n in E.queries() if n.startswith("op")}
     assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in E.queries()
