@@ -395,8 +395,10 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, text_of), ",")
 
-    counts = [F.size(F.filter("pii_fixed", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{name}")
-              for k, name in enumerate(KINDS)]
+    def of_kind(k):  # one argument only: Spark hands a second one the element's index
+        return lambda x: x["kind"] == k
+
+    counts = [F.size(F.filter("pii_fixed", of_kind(k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(F.col(id_col).alias("doc_id"), *counts, F.sha2(joined(F.col("pii_fixed")), 256).alias("base_sha256"),
                         joined(F.array_sort(F.concat("pii_fixed", "pii_added"))).alias("spans"),
                         F.size("pii_added").cast("bigint").alias("n_added"))

@@ -214,8 +214,9 @@ def test_vectors_equal_brute_force(spark, monkeypatch, block):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
-def test_recall_of_the_forest_on_the_given_vectors(spark):
-    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("label = 1")
+def test_recall_of_the_forest_on_the_given_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "LEAF", 24)  # so that the trees split
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("label = 1")
     rows = frame.orderBy("vec_id").toPandas()
     v = embeddings.unit(np.stack(rows["embedding"].to_numpy()))
     close = v @ v.T >= 0.98

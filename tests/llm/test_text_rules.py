@@ -1,5 +1,6 @@
 """Quality rules, personal data, language and toxicity."""
 
+import hashlib
 import random
 import re
 
@@ -109,6 +110,21 @@ def test_pii_messy(messy, empty):
     assert pii.find(empty, pii.train(empty)).count() == 0
 
 
+def test_pii_counts_equal_brute_force(spark):
+    """Every kind's count and the digest of the fixed spans, on a table with finds of every kind."""
+    texts = dict(enumerate(private_texts(60) + ["a@b.co 1.2.3.4 5.6.7.8 +1 222 333 4444", "", None]))
+    frame = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r for r in pii.digest(pii.find(frame, None)).collect()}
+    assert len(got) == len(texts)
+    for i, text in texts.items():
+        want = brute_spans(text or "")
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in sorted(want))
+        counts = tuple(sum(k == kind for kind, _, _ in want) for k in range(4))
+        assert (got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone) == counts, text
+        assert got[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+    assert max(r.n_ip for r in got.values()) == 2
+
+
 def test_codewords_keep_their_distance():
     for k in (2, 3, 4, 6, 9):
         code = language.codewords(k)
