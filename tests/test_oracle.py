@@ -4,6 +4,7 @@ import importlib.util
 import os
 
 import pytest
+from pyspark.sql.types import ArrayType
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -19,6 +20,8 @@ _TYPES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "D
 
 
 def _duck_type(t):
+    if isinstance(t, ArrayType):
+        return f"{_duck_type(t.elementType)}[]"
     return _TYPES.get(repr(t), repr(t))
 
 
