@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, embeddings, language, line_dedup, near_dedup, packing, pii, quality, token_files, toxicity
+from tessera.llm import (
+    bpe,
+    embeddings,
+    language,
+    line_dedup,
+    manifest,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    token_files,
+    toxicity,
+)
 from tessera.llm.common import read_documents, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,9 +95,13 @@ def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read_documents(spark, sf_dir), _crc_mod(F.col("doc_id"), 3) == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup,
     op6_output_codes_language, op7_weighted_minhash_dedup, op8_segment_tree_bpe, op9_winnowed_line_dedup,
-    op10_levenshtein_toxicity)}
+    op10_levenshtein_toxicity, op13_merkle_manifest)}
 ORACLE_SQL = {"op3_line_first_cleaning": quality.oracle_sql(), "op5_projection_forest_dedup": embeddings.oracle_sql(),
-              "op9_winnowed_line_dedup": line_dedup.oracle_sql()}
+              "op9_winnowed_line_dedup": line_dedup.oracle_sql(), "op13_merkle_manifest": manifest.oracle_sql()}
