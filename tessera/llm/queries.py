@@ -14,6 +14,7 @@ from tessera.llm import (
     manifest,
     near_dedup,
     packing,
+    periodic_runs,
     pii,
     quality,
     token_files,
@@ -95,6 +96,13 @@ def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_link_cut_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth text (by the checksum of its id) first has its tail replaced by repeats."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.when(h % 10 == 0, periodic_runs.repeat_tail(F.col("text"), h)).otherwise(F.col("text"))
+    return periodic_runs.digest(periodic_runs.find_runs(read_documents(spark, sf_dir).select("doc_id", text.alias("text"))))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read_documents(spark, sf_dir), _crc_mod(F.col("doc_id"), 3) == 0)
 
@@ -102,6 +110,6 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup,
     op6_output_codes_language, op7_weighted_minhash_dedup, op8_segment_tree_bpe, op9_winnowed_line_dedup,
-    op10_levenshtein_toxicity, op13_merkle_manifest)}
+    op10_levenshtein_toxicity, op11_link_cut_runs, op13_merkle_manifest)}
 ORACLE_SQL = {"op3_line_first_cleaning": quality.oracle_sql(), "op5_projection_forest_dedup": embeddings.oracle_sql(),
               "op9_winnowed_line_dedup": line_dedup.oracle_sql(), "op13_merkle_manifest": manifest.oracle_sql()}
