@@ -11,6 +11,7 @@ from tessera.llm import (
     embeddings,
     language,
     line_dedup,
+    lm_scoring,
     manifest,
     near_dedup,
     packing,
@@ -103,6 +104,10 @@ def op11_link_cut_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.find_runs(read_documents(spark, sf_dir).select("doc_id", text.alias("text"))))
 
 
+def op12_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read_documents(spark, sf_dir), _crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read_documents(spark, sf_dir), _crc_mod(F.col("doc_id"), 3) == 0)
 
@@ -110,6 +115,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_boosted_pii, op2_best_fit_packing, op3_line_first_cleaning, op4_bit_plane_files, op5_projection_forest_dedup,
     op6_output_codes_language, op7_weighted_minhash_dedup, op8_segment_tree_bpe, op9_winnowed_line_dedup,
-    op10_levenshtein_toxicity, op11_link_cut_runs, op13_merkle_manifest)}
+    op10_levenshtein_toxicity, op11_link_cut_runs,
+    op12_backoff_automaton, op13_merkle_manifest)}
 ORACLE_SQL = {"op3_line_first_cleaning": quality.oracle_sql(), "op5_projection_forest_dedup": embeddings.oracle_sql(),
               "op9_winnowed_line_dedup": line_dedup.oracle_sql(), "op13_merkle_manifest": manifest.oracle_sql()}
