@@ -66,12 +66,12 @@ def _height(n: Column, most: int) -> Column:
     return out.cast("int")
 
 
-def build(leaves: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
-    """The store by level and the roots of a forest.
+def build(leaves: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame, DataFrame | None]:
+    """The store by level, the roots of a forest, and the nodes above the leaves (None without any).
 
     ``leaves``: tree, n (leaves of the tree), idx (from 0), digest.  Level k of the store (from 1):
-    digest, children.  Roots: tree, n, digest."""
-    nodes, store = leaves, []
+    digest, children.  Roots: tree, n, digest.  Nodes: tree, n, idx, digest, children."""
+    nodes, store, lowest = leaves, [], None
     roots = nodes.where("n = 1")
     for k in range(1, most + 1):
         grown = nodes.where(F.col("n") > FANOUT ** (k - 1)).groupBy(
@@ -81,9 +81,10 @@ def build(leaves: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
                                          digest(F.array_join("children", "")).alias("digest"), "children"))
         # Content-addressed: equal nodes are one record.
         store.append(level.select("digest", "children").dropDuplicates(["digest"]))
+        lowest = level if lowest is None else lowest
         nodes = level.drop("children")
         roots = roots.unionByName(nodes.where(F.col("n").between(FANOUT ** (k - 1) + 1, FANOUT ** k)))
-    return store, roots.select("tree", "n", "digest")
+    return store, roots.select("tree", "n", "digest"), lowest
 
 
 def _segment(children: Column, taken: Column) -> Column:
@@ -92,18 +93,21 @@ def _segment(children: Column, taken: Column) -> Column:
                     F.array_join(F.slice(children, taken + 2, F.greatest(F.size(children) - taken - 1, F.lit(0))), "").alias("behind"))
 
 
-def descend(roots: DataFrame, store: list[DataFrame], most: int, stop: int) -> DataFrame:
-    """Nodes of height ``stop`` with their paths: tree, n, idx, digest, path (from the root down).
+def descend(roots: DataFrame, store: list[DataFrame], most: int, stop: int, keep: tuple = ()) -> DataFrame:
+    """Nodes of height ``stop`` with their paths: tree, n, the columns of ``keep``, idx, digest, path
+    (from the root down).
 
-    ``roots``: tree, n, digest, path.  Trees that are lower than ``stop`` stay out."""
+    ``roots``: tree, n, digest, path and ``keep``.  Trees that are lower than ``stop`` stay out.  The
+    joins are merge joins at every size; a digest that many nodes share is a skewed key, which
+    adaptive execution splits."""
     roots = roots.withColumn("height", _height(F.col("n"), most)).withColumn("idx", F.lit(0).cast("bigint"))
-    columns = ["tree", "n", "idx", "digest", "path"]
+    columns = ["tree", "n", *keep, "idx", "digest", "path"]
     at = roots.where(F.col("height") == most).select(columns)
     for k in range(most, stop, -1):
         record = store[k - 1].withColumnRenamed("digest", "parent")
-        met = at.join(record, F.col("digest") == F.col("parent"))
-        down = met.select("tree", "n", "idx", "path", "children", F.posexplode("children").alias("digit", "digest")).select(
-            "tree", "n", (F.col("idx") * FANOUT + F.col("digit")).alias("idx"), "digest",
+        met = at.join(record.hint("merge"), F.col("digest") == F.col("parent"))
+        down = met.select("tree", "n", *keep, "idx", "path", "children", F.posexplode("children").alias("digit", "digest")).select(
+            "tree", "n", *keep, (F.col("idx") * FANOUT + F.col("digit")).alias("idx"), "digest",
             F.concat("path", F.array(_segment(F.col("children"), F.col("digit")))).alias("path"))
         at = down.unionByName(roots.where(F.col("height") == k - 1).select(columns))
     return at
@@ -123,8 +127,9 @@ def prove(rows: DataFrame, group_col: str, id_col: str, leaf_col: str, claim_col
     """One row per row of ``rows``: id, group, claim, leaf, subroot, root, path (segments from the
     leaf up).  ``claim_col`` is carried along; fold it with the path to check it against the root.
     """
-    ranked = rows.select(F.col(group_col).alias("grp"), F.col(id_col).alias("id"), F.col(leaf_col).alias("leaf"),
-                         F.col(claim_col).alias("claim"), F.monotonically_increasing_id().alias("tie"))
+    # Written first: range partitioning reads its input twice, and digests of texts are dear.
+    ranked = write_table(rows.select(F.col(group_col).alias("grp"), F.col(id_col).alias("id"), F.col(leaf_col).alias("leaf"),
+                                     F.col(claim_col).alias("claim"), F.monotonically_increasing_id().alias("tie")))
     ranked = dense_index(ranked, ["grp", "id", "leaf", "tie"], "at")
     groups = write_table(ranked.groupBy("grp").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")))
     size = groups.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("n")).first()
@@ -136,33 +141,32 @@ def prove(rows: DataFrame, group_col: str, id_col: str, leaf_col: str, claim_col
     groups = write_table(dense_index(groups, ["grp"], "tree"))
     own = groups.withColumnRenamed("grp", "own")
     leaves = write_table(ranked.join(own, F.col("grp").eqNullSafe(F.col("own"))).select(
-        "tree", "n", (F.col("at") - F.col("first")).alias("idx"), "id", "leaf", "claim"))
+        "tree", "n", (F.col("at") - F.col("first")).alias("idx"), "id", "grp", "leaf", "claim"))
 
-    store, subroots = build(leaves.select("tree", "n", "idx", F.col("leaf").alias("digest")), high)
+    store, subroots, lowest = build(leaves.select("tree", "n", "idx", F.col("leaf").alias("digest")), high)
     subroots = write_table(subroots)
     tops = subroots.select(F.lit(0).cast("bigint").alias("tree"), F.lit(size["groups"]).cast("bigint").alias("n"),
                            F.col("tree").alias("idx"), "digest")
-    top_store, top = build(tops, top_high)
+    top_store, top, _ = build(tops, top_high)
     root = top.select("digest").first()["digest"]
 
     start = top.withColumn("path", F.array().cast(SEGMENTS))
     paths = descend(start, top_store, top_high, 0).select(F.col("idx").alias("tree"), F.col("digest").alias("subroot"), "path")
     starts = write_table(paths.join(subroots.select("tree", "n"), "tree"))
 
-    alone = leaves.where("n = 1").join(starts.drop("n"), "tree").select("tree", "id", "claim", "leaf", "path")
-    found = alone
+    columns = ["id", "grp", "claim", "leaf", "subroot", "path"]
+    found = leaves.where("n = 1").join(starts.drop("n"), "tree").select(columns)
     if high:
-        # Nodes above the leaves, with the place and the record of each; a path is shared by all leaves below.
-        last = descend(starts.select("tree", "n", F.col("subroot").alias("digest"), "path"), store, high, 1)
-        last = last.join(store[0].withColumnRenamed("digest", "parent"), F.col("digest") == F.col("parent"))
+        # Nodes above the leaves, with the record of each and the requests below it; these rows are
+        # small, and the one path that all leaves of a node share is shuffled once.
+        last = descend(starts.select("tree", "n", "subroot", F.col("subroot").alias("digest"), "path"), store, high, 1, ("subroot",))
         asked = leaves.where("n > 1").groupBy("tree", F.expr(f"idx div {FANOUT}").alias("idx")).agg(
-            F.collect_list(F.struct((F.col("idx") % FANOUT).cast("int").alias("digit"), "id", "claim")).alias("requests"))
-        met = last.join(asked, ["tree", "idx"]).select("tree", "children", "path", F.inline("requests"))
-        found = met.select("tree", "id", "claim", F.element_at("children", F.col("digit") + 1).alias("leaf"),
-                           F.concat("path", F.array(_segment(F.col("children"), F.col("digit")))).alias("path")).unionByName(alone)
-    names = groups.select("tree", "grp").join(starts.select("tree", "subroot"), "tree")
-    return found.join(names, "tree").select("id", "grp", "claim", "leaf", "subroot", F.lit(root).alias("root"),
-                                            F.reverse("path").alias("path"))
+            F.collect_list(F.struct((F.col("idx") % FANOUT).cast("int").alias("digit"), "id", "grp", "claim")).alias("requests"))
+        record = lowest.select("tree", "idx", "digest", "children").join(asked.hint("merge"), ["tree", "idx"])
+        met = last.join(record.hint("merge"), ["tree", "idx", "digest"]).select("subroot", "children", "path", F.inline("requests"))
+        found = found.unionByName(met.withColumn("leaf", F.element_at("children", F.col("digit") + 1)).withColumn(
+            "path", F.concat("path", F.array(_segment(F.col("children"), F.col("digit"))))).select(columns))
+    return found.select("id", "grp", "claim", "leaf", "subroot", F.lit(root).alias("root"), F.reverse("path").alias("path"))
 
 
 def tampered_text(text: Column) -> Column:
