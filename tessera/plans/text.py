@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import after_marker
+from tessera.operators import cells as C
 from tessera.operators import chunking as CH
 from tessera.operators import evaluation as EV
 from tessera.operators import retrieval as R
@@ -24,6 +25,8 @@ from tessera.sources import read_scores_csv, read_table, write_scores_csv
 
 K = 10
 N_KEEP = 3
+#: Approximate search: every vector whose id this divides is a query; cells probed; sketch bits that may differ.
+QUERY_EVERY, PROBES, RADIUS = 20, 13, 232
 STEP = CH.CHUNK_SIZE - CH.CHUNK_OVERLAP
 TOK = R.TOKEN
 
@@ -350,10 +353,100 @@ def _centroids(emb: DataFrame) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("c"))
 
 
+def _index(spark: SparkSession, sf_dir: str) -> C.CellIndex:
+    return C.build(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), ["vec_id"], "embedding")
+
+
 def _knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.exact(_index(spark, sf_dir), _centroids(read_table(spark, sf_dir, "embeddings")), "label", "c", k=K)[0]
+
+
+# Cells, sketches and angles as the index has them; queries are the vectors whose id 20 divides.
+_CELLS_SQL = f"""
+e AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm FROM embeddings),
+u AS (SELECT vec_id, list_transform(v, lambda x: x / norm) AS u FROM e WHERE norm > 0),
+piv AS (SELECT row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS cell, u AS p FROM u QUALIFY cell < {C.CELLS}),
+near AS (
+  SELECT u.vec_id, u.u, piv.cell, round(list_inner_product(u.u, piv.p), {C.SCORE_DECIMALS}) AS s FROM u CROSS JOIN piv),
+placed AS (SELECT vec_id, u, cell, acos(least(1.0, greatest(-1.0, s))) AS angle FROM near
+           QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) = 1)"""
+
+_SKETCH_SQL = f"""
+drawn AS (
+  SELECT b, i, CASE WHEN substr(md5(b::VARCHAR || ':' || i::VARCHAR), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS r
+  FROM range({C.BITS}) t1(b) CROSS JOIN (SELECT unnest(range(len(u))) AS i FROM (SELECT u FROM u LIMIT 1))),
+signs AS (SELECT b, list(r ORDER BY i) AS r FROM drawn GROUP BY b),
+sk AS (
+  SELECT vec_id, string_agg(CASE WHEN list_inner_product(u, r) >= 0 THEN '1' ELSE '0' END, '' ORDER BY b) AS sketch
+  FROM u CROSS JOIN signs GROUP BY vec_id),
+probed AS (
+  SELECT n.vec_id AS qid, n.u AS q, n.cell, sk.sketch FROM near n JOIN sk USING (vec_id) WHERE n.vec_id % {QUERY_EVERY} = 0
+  QUALIFY row_number() OVER (PARTITION BY n.vec_id ORDER BY n.s DESC, n.cell) <= {PROBES}),
+pairs AS (
+  SELECT p.qid, x.vec_id, round(list_inner_product(p.q, x.u), {C.SCORE_DECIMALS}) AS score,
+         hamming(p.sketch, k.sketch) <= {RADIUS} AS compared
+  FROM probed p JOIN placed x USING (cell) JOIN sk k ON k.vec_id = x.vec_id),
+approx AS (
+  SELECT qid, vec_id, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs WHERE compared QUALIFY rank <= {K}),
+truth AS (
+  SELECT a.vec_id AS qid, b.vec_id FROM u a CROSS JOIN u b WHERE a.vec_id % {QUERY_EVERY} = 0
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_inner_product(a.u, b.u), {C.SCORE_DECIMALS}) DESC, b.vec_id) <= {K})"""
+
+
+def _cell_search(spark: SparkSession, sf_dir: str) -> tuple[C.CellIndex, DataFrame, tuple[DataFrame, DataFrame]]:
+    index = _index(spark, sf_dir)
+    queries = read_table(spark, sf_dir, "embeddings").where(F.col("vec_id") % QUERY_EVERY == 0).select(
+        F.col("vec_id").alias("qid"), "embedding")
+    return index, queries, C.approximate(index, queries, "qid", "embedding", k=K, probes=PROBES, radius=RADIUS)
+
+
+@register("knn_cells", f"""
+WITH {_CELLS_SQL}, {_SKETCH_SQL}
+SELECT qid, vec_id, score, rank FROM approx""")
+def knn_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate neighbours of every vector whose id 20 divides, from probed cells and sketches."""
+    return _cell_search(spark, sf_dir)[2][0]
+
+
+@register("knn_cells_recall", f"""
+WITH {_CELLS_SQL}, {_SKETCH_SQL},
+hits AS (SELECT qid, count(*) AS hits FROM truth JOIN approx USING (qid, vec_id) GROUP BY qid),
+work AS (SELECT qid, count(*) AS sketched, count(*) FILTER (compared) AS compared FROM pairs GROUP BY qid)
+SELECT t.qid, coalesce(any_value(hits), 0) AS hits, any_value(sketched) AS sketched, any_value(compared) AS compared,
+       coalesce(any_value(hits), 0) / CAST(count(*) AS DOUBLE) AS recall,
+       any_value(compared) / (SELECT CAST(count(*) AS DOUBLE) FROM embeddings) AS share_compared
+FROM truth t LEFT JOIN hits USING (qid) LEFT JOIN work USING (qid) GROUP BY t.qid""", rounded=("recall", "share_compared"))
+def knn_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of ``knn_cells`` against the exact search, with the rows sketched and compared."""
+    index, queries, (found, counted) = _cell_search(spark, sf_dir)
+    truth, _ = C.exact(index, queries, "qid", "embedding", k=K)
+    total = read_table(spark, sf_dir, "embeddings").count()
+    return C.recall(found, truth, counted, "qid", ["vec_id"], total, K)
+
+
+@register("knn_blocks_read", f"""
+WITH {_KNN_SQL}, {_CELLS_SQL},
+bounds AS (SELECT cell, count(*) AS n, min(angle) AS low, max(angle) AS high FROM placed GROUP BY cell),
+qa AS (
+  SELECT label, piv.cell, round(list_inner_product(c, p) / sqrt(list_inner_product(c, c)), {C.SCORE_DECIMALS}) AS s FROM cen CROSS JOIN piv),
+qp AS (SELECT *, acos(least(1.0, greatest(-1.0, s))) AS angle, row_number() OVER (PARTITION BY label ORDER BY s DESC, cell) AS place FROM qa),
+home AS (
+  SELECT label, score FROM qp JOIN placed USING (cell) JOIN sim USING (label, vec_id) WHERE place = 1
+  QUALIFY row_number() OVER (PARTITION BY label ORDER BY score DESC) <= {K}),
+kth AS (SELECT label, CASE WHEN count(*) >= {K} THEN acos(least(1.0, greatest(-1.0, min(score)))) + {C.SLACK} ELSE 4.0 END AS reach FROM home GROUP BY label)
+SELECT qp.label::INTEGER AS label, CAST(sum(n) AS BIGINT) AS compared, count(*) AS blocks_read,
+       sum(n) / (SELECT CAST(count(*) AS DOUBLE) FROM placed) AS share_read
+FROM qp JOIN bounds USING (cell) LEFT JOIN kth USING (label)
+WHERE place = 1 OR greatest(0.0, angle - high, low - angle) <= coalesce(reach, 4.0) GROUP BY qp.label""", rounded=("share_read",))
+def knn_blocks_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and blocks that the exact search of ``knn_exact`` reads for each query."""
     emb = read_table(spark, sf_dir, "embeddings")
-    return R.cosine_top_k(_centroids(emb), emb.select("vec_id", "embedding"), "label", "c",
-                          ["vec_id"], "embedding", k=K)
+    index = _index(spark, sf_dir)
+    _, read = C.exact(index, _centroids(emb), "label", "c", k=K)
+    return read.select(F.col("label").cast("int").alias("label"), "compared", "blocks_read",
+                       (F.col("compared") / F.lit(float(max(index.blocks.agg(F.sum("n")).first()[0] or 0, 1)))).alias("share_read"))
 
 
 @register("retrieval_scores", f"""
