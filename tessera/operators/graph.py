@@ -3,10 +3,11 @@
 * Edge derivation: transitions between consecutive events (range-partitioned, so a hot
   key is spread over many tasks), and line-of-sight neighbours
   on a grid (rows, columns and 45-degree diagonals) with ``lead`` windows.
-* Cycle and path enumeration: a frontier of partial paths extended one hop per
-  iteration by an equi-join with the adjacency on ``(graph, last node)``; every hop is
-  written as a table in the checkpoint folder, so a lost executor recomputes one hop,
-  not the whole chain.  Canonical forms avoid duplicates without any post-hoc distinct:
+* Cycle and path enumeration by meeting in the middle: partial paths of up to half the
+  length are extended one hop per iteration by an equi-join with the adjacency on
+  ``(graph, last node)`` and then joined in pairs; every hop is written as a table in the
+  checkpoint folder, so a lost executor recomputes one hop, not the whole chain.
+  Canonical forms avoid duplicates without any post-hoc distinct:
   a cycle starts at its smallest node and runs towards the smaller neighbour; a path
   starts at the smaller end.
 * Degree and Euler test, with connectivity from min-label propagation.
@@ -133,83 +134,116 @@ def _guard(frontier: DataFrame, max_frontier_rows: int | None) -> None:
                            "split the graphs")
 
 
+def _arms(starts: DataFrame, adj: DataFrame, g: list[str], hops: int, goes_on: Column, max_frontier_rows: int | None) -> list[DataFrame]:
+    """Simple paths from the rows of ``starts`` (path of one node, last and further columns) by number
+    of edges, from none to ``hops``; every hop is one join and one table.  ``goes_on`` is a condition
+    on a path, its further columns and the next node ``v``."""
+    arms, frontier = [starts], starts
+    for _ in range(hops):
+        step = _extend(frontier, adj, g).where(goes_on & ~F.array_contains("path", F.col("v")))
+        kept = [c for c in starts.columns if c not in ("last", "path")]
+        frontier = cut_lineage(step.select(*kept, F.col("v").alias("last"), F.array_append("path", F.col("v")).alias("path"))
+                               .select(starts.columns))
+        _guard(frontier, max_frontier_rows)
+        if frontier.isEmpty():
+            break
+        arms.append(frontier)
+    return arms
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _interior(path: str) -> Column:
+    return F.slice(path, 2, F.greatest(F.size(path) - 2, F.lit(0)))
+
+
+def _closed(met: DataFrame, g: list[str]) -> DataFrame:
+    """Cycles of two arms ``a`` and ``b`` of one length (then each pair is there in both orders) or with
+    ``b`` longer by one edge; a cycle runs towards the smaller neighbour of its start."""
+    first = F.element_at("a", 2) < F.element_at("b", 2)
+    cycle = F.when(first, F.concat("a", F.reverse(_interior("b")))).otherwise(F.concat("b", F.reverse(_interior("a"))))
+    return met.where(first | (F.size("a") < F.size("b"))).select(*g, F.size(cycle).alias("length"), cycle.alias("cycle"))
+
+
 def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | None = None,
                   hamiltonian: bool = False, max_frontier_rows: int | None = None) -> DataFrame:
     """Every simple cycle (length >= 3) once: ``(graph, length, cycle)``.
 
-    ``hamiltonian=True`` keeps cycles through all nodes of their graph, and then only
-    extends paths from the graph's smallest node (a Hamiltonian cycle contains it).
-    ``max_len`` limits the cycle length (a parameter of the enumeration, not a cap on
-    results); ``max_frontier_rows`` makes an exponential blow-up fail instead of filling
-    the cluster.
+    A cycle is two arms that leave its smallest node, meet at one node half way round and share no
+    other: arms of up to half of the longest cycle are grown, and one join on (graph, start, meeting
+    node) pairs them.  So no path longer than half a cycle is followed, whether it closes or not.
+
+    ``hamiltonian=True`` keeps cycles through all nodes of their graph: arms start at the graph's
+    smallest node, an arm only meets one through exactly the nodes that it leaves out, and graphs
+    with a node of degree one are left out first.  ``max_len`` limits the cycle length (a parameter
+    of the enumeration, not a cap on results); ``max_frontier_rows`` makes an exponential blow-up
+    fail instead of filling the cluster.
     """
     g = list(graph_cols)
     adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
-    sizes = _sizes(adj, g)
-    if max_len is None:
-        max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
-    starts = _nodes(adj, g)
-    if hamiltonian:
-        starts = starts.join(sizes, g).where(F.col("node") == F.col("min_node")).select(*g, "node")
-    frontier = starts.select(*g, F.col("node").alias("start"), F.col("node").alias("last"),
-                             F.array("node").alias("path"))
-    found = []
-    for _ in range(int(max_len)):
-        nxt = _extend(frontier, adj, g)
-        closes = (F.col("v") == F.col("start")) & (F.size("path") >= 3) & (F.element_at("path", 2) < F.col("last"))
-        goes_on = (F.col("v") > F.col("start")) & ~F.array_contains("path", F.col("v"))
-        # One join and one table a hop: the cycles that close here and the longer paths.
-        hop = cut_lineage(nxt.where(closes | goes_on).select(
-            *g, "start", F.col("v").alias("last"), closes.alias("closes"),
-            F.when(closes, F.col("path")).otherwise(F.array_append("path", F.col("v"))).alias("path")))
-        found.append(hop.where("closes").select(*g, F.size("path").alias("length"), "path"))
-        frontier = hop.where("not closes").drop("closes")
-        _guard(frontier, max_frontier_rows)
-        if frontier.isEmpty():
-            break
-    if not found:
-        return starts.select(*g, F.lit(0).alias("length"), F.array("node").alias("cycle")).where(F.lit(False))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    out = out.withColumnRenamed("path", "cycle")
     if hamiltonian:
-        # one row per graph, broadcast if adaptive execution finds it small: a graph with most of the cycles
-        # is not shuffled into one task
-        out = out.join(sizes.select(*g, "n_nodes"), g) \
-            .where(F.col("length") == F.col("n_nodes")).drop("n_nodes")
-    return out
+        return _hamiltonian_cycles(adj, g, max_len, max_frontier_rows)
+    if max_len is None:
+        max_len = _sizes(adj, g).agg(F.max("n_nodes")).first()[0] or 0
+    starts = _nodes(adj, g).select(*g, F.col("node").alias("start"), F.col("node").alias("last"), F.array("node").alias("path"))
+    arms = _arms(starts, adj, g, (int(max_len) + 1) // 2, F.col("v") > F.col("start"), max_frontier_rows)
+    if len(arms) < 3:  # no path of two edges: no cycle
+        return starts.select(*g, F.lit(0).alias("length"), F.col("path").alias("cycle")).where(F.lit(False))
+    arm = _all(arms[1:])
+    a, b = arm.withColumnRenamed("path", "a"), arm.withColumnRenamed("path", "b")
+    met = a.join(b, [*g, "start", "last"]).where((F.size("b") - F.size("a")).isin(0, 1) & ~F.arrays_overlap(_interior("a"), _interior("b")))
+    return _closed(met, g).where(F.col("length").between(3, int(max_len)))
+
+
+def _profile(adj: DataFrame, g: list[str]) -> DataFrame:
+    """Per graph: its nodes in order, their number, how many have degree one."""
+    degree = adj.groupBy(*g, F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+    return degree.groupBy(*g).agg(F.sort_array(F.collect_list("node")).alias("nodes"), F.count(F.lit(1)).cast("int").alias("n"),
+                                  F.sum((F.col("degree") == 1).cast("int")).alias("ends"))
+
+
+def _hamiltonian_cycles(adj: DataFrame, g: list[str], max_len: int | None, max_frontier_rows: int | None) -> DataFrame:
+    sizes = _profile(adj, g).where("n >= 3 and ends = 0")
+    if max_len is not None:
+        sizes = sizes.where(F.col("n") <= max_len)
+    sizes = cut_lineage(sizes)
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    half = F.expr("n div 2")
+    starts = sizes.select(*g, "n", F.element_at("nodes", 1).alias("last"), F.array(F.element_at("nodes", 1)).alias("path"))
+    arms = _all(_arms(starts, adj, g, most - most // 2, F.size("path") <= F.col("n") - half, max_frontier_rows))
+    a = arms.where(F.size("path") == half + 1).select(*g, "last", F.col("path").alias("a"), F.sort_array(_interior("path")).alias("rest"))
+    b = arms.where(F.size("path") == F.col("n") - half + 1).join(sizes.select(*g, "nodes"), g).select(
+        *g, "last", F.col("path").alias("b"), F.array_except("nodes", "path").alias("rest"))
+    return _closed(a.join(b, [*g, "last", "rest"]), g)
 
 
 def hamiltonian_paths(edges: DataFrame, graph_cols: Sequence[str],
                       max_frontier_rows: int | None = None) -> DataFrame:
     """Every path through all nodes of its graph once (reversal counted once):
-    ``(graph, path)`` with ``path[0] < path[-1]``; graphs of one node have none."""
+    ``(graph, path)`` with ``path[0] < path[-1]``; graphs of one node have none.
+
+    A path is two arms that leave its middle node through disjoint halves of the other nodes: arms of
+    up to half the length are grown from every node, and an arm is joined to those through exactly the
+    nodes that it leaves out.  Graphs with over two nodes of degree one are left out first."""
     g = list(graph_cols)
     adj = cut_lineage(symmetric(canonical_edges(edges, g), g))
-    sizes = _sizes(adj, g)
-    max_len = sizes.agg(F.max("n_nodes")).first()[0] or 0
-    frontier = _nodes(adj, g).join(sizes.select(*g, "n_nodes"), g) \
-        .select(*g, "n_nodes", F.col("node").alias("last"), F.array("node").alias("path"))
-    done = []
-    for _ in range(1, int(max_len)):
-        nxt = _extend(frontier, adj, g)
-        frontier = nxt.where(~F.array_contains("path", F.col("v"))) \
-            .select(*g, "n_nodes", F.col("v").alias("last"), F.array_append("path", F.col("v")).alias("path"))
-        frontier = cut_lineage(frontier)
-        _guard(frontier, max_frontier_rows)
-        done.append(frontier.where((F.size("path") == F.col("n_nodes"))
-                                   & (F.element_at("path", 1) < F.element_at("path", -1)))
-                    .select(*g, "path"))
-        if frontier.where(F.size("path") < F.col("n_nodes")).isEmpty():
-            break
-        frontier = frontier.where(F.size("path") < F.col("n_nodes"))
-    if not done:
-        return frontier.select(*g, "path").where(F.lit(False))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+    sizes = cut_lineage(_profile(adj, g).where("n >= 2 and ends <= 2"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    half = F.expr("(n - 1) div 2")
+    starts = sizes.select(*g, "n", F.explode("nodes").alias("last")).withColumn("path", F.array("last"))
+    arms = _all(_arms(starts, adj, g, max(most - 1, 0) - max(most - 1, 0) // 2, F.size("path") <= F.col("n") - 1 - half, max_frontier_rows))
+    tail = F.slice("path", 2, F.size("path"))
+    a = arms.where(F.size("path") == half + 1).select(*g, F.element_at("path", 1).alias("middle"), F.col("path").alias("a"),
+                                                      F.sort_array(tail).alias("rest"))
+    b = arms.where(F.size("path") == F.col("n") - half).join(sizes.select(*g, "nodes"), g).select(
+        *g, F.element_at("path", 1).alias("middle"), F.col("path").alias("b"), F.array_except("nodes", "path").alias("rest"))
+    met = a.join(b, [*g, "middle", "rest"]).where(F.element_at("a", -1) < F.element_at("b", -1))
+    return met.select(*g, F.concat(F.reverse("a"), F.slice("b", 2, F.size("b"))).alias("path"))
 
 
 def components(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:

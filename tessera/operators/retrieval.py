@@ -1,267 +1,42 @@
 """Two-stage retrieval: exact top-k first stage, rescoring second stage, context text.
 
-First stage (exact, no pair table): queries are taken in blocks of about
-``QUERIES_PER_BLOCK``, chosen by a hash of the id, so the driver holds one block at a time
-whatever the size of the query set.  A block is shipped to every task as a broadcast
-variable; each task scores its slice of the corpus against it in Arrow batches
-(``mapInPandas`` + numpy) and keeps only a partial top-k per query under the total order
-``(score desc, keys asc)``.  The partials (at most ``k`` rows per query and task) are merged
-by ``row_number() <= k`` per query.  The corpus is read once a block and never shuffled; the
-only shuffle carries ``queries x k x tasks`` rows.
-
-Scorers: BM25 over word tokens (text corpus) and cosine similarity (vector corpus).
-Second stage: any scorer of two token arrays (Jaccard overlap by default) on the ``k``
-candidates only, keep ``n``.
+First stage: BM25 over a postings table (``postings``) or cosine over a cell index (``cells``);
+both are exact, take the queries as a table and hold none of them on the driver.  Second stage: any
+scorer of two token arrays (Jaccard overlap by default) on the ``k`` candidates only, keep ``n``.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.operators.parallelism import spread
-from tessera.session import cut_lineage, ship_package
+from tessera.operators import cells, postings
+from tessera.operators.postings import BM25_B, BM25_K1, SCORE_DECIMALS, TOKEN, tokens  # noqa: F401
+from tessera.session import cut_lineage
 
-# Word token = run of characters that are not whitespace or punctuation.
-TOKEN = r'[^ \t\n\r\f.,;:!?()\[\]{}<>"]+'
 # Prompt template and the separator between context passages.
 PROMPT_TEMPLATE = ("Use the following context to answer the question.\n\n"
                    "Context:\n{context}\n\nQuestion: {question}\n<think>\n")
 CONTEXT_SEPARATOR = "\n\n"
 
-BM25_K1 = 1.2
-BM25_B = 0.75
-SCORE_DECIMALS = 9
-QUERIES_PER_BLOCK = 2048
-SUB_BATCH = 2048
-
-
-def tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), 0)
-
-
-def _query_blocks(queries: DataFrame, qid_col: str) -> list[DataFrame]:
-    """The queries in blocks of about ``QUERIES_PER_BLOCK`` by a hash of the id."""
-    n = queries.count()
-    blocks = -(-n // QUERIES_PER_BLOCK)
-    if blocks <= 1:
-        return [queries]
-    at = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(blocks))
-    return [queries.where(at == i) for i in range(blocks)]
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _merge_topk(frames: list[pd.DataFrame], keys: list[str], k: int) -> pd.DataFrame:
-    df = pd.concat(frames, ignore_index=True)
-    df = df.sort_values(["qid", "score", *keys], ascending=[True, False, *([True] * len(keys))],
-                        kind="mergesort")
-    return df.groupby("qid", sort=False).head(k)
-
-
-def _topk_scan(corpus: DataFrame, keys: list[str], key_types: list[T.DataType],
-               scorer: Callable[[pd.DataFrame], np.ndarray], qids: np.ndarray, k: int,
-               min_score: float | None) -> DataFrame:
-    """Partial top-k per task; returns ``(qid, *keys, score)`` with <= k rows per query/task."""
-    schema = T.StructType(
-        [T.StructField("qid", T.LongType())]
-        + [T.StructField(c, t) for c, t in zip(keys, key_types)]
-        + [T.StructField("score", T.DoubleType())]
-    )
-    qids = np.asarray(qids, dtype=np.int64)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: pd.DataFrame | None = None
-        for pdf in batches:
-            for s in range(0, len(pdf), SUB_BATCH):
-                part = pdf.iloc[s:s + SUB_BATCH].reset_index(drop=True)
-                S = np.round(scorer(part), SCORE_DECIMALS)
-                S = np.where(np.isnan(S), -np.inf, S)
-                b = S.shape[0]
-                if b > k:
-                    th = np.partition(S, b - k, axis=0)[b - k]
-                    mask = S >= th
-                else:
-                    mask = np.ones_like(S, dtype=bool)
-                mask &= np.isfinite(S)
-                if min_score is not None:
-                    mask &= S > min_score
-                rows, cols = np.nonzero(mask)
-                if len(rows) == 0:
-                    continue
-                cand = pd.DataFrame({"qid": qids[cols], "score": S[rows, cols]})
-                for c in keys:
-                    cand[c] = part[c].to_numpy()[rows]
-                state = _merge_topk([cand] if state is None else [state, cand], keys, k)
-        if state is not None:
-            yield state[["qid", *keys, "score"]]
-
-    ship_package(corpus.sparkSession)
-    partial = corpus.mapInPandas(run, schema)
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), *[F.col(c).asc() for c in keys])
-    return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-# --- BM25 first stage ---------------------------------------------------------------
-
-_TF_SCHEMA_FIELDS = [
-    T.StructField("dl", T.IntegerType()),
-    T.StructField("tids", T.ArrayType(T.IntegerType())),
-    T.StructField("tfs", T.ArrayType(T.IntegerType())),
-]
-
-
-_VOCAB_CACHE: dict[str, pd.Index] = {}
-
-
-def _vocab_index(bc) -> pd.Index:
-    """Hash index of the broadcast query vocabulary, built once per Python worker
-    (workers are reused across tasks) and keyed by the broadcast's token."""
-    key = bc.value["key"]
-    index = _VOCAB_CACHE.get(key)
-    if index is None:
-        _VOCAB_CACHE.clear()
-        index = _VOCAB_CACHE[key] = pd.Index(bc.value["terms"])
-    return index
-
-
-def _term_frequencies(corpus: DataFrame, keys: list[str], key_types: list[T.DataType], text_col: str,
-                      terms: list[str]) -> DataFrame:
-    """One tokenisation pass: per row its length in tokens and the sparse counts of the
-    query-vocabulary terms it contains ``(keys, dl, tids, tfs)``."""
-    schema = T.StructType([T.StructField(c, t) for c, t in zip(keys, key_types)] + _TF_SCHEMA_FIELDS)
-    bc = corpus.sparkSession.sparkContext.broadcast({"key": uuid.uuid4().hex, "terms": terms})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = _vocab_index(bc)
-        nv = max(len(index), 1)
-        for pdf in batches:
-            toks = pdf["text"].fillna("").str.lower().str.findall(TOKEN)
-            dl = toks.str.len().to_numpy(dtype=np.int64)
-            flat = toks.explode()
-            flat = flat[flat.notna()]
-            tid = index.get_indexer(flat.to_numpy()) if len(flat) else np.array([], dtype=np.int64)
-            row = flat.index.to_numpy()
-            keep = tid >= 0
-            uniq, tf = np.unique(row[keep] * nv + tid[keep], return_counts=True)
-            r, t = uniq // nv, (uniq % nv).astype(np.int32)
-            bounds = np.searchsorted(r, np.arange(len(pdf) + 1))
-            out = pdf[keys].copy()
-            out["dl"] = dl.astype(np.int32)
-            out["tids"] = [t[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-            out["tfs"] = [tf[a:b].astype(np.int32) for a, b in zip(bounds[:-1], bounds[1:])]
-            yield out
-
-    ship_package(corpus.sparkSession)
-    return spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(run, schema)
-
 
 def bm25_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: str,
                keys: Sequence[str], text_col: str, k: int = 10) -> DataFrame:
     """Top-``k`` corpus rows per query by BM25: ``(qid, *keys, score, rank)``.
 
-    Only rows sharing at least one token with the query are candidates.  The corpus is
-    tokenised once into a compact table of query-vocabulary term counts (written as a
-    table in the checkpoint folder); corpus statistics (row count, mean length, document
-    frequencies) and the scoring scan both read that table instead of the text.
-    """
-    keys = list(keys)
-    blocks = [_bm25_block(q, corpus, qid_col, qtext_col, keys, text_col, k) for q in _query_blocks(queries, qid_col)]
-    # queries x k rows: written once so later joins do not rescan.
-    return cut_lineage(_union(blocks).withColumnRenamed("qid", qid_col))
-
-
-def _bm25_block(queries: DataFrame, corpus: DataFrame, qid_col: str, qtext_col: str, keys: list[str],
-                text_col: str, k: int) -> DataFrame:
-    """Top-k of one block of queries, whose terms are held by the driver."""
-    key_types = [corpus.schema[c].dataType for c in keys]
-    qt_rows = queries.select(F.col(qid_col).cast("bigint").alias("qid"),
-                             F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term")).collect()
-    terms = sorted({r["term"] for r in qt_rows})
-    term_index = {t: i for i, t in enumerate(terms)}
-    tf = cut_lineage(_term_frequencies(corpus, keys, key_types, text_col, terms))
-    stats = tf.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    dfs = np.zeros(len(terms), dtype=np.float64)
-    # at most one row per term of the block
-    for r in tf.select(F.explode("tids").alias("t")).groupBy("t").count().collect():
-        dfs[r["t"]] = r["count"]
-    idf = np.log(1.0 + (n_docs - dfs + 0.5) / (dfs + 0.5))
-    by_query: dict[int, list[int]] = {}
-    for r in qt_rows:
-        by_query.setdefault(r["qid"], []).append(term_index[r["term"]])
-    block = sorted(by_query)
-    qids = np.array(block, dtype=np.int64)
-    # CSR: term -> queries (of this block) containing it.
-    pairs = sorted((t, i) for i, q in enumerate(block) for t in by_query[q])
-    t_arr = np.array([p[0] for p in pairs], dtype=np.int64)
-    q_arr = np.array([p[1] for p in pairs], dtype=np.int64)
-    indptr = np.searchsorted(t_arr, np.arange(len(terms) + 1))
-    bc = corpus.sparkSession.sparkContext.broadcast(
-        {"idf": idf, "indptr": indptr, "q": q_arr, "nq": len(qids), "avgdl": avgdl})
-
-    def scorer(part: pd.DataFrame) -> np.ndarray:
-        v = bc.value
-        S = np.zeros((len(part), v["nq"]), dtype=np.float64)
-        lens = part["tids"].map(len).to_numpy()
-        if lens.sum() == 0:
-            return S
-        r = np.repeat(np.arange(len(part)), lens)
-        t = np.concatenate(part["tids"].to_numpy()).astype(np.int64)
-        tf = np.concatenate(part["tfs"].to_numpy()).astype(np.float64)
-        dl = part["dl"].to_numpy(dtype=np.float64)
-        norm = BM25_K1 * (1 - BM25_B + BM25_B * dl[r] / v["avgdl"]) if v["avgdl"] > 0 else BM25_K1
-        w = v["idf"][t] * tf * (BM25_K1 + 1) / (tf + norm)
-        starts, ends = v["indptr"][t], v["indptr"][t + 1]
-        reps = ends - starts
-        first = np.cumsum(reps) - reps
-        idx = np.arange(int(reps.sum())) - np.repeat(first, reps) + np.repeat(starts, reps)
-        np.add.at(S, (np.repeat(r, reps), v["q"][idx]), np.repeat(w, reps))
-        return S
-
-    return _topk_scan(tf, keys, key_types, scorer, qids, k, min_score=0.0)
-
+    Only rows sharing at least one token with the query are candidates.  To ask several query tables,
+    build the index once (``postings.build``) and call ``postings.search``."""
+    # queries x k rows: written once so later joins do not search again.
+    return cut_lineage(postings.search(postings.build(corpus, keys, text_col), queries, qid_col, qtext_col, k)[0])
 
-# --- cosine first stage ---------------------------------------------------------------
 
 def cosine_top_k(queries: DataFrame, corpus: DataFrame, qid_col: str, qvec_col: str,
                  keys: Sequence[str], vec_col: str, k: int = 10) -> DataFrame:
     """Exact top-``k`` by cosine similarity: ``(qid, *keys, score, rank)``."""
-    keys = list(keys)
-    key_types = [corpus.schema[c].dataType for c in keys]
-    src = corpus.select(*keys, F.col(vec_col).alias("vec"))
-    results = []
-    for part in _query_blocks(queries, qid_col):
-        block = sorted(part.select(F.col(qid_col).cast("bigint").alias("q"),
-                                   F.col(qvec_col).cast("array<double>").alias("v")).collect(), key=lambda r: r["q"])
-        if not block:
-            continue
-        Q = np.array([r["v"] for r in block], dtype=np.float64)
-        qn = np.linalg.norm(Q, axis=1)
-        bc = corpus.sparkSession.sparkContext.broadcast(Q / np.where(qn == 0, np.nan, qn)[:, None])
-
-        def scorer(part: pd.DataFrame, bc=bc) -> np.ndarray:
-            V = np.stack([np.asarray(x, dtype=np.float64) for x in part["vec"]])
-            vn = np.linalg.norm(V, axis=1)
-            Vn = V / np.where(vn == 0, np.nan, vn)[:, None]
-            return Vn @ bc.value.T
-
-        results.append(_topk_scan(src, keys, key_types, scorer, np.array([r["q"] for r in block]), k, min_score=None))
-    if not results:
-        raise ValueError("no query vectors")
-    return cut_lineage(_union(results).withColumnRenamed("qid", qid_col))
+    return cut_lineage(cells.exact(cells.build(corpus, keys, vec_col), queries, qid_col, qvec_col, k)[0])
 
 
 # --- second stage, context, answers ---------------------------------------------------
@@ -355,36 +130,3 @@ def recall_at_k(approx: DataFrame, exact: DataFrame, qid_col: str, key_col: str,
     return exact.select(qid_col).distinct().join(per, qid_col, "left").join(found, qid_col, "left").select(
         qid_col, F.coalesce("hits", F.lit(0)).alias("hits"), F.coalesce("n_found", F.lit(0)).alias("n_found"),
         (F.coalesce("hits", F.lit(0)) / F.lit(float(k))).alias("recall_at_k"))
-
-
-def text_vectors(corpus: DataFrame, keys: Sequence[str], text_col: str, num_features: int = 1 << 18) -> DataFrame:
-    """TF-IDF text vectors, L2-normalised (``pyspark.ml``: tokenizer, hashing TF, IDF fit
-    by one distributed document-frequency pass, normaliser): ``(*keys, features)``."""
-    from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
-
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN, gaps=False, toLowercase=True)
-    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
-    # Tokenise and hash once; the IDF fit and the transform both read the written table.
-    base = cut_lineage(tf.transform(tok.transform(spread(corpus.select(*keys, text_col)))).drop(text_col, "_tok"))
-    idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(base)
-    out = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0).transform(idf.transform(base))
-    return out.select(*keys, "features")
-
-
-def vector_stats(vectors: DataFrame, keys: Sequence[str], vec_col: str = "features") -> DataFrame:
-    """Per row: non-zeros and largest weight of an ML vector, read from its sparse form in
-    Arrow batches (no dense conversion): ``(*keys, nnz, max_weight)``."""
-    keys = list(keys)
-    schema = T.StructType([vectors.schema[c] for c in keys] + [
-        T.StructField("nnz", T.IntegerType()), T.StructField("max_weight", T.DoubleType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            vals = [np.asarray(v["values"], dtype=np.float64) for v in pdf[vec_col]]
-            out = pdf[keys].copy()
-            out["nnz"] = np.array([int(np.count_nonzero(x)) for x in vals], dtype=np.int32)
-            out["max_weight"] = [float(x.max()) if len(x) else None for x in vals]
-            yield out
-
-    ship_package(vectors.sparkSession)
-    return vectors.select(*keys, vec_col).mapInPandas(run, schema)

@@ -18,6 +18,7 @@ from tessera.functions.text import after_marker
 from tessera.operators import cells as C
 from tessera.operators import chunking as CH
 from tessera.operators import evaluation as EV
+from tessera.operators import postings as P
 from tessera.operators import retrieval as R
 from tessera.plans.registry import register
 from tessera.session import ensure_checkpoint_dir
@@ -474,7 +475,18 @@ def knn_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.recall_at_k(approx, exact, "label", "vec_id", K)
 
 
-@register("chunk_tfidf_vectors")
+@register("chunk_tfidf_vectors", f"""
+WITH {_CHUNKS_SQL},
+tk AS (
+  SELECT doc_id, chunk_pos, CAST(CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % {P.FEATURES} AS INTEGER) AS bucket
+  FROM (SELECT doc_id, chunk_pos, unnest(regexp_extract_all(lower(chunk), '{TOK}', 0)) AS term FROM ch)),
+tf AS (SELECT doc_id, chunk_pos, bucket, count(*) AS tf FROM tk GROUP BY ALL),
+df AS (SELECT bucket, count(*) AS df FROM tf GROUP BY bucket),
+w AS (
+  SELECT doc_id, chunk_pos, bucket, tf * ln(((SELECT count(*) FROM ch) + 1.0::DOUBLE) / (df + 1.0::DOUBLE)) AS w FROM tf JOIN df USING (bucket)),
+norm AS (SELECT doc_id, chunk_pos, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL)
+SELECT doc_id, chunk_pos, bucket, CASE WHEN norm > 0 THEN w / norm ELSE w END AS weight FROM w JOIN norm USING (doc_id, chunk_pos)""",
+          rounded=("weight",))
 def chunk_tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vec = R.text_vectors(_chunks(spark, sf_dir), ["doc_id", "chunk_pos"], "chunk")
-    return R.vector_stats(vec, ["doc_id", "chunk_pos"])
+    """TF-IDF vectors of all chunks as a sparse table."""
+    return P.text_vectors(_chunks(spark, sf_dir), ["doc_id", "chunk_pos"], "chunk")

@@ -25,8 +25,7 @@ def _duck_type(t):
     return _TYPES.get(repr(t), repr(t))
 
 
-ROWS_ONLY = {"pca_diagnostics", "pca_variance", "knn_lsh_recall", "chunk_tfidf_vectors",
-             "pca_cross_validation"}
+ROWS_ONLY = {"pca_diagnostics", "pca_variance", "knn_lsh_recall", "pca_cross_validation"}
 
 
 @pytest.fixture(scope="module")

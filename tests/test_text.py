@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import after_marker, trim_ws, truncate_ellipsis
 from tessera.operators import chunking as CH
+from tessera.operators import postings
 from tessera.operators import retrieval as R
 
 
@@ -111,16 +112,36 @@ def test_rerank_and_context(spark):
     assert ctx["prompt"].endswith("Question: red cat sun\n<think>\n")
 
 
-def test_multi_pass_query_blocks(spark, monkeypatch):
+def test_bound_pruning_keeps_ties_and_reads_few_blocks(spark):
+    """Small blocks, hot terms, equal scores across blocks, queries that match little or nothing."""
     rng = random.Random(9)
-    vocab = ["red", "blue", "green", "cat", "dog", "fish"]
-    docs = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 8))) for _ in range(40)]
-    queries = [" ".join(rng.sample(vocab, 2)) for _ in range(5)]
+    docs = [" ".join(["the"] + [f"w{int(rng.expovariate(0.02))}" for _ in range(rng.randint(1, 15))]) for _ in range(400)]
+    docs += docs[:30] + ["", None, "the"]
+    queries = [docs[i] for i in range(0, 400, 40)] + ["the", "zzz", "the zzz w1 W1", ""]
     corpus = spark.createDataFrame([(i, 0, d) for i, d in enumerate(docs)], "doc_id BIGINT, chunk_pos INT, chunk STRING")
     q = spark.createDataFrame(list(enumerate(queries)), "qid BIGINT, text STRING")
-    one = {(r["qid"], r["rank"]): r["doc_id"] for r in
-           R.bm25_top_k(q, corpus, "qid", "text", ["doc_id", "chunk_pos"], "chunk", k=4).collect()}
-    monkeypatch.setattr(R, "QUERIES_PER_BLOCK", 2)
-    many = {(r["qid"], r["rank"]): r["doc_id"] for r in
-            R.bm25_top_k(q, corpus, "qid", "text", ["doc_id", "chunk_pos"], "chunk", k=4).collect()}
-    assert one == many and len(one) == 20
+    index = postings.build(corpus.repartition(4), ["doc_id", "chunk_pos"], "chunk", block_rows=8)
+    assert index.n_rows == len(docs)
+    found, work = postings.search(index, q, "qid", "text", k=4)
+    exp = _bm25_brute(queries, [d or "" for d in docs], 4)
+    got = found.collect()
+    for qi in range(len(queries)):
+        assert [r["doc_id"] for r in sorted((r for r in got if r["qid"] == qi), key=lambda r: r["rank"])] == exp[qi], queries[qi]
+    blocks = index.table.where("term = ''").count()
+    done = {r["qid"]: (r["candidate_blocks"], r["scored_blocks"]) for r in work.collect()}
+    assert sum(done[i][1] for i in range(10)) < 0.8 * 10 * blocks and all(s <= c <= blocks for c, s in done.values())
+    again, _ = postings.search(index, q.where("qid < 3"), "qid", "text", k=4)  # one index, another query table
+    assert sorted(map(tuple, again.collect())) == sorted(tuple(r) for r in got if r["qid"] < 3)
+    assert postings.search(index, q.limit(0), "qid", "text")[0].count() == 0
+    empty = postings.build(corpus.limit(0), ["doc_id", "chunk_pos"], "chunk")
+    assert postings.search(empty, q, "qid", "text")[0].count() == 0
+
+
+def test_text_vectors_are_unit_tf_idf_rows(spark):
+    docs = [(1, "red cat red"), (2, "red dog"), (3, "red"), (4, None), (5, "")]
+    rows = postings.text_vectors(spark.createDataFrame(docs, "doc_id BIGINT, chunk STRING"), ["doc_id"], "chunk", 64).collect()
+    by = {(r.doc_id, r.bucket): r.weight for r in rows}
+    b = {t: postings.bucket_of(t, 64) for t in ("red", "cat", "dog")}
+    assert len(set(b.values())) == 3 and set(by) == {(1, b["red"]), (1, b["cat"]), (2, b["red"]), (2, b["dog"]), (3, b["red"])}
+    red, rare = 2 * np.log(6 / 4), np.log(6 / 2)
+    assert abs(by[1, b["cat"]] - rare / np.hypot(red, rare)) < 1e-12 and by[3, b["red"]] == 1.0
