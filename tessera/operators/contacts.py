@@ -3,7 +3,8 @@
 * ``expand_masks``: every completion of a mask whose ``*`` are unknown digits.  The
   default mode keeps only non-decreasing digit fillings (combinations with repetition,
   the original generator's behaviour: 24,310 candidates for 8 stars); ``mode='all'``
-  gives every digit string.  Each filling is worked out from its number: no join, no cap.
+  gives every digit string.  Blocks of fillings are worked out from their numbers: no join, no cap.
+* ``unknown_fillings``: the fillings that are not known numbers, without a join of candidates.
 * ``known_fillings``: which known numbers a mask stands for, by a join on the mask.
 * ``classify_numbers``: loosely extracted numbers to ``phone_info`` rows and error rows.
 * ``normalise_records``: provider JSON (hyphenated keys) to ``phone_info`` columns, with
@@ -14,11 +15,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import comb
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.parallelism import spread
+from tessera.session import ship_package
 
 PHONE_PATTERN = r"\+\d+ \(\d{3}\) \d{3}-\d{4}"
 #: Anything that starts like an international number; what it is gets decided afterwards.
@@ -59,8 +66,9 @@ def mask_number(number: Column, keep_head: int, keep_tail: int) -> Column:
                     F.substring(number, F.greatest(n - keep_tail + 1, F.lit(keep_head + 1)), keep_tail))
 
 
-#: Fillings listed in one array: bounds the rows of the inner explode, not the result.
+#: Fillings that are worked out at once, and of one output batch: bounds memory, not the result.
 FILLING_BLOCK = 65_536
+FILLING_SLICE = 16_384
 
 
 def filling_count(stars: Column, mode: str = "nondecreasing") -> Column:
@@ -71,41 +79,116 @@ def filling_count(stars: Column, mode: str = "nondecreasing") -> Column:
                        lambda a, j: (a * (stars + j) / j).cast("bigint"))
 
 
-def _choose(n: str, m: str) -> str:
-    """n over m, exactly: each partial product is a binomial coefficient."""
-    return (f"(case when {m} = 0 then 1L else aggregate(sequence(1, {m}), 1L, "
-            f"(c, j) -> (c * ({n} - {m} + j)) div j) end)")
+def _steps(stars: int) -> np.ndarray:
+    """Row r, column x: fillings without a fall of r stars that start with a digit below x."""
+    starting = [[comb(r - 1 + 9 - x, 9 - x) if r else 0 for x in range(10)] for r in range(stars + 1)]
+    return np.array([[sum(row[:x]) for x in range(11)] for row in starting], dtype=np.int64)
 
 
-def _filling(mode: str) -> str:
-    """The filling with number ``_i`` of ``_k`` stars, as digits, in ascending order."""
+def fillings(first: int, last: int, stars: int, mode: str) -> np.ndarray:
+    """Digits of the fillings numbered ``first`` to ``last`` (exclusive), in ascending order: a row each."""
+    i = np.arange(first, last, dtype=np.int64)
+    out = np.empty((len(i), stars), np.uint8)
     if mode == "all":
-        return "lpad(cast(_i as string), _k, '0')"
-    # With r stars open and least digit d, the fillings that start with d number C(r-1 + 9-d, 9-d):
-    # either the number lies among them and d is written, or they are skipped and d grows.
-    here = _choose("(s.r - 1 + 9 - s.d)", "(9 - s.d)")
-    return f"""aggregate(sequence(1, _k + 9), named_struct('i', _i, 'd', 0, 'r', _k, 'out', ''),
-        (s, step) -> case when s.r = 0 then s
-          when s.i < {here} then named_struct('i', s.i, 'd', s.d, 'r', s.r - 1, 'out', concat(s.out, cast(s.d as string)))
-          else named_struct('i', s.i - {here}, 'd', s.d + 1, 'r', s.r, 'out', s.out) end, s -> s.out)"""
+        for p in range(stars - 1, -1, -1):
+            out[:, p] = i % 10
+            i = i // 10
+        return out
+    steps, digit = _steps(stars), np.zeros(len(i), np.int64)
+    for p in range(stars):
+        # The number counts from the least digit allowed here; the digit is the last that starts at or before it.
+        below = steps[stars - p]
+        i = i + below[digit]
+        digit = np.searchsorted(below[1:], i, side="right")
+        i = i - below[digit]
+        out[:, p] = digit
+    return out
+
+
+def filling_number(digits: np.ndarray) -> np.ndarray:
+    """The numbers of fillings without a fall, the inverse of ``fillings``."""
+    n, stars = digits.shape
+    steps, least, out = _steps(stars), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for p in range(stars):
+        digit = digits[:, p].astype(np.int64)
+        out += steps[stars - p][digit] - steps[stars - p][least]
+        least = digit
+    return out
+
+
+def _strings(rows: np.ndarray) -> pa.Array:
+    """Rows of equally many bytes as a string column."""
+    n, width = rows.shape
+    offsets = np.arange(n + 1, dtype=np.int32) * width
+    return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows)))
+
+
+def _blocks(masks: DataFrame, mask_col: str, mode: str) -> DataFrame:
+    """(mask, stars, block, first, last): the fillings of a mask in blocks of ``FILLING_BLOCK`` numbers."""
+    if mode not in ("nondecreasing", "all"):
+        raise ValueError("mode must be 'nondecreasing' or 'all'")
+    m = masks.select(F.col(mask_col).alias("mask")).where(F.col("mask").isNotNull()).withColumn("stars", star_count(F.col("mask")))
+    numbered = m.withColumn("n", filling_count(F.col("stars"), mode))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(FILLING_BLOCK).cast("bigint")))
+    return numbered.withColumn("first", first).select(
+        "mask", "stars", F.floor(F.col("first") / FILLING_BLOCK).alias("block"), "first",
+        F.least(F.col("first") + FILLING_BLOCK, F.col("n")).alias("last"))
+
+
+def _write_out(blocks: DataFrame, mode: str) -> DataFrame:
+    """(mask, candidate) for every number of every block but those in its column ``skip`` (if any)."""
+    skips = "skip" in blocks.columns
+    names = ["mask", "stars", "first", "last", *(["skip"] if skips else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                digits = fillings(row["first"], row["last"], row["stars"], mode)
+                if skips and row["skip"]:
+                    digits = np.delete(digits, np.asarray(row["skip"], np.int64) - row["first"], axis=0)
+                mask = np.frombuffer(row["mask"].encode(), np.uint8)
+                for a in range(0, len(digits), FILLING_SLICE):  # bounds the bytes of one batch
+                    part = digits[a:a + FILLING_SLICE]
+                    text = np.repeat(mask[None, :], len(part), axis=0)
+                    same = _strings(text)
+                    text = text.copy()
+                    text[:, mask == ord("*")] = part + ord("0")
+                    yield pa.RecordBatch.from_arrays([same, _strings(text)], ["mask", "candidate"])
+
+    ship_package(blocks.sparkSession)
+    # Blocks are small rows; dealt out evenly, so a mask of many fillings spans many tasks.
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.select(names).repartition(parts).mapInArrow(run, "mask string, candidate string")
 
 
 def expand_masks(masks: DataFrame, mask_col: str = "mask", mode: str = "nondecreasing") -> DataFrame:
     """``(mask, candidate)`` for every filling of the stars, left to right.
 
-    Each filling is worked out from its number, so a mask may have any count of stars for
-    which the number of fillings fits in 64 bits; no row ever holds all of them."""
-    if mode not in ("nondecreasing", "all"):
-        raise ValueError("mode must be 'nondecreasing' or 'all'")
-    m = masks.select(F.col(mask_col).alias("mask")).withColumn("_k", star_count(F.col("mask")))
-    numbered = m.withColumn("_n", filling_count(F.col("_k"), mode))
-    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(FILLING_BLOCK).cast("bigint")))
-    inner = F.explode(F.sequence(F.col("_first"), F.least(F.col("_first") + FILLING_BLOCK, F.col("_n")) - 1))
-    fill = F.expr("""aggregate(split(_digits, ''), mask, (s, d) -> case when d = '' then s else
-        concat(substring_index(s, '*', 1), d, substr(s, instr(s, '*') + 1)) end)""")
-    return (numbered.withColumn("_first", first).withColumn("_i", inner)
-            .withColumn("_digits", F.when(F.col("_k") == 0, F.lit("")).otherwise(F.expr(_filling(mode))))
-            .select("mask", fill.alias("candidate")))
+    A block of fillings is worked out from its numbers at once, so a mask may have any count of
+    stars for which the number of fillings fits in 64 bits; a null mask has none."""
+    return _write_out(_blocks(masks, mask_col, mode), mode)
+
+
+def unknown_fillings(masks: DataFrame, numbers: DataFrame, keep_head: int, keep_tail: int,
+                     mask_col: str = "mask", number_col: str = "number") -> DataFrame:
+    """``(mask, candidate)``: the non-decreasing fillings that are not among the known numbers.
+
+    The known fillings (a join on the mask) are turned into their numbers and left out of their
+    blocks; a block knows ``FILLING_BLOCK`` of them at most, and no candidate is shuffled."""
+    known = known_fillings(masks, numbers, keep_head, keep_tail, mask_col, number_col)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for mask, candidate in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hidden = [int(c) for m, c in zip(mask, candidate, strict=True) if m == "*"]
+                out.append(int(filling_number(np.array([hidden], np.int64).reshape(1, -1))[0]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64())], ["mask", "number"])
+
+    ship_package(masks.sparkSession)
+    skip = known.mapInArrow(number, "mask string, number bigint").groupBy(
+        "mask", F.floor(F.col("number") / FILLING_BLOCK).alias("block")).agg(F.collect_list("number").alias("skip"))
+    return _write_out(_blocks(masks, mask_col, "nondecreasing").join(skip, ["mask", "block"], "left"), "nondecreasing")
 
 
 def known_fillings(masks: DataFrame, numbers: DataFrame, keep_head: int, keep_tail: int,

@@ -138,6 +138,5 @@ def phone_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_NUMS_SQL}
 SELECT mask, candidate FROM cands WHERE candidate NOT IN (SELECT number FROM nums)""")
 def mask_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates not yet known (to be enriched): anti join against the known numbers."""
-    known = _numbers(spark, sf_dir).select(F.col("number").alias("candidate")).distinct()
-    return _candidates(spark, sf_dir).join(known, "candidate", "left_anti").select("mask", "candidate")
+    """Candidates not yet known (to be enriched)."""
+    return T.unknown_fillings(_masks(spark, sf_dir), _numbers(spark, sf_dir), KEEP_HEAD, KEEP_TAIL)

@@ -68,3 +68,33 @@ def test_long_masks_and_known_fillings(spark):
     got = T.known_fillings(masks, numbers, 5, 2)
     assert sorted(map(tuple, got.select("mask", "candidate").collect())) == sorted(map(tuple, exp.select("mask", "candidate").collect()))
     assert masks.select(T.filling_count(T.star_count(F.col("mask")))).collect()[0][0] == math.comb(14, 9)
+
+
+def test_fillings_and_their_numbers():
+    import itertools
+
+    import numpy as np
+
+    for stars in range(5):
+        want = list(itertools.combinations_with_replacement(range(10), stars))
+        got = T.fillings(0, len(want), stars, "nondecreasing")
+        assert [tuple(r) for r in got.tolist()] == want
+        assert T.filling_number(got).tolist() == list(range(len(want)))
+        assert [tuple(r) for r in T.fillings(3, 9, stars, "nondecreasing").tolist()] == want[3:9][:max(len(want) - 3, 0)] or stars == 0
+    assert ["".join(map(str, r)) for r in T.fillings(95, 103, 3, "all").tolist()] == [f"{i:03d}" for i in range(95, 103)]
+    many = T.fillings(5 * 10 ** 10, 5 * 10 ** 10 + 5, 60, "nondecreasing")
+    assert (np.diff(many.astype(int), axis=1) >= 0).all() and T.filling_number(many).tolist() == list(range(5 * 10 ** 10, 5 * 10 ** 10 + 5))
+
+
+def test_unknown_fillings_are_the_rest(spark, monkeypatch):
+    monkeypatch.setattr(T, "FILLING_BLOCK", 10)
+    monkeypatch.setattr(T, "FILLING_SLICE", 4)
+    numbers = ["+12 12399", "+12 00099", "+12 32199", "+12 99999", "+77 12377", "+1x 11199"]
+    masks = ["+12 ***99", "+77 ***77", "+9", "é***", None]
+    m = spark.createDataFrame([(x,) for x in masks], "mask STRING")
+    k = spark.createDataFrame([(x,) for x in numbers], "number STRING")
+    every = {(r.mask, r.candidate) for r in T.expand_masks(m).collect()}
+    assert len(every) == 3 * 220 + 1 and ("+9", "+9") in every and ("é***", "é012") in every
+    rest = [(r.mask, r.candidate) for r in T.unknown_fillings(m, k, 4, 2).collect()]
+    assert len(rest) == len(set(rest)) and set(rest) == {x for x in every if x[1] not in numbers}
+    assert len(every) - len(rest) == 4
