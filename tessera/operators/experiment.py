@@ -2,18 +2,24 @@
 tests and retention against monetisation.
 
 All work is per unit first (one row per user, partial-aggregated from events), so the
-permutation test multiplies users -- never events -- by the number of permutations.
+permutation test hashes users -- never events -- for every permutation, in two scans.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.session import cut_lineage
+from tessera.operators.parallelism import spread
+from tessera.session import ship_package
 
-HASH_BUCKETS_HEX = 4  # leading hex digits of md5 used to bucket a permutation's order
+HASH_BUCKETS_HEX = 3  # leading hex digits of md5 used to bucket a permutation's order
 
 
 def arm_of(id_col: Column, n_arms: int = 2, salt: str = "") -> Column:
@@ -62,40 +68,64 @@ def balance(units: DataFrame, arm_col: str, n_arms: int = 2) -> DataFrame:
         .withColumn("chi2", F.sum("chi2_part").over(Window.partitionBy(F.lit(1))))
 
 
+def _hashes(ids: list[str], perm: int) -> list[str]:
+    return [hashlib.md5(f"{i}:{perm}".encode()).hexdigest() for i in ids]
+
+
 def permutation_diffs(units: DataFrame, id_col: str, value_col: str, n_first: int,
                       permutations: int) -> DataFrame:
     """Difference of means ``first - rest`` for each permutation ``1..permutations``,
     where "first" is the ``n_first`` units with the smallest ``md5(id:perm)``.
 
-    The order statistic is found without sorting every unit of a permutation in one
-    task: units are counted per (permutation, hash bucket) (partial aggregation), a
-    running count over the bounded bucket table finds the bucket holding the boundary,
-    and only that bucket is ranked exactly.
-    """
-    p = (
-        units.select(F.col(id_col), F.col(value_col).alias("_v"),
-                     F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
-        .withColumn("_h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(":"), F.col("perm").cast("string"))))
-        .withColumn("_b", F.conv(F.substring("_h", 1, HASH_BUCKETS_HEX), 16, 10).cast("int"))
-    )
-    counts = p.groupBy("perm", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
-    w = Window.partitionBy("perm").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.withColumn("_cn", F.sum("_n").over(w)).withColumn("_cs", F.sum("_s").over(w))
-    edge = cum.where(F.col("_cn") >= n_first).groupBy("perm").agg(F.min("_b").alias("_tb"))
-    below = cum.join(edge, "perm").where(F.col("_b") < F.col("_tb")) \
-        .groupBy("perm").agg(F.max_by("_cn", "_b").alias("_nb"), F.max_by("_cs", "_b").alias("_sb"))
+    Units are never multiplied by permutations in a shuffle.  A scan counts and sums them per
+    permutation and hash prefix, in arrays that a task keeps for all its rows; what is shuffled has
+    at most ``2 ** (4 * HASH_BUCKETS_HEX)`` rows a permutation and task.  A running count finds the
+    prefix that holds the boundary, and a second scan passes on the units of that prefix only, to be
+    ranked exactly."""
+    buckets = 16 ** HASH_BUCKETS_HEX
+    ship_package(units.sparkSession)
+    rows = spread(units.select(F.col(id_col).cast("string").alias("id"), F.col(value_col).cast("double").alias("v")))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros((permutations, buckets), np.int64)
+        s = np.zeros((permutations, buckets))
+        for pdf in batches:
+            ids, v = pdf["id"].tolist(), pdf["v"].to_numpy()
+            for p in range(permutations):
+                at = np.array([int(h[:HASH_BUCKETS_HEX], 16) for h in _hashes(ids, p + 1)], np.int64)
+                n[p] += np.bincount(at, minlength=buckets)
+                s[p] += np.bincount(at, np.nan_to_num(v), minlength=buckets)
+        for p in range(permutations):
+            at = np.flatnonzero(n[p])
+            yield pd.DataFrame({"perm": np.full(len(at), p + 1, np.int32), "b": at.astype(np.int32), "n": n[p, at], "s": s[p, at]})
+
+    counts = rows.mapInPandas(count, "perm int, b int, n bigint, s double").groupBy("perm", "b").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"))
+    w = Window.partitionBy("perm").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    below = counts.select("perm", "b", "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"),
+                          F.coalesce(F.sum("s").over(w), F.lit(0.0)).alias("before_sum"))
+    # The prefix whose units pass the boundary, or reach it with the last of them: a row a permutation.
+    edge = below.where((F.col("before") < n_first) & (F.col("before") + F.col("n") >= n_first)).collect()
+    known = {r["perm"]: r for r in edge}
+    limits = units.sparkSession.createDataFrame(
+        [(p, int(known[p]["before"]), float(known[p]["before_sum"])) if p in known else (p, 0, 0.0) for p in range(1, permutations + 1)],
+        "perm int, before bigint, before_sum double")
     tot = units.agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("s")).first()
     n_all, s_all = int(tot["n"]), float(tot["s"] or 0.0)
-    # One row per permutation (a parameter-sized table): written once, then broadcast.
-    bounds = cut_lineage(edge.join(below, "perm", "left").select(
-        "perm", "_tb", F.coalesce("_nb", F.lit(0)).alias("_nb"), F.coalesce("_sb", F.lit(0.0)).alias("_sb")))
-    wr = Window.partitionBy("perm").orderBy("_h")
-    inside = p.join(F.broadcast(bounds), "perm").where(F.col("_b") == F.col("_tb")) \
-        .withColumn("_r", F.row_number().over(wr)) \
-        .where(F.col("_r") <= F.lit(n_first) - F.col("_nb")) \
-        .groupBy("perm").agg(F.sum("_v").alias("_se"))
-    first_sum = bounds.join(inside, "perm", "left").select(
-        "perm", (F.col("_sb") + F.coalesce("_se", F.lit(0.0))).alias("_sa"))
+    prefix = {p: f"{r['b']:0{HASH_BUCKETS_HEX}x}" for p, r in known.items()}
+
+    def boundary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids, v = pdf["id"].tolist(), pdf["v"].to_numpy()
+            found = [(p, h, k) for p, start in prefix.items() for k, h in enumerate(_hashes(ids, p)) if h.startswith(start)]
+            if found:
+                yield pd.DataFrame({"perm": np.array([f[0] for f in found], np.int32), "h": [f[1] for f in found], "v": v[[f[2] for f in found]]})
+
+    ranked = rows.mapInPandas(boundary, "perm int, h string, v double").withColumn(
+        "r", F.row_number().over(Window.partitionBy("perm").orderBy("h"))).join(limits, "perm")
+    inside = ranked.where(F.col("r") <= F.lit(n_first) - F.col("before")).groupBy("perm").agg(F.sum("v").alias("inside"))
+    first_sum = limits.join(inside, "perm", "left").select(
+        "perm", (F.col("before_sum") + F.coalesce("inside", F.lit(0.0))).alias("_sa"))
     # An empty side has no mean.
     mean_first = F.try_divide(F.col("_sa"), F.lit(float(n_first)))
     mean_rest = F.try_divide(F.lit(s_all) - F.col("_sa"), F.lit(float(n_all - n_first)))

@@ -33,6 +33,20 @@ def test_permutation_diffs_match_brute_force(spark):
         assert abs(got[p] - (np.mean(a) - np.mean(b))) < 1e-9
 
 
+def test_permutations_shuffle_counts_only(spark):
+    """Ties of no unit, one unit, nothing first, and a plan that never explodes units."""
+    df = spark.createDataFrame([(i, float(i % 7)) for i in range(500)], "user_id BIGINT, total_value DOUBLE")
+    for first in (0, 1, 250, 500):
+        rows = {r["perm"]: r for r in X.permutation_diffs(df, "user_id", "total_value", first, 3).collect()}
+        for p in (1, 2, 3):
+            order = sorted(range(500), key=lambda i: hashlib.md5(f"{i}:{p}".encode()).hexdigest())
+            want = [float(i % 7) for i in order[:first]]
+            assert rows[p]["mean_first"] == (None if not first else np.mean(want)) or abs(rows[p]["mean_first"] - np.mean(want)) < 1e-9
+    assert X.permutation_diffs(df.limit(0), "user_id", "total_value", 0, 2).count() == 2
+    plan = X.permutation_diffs(df, "user_id", "total_value", 250, 3)._jdf.queryExecution().toString()
+    assert "Generate" not in plan
+
+
 def test_arms_balance_and_retention(spark):
     df = spark.createDataFrame([(i,) for i in range(1000)], "user_id BIGINT").withColumn("arm", X.arm_of(F.col("user_id")))
     exp = {i: "AB"[int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 2] for i in range(1000)}
