@@ -51,7 +51,7 @@ from tessera.session import ship_package
 
 ORDER, MU = 2, 100.0
 #: Text of one chunk.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 #: Neither can be a word, as both hold a space.
 START, END = b" start", b" end"
 
