@@ -134,6 +134,16 @@ def _runs(catalog: DataFrame, group_col: str, value_col: str) -> DataFrame:
                                 (-F.col("m.nid")).alias("id"))).alias("runs"))
 
 
+#: By hour, the last hour that a feasible run started at or before it can reach.
+_REACH = "transform(sequence(0, {last}), h -> array_max(transform(sequence(0, h), k -> k + L[k] - 1)))"
+
+
+def _reach(runs: DataFrame, columns: list[str], horizon: int, feas: str) -> DataFrame:
+    """``columns`` and reach, from L, the longest feasible run at each hour."""
+    longest = F.expr(f"transform(sequence(0, {horizon - 1}), h -> array_max(transform(filter(runs, r -> {feas}), r -> r.d)))")
+    return runs.withColumn("L", longest).select(*columns, F.expr(_REACH.format(last=horizon - 1)).alias("reach"))
+
+
 def best_value(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1,
                blocked: Sequence[int] = (), check: str = "ends", mode: str = "occupancy",
                value_col: str = "benefit") -> DataFrame:
@@ -158,9 +168,7 @@ def best_value(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1
             F.expr(f"transform(sequence(0, {horizon - 1}), h -> "
                    f"array_max(transform(filter(runs, r -> {feas}), r -> r.b)))").alias("B"),
         )
-        lbr = lb.withColumn("R", F.expr(
-            f"transform(sequence(0, {horizon - 1}), h -> "
-            f"array_max(transform(sequence(0, h), k -> k + L[k] - 1)))"))
+        lbr = lb.withColumn("R", F.expr(_REACH.format(last=horizon - 1)))
         v0 = F.expr(f"""aggregate(sequence({horizon - 1}, 0, -1), cast(array(0L) as array<bigint>),
             (acc, h) -> concat(array(case when L[h] is null then acc[0]
                 else greatest(acc[0], B[h] + acc[R[h] - h]) end), acc))[0]""")
@@ -173,19 +181,28 @@ def best_value(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1
 
 def best_plan(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1,
               blocked: Sequence[int] = (), check: str = "ends",
-              value_col: str = "benefit") -> DataFrame:
-    """Chosen runs of an optimal occupancy schedule, ``(group, slot, start, finish, id)``.
+              value_col: str = "benefit", mode: str = "occupancy") -> DataFrame:
+    """Chosen runs of an optimal schedule, ``(group, slot, start, finish, id)``, under either rule.
 
     Ties: at each hour starting a run beats waiting (earliest starts), and among equal
     values the smallest product id wins.  Back-pointers are kept in the fold and walked
-    forward by a second fold.
+    forward by a second fold; the next start comes after the run (``occupancy``) or after
+    the running maximum of the longest feasible runs' ends (``window``).
     """
     validate(slots, days)
     horizon = HOURS_PER_DAY * days
     feas = _feasible_sql("h", "r.d", horizon, blocked, check)
+    runs = _runs(catalog, group_col, value_col)
+    if mode == "occupancy":
+        after, rest = "h + ch[h].d", "acc[r.d - 1]"
+    elif mode == "window":
+        after, rest = "reach[h] + 1", "acc[reach[h] - h]"
+        runs = _reach(runs, [group_col, "runs"], horizon, feas)
+    else:
+        raise ValueError("mode must be 'occupancy' or 'window'")
     ch_t = "array<struct<v:bigint,d:int,id:bigint>>"
     best_take = (f"array_max(transform(filter(runs, r -> {feas}), "
-                 f"r -> named_struct('v', r.b + acc[r.d - 1].v, 'nid', -r.id, 'd', r.d)))")
+                 f"r -> named_struct('v', r.b + {rest}.v, 'nid', -r.id, 'd', r.d)))")
     choice = F.expr(f"""aggregate(sequence({horizon - 1}, 0, -1),
         cast(array(named_struct('v', 0L, 'd', cast(null as int), 'id', cast(null as bigint))) as {ch_t}),
         (acc, h) -> cast(concat(transform(array({best_take}), t ->
@@ -198,16 +215,14 @@ def best_plan(catalog: DataFrame, group_col: str, slots: int = 1, days: int = 1,
         cast(named_struct('nxt', 0, 'picks', array()) as {walk_t}),
         (s, h) -> cast(case
             when h = s.nxt and ch[h].d is not null
-              then named_struct('nxt', h + ch[h].d,
+              then named_struct('nxt', {after},
                    'picks', concat(s.picks, array(named_struct('start', h, 'd', ch[h].d, 'id', ch[h].id))))
             when h = s.nxt then named_struct('nxt', h + 1, 'picks', s.picks)
             else s end as {walk_t})).picks""")
-    runs = _runs(catalog, group_col, value_col)
-    picks = (
-        runs.select(group_col, choice.alias("ch"))
+    return (
+        runs.withColumn("ch", choice)
         .select(group_col, F.explode(walk).alias("p"))
         .select(group_col, F.col("p.id").alias("id"), F.col("p.start").alias("start"),
                 (F.col("p.start") + F.col("p.d") - 1).alias("finish"),
                 F.explode(F.sequence(F.lit(1), F.lit(slots))).alias("slot"))
     )
-    return picks

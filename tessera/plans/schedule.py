@@ -197,6 +197,46 @@ def schedule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "collection", "id", "start", "finish", "slot", "title", "benefit")
 
 
+@register("schedule_plan_window", f"""
+WITH {_CLEAN_SQL}, {_RUNS_SQL},
+longest AS (
+  SELECT *, list_transform(range(0, {H}), lambda h: list_max(list_transform(
+        list_filter(runs, lambda r: {_feas('h', 'r.d')}), lambda r: r.d))) AS L FROM menus),
+reach AS (
+  SELECT *, list_transform(range(0, {H}), lambda h: list_max(list_transform(range(0, h + 1), lambda k: k + L[k + 1] - 1))) AS far
+  FROM longest),
+choice AS (
+  SELECT collection, far, list_reduce(range({H - 1}, -1, -1),
+    lambda acc, h: list_prepend(list_transform([list_max(list_transform(
+        list_filter(runs, lambda r: {_feas('h', 'r.d')}),
+        lambda r: {{'v': r.b + acc[far[h + 1] - h + 1].v, 'nid': -r.id, 'd': r.d}}))],
+      lambda t: CASE WHEN t.v >= acc[1].v
+        THEN {{'v': t.v, 'd': t.d, 'id': -t.nid}}
+        ELSE {{'v': acc[1].v, 'd': NULL::INTEGER, 'id': NULL::BIGINT}} END)[1], acc),
+    [{{'v': 0::BIGINT, 'd': NULL::INTEGER, 'id': NULL::BIGINT}}]) AS ch
+  FROM reach),
+walk AS (
+  SELECT collection, list_reduce(range(0, {H}),
+    lambda s, h: CASE
+      WHEN h = s.nxt AND ch[h + 1].d IS NOT NULL
+        THEN {{'nxt': CAST(far[h + 1] + 1 AS BIGINT),
+              'picks': list_append(s.picks, {{'start': CAST(h AS INTEGER), 'd': ch[h + 1].d, 'id': ch[h + 1].id}})}}
+      WHEN h = s.nxt THEN {{'nxt': CAST(h + 1 AS BIGINT), 'picks': s.picks}}
+      ELSE s END,
+    {{'nxt': 0::BIGINT, 'picks': []::STRUCT(start INTEGER, d INTEGER, id BIGINT)[]}}).picks AS picks
+  FROM choice),
+picks AS (SELECT collection, unnest(picks) AS p FROM walk)
+SELECT p.collection, p.p.id AS id, p.p.start AS start, p.p.start + p.p.d - 1 AS finish,
+       CAST(s.range AS INTEGER) AS slot, c.title, c.benefit
+FROM picks p CROSS JOIN range(1, {SLOTS + 1}) s LEFT JOIN clean c ON c.id = p.p.id""")
+def schedule_plan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs behind ``schedule_value_window``."""
+    cat = _catalog(spark, sf_dir)
+    plan = S.best_plan(cat, "collection", SLOTS, DAYS, BLOCKED, mode="window")
+    return plan.join(cat.select("id", "title", "benefit"), "id", "left").select(
+        "collection", "id", "start", "finish", "slot", "title", "benefit")
+
+
 @register("schedule_value_xp", f"""
 WITH {_CLEAN_SQL}, {_runs_sql('xp_value')}
 SELECT collection, {SLOTS} AS slots, {_OCC_FOLD} AS value, {_FEASIBLE} AS feasible

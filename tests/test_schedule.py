@@ -83,6 +83,29 @@ def test_values_match_brute_force(spark, check):
         assert win[g] == _brute_window(prods, set(blocked), check)
 
 
+@pytest.mark.parametrize("check", ["ends", "all"])
+def test_window_plan_keeps_the_rule_and_the_total(spark, check):
+    rng = random.Random(21)
+    groups, blocked = {}, sorted(rng.sample(range(H), 5))
+    for g in range(8):
+        groups[f"g{g}"] = [(rng.randint(2, 13), rng.randint(1, 50)) for _ in range(rng.randint(1, 4))]
+    groups["none"] = [(24, 5)]  # blocked hours at its ends: no run
+    cat = _catalog(spark, groups)
+    plan = S.best_plan(cat, "collection", 2, 1, blocked, check, mode="window").collect()
+    value = {r["collection"]: r["value"] for r in S.best_value(cat, "collection", 2, 1, blocked, check, mode="window").collect()}
+    product = {r["id"]: r for r in cat.collect()}
+    for g, prods in groups.items():
+        runs = sorted((r["start"], r["finish"], r["id"]) for r in plan if r["collection"] == g and r["slot"] == 1)
+        assert sum(product[r["id"]]["benefit"] for r in plan if r["collection"] == g) == value[g]
+        feas = [(h, h + d - 1) for d, _ in prods for h in range(H) if _feasible(h, d, set(blocked), check)]
+        for s, e in feas:  # at most one start of any product in the window of every feasible run
+            assert sum(s <= r[0] <= e for r in runs) <= 1
+        assert all((s, e) in feas and e - s + 1 == -(-product[i]["duration"] // 1) for s, e, i in runs)
+    assert any(r["collection"] != "none" for r in plan)
+    with pytest.raises(ValueError):
+        S.best_plan(cat, "collection", mode="other")
+
+
 def test_plan_is_valid_and_optimal(spark):
     groups = {"a": [(5, 10), (8, 17), (3, 4)], "b": [(24, 99)], "c": [(7, 1), (7, 3)]}
     blocked = [2, 11]
