@@ -105,6 +105,35 @@ def pca_scores(df: DataFrame, id_col: str, vec_col: str, k: int, upper: float =
                       (F.col("spe") > F.lit(lim["spe_lim"])).alias("spe_outlier"))
 
 
+def identities(df: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
+    """What must hold of a component model, as ``(name, value)``: ``trace`` (sum of all eigenvalues: the
+    number of columns that vary), ``residual_j`` (length of C v - lambda v of the first ``k``
+    components on the correlation matrix), ``dot_i_j`` of their vectors, ``t2_sum`` (k (n - 1)) and
+    ``spe_sum`` less what the other components explain (0)."""
+    scaler, pca, scaled = fit_pca(df, vec_col, k)
+    d = scaler.std.size
+    cov = np.zeros((d, d))
+    for r in covariance(df, vec_col).collect():  # dimension squared
+        cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["cov"]
+    std = np.sqrt(np.diag(cov))
+    scale = np.divide(1.0, std, out=np.zeros(d), where=std > 0)
+    corr = cov * np.outer(scale, scale)
+    trace = float((std > 0).sum())
+    values, vectors = pca.explainedVariance.toArray() * trace, pca.pc.toArray()
+    whole = PCA(k=d, inputCol="_z", outputCol="_all").fit(scaled).explainedVariance.toArray()
+    rows = [("trace", float(whole.sum() * np.trace(corr)))]
+    rows += [(f"residual_{j + 1}", float(np.linalg.norm(corr @ vectors[:, j] - values[j] * vectors[:, j]))) for j in range(k)]
+    rows += [(f"dot_{i + 1}_{j + 1}", float(vectors[:, i] @ vectors[:, j])) for i in range(k) for j in range(i, k)]
+    total = pca_scores(df, id_col, vec_col, k).agg(F.sum("t2").alias("t2"), F.sum("spe").alias("spe"), F.count(F.lit(1)).alias("n")).first()
+    rows += [("t2_sum", float(total["t2"])), ("spe_sum_less_rest", float(total["spe"] - (total["n"] - 1) * (trace - values.sum())))]
+    return df.sparkSession.createDataFrame(rows, "name STRING, value DOUBLE")
+
+
+def fold_of(id_col: Column, folds: int) -> Column:
+    """The fold of a row: the first 32 bits of its id's md5, modulo the folds."""
+    return (F.conv(F.substring(F.md5(id_col.cast("string")), 1, 8), 16, 10).cast("bigint") % folds).cast("int")
+
+
 def cross_validate(df: DataFrame, id_col: str, vec_col: str, k: int, folds: int = 5) -> DataFrame:
     """k-fold validation of the component model: rows go to folds by a hash of their id; for each
     fold the components are those of the other folds, and the held-out rows' squared prediction
@@ -113,8 +142,7 @@ def cross_validate(df: DataFrame, id_col: str, vec_col: str, k: int, folds: int
     One scan: sums and Gram matrices are additive, so the training sums of a fold are all sums
     less its own, and the held-out error follows from its own sums.  The driver gets folds x
     dimension^2 numbers and solves one eigenproblem of that dimension a fold."""
-    fold = F.pmod(F.xxhash64(F.col(id_col)), F.lit(folds)).cast("int")
-    sums = gram_sums(df, vec_col, fold).toPandas()
+    sums = gram_sums(df, vec_col, fold_of(F.col(id_col), folds)).toPandas()
     d = int(sums["i"].max()) + 1 if len(sums) else 0
     n, s, g = np.zeros(folds), np.zeros((folds, d)), np.zeros((folds, d, d))
     for r in sums.itertuples():

@@ -278,13 +278,34 @@ def degree_euler(edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
 
 
 def graph_messages(nodes: DataFrame, edges: DataFrame, graph_cols: Sequence[str],
-                   node_col: str = "node_id") -> DataFrame:
-    """One JSON message per graph: ``{"nodes_dict": [{node_id,x,y}], "edges_list": [[u,v]]}``."""
+                   node_col: str = "node_id", part_size: int | None = None) -> DataFrame:
+    """JSON messages ``{"nodes_dict": [{node_id,x,y}], "edges_list": [[u,v]]}``: one per graph, or with
+    ``part_size`` numbered parts of about that many nodes and edges.
+
+    Output ``(graph, message)``, with parts ``(graph, part, parts, message)``.  Rows go to parts by a
+    hash, so no task holds a whole graph and a part's size doesn't grow with the graph."""
+    g = list(graph_cols)
+    n = nodes.select(*g, F.struct(F.col(node_col).alias("node_id"), "x", "y").alias("n"), F.lit(None).cast("array<bigint>").alias("e"))
+    e = edges.select(*g, F.lit(None).cast(n.schema["n"].dataType).alias("n"), F.array("u", "v").cast("array<bigint>").alias("e"))
+    rows, by = n.unionByName(e), g
+    if part_size is not None:
+        if part_size < 1:
+            raise ValueError("part_size must be >= 1")
+        sizes = rows.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / part_size).cast("int").alias("parts"))
+        rows = rows.join(sizes, g).withColumn("part", F.pmod(F.xxhash64("n", "e"), F.col("parts")).cast("int"))
+        by = [*g, "part", "parts"]
+    body = rows.groupBy(*by).agg(F.sort_array(F.collect_list("n")).alias("nodes_dict"), F.sort_array(F.collect_list("e")).alias("edges_list"))
+    return body.select(*by, F.to_json(F.struct("nodes_dict", "edges_list")).alias("message"))
+
+
+def missing_parts(messages: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
+    """Graphs whose numbered messages are not all there, or there twice: ``(graph, parts, found)``.
+    A part that no row fell into has no message, so only numbers out of range or repeated count."""
     g = list(graph_cols)
-    n = nodes.groupBy(*g).agg(F.sort_array(F.collect_list(
-        F.struct(F.col(node_col).alias("node_id"), "x", "y"))).alias("nodes_dict"))
-    e = edges.groupBy(*g).agg(F.sort_array(F.collect_list(F.array("u", "v"))).alias("edges_list"))
-    return n.join(e, g, "left").select(*g, F.to_json(F.struct("nodes_dict", "edges_list")).alias("message"))
+    per = messages.groupBy(*g).agg(F.max("parts").alias("parts"), F.min("parts").alias("least"), F.count(F.lit(1)).alias("found"),
+                                   F.count_distinct("part").alias("distinct"), F.max("part").alias("last"))
+    return per.where((F.col("found") != F.col("distinct")) | (F.col("last") >= F.col("parts")) | (F.col("least") != F.col("parts"))).select(
+        *g, "parts", "found")
 
 
 GRAPH_MESSAGE_SCHEMA = ("struct<nodes_dict: array<struct<node_id: bigint, x: int, y: int>>, "
@@ -296,7 +317,7 @@ def parse_graph_messages(messages: DataFrame, graph_cols: Sequence[str], msg_col
     """Nested JSON message -> node table and edge table (``inline`` / ``explode``)."""
     g = list(graph_cols)
     parsed = messages.select(*g, F.from_json(msg_col, GRAPH_MESSAGE_SCHEMA).alias("m"))
-    nodes = parsed.select(*g, F.inline("m.nodes_dict"))
+    nodes = parsed.select(*g, F.inline("m.nodes_dict"))  # of all parts, if a graph has several
     edges = parsed.select(*g, F.explode("m.edges_list").alias("e")) \
         .select(*g, F.element_at("e", 1).alias("u"), F.element_at("e", 2).alias("v"))
     return nodes, edges
@@ -347,3 +368,11 @@ def edge_coordinates(messages: DataFrame, graph_cols: Sequence[str], msg_col: st
                 F.element_at("_pos", F.col("u"))["x"].alias("ux"), F.element_at("_pos", F.col("u"))["y"].alias("uy"),
                 F.element_at("_pos", F.col("v"))["x"].alias("vx"), F.element_at("_pos", F.col("v"))["y"].alias("vy"))
     )
+
+
+def joined_coordinates(nodes: DataFrame, edges: DataFrame, graph_cols: Sequence[str]) -> DataFrame:
+    """Edges with both end points' coordinates by joins on the node, for graphs that came in parts:
+    ``(graph, u, v, ux, uy, vx, vy)``."""
+    g = list(graph_cols)
+    ends = [nodes.select(*g, F.col("node_id").alias(c), F.col("x").alias(f"{c}x"), F.col("y").alias(f"{c}y")) for c in ("u", "v")]
+    return edges.join(ends[0], [*g, "u"]).join(ends[1], [*g, "v"]).select(*g, "u", "v", "ux", "uy", "vx", "vy")

@@ -19,7 +19,9 @@ from tessera.functions.text import strip_tags, trim_ws
 #: The quoted value of an anchor's href, quotes included.
 ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*')"""
 ANCHOR_OPEN = r"(?is)(<a(?:\s[^>]*)?>)"
+# The published price pattern and the published selectors.
 PRICE = r"\d+[\.,]?\d*\s*EUR"
+SHARE = r"(\d+)\s*%\s*([^\W\d_][\w-]*)"
 PRODUCT_CLASSES = ("product-grid-product", "_product")
 PRODUCT_ID = "data-productid"
 PRODUCT_LINK_CLASS = "product-link"
@@ -240,6 +242,15 @@ def composition(pages: DataFrame, tag: str = "li", part: str | None = COMPOSITIO
         F.filter(F.transform(elements(inner, entry_tag), text_of), lambda x: x.isNotNull()).alias("shares")))
 
 
+def materials(shares: Column) -> Column:
+    """Shares such as ``60% cotton`` as an array of (percent, material), in order; texts without a
+    share give nothing, a text may hold several.  (The given pages hold no shares: tested on inline
+    pages only.)"""
+    found = F.flatten(F.transform(shares, lambda s: F.regexp_extract_all(s, F.lit(SHARE), 0)))
+    return F.transform(found, lambda s: F.struct(F.regexp_extract(s, SHARE, 1).cast("int").alias("percent"),
+                                                 F.regexp_extract(s, SHARE, 2).alias("material")))
+
+
 def category_lists(categorised: DataFrame, id_col: str = "page_id") -> DataFrame:
     """Links of each (page, category) as one list in page order, joined by a space:
     ``(page_id, category, n_links, links)``.  A group holds one page's links only."""

@@ -126,7 +126,10 @@ SELECT l.number AS international_number, l.doc_id, l.pos, l.cause IS NULL AS is_
 FROM latest l LEFT JOIN {_CODES_SQL} ON l.code = codes.id""")
 def phone_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest row of every number, valid or not; codes that the lookup lacks become null."""
-    info, errors = _read(spark, sf_dir)
+    return _latest(spark, *_read(spark, sf_dir))
+
+
+def _latest(spark: SparkSession, info: DataFrame, errors: DataFrame) -> DataFrame:
     columns = ["doc_id", "pos", "international_number", "is_valid", "error_code"]
     rows = info.select(columns).unionByName(errors.withColumn("is_valid", F.lit(False)).select(columns))
     latest = T.upsert_latest(rows, ["international_number"], ["doc_id", "pos"])
@@ -134,6 +137,23 @@ def phone_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.resolve_error_codes(latest, codes)
 
 
+#: Numbers with or without an international prefix; those without one are errors of a known code.
+ANY_NUMBER = r"\+?[0-9][0-9 ().-]{7,}[0-9]"
+
+
+@register("phone_code_lookup", f"""
+WITH {_READ_SQL.replace("[+][0-9][-0-9 ().]{5,}[0-9]", "[+]?[0-9][-0-9 ().]{7,}[0-9]")},
+latest AS (SELECT *, CASE WHEN cause IS NULL THEN NULL WHEN cause LIKE 'area%' THEN 9 ELSE 2 END AS code
+           FROM read QUALIFY row_number() OVER (PARTITION BY number ORDER BY doc_id DESC, pos DESC) = 1)
+SELECT l.number AS international_number, l.doc_id, l.pos, l.cause IS NULL AS is_valid,
+       CASE WHEN codes.id IS NOT NULL THEN l.code END AS error_code, codes.description AS error_description
+FROM latest l LEFT JOIN {_CODES_SQL} ON l.code = codes.id""")
+def phone_code_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``phone_upsert``, over numbers written in any way: most error codes resolve."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _latest(spark, *T.classify_numbers(T.extract_numbers(docs, pattern=ANY_NUMBER)))
+
+
 @register("mask_unknown", f"""
 WITH {_NUMS_SQL}
 SELECT mask, candidate FROM cands WHERE candidate NOT IN (SELECT number FROM nums)""")

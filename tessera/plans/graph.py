@@ -18,6 +18,8 @@ from tessera.session import cut_lineage
 from tessera.sources import read_table
 
 _G = ["user_id", "week"]
+#: Nodes and edges of one message of a grid graph, about; a graph of the smallest tables has more.
+PART_SIZE = 32
 
 _EV_SQL = """
 ev AS (
@@ -144,9 +146,10 @@ SELECT e.graph_id, e.u, e.v, a.x AS ux, a.y AS uy, b.x AS vx, b.y AS vy
 FROM gedges e JOIN gnodes a ON a.graph_id = e.graph_id AND a.node_id = e.u
               JOIN gnodes b ON b.graph_id = e.graph_id AND b.node_id = e.v""")
 def graph_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in parts, far smaller than a graph, read back and joined."""
     nodes = cut_lineage(_grid_nodes(spark, sf_dir))
-    msgs = G.graph_messages(nodes, G.sight_edges(nodes, ["graph_id"]), ["graph_id"])
-    return G.edge_coordinates(msgs, ["graph_id"])
+    msgs = cut_lineage(G.graph_messages(nodes, G.sight_edges(nodes, ["graph_id"]), ["graph_id"], part_size=PART_SIZE))
+    return G.joined_coordinates(*G.parse_graph_messages(msgs, ["graph_id"]), ["graph_id"])
 
 
 @register("graph_cycle_samples", f"""

@@ -145,3 +145,27 @@ def ab_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pca_cross_validation")
 def pca_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.cross_validate(_emb(spark, sf_dir), "vec_id", "embedding", PCA_K, folds=5)
+
+
+@register("pca_identities", f"""
+WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings),
+varying AS (SELECT count(*) AS d FROM (SELECT pos FROM x GROUP BY pos HAVING stddev_samp(v) > 0))
+SELECT 'trace' AS name, d::DOUBLE AS value FROM varying
+UNION ALL SELECT 'residual_' || j, 0.0 FROM range(1, {PCA_K + 1}) t(j)
+UNION ALL SELECT 'dot_' || i || '_' || j, CASE WHEN i = j THEN 1.0 ELSE 0.0 END
+  FROM range(1, {PCA_K + 1}) a(i) JOIN range(1, {PCA_K + 1}) b(j) ON i <= j
+UNION ALL SELECT 't2_sum', {PCA_K}.0 * (count(*) - 1) FROM embeddings
+UNION ALL SELECT 'spe_sum_less_rest', 0.0""", rounded=("value",), decimals=6)
+def pca_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eigenpairs, scores and residuals of the component model against what must hold of them."""
+    out = D.identities(_emb(spark, sf_dir), "vec_id", "embedding", PCA_K)
+    return out.select("name", (F.col("value") + F.lit(0.0)).alias("value"))
+
+
+@register("pca_fold_counts", """
+WITH f AS (SELECT CAST(('0x' || substr(md5(vec_id::VARCHAR), 1, 8)) AS BIGINT) % 5 AS fold FROM embeddings),
+n AS (SELECT r.range AS fold, count(f.fold) AS n_test FROM range(0, 5) r LEFT JOIN f ON f.fold = r.range GROUP BY 1)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(n_test) OVER () - n_test AS BIGINT) AS n_train, n_test FROM n""")
+def pca_fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each fold of ``pca_cross_validation`` learns from and holds out."""
+    return D.cross_validate(_emb(spark, sf_dir), "vec_id", "embedding", PCA_K, folds=5).select("fold", "n_train", "n_test")

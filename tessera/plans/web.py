@@ -124,6 +124,35 @@ def page_first_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 DECIMAL = r"\d+\.\d+"
 
 
+#: Elements of which only the advertisement blocks have a class.
+_PARTS = "(?:div|nav|footer)"
+
+
+@register("page_classed_items", f"""
+WITH i AS (
+  SELECT page_id, unnest(l) AS item, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS item_pos
+  FROM (SELECT page_id, {_elements_sql('html', _PARTS)} AS l FROM pages))
+SELECT page_id, item_pos, regexp_extract(item, '^<[^>]* class="([^"]*)"', 1) AS product_id,
+       nullif(regexp_extract(item, '<a href="([^"]*)"', 1), '') AS product_link
+FROM i WHERE regexp_matches(item, '^<[^>]* class="[^"]+"')""")
+def page_classed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items by an attribute that most elements lack: those without it are dropped."""
+    return W.page_items(_pages(spark, sf_dir), tag=_PARTS, classes=(), id_attr="class", link_class=None)
+
+
+@register("page_ads", f"""
+WITH i AS (
+  SELECT page_id, unnest(l) AS item, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS item_pos
+  FROM (SELECT page_id, list_filter({_elements_sql('html', _PARTS)},
+          lambda e: regexp_matches(e, '^<[^>]* class="([^"]* )?ad( [^"]*)?"')) AS l FROM pages))
+SELECT page_id, item_pos AS block_pos, coalesce({_plain(f"({_elements_sql('item', 'h1')})[1]")}, 'info_' || item_pos) AS header,
+       coalesce(nullif(regexp_extract({_strip('item')}, '[0-9]+[.][0-9]+', 0), ''), 'N/A') AS price
+FROM i WHERE starts_with(regexp_extract(item, ' class="([^"]*)"', 1), 'a') AND contains(regexp_extract(item, ' class="([^"]*)"', 1), 'd')""")
+def page_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks whose class starts with one text and holds another; menus and footers have none."""
+    return W.page_headers(_pages(spark, sf_dir), _PARTS, "a", "d", None, None, DECIMAL)
+
+
 def _headers_sql(tag: str) -> str:
     return f"""
 WITH b AS (

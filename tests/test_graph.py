@@ -92,6 +92,24 @@ def test_graph_message_round_trip(spark):
     assert pn.count() == 14
 
 
+def test_messages_in_parts(spark):
+    nodes = spark.createDataFrame([(g, k, x, y) for g in ("a", "b") for k, (x, y) in NODES.items()],
+                                  "graph_id STRING, node_id BIGINT, x INT, y INT")
+    edges = spark.createDataFrame([("a", u, v) for u, v in AXIS_EDGES] + [("b", 1, 2)], "graph_id STRING, u BIGINT, v BIGINT")
+    msg = G.graph_messages(nodes, edges, ["graph_id"], part_size=5)
+    rows = msg.collect()
+    sizes = [len(b["nodes_dict"]) + len(b["edges_list"]) for b in (json.loads(r["message"]) for r in rows)]
+    assert {r["graph_id"]: r["parts"] for r in rows} == {"a": 7, "b": 3} and max(sizes) < 14 and sum(sizes) == 28 + len(AXIS_EDGES) + 1
+    pn, pe = G.parse_graph_messages(msg, ["graph_id"])
+    assert pn.count() == 28 and {(r["u"], r["v"]) for r in pe.where("graph_id = 'a'").collect()} == set(AXIS_EDGES)
+    got = {(r["graph_id"], r["u"], r["v"]): (r["ux"], r["uy"], r["vx"], r["vy"]) for r in G.joined_coordinates(pn, pe, ["graph_id"]).collect()}
+    assert got == {(g, u, v): (*NODES[u], *NODES[v]) for g, es in (("a", AXIS_EDGES), ("b", [(1, 2)])) for u, v in es}
+    assert G.missing_parts(msg, ["graph_id"]).count() == 0
+    assert [r["graph_id"] for r in G.missing_parts(msg.unionByName(msg.where("graph_id = 'b'")), ["graph_id"]).collect()] == ["b"]
+    alone = spark.createDataFrame([("c", 1, 0, 0)], nodes.schema)
+    assert G.graph_messages(alone, edges.limit(0), ["graph_id"], part_size=5).count() == 1
+
+
 def test_transitions_cross_buckets(spark):
     rows = [(1, "2024-01-01 00:10:00", 1, "a"), (1, "2024-01-01 00:50:00", 2, "b"),
             (1, "2024-01-01 03:00:00", 3, "c"), (1, "2024-01-01 03:00:00", 4, "c"),

@@ -60,6 +60,10 @@ def test_items_headers_composition(spark):
     assert heads == [(0, "Linen Dress", "29,95 EUR"), (1, "info_1", "N/A")]
     comp = [(r["part_name"], r["shares"]) for r in W.composition(pages).orderBy("part_pos").collect()]
     assert comp == [("Outer", ["60% cotton", "40% linen"]), ("N/A", [])]
+    shares = [[tuple(m) for m in r[0]] for r in W.composition(pages).orderBy("part_pos").select(W.materials(W.F.col("shares"))).collect()]
+    assert shares == [[(60, "cotton"), (40, "linen")], []]
+    odd = spark.createDataFrame([(["95 % viscose, 5%elastane", "none", "7%"],)], "s ARRAY<STRING>").select(W.materials(W.F.col("s"))).first()[0]
+    assert [tuple(m) for m in odd] == [(95, "viscose"), (5, "elastane")]
     val = spark.createDataFrame([("29,95 EUR",)], "p STRING").select(W.price_value(W.F.col("p")).alias("v")).first()
     assert abs(val["v"] - 29.95) < 1e-9
 
