@@ -8,11 +8,11 @@ Search.  Queries are a table of (query, term).  The score is BM25; the k best ro
 found exactly without scoring every row:
 
 1. Postings of the queries' terms get their weights, and every (term, block) its largest weight.
-2. A query's terms of greatest weight give a lower bound on its k-th best score: the k-th best sum
-   over these terms alone.
-3. Terms whose greatest weights together stay below that bound can't lift a row over it, so only
-   blocks with one of the other terms are candidates; common words drop out here.
-4. A candidate block is scored if the sum of its terms' largest weights reaches the bound.
+2. A query meets the blocks that hold any of its terms; the sum of its terms' largest weights there
+   bounds what a row of the block can score.
+3. The block of the greatest bound is scored first; its k-th best score is the least that a further
+   block's bound must reach to be scored as well.
+4. A task scores one block for many queries with array operations and keeps ``k`` rows a query.
 
 Nothing is collected but the number of rows and tokens.  Joins are on term, block and query, so hot
 terms are skewed keys that adaptive execution splits.
@@ -22,16 +22,20 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from tessera.operators.parallelism import spread
@@ -42,14 +46,18 @@ TOKEN = r'[^ \t\n\r\f.,;:!?()\[\]{}<>"]+'
 BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DECIMALS = 9
-BLOCK_ROWS = 256
-#: Rows that the first terms of a query should reach, in multiples of k.
-SEED_ROWS = 4
+BLOCK_ROWS = 1024
+#: Queries that one task scores against a block, about.
+QUERIES = 4096
 #: Sums of weights closer than this are not told apart by a bound.
 SLACK = 1e-6
 FEATURES = 1 << 18
 
 
+def _counter():
+    return count().__next__
+
+
 def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), 0)
 
@@ -71,33 +79,34 @@ def build(corpus: DataFrame, keys: Sequence[str], text_col: str, block_rows: int
                            T.StructField("tfs", ints), T.StructField("dls", ints),
                            *(T.StructField(f"key_{i}", T.ArrayType(corpus.schema[c].dataType)) for i, c in enumerate(keys))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, block = re.compile(TOKEN).findall, TaskContext.get().partitionId() << 32
-        for pdf in batches:
-            for a in range(0, len(pdf), block_rows):
-                part = pdf.iloc[a:a + block_rows]
-                postings: dict[str, tuple[list, list, list]] = {}
-                lengths = []
-                for row, text in enumerate(part["text"]):
-                    found = find(text.lower()) if text else []
-                    lengths.append(len(found))
-                    for term, tf in Counter(found).items():
-                        p = postings.get(term)
-                        if p is None:
-                            p = postings[term] = ([], [], [])
-                        p[0].append(row)
-                        p[1].append(tf)
-                        p[2].append(len(found))
-                rows, tfs, dls = zip(*postings.values(), strict=True) if postings else ((), (), ())
-                out = pd.DataFrame({"block": block, "term": [*postings, ""], "rows": [*rows, list(range(len(part)))],
-                                    "tfs": [*tfs, []], "dls": [*dls, lengths]})
-                for i, c in enumerate(keys):
-                    out[f"key_{i}"] = [None] * len(postings) + [part[c].tolist()]
-                yield out
+        for batch in batches:
+            for at in range(0, batch.num_rows, block_rows):
+                part = batch.slice(at, block_rows)
+                found = [find(t.lower()) if t else [] for t in part.column(len(keys)).to_pylist()]
+                lengths = np.array([len(f) for f in found], np.int64)
+                number: dict[str, int] = defaultdict(_counter())
+                ids = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64, int(lengths.sum()))
+                # Sorted by term and then row, so each term's postings stand together.
+                pair, tf = np.unique(ids * len(found) + np.repeat(np.arange(len(found)), lengths), return_counts=True)
+                term, row = pair // max(len(found), 1), pair % max(len(found), 1)
+                ends = np.searchsorted(term, np.arange(len(number)), side="right")
+                offsets = np.concatenate([[0], ends, [len(pair) + len(found)]])  # the last record is the block's own
+                everyone = np.arange(len(found))
+
+                def lists(own: np.ndarray, last: np.ndarray, offsets=offsets) -> pa.Array:
+                    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([own, last]), pa.int32()))
+
+                columns = [pa.array(np.full(len(number) + 1, block), pa.int64()), pa.array([*number, ""], pa.string()),
+                           lists(row, everyone), lists(tf, np.zeros(len(found))), lists(lengths[row], lengths)]
+                empty = pa.array(np.concatenate([np.zeros(len(number) + 1), [len(found)]]), pa.int32())
+                columns += [pa.ListArray.from_arrays(empty, part.column(i)) for i in range(len(keys))]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
                 block += 1
 
     ship_package(corpus.sparkSession)
-    table = cut_lineage(spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(run, schema))
+    table = cut_lineage(spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInArrow(run, schema))
     size = table.where("term = ''").agg(
         F.sum(F.size("rows")).alias("n"), F.sum(F.aggregate("dls", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("tokens")).first()
     n = int(size["n"] or 0)
@@ -106,7 +115,7 @@ def build(corpus: DataFrame, keys: Sequence[str], text_col: str, block_rows: int
 
 def _weighted(index: PostingIndex, terms: DataFrame) -> DataFrame:
     """(block, term, rows, weights, bound) of the wanted terms' postings."""
-    wanted = index.table.where("term <> ''").join(terms, "term", "left_semi")
+    wanted = index.table.where("term <> ''").select("block", "term", "rows", "tfs", "dls").join(terms, "term", "left_semi")
     df = wanted.groupBy("term").agg(F.sum(F.size("rows")).cast("double").alias("df"))
     n, mean = F.lit(float(index.n_rows)), F.lit(index.mean_length or 1.0)
     idf = F.log(F.lit(1.0) + (n - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
@@ -119,43 +128,78 @@ def _weighted(index: PostingIndex, terms: DataFrame) -> DataFrame:
     return cut_lineage(weights.withColumn("bound", F.array_max("weights")))
 
 
+def _scored(index: PostingIndex, weighted: DataFrame, pairs: DataFrame, qid_type: T.DataType, k: int) -> DataFrame:
+    """(qid, keys, score): the best ``k`` rows of every (query, block) in ``pairs`` (qid, block, terms).
+
+    A task holds one block's postings and up to about ``QUERIES`` queries."""
+    keys = index.keys
+    names = [f"key_{i}" for i in range(len(keys))]
+    counts = pairs.groupBy("block").agg(F.count(F.lit(1)).alias("queries"))
+    asked = pairs.join(counts, "block").select("block", F.pmod(F.xxhash64("qid"), F.ceil(F.col("queries") / QUERIES)).cast("int").alias("part"),
+                                               "qid", "terms")
+    own = index.table.where("term = ''").select("block", "term", "rows", F.lit(None).cast("array<double>").alias("weights"), *names)
+    postings = weighted.select("block", "term", "rows", "weights", *(F.lit(None).cast(own.schema[c].dataType).alias(c) for c in names)).unionByName(own)
+    parts = asked.select("block", "part").distinct()
+    postings = postings.join(parts.select(F.col("block").alias("b"), F.col("part").alias("p")), F.col("block") == F.col("b")).select(
+        F.col("block").alias("block"), F.col("p").alias("part"), "term", "rows", "weights", *names)
+    schema = T.StructType([T.StructField("qid", qid_type), *(T.StructField(c, own.schema[n].dataType.elementType) for c, n in zip(keys, names, strict=True)),
+                           T.StructField("score", T.DoubleType())])
+
+    def run(block: pa.Table, queries: pa.Table) -> pa.Table:
+        def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+            column = block.column(name).combine_chunks()
+            return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+
+        number = {t: i for i, t in enumerate(block.column("term").to_pylist())}
+        at = number.get("", -1)
+        if at < 0 or not queries.num_rows:
+            return pa.table({f.name: [] for f in schema}).cast(to_arrow_schema(schema))
+        (starts, rows), (weight_starts, weights) = flat("rows"), flat("weights")
+        named = [block.column(n)[at].values for n in names]
+        size = len(named[0])
+        place = np.empty(size, np.int64)  # of a row in order of the keys
+        place[pc.sort_indices(pa.table(dict(zip(names, named, strict=True))), [(n, "ascending") for n in names]).to_numpy()] = np.arange(size)
+        chosen, scores, lengths = [], [], []
+        for terms in queries.column("terms").to_pylist():
+            ids = [number[t] for t in terms]
+            row = np.concatenate([rows[starts[i]:starts[i + 1]] for i in ids])
+            weight = np.concatenate([weights[weight_starts[i]:weight_starts[i + 1]] for i in ids])
+            score = np.round(np.bincount(row, weight, minlength=size), SCORE_DECIMALS)
+            hit = np.flatnonzero(score > 0)
+            if len(hit) > k:
+                hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k]]
+            best = hit[np.lexsort((place[hit], -score[hit]))[:k]]
+            chosen.append(best)
+            scores.append(score[best])
+            lengths.append(len(best))
+        taken = pa.array(np.concatenate(chosen))
+        qids = queries.column("qid").combine_chunks().take(pa.array(np.repeat(np.arange(queries.num_rows), lengths)))
+        return pa.Table.from_arrays([qids, *(n.take(taken) for n in named), pa.array(np.concatenate(scores))], [f.name for f in schema])
+
+    return postings.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(run, schema)
+
+
 def search(index: PostingIndex, queries: DataFrame, qid_col: str, qtext_col: str, k: int = 10) -> tuple[DataFrame, DataFrame]:
-    """((qid, keys, score, rank), (qid, candidate_blocks, scored_blocks)).  Rows that share a term
-    with the query are ranked by score (rounded), then keys."""
+    """((qid, keys, score, rank), (qid, blocks, scored_blocks)).  Rows that share a term with the query
+    are ranked by score (rounded), then keys."""
+    kind = queries.schema[qid_col].dataType
     asked = cut_lineage(queries.select(F.col(qid_col).alias("qid"), F.explode(F.array_distinct(tokens(F.col(qtext_col)))).alias("term")))
     weighted = _weighted(index, asked.select("term").distinct())
-    peaks = weighted.groupBy("term").agg(F.max("bound").alias("peak"), F.sum(F.size("rows")).alias("df"))
-    terms = cut_lineage(asked.join(peaks, "term"))
-
-    # A lower bound on the k-th best score from the terms of greatest weight.
-    strong = Window.partitionBy("qid").orderBy(F.col("peak").desc(), "term").rowsBetween(Window.unboundedPreceding, -1)
-    seeds = terms.withColumn("before", F.coalesce(F.sum("df").over(strong), F.lit(0))).where(F.col("before") < SEED_ROWS * k)
-    partial = seeds.join(weighted, "term").select("qid", "block", F.inline(F.arrays_zip("rows", "weights"))).groupBy(
-        "qid", "block", "rows").agg(F.sum("weights").alias("score"))
-    ranked = partial.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc()))).where(F.col("rank") <= k)
-    floor = cut_lineage(ranked.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).select(
-        "qid", F.when(F.col("n") >= k, F.col("least") - SLACK).otherwise(F.lit(0.0)).alias("floor")))
-
-    # Blocks that hold a term which could matter, and what all of the query's terms can reach there.
-    weak = Window.partitionBy("qid").orderBy("peak", "term").rowsBetween(Window.unboundedPreceding, 0)
-    essential = terms.join(floor, "qid").withColumn("reach", F.sum("peak").over(weak)).where(F.col("reach") >= F.col("floor"))
-    candidates = essential.select("qid", "term", "floor").join(weighted.select("block", "term"), "term").groupBy("qid", "block").agg(
-        F.first("floor").alias("floor"))
-    met = candidates.join(terms.select("qid", "term"), "qid").join(weighted, ["block", "term"]).groupBy("qid", "block").agg(
-        F.first("floor").alias("floor"), F.sum("bound").alias("reach"), F.collect_list(F.struct("rows", "weights")).alias("lists"))
-    kept = cut_lineage(met.select("qid", "block", (F.col("reach") >= F.col("floor")).alias("scored"),
-                                  F.when(F.col("reach") >= F.col("floor"), F.col("lists")).alias("lists")))
-    scored = kept.where("scored").select("qid", "block", F.explode("lists").alias("p")).select(
-        "qid", "block", F.inline(F.arrays_zip(F.col("p.rows").alias("row"), F.col("p.weights").alias("weight")))).groupBy(
-        "qid", "block", "row").agg(F.round(F.sum("weight"), SCORE_DECIMALS).alias("score")).where("score > 0")
-    # Ties with the k-th stay until the keys decide.
-    tied = scored.withColumn("place", F.rank().over(Window.partitionBy("qid").orderBy(F.col("score").desc()))).where(F.col("place") <= k)
-    rows = index.table.where("term = ''").select("block", *[f"key_{i}" for i in range(len(index.keys))])
-    named = tied.join(rows, "block").select("qid", "score", *[F.get(f"key_{i}", F.col("row")).alias(c) for i, c in enumerate(index.keys)])
-    best = Window.partitionBy("qid").orderBy(F.col("score").desc(), *[F.col(c).asc() for c in index.keys])
-    found = named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    work = kept.groupBy("qid").agg(F.count(F.lit(1)).alias("candidate_blocks"), F.sum(F.col("scored").cast("bigint")).alias("scored_blocks"))
-    return found.select(F.col("qid").alias(qid_col), *index.keys, "score", "rank"), work.withColumnRenamed("qid", qid_col)
+    # What a query can reach in a block: the sum of its terms' greatest weights there.
+    pairs = cut_lineage(asked.join(weighted.select("term", "block", "bound"), "term").groupBy("qid", "block").agg(
+        F.sum("bound").alias("reach"), F.collect_list("term").alias("terms")))
+    best = pairs.groupBy("qid").agg(F.max_by("block", F.struct("reach", "block")).alias("home"), F.count(F.lit(1)).alias("blocks"))
+    placed = pairs.join(best, "qid")
+    first = cut_lineage(_scored(index, weighted, placed.where("block = home"), kind, k))
+    floor = first.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+    rest = cut_lineage(placed.where("block <> home").join(floor, "qid", "left").where(
+        (F.coalesce("n", F.lit(0)) < k) | (F.col("reach") >= F.col("kth") - SLACK)).select("qid", "block", "terms"))
+    every = first.unionByName(_scored(index, weighted, rest, kind, k))
+    order = Window.partitionBy("qid").orderBy(F.col("score").desc(), *[F.col(c).asc() for c in index.keys])
+    found = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    more = rest.groupBy("qid").agg(F.count(F.lit(1)).alias("more"))
+    work = best.join(more, "qid", "left").select(F.col("qid").alias(qid_col), "blocks", (F.coalesce("more", F.lit(0)) + 1).alias("scored_blocks"))
+    return found.select(F.col("qid").alias(qid_col), *index.keys, "score", "rank"), work
 
 
 def bucket_of(term: str, features: int) -> int:
@@ -176,7 +220,7 @@ def text_vectors(corpus: DataFrame, keys: Sequence[str], text_col: str, features
     key_fields = [corpus.schema[c] for c in keys]
     counted = T.StructType([*key_fields, T.StructField("buckets", ints), T.StructField("tfs", ints)])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find, memo = re.compile(TOKEN).findall, {}
         for pdf in batches:
             buckets, tfs = [], []
@@ -194,7 +238,7 @@ def text_vectors(corpus: DataFrame, keys: Sequence[str], text_col: str, features
                 tfs.append([got[b] for b in order])
             yield pdf[keys].assign(buckets=buckets, tfs=tfs)
 
-    rows = cut_lineage(spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(count, counted))
+    rows = cut_lineage(spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(frequencies, counted))
     n, df = rows.count(), np.zeros(features)
     for r in rows.select(F.explode("buckets").alias("b")).groupBy("b").count().toLocalIterator():  # at most ``features`` rows
         df[r["b"]] = r["count"]
