@@ -133,7 +133,7 @@ def test_bound_pruning_keeps_ties_and_reads_few_blocks(spark):
     # Where a block's own words decide, the others are not scored although they hold "the".
     grouped = spark.createDataFrame([(i, 0, f"the t{i // 8}a t{i // 8}b") for i in range(160)], "doc_id BIGINT, chunk_pos INT, chunk STRING")
     ask = spark.createDataFrame([(b, f"the t{b}a t{b}b") for b in range(20)], "qid BIGINT, text STRING")
-    top, work = postings.search(postings.build(grouped.coalesce(1), ["doc_id", "chunk_pos"], "chunk", block_rows=8), ask, "qid", "text", k=4)
+    top, work = postings.search(postings.build(grouped.repartitionByRange(40, "doc_id"), ["doc_id", "chunk_pos"], "chunk", block_rows=8), ask, "qid", "text", k=4)
     assert {(r["qid"], r["doc_id"]) for r in top.collect()} == {(b, 8 * b + i) for b in range(20) for i in range(4)}
     assert sum(r["scored_blocks"] for r in work.collect()) < 0.3 * sum(r["blocks"] for r in work.collect())
     again, _ = postings.search(index, q.where("qid < 3"), "qid", "text", k=4)  # one index, another query table
