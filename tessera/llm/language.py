@@ -10,7 +10,6 @@ codeword of least loss; a second codeword nearly as close flags the text as ambi
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable
 from itertools import chain, combinations, filterfalse
@@ -29,7 +28,6 @@ MAX_N = 4
 #: Share of the probability that the runner-up must not reach.
 AMBIGUOUS = 0.25
 UNDECIDED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 MEMO_WORDS = 500_000
 
 
@@ -127,7 +125,7 @@ class Decoder:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, score, ambiguous) of each text."""
-        known = [k for k, t in enumerate(texts) if t and LETTER.search(t)]
+        known = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         out = [(UNDECIDED, 0.0, False)] * len(texts)
         if not known or not self.languages:
             return out

@@ -6,12 +6,17 @@ Line rules (a line without a word is neither judged nor counted):
 * punctuation: symbols or repeated marks crowd the words, or a long line has no sentence
   punctuation at all;
 * navigation: separators between most words, or a line of menu entries;
-* boilerplate: notices, consent and account phrases, licence lines;
-* shouting and repetition: mostly capitals with exclamation marks, or few distinct words.
+* boilerplate: notices, consent and account phrases, licence lines: a phrase for every
+  ``BOILERPLATE_WORDS`` words, so one notice doesn't condemn a long line of prose;
+* shouting and repetition: mostly capitals with exclamation marks, or few distinct words for its
+  length.
+
+The rules hold for lines of any length.  The phrases are English.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -35,6 +40,10 @@ SEPARATED = 0.3
 #: Words from which a line must have sentence punctuation, or enough distinct words.
 LONG_LINE = 40
 DISTINCT_SHARE = 0.2
+#: Distinct words of a text grow more slowly than its length, about as its square root.
+DISTINCT_ROOT = 3.5
+#: A line is boilerplate with a phrase for every so many of its words.
+BOILERPLATE_WORDS = 60
 CAPITALS_SHARE = 0.6
 
 MARKS = re.compile(r"[#*$%&<>^~=_\\{}\[\]]")
@@ -55,10 +64,10 @@ def line_fails(line: str, words: list[bytes]) -> bool:
         return True
     if n > 2 and len(SEPARATORS.findall(line)) > SEPARATED * n:
         return True
-    if len(line) < 400 and (MENU.search(line) or BOILERPLATE.search(line)):
+    if MENU.search(line) or len(BOILERPLATE.findall(line)) * BOILERPLATE_WORDS >= n:
         return True
     if n >= LONG_LINE:
-        if len(set(words)) < DISTINCT_SHARE * n and len(set(words)) < 60:
+        if len(set(words)) < min(DISTINCT_SHARE * n, DISTINCT_ROOT * math.sqrt(n)):
             return True
         if not SENTENCE.search(line):
             return True
@@ -161,8 +170,8 @@ judged as (
   select *, len(ws) as n, row_number() over (partition by doc_id, line order by pos) > 1 as again,
     (len(regexp_extract_all(line, {sql(MARKS)})) > {CROWDED} * len(ws) and len(ws) > 1)
     or (len(ws) > 2 and len(list_filter(ws, lambda w: w in ('|', '>', '»', '›', '·', '•', '/', chr(92), '-', '::', '->'))) > {SEPARATED} * len(ws))
-    or (length(line) < 400 and (regexp_matches(line, {sql(MENU)}) or regexp_matches(line, {sql(BOILERPLATE)})))
-    or (len(ws) >= {LONG_LINE} and len(list_distinct(ws)) < {DISTINCT_SHARE} * len(ws) and len(list_distinct(ws)) < 60)
+    or regexp_matches(line, {sql(MENU)}) or len(regexp_extract_all(line, {sql(BOILERPLATE)})) * {BOILERPLATE_WORDS} >= len(ws)
+    or (len(ws) >= {LONG_LINE} and len(list_distinct(ws)) < least({DISTINCT_SHARE} * len(ws), {DISTINCT_ROOT} * sqrt(len(ws))))
     or (len(ws) >= {LONG_LINE} and not regexp_matches(line, {sql(SENTENCE)}))
     or (len(ws) > 2 and {count("line", "!")} >= 0.5 * len(ws) and {count("line", "\\p{L}")} > 0
         and {count("line", "\\p{Lu}")} > {CAPITALS_SHARE} * {count("line", "\\p{L}")}) as fails

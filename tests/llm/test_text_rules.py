@@ -44,6 +44,18 @@ def test_line_rules_remove_lines_first():
     assert not lost[5] and not lost[6]
 
 
+def test_line_rules_hold_at_any_length():
+    fails = lambda line: quality.line_fails(line, line.encode().split())
+    notice = "All rights reserved, see our privacy policy and cookie settings. "
+    assert fails(notice) and fails(notice * 40)  # 2,600 characters of notices
+    assert fails("home | about us | contact | " * 60 + "search")
+    story = ". ".join(prose(k, 30) for k in range(20))
+    assert not fails(story) and not fails(story + " All rights reserved. " + story)  # one phrase in a long line of prose
+    assert fails(" ".join(f"w{k % 60}" for k in range(4000)) + ".") and not fails(" ".join(f"w{k}" for k in range(4000)) + ".")
+    few = " ".join(f"w{k % 61}" for k in range(4000)) + "."  # 61 different words are few for 4,000
+    assert fails(few)
+
+
 def test_quality_messy(messy, empty):
     out = quality.clean_lines(messy)
     assert out.count() == len(MESSY) and quality.clean_lines(empty).count() == 0
@@ -143,12 +155,13 @@ TONGUES = {"aa": "the and house water going there with".split(), "bb": "der und
 
 def test_languages_are_told_apart(spark, messy, empty):
     rows = [(k, speech(k, TONGUES[lang]), lang) for k, lang in enumerate(list(TONGUES) * 40)]
-    docs = spark.createDataFrame(rows + [(900, None, "aa"), (901, "12 34 !", None), (902, "", "bb")], "doc_id BIGINT, text STRING, lang STRING")
+    docs = spark.createDataFrame(rows + [(900, None, "aa"), (901, "12 34 !", None), (902, "", "bb"),
+                                         (903, "\u00bd \u00b2 \u00b3 12 \u2460 _", None)], "doc_id BIGINT, text STRING, lang STRING")
     model = language.train(docs, lambda i: i % 5 == 1)
     got = {r.doc_id: r for r in language.identify(docs, model).collect()}
     held = [(k, lang) for k, _, lang in rows if k % 5 == 1]
     assert all(got[k].lang_pred == lang and 0.5 < got[k].score <= 1 and not got[k].ambiguous for k, lang in held)
-    assert all(got[k].lang_pred == "und" and got[k].score == 0 for k in (900, 901, 902))
+    assert all(got[k].lang_pred == "und" and got[k].score == 0 for k in (900, 901, 902, 903))
     mixed = language.Decoder(model).predict([speech(1, TONGUES["aa"] + TONGUES["bb"], 400)])[0]
     assert mixed[0] in ("aa", "bb")
     assert language.identify(messy, model).count() == len(MESSY)
