@@ -130,7 +130,7 @@ class Grams:
             self.trained.append(np.bincount(which[learned[there]], minlength=len(place)))
 
 
-def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
+def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where sorted keys pass from one bucket (an even range of hashes) to the next."""
     cuts = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, cuts), [len(keys)]])
@@ -141,7 +141,7 @@ def requests(grams: Grams, chunk: int, buckets: int) -> Iterator[tuple]:
         order = grams.order_of[m]
         keys, counts = grams.keys[m][order], grams.trained[m][order]
         rest = grams.rest[order] if m == 1 else None
-        bounds = _bounds(keys, buckets)
+        bounds = bucket_bounds(keys, buckets)
         for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
             if i < j:
                 mine = keys[i:j].copy()
@@ -230,7 +230,7 @@ class Automaton:
         return total
 
 
-def _chunked(batches, text_at: int, limit: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+def chunked(batches, text_at: int, limit: int) -> Iterator[tuple[int, pa.RecordBatch]]:
     """(chunk, rows) of one task, in order; a chunk may come in several pieces."""
     from pyspark import TaskContext
 
@@ -277,7 +277,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found[i:i + 64], strict=True), types, strict=True)], names)
 
         at, texts, held = None, [], []
-        for chunk, piece in _chunked(batches, 1, chunk_bytes):
+        for chunk, piece in chunked(batches, 1, chunk_bytes):
             if chunk != at and texts:
                 yield from of(at, texts, held)
                 texts, held = [], []
@@ -308,7 +308,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     vocabulary, total = int(whole["v"] or 0), int(whole["n"] or 0)
 
     def place(batches):
-        for chunk, piece in _chunked(batches, 1, chunk_bytes):
+        for chunk, piece in chunked(batches, 1, chunk_bytes):
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(np.full(piece.num_rows, chunk), pa.int64())],
                                              [*piece.schema.names, "chunk"])
 

@@ -3,9 +3,11 @@
 A text is its multiset of five-word shingles (a text of fewer words is one shingle); the k-th
 occurrence of a shingle is an element of its own, so term frequency counts.  An element weighs
 the mean inverse document frequency of its words, rounded to a quarter octave.  Document
-frequencies are counted for each word (by 64 bits of hash) over all documents.  The commonest
-words, 2^DF_BITS at most, go to every task, so that table has a fixed size however large the
-corpus is; the counts of all others are joined to the texts that hold them.
+frequencies are counted for each word (by 64 bits of hash) over all documents: chunks of about
+``CHUNK_BYTES`` of text send their distinct words, each once with the number of the chunk's texts
+that hold it, to the partition that owns the word; owners answer each chunk with the corpus-wide
+counts, and the answers meet the chunk's texts when these are signed.  No table of all words goes
+to a task, whatever the size of the corpus.
 
 1. Improved consistent weighted sampling draws ``SAMPLES`` elements a text: each element's draw
    (Gamma, Gamma, uniform) comes from a table by a hash of element and sample number, and the
@@ -31,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Bounded, arrow_pass, slices, spread_scan, texts_of, write_table
+from tessera.llm.common import Bounded, spread_scan, texts_of, write_table
+from tessera.llm.lm_scoring import bucket_bounds, chunked, from_planes, planes
 from tessera.operators.components import connected_components
 from tessera.session import ship_package
 
@@ -41,10 +44,8 @@ SAMPLES, ROWS = 64, 4
 #: Share of samples below which a pair of at least SIMILARITY practically never falls: four
 #: standard deviations (0.05 each with 64 samples) and more.
 LEAST_AGREEMENT = 0.58
-#: Every task gets the counts of at most 2^DF_BITS words.
-DF_BITS = 18
-#: Distinct words of texts that a task holds before it sums them up.
-HELD = 1 << 20
+#: Text of one chunk.
+CHUNK_BYTES = 3 << 20
 #: Weights are 2 ** (level / 4).
 LEVELS = 32
 SLOT_BITS = 16
@@ -81,47 +82,30 @@ class Weights:
     """Smoothed inverse document frequency by word hash; words not given are in one text only."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, texts: int):
-        self.texts, self.tables = texts, []
-        self._add(words, counts)
-
-    def _add(self, words: np.ndarray, counts: np.ndarray) -> None:
-        if len(words):
-            words, first = np.unique(words.astype(np.int64).view(np.uint64), return_index=True)
-            self.tables.append((words, self._idf(counts[first])))
+        """``words`` in ascending order, each once."""
+        self.words, self.texts = words, texts
+        self.values = self._idf(counts)
 
     def _idf(self, counts: np.ndarray) -> np.ndarray:
         return np.log((1 + self.texts) / (1 + counts)) + 1
 
-    def joined(self, words: np.ndarray, counts: np.ndarray) -> Weights:
-        """These and the counts of further words."""
-        out = Weights(words, counts, self.texts)
-        out.tables = self.tables + out.tables
-        return out
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes), bool)
-        for words, _ in self.tables:
-            out |= words[np.minimum(np.searchsorted(words, hashes), len(words) - 1)] == hashes
-        return out
-
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), self._idf(np.int64(1)))
-        for words, values in self.tables:
-            at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-            out = np.where(words[at] == hashes, values[at], out)
-        return out
+        if not len(self.words):
+            return np.full(len(hashes), self._idf(np.int64(1)))
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, self.values[at], self._idf(np.int64(1)))
 
 
 def elements(hashes: np.ndarray, idf: Weights | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(element hashes in ascending order, weight level of each); a plain array has a weight for
-    each value of the upper DF_BITS bits of a word hash."""
+    """(element hashes in ascending order, weight level of each); a plain array has the weight of
+    each word of the text."""
     m = len(hashes)
     if not m:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     k = min(WORDS, m)
     shingles = np.zeros(m - k + 1, np.uint64)
     weight = np.zeros(m - k + 1)
-    own = idf.of(hashes) if isinstance(idf, Weights) else idf[(hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+    own = idf.of(hashes) if isinstance(idf, Weights) else idf
     for j in range(k):
         shingles = shingles * STEP + hashes[j:m - k + 1 + j]
         weight += own[j:m - k + 1 + j]
@@ -200,10 +184,10 @@ def _links(ids: np.ndarray, own: np.ndarray, i: int, j: int, close: np.ndarray)
     return out[out["a"] != out["b"]]
 
 
-def similarities(texts: list[str], idf: Weights | np.ndarray) -> np.ndarray:
-    """Weighted Jaccard similarity of all pairs."""
+def similarities(texts: list[str], idf: Weights | list[np.ndarray]) -> np.ndarray:
+    """Weighted Jaccard similarity of all pairs; a list has the weights of each text's words."""
     n = len(texts)
-    parts = [elements(word_hashes(t), idf) for t in texts]
+    parts = [elements(word_hashes(t), idf if isinstance(idf, Weights) else idf[k]) for k, t in enumerate(texts)]
     total = np.array([(2.0 ** (level / 4)).sum() for _, level in parts])
     row = np.repeat(np.arange(n), [len(s) for s, _ in parts])
     values, first, column, count = np.unique(np.concatenate([s for s, _ in parts]), return_index=True,
@@ -226,65 +210,94 @@ def similarities(texts: list[str], idf: Weights | np.ndarray) -> np.ndarray:
     return np.divide(common, union, out=np.zeros_like(common), where=union > 0)
 
 
-def document_frequencies(source: DataFrame) -> tuple[Weights, int, DataFrame | None]:
-    """Weights of the commonest words, the number of texts, and the counts of the other words that
-    two or more texts hold (word, n; None if there are none): exact counts over all documents,
-    summed up in each task and again on the way."""
-    def count(batches):
-        def summed():
-            words, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
-
-        held, size = [], 0
-        for batch in slices(batches):
-            for text in texts_of(batch, "text"):
-                held.append(np.unique(word_hashes(text)))
-                size += len(held[-1])
-                if size >= HELD:
-                    yield summed()
-                    held, size = [], 0
-        if size:
-            yield summed()
-
-    counts = write_table(arrow_pass(source.select("text"), "word bigint, n bigint", count)
-                         .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"))
-    texts = source.count()
-    # Quarter octaves of n, from the top while their words fit.
-    octave = F.floor(4 * F.log2("n"))
-    least, total, more = None, 0, False
-    for r in counts.groupBy(octave.alias("o")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("o")).collect():
-        total += r.words
-        if total > 1 << DF_BITS:
-            more = True
-            break
-        least = r.o
-    common = counts.where(octave >= least if least is not None else F.lit(False)).toPandas()
-    rest = (counts.where(octave < least) if least is not None else counts) if more else None
-    return Weights(common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), texts), texts, rest
-
-
-def _rest_of_texts(source: DataFrame, common, rest: DataFrame) -> DataFrame:
-    """th, words, counts: the words of ``rest`` in each text, by the hash ``th`` of the text (texts
-    that share it share the list, as a word has one count)."""
-    def pairs(batches):
-        seen = Bounded(1_000_000)
-        for batch in slices(batches):
-            keys, words = [], []
-            for th, text in zip(batch.column("th").to_pylist(), texts_of(batch, "text"), strict=True):
-                if th in seen:
-                    continue
-                seen.room(1)
-                seen[th] = None
-                own = np.unique(word_hashes(text))
-                own = own[~common.value.has(own)]
-                keys.append(np.full(len(own), th, np.int64))
-                words.append(own.view(np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(words))], ["th", "word"])
-
-    found = arrow_pass(source.select("th", "text"), "th bigint, word bigint", pairs).join(rest.hint("merge"), "word")
-    return write_table(found.groupBy("th").agg(F.collect_list(F.struct("word", "n")).alias("l"))
-                       .select("th", F.col("l.word").alias("words"), F.col("l.n").alias("counts")))
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, behind that width."""
+    width = next(w for w in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64)
+
+
+REQUEST = "bucket int, chunk bigint, n int, keys binary, counts binary"
+ANSWER = "chunk bigint, bucket int, n int, counts binary"
+
+
+def _batches(rows: list[tuple], schema: str):
+    """Rows as Arrow batches of a few records each, as these are long."""
+    types = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    for i in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(zip(*rows[i:i + 64], strict=True), kinds, strict=True)], names)
+
+
+def word_counts(source: DataFrame) -> DataFrame:
+    """Answers to every chunk of ``source`` (doc_id, text, ...): chunk, bucket, n, counts, the number of
+    texts in all documents that hold each of the chunk's distinct words, in ascending order of hash.
+    ``source`` must be a scan or a narrow step after one, as ``place`` forms the same chunks again."""
+    parts, chunk_bytes = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), CHUNK_BYTES
+    buckets = 2 * parts
+
+    def ask(batches):
+        def requests(chunk, held):
+            if not held:
+                return
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            cuts = bucket_bounds(keys, buckets)
+            out = []
+            for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if i < j:
+                    mine = keys[i:j].copy()
+                    mine[1:] -= keys[i:j - 1]
+                    out.append((b, chunk, int(j - i), planes(mine), planes(counts[i:j])))
+            yield from _batches(out, REQUEST)
+
+        at, held = None, []
+        for chunk, piece in chunked(batches, 1, chunk_bytes):
+            if chunk != at:
+                yield from requests(at, held)
+                at, held = chunk, []
+            held += [np.unique(word_hashes(t)) for t in texts_of(piece, "text")]
+        yield from requests(at, held)
+
+    def answer(batches):
+        got = [row for batch in batches for row in batch.to_pylist()]
+        if not got:
+            return
+        keys = np.concatenate([np.cumsum(from_planes(r["keys"]), dtype=np.uint64) for r in got])
+        counts = np.concatenate([from_planes(r["counts"]) for r in got]).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        firsts = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+        total = np.empty(len(keys), np.int64)
+        total[order] = np.repeat(np.add.reduceat(counts[order], firsts), np.diff(np.append(firsts, len(keys))))
+        ends = np.cumsum([r["n"] for r in got])
+        yield from _batches([(r["chunk"], r["bucket"], r["n"], planes(t)) for r, t in zip(got, np.split(total, ends[:-1]), strict=True)], ANSWER)
+
+    ship_package(source.sparkSession)
+    return write_table(source.mapInArrow(ask, REQUEST).repartition(parts, "bucket").mapInArrow(answer, ANSWER))
+
+
+def place(source: DataFrame) -> DataFrame:
+    """``source`` and the chunk of each row."""
+    chunk_bytes = CHUNK_BYTES
+
+    def rows(batches):
+        for chunk, piece in chunked(batches, 1, chunk_bytes):
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(np.full(piece.num_rows, chunk), pa.int64())],
+                                             [*piece.schema.names, "chunk"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema), "chunk bigint"])
+    return source.mapInArrow(rows, schema)
+
+
+def counted_words(hashes: list[np.ndarray], answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words of a chunk's texts in ascending order, corpus-wide counts)."""
+    words = np.unique(np.concatenate(hashes)) if hashes else np.empty(0, np.uint64)
+    mine = sorted(zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "counts")), strict=True), key=lambda x: x[0])
+    if sum(n for _, n, _ in mine) != len(words):
+        raise RuntimeError("the texts of a chunk differ between two readings; write the input as a table first")
+    return words, np.concatenate([from_planes(c) for _, _, c in mine]).astype(np.int64) if mine else np.empty(0, np.int64)
 
 
 def _blocked(rows: DataFrame, group: str, by: str, block: int) -> DataFrame:
@@ -308,33 +321,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     spread = spread_scan(source)
-    common, _, rest = document_frequencies(spread)
-    idf = spark.sparkContext.broadcast(common)
-    rest = None if rest is None else _rest_of_texts(spread, idf, rest)
-
-    def with_rest(df: DataFrame) -> DataFrame:
-        """``df`` with the words of its texts that not every task knows."""
-        if rest is None:
-            return df.select("*", *(F.lit(None).cast("array<bigint>").alias(c) for c in ("words", "counts")))
-        # Written and of any size, so a merge join; a hot text can be split.
-        return df.join(rest.hint("merge"), "th", "left")
-
-    def sign(batches):
+    replies = word_counts(spread)
+    texts = spread.count()
+
+    def sign(rows: pa.Table, answers: pa.Table) -> pa.Table:
         sampler = Sampler()
-        for batch in slices(batches):
-            k1, k2, signatures = [], [], []
-            for text, words, n in zip(texts_of(batch, "text"), batch.column("words"), batch.column("counts"), strict=True):
-                hashes = word_hashes(text)
-                weights = idf.value.joined(words.values.to_numpy(), n.values.to_numpy()) if words.is_valid else idf.value
-                key = xxhash.xxh3_128_intdigest(hashes.tobytes())
-                k1.append((key >> 64) - (1 << 63))
-                k2.append((key & (1 << 64) - 1) - (1 << 63))
-                signatures.append(sampler.signature(*elements(hashes, weights)) if len(hashes) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.array(signatures, pa.binary())], ["doc_id", "th", "k1", "k2", "signature"])
-
-    signed = write_table(arrow_pass(with_rest(spread), f"doc_id {id_type}, th bigint, k1 bigint, k2 bigint, signature binary", sign))
+        hashes = [word_hashes(t) for t in texts_of(rows, "text")]
+        words, counts = counted_words(hashes, answers)
+        values = Weights(words, counts, texts).values
+        k1, k2, signatures, own = [], [], [], []
+        for h in hashes:
+            at = np.searchsorted(words, h)  # every word of the chunk is there
+            key = xxhash.xxh3_128_intdigest(h.tobytes())
+            k1.append((key >> 64) - (1 << 63))
+            k2.append((key & (1 << 64) - 1) - (1 << 63))
+            signatures.append(sampler.signature(*elements(h, values[at])) if len(h) else None)
+            own.append(packed(counts[at]) if len(h) else None)
+        return pa.table({"doc_id": rows.column("doc_id"), "th": rows.column("th"), "k1": pa.array(k1, pa.int64()), "k2": pa.array(k2, pa.int64()),
+                         "signature": pa.array(signatures, pa.binary()), "counts": pa.array(own, pa.binary())})
+
+    signed = write_table(place(spread).groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+        sign, f"doc_id {id_type}, th bigint, k1 bigint, k2 bigint, signature binary, counts binary"))
     classes = write_table(
         signed.where(F.col("signature").isNotNull() & F.col("doc_id").isNotNull()).groupBy("k1", "k2")
         .agg(F.min(F.struct("doc_id", "th")).alias("r"), F.first("signature").alias("signature"))
@@ -367,18 +374,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     placed = _blocked(write_table(families.join(sizes, "component")), "component", "node", FAMILY_BLOCK)
     named = write_table(classes.join(families, F.col("rep") == F.col("node"), "left_semi").select("rep", "th"))
     # No bound holds for the size of either side, so these joins are merge joins at every size.
-    texts = write_table(with_rest(source.join(named.hint("merge"), (F.col("rep") == F.col("doc_id")) & (named["th"] == source["th"]))
-                                  .select("rep", "text", source["th"]).dropDuplicates(["rep"])).drop("th"))
+    wanted = named.select("rep", F.col("th").alias("of"))
+    whole = source.join(wanted.hint("merge"), (F.col("rep") == F.col("doc_id")) & (F.col("of") == F.col("th"))).select("rep", "of", "text")
+    counts = signed.select("doc_id", "th", "counts").join(
+        wanted.hint("merge"), (F.col("rep") == F.col("doc_id")) & (F.col("of") == F.col("th"))).select("rep", "of", "counts")
+    # An id with several texts stands for each of them.
+    key = ["rep", "of"]
+    whole = write_table(whole.dropDuplicates(key).join(counts.dropDuplicates(key).hint("merge"), key))
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
-        weights = idf.value
-        if group["words"].notna().any():
-            weights = weights.joined(*(np.concatenate(group[c].dropna().tolist()).astype(np.int64) for c in ("words", "counts")))
+        weights = [np.log((1 + texts) / (1 + unpacked(c))) + 1 for c in group["counts"]]
         close = similarities(group["text"].tolist(), weights) >= similarity
         np.fill_diagonal(close, False)
         return _links(group["rep"].to_numpy(), group["own"].to_numpy(), int(group["i"].iloc[0]), int(group["j"].iloc[0]), close)
 
-    verified = write_table(placed.join(texts, placed["node"] == texts["rep"])
+    verified = write_table(placed.join(whole, placed["node"] == whole["rep"])
                            .groupBy("component", "i", "j").applyInPandas(verify, pair).distinct())
     parts = connected_components(verified, "a", "b")
     # Written, so that the join with all rows is of two plain shuffles and a hot class can be split.

@@ -111,13 +111,18 @@ def weighted_jaccard(texts, idf):
     return out
 
 
+def weights_of(docs):
+    hashes = [np.unique(near_dedup.word_hashes(t or "")) for _, t in docs]
+    return near_dedup.Weights(*np.unique(np.concatenate(hashes), return_counts=True), len(docs))
+
+
 @pytest.mark.parametrize("block", [256, 3])
 def test_near_dedup_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(near_dedup, "BUCKET_BLOCK", block)
     monkeypatch.setattr(near_dedup, "FAMILY_BLOCK", block)
     docs = copies()
     frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
-    idf = near_dedup.document_frequencies(frame)[0]
+    idf = weights_of(docs)
     s = weighted_jaccard([t for _, t in docs], idf)
     off = ~np.eye(len(docs), dtype=bool)  # a text isn't compared with itself
     assert np.allclose(s[off], near_dedup.similarities([t for _, t in docs], idf)[off])
@@ -126,8 +131,8 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, block):
     assert got == want and len(set(want.values())) < len(want)
 
 
-@pytest.mark.parametrize("bits", [18, 3, 0])
-def test_near_dedup_weighs_each_word_by_its_own_count(spark, monkeypatch, bits):
+@pytest.mark.parametrize("chunk", [3 << 20, 2000, 1])
+def test_near_dedup_weighs_each_word_by_its_own_count(spark, monkeypatch, chunk):
     docs = copies() + [(1000, None), (1001, "")]
     sets = [set((t or "").split()) for _, t in docs]
     df = {w: sum(w in s for s in sets) for w in set().union(*sets)}
@@ -149,20 +154,24 @@ def test_near_dedup_weighs_each_word_by_its_own_count(spark, monkeypatch, bits):
             common = sum(p[x] for x in p.keys() & q.keys())
             if common and common / (sum(p.values()) + sum(q.values()) - common) >= 0.8:
                 close.append((docs[i][0], docs[j][0]))
-    monkeypatch.setattr(near_dedup, "DF_BITS", bits)
+    monkeypatch.setattr(near_dedup, "CHUNK_BYTES", chunk)
     frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
-    weights, n, rest = near_dedup.document_frequencies(frame)
-    rows = [] if rest is None else rest.collect()
-    assert n == len(docs) and (rest is None) == (bits == 18) and sum(len(w) for w, _ in weights.tables) <= 1 << bits
-    known = weights.joined(np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64))
     words = sorted(df)
-    assert np.allclose(known.of(near_dedup.word_hashes(" ".join(words))), [idf[w] for w in words])
+    assert np.allclose(weights_of(docs).of(near_dedup.word_hashes(" ".join([*words, "unmet"]))), [*(idf[w] for w in words), np.log((1 + len(docs)) / 2) + 1])
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame).collect()}
     assert got == components([i for i, _ in docs], close)
 
 
+def test_an_id_with_several_texts_stands_for_each(spark):
+    a, b = prose(71, 150), prose(72, 150)
+    near = lambda t: " ".join("changed" if k == 40 else w for k, w in enumerate(t.split()))
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, prose(73, 150))]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_samples_agree_as_often_as_texts_are_alike():
-    idf = np.ones(1 << near_dedup.DF_BITS)
+    idf = near_dedup.Weights(np.empty(0, np.uint64), np.empty(0, np.int64), 1)  # every word weighs one
     rng = random.Random(2)
     sampler, words = near_dedup.Sampler(1024), [f"w{k}" for k in range(400)]
     for changes in (0, 5, 20, 60):
@@ -234,6 +243,7 @@ def test_recall_of_the_forest_on_the_given_vectors(spark, monkeypatch):
 
 def test_stages_keep_columns_and_clean_rows(spark, messy, empty, tmp_path):
     spark.createDataFrame([(1, 0, 0)], "doc_id BIGINT, quality INT, toxic INT").write.parquet(str(tmp_path / "labels.parquet"))
+    messy.write.parquet(str(tmp_path / "documents.parquet"))
     for docs in (messy, empty):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, str(tmp_path))
@@ -265,7 +275,7 @@ def test_pipeline_stages_take_effect(spark):
     assert run.count() > 0 and {"doc_id", "sequence_id", "ids_crc32"} <= set(run.columns)
 
 
-def test_pipeline_keeps_one_of_copies_that_end_in_short_lines(spark):
+def test_pipeline_keeps_one_of_copies_that_end_in_short_lines(spark, tmp_path):
     docs, k = [], 0
     for group in range(4):
         text = "\n".join(prose(900 + 10 * group + n, words) for n, words in enumerate([60, 22, 93, 2 + group]))
@@ -275,13 +285,37 @@ def test_pipeline_keeps_one_of_copies_that_end_in_short_lines(spark):
     docs += [(100, None), (101, ""), (102, ""), (103, " \n "), (None, docs[0][1])]
     frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
     stages = dict(corpus_pipeline.STAGES)
-    left = stages["minhash_near_dedup"](spark, stages["line_dedup"](spark, frame, SF), SF).collect()
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    cut = corpus_pipeline.write_table(stages["line_dedup"](spark, frame, str(tmp_path)))
+    left = stages["minhash_near_dedup"](spark, cut, str(tmp_path)).collect()
     ids = sorted(r.doc_id for r in left if r.doc_id is not None)
     assert [i for i in ids if i >= 3] == [3, 6, 9, 100, 101, 102, 103]
     assert [i for i in ids if i < 3] == [0]  # cut after the null id, which is first, but none of its copies
     assert {r.doc_id: r.text for r in left}[3] == docs[3][1]
 
 
+def test_pipeline_leaves_no_near_copy_that_the_line_stage_cut(spark, tmp_path):
+    """Near copies of several lines: their common lines are cut, and what is left resembles nothing."""
+    rng = random.Random(31)
+    docs = []
+    for group in range(6):
+        lines = [prose(3000 + 10 * group + n, 60).split() for n in range(6)]
+        for copy in range(3):
+            mine = [list(x) for x in lines]
+            if copy:  # four words of one line are changed
+                for k in range(10, 14):
+                    mine[copy][k] = f"other{group}x{copy}x{k}"
+            docs.append((10 * group + copy, "\n".join(" ".join(x) for x in mine)))
+    docs += [(900 + k, prose(4000 + k, 80)) for k in range(5)]
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(3)
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    cut = stages["line_dedup"](spark, frame, str(tmp_path))
+    assert cut.count() == len(docs)  # no whole copies, and each copy keeps its changed line
+    left = stages["minhash_near_dedup"](spark, corpus_pipeline.write_table(cut), str(tmp_path))
+    assert sorted(r.doc_id for r in left.collect()) == [10 * g for g in range(6)] + [900 + k for k in range(5)]
+
+
 def test_registered():
     names = {n.split("_")[0] for n in E.queries() if n.startswith("op")}
     assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in E.queries()
