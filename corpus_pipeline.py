@@ -66,11 +66,27 @@ def drop_copies_and_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir:
     return drop_repeated_lines(spark, write_table(drop_whole_copies(docs)), sf_dir)
 
 
+def texts_before_cutting(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and text in ``documents`` of the rows of ``docs`` whose text differs from it by now.
+
+    Ids are matched with hashes of the texts, and texts are read for the ids that changed only."""
+    source = read_documents(spark, sf_dir).select("doc_id", "text")
+    now = docs.select("doc_id", F.xxhash64("text").alias("now"))
+    then = source.select("doc_id", F.xxhash64("text").alias("then"))
+    changed = write_table(now.join(then.hint("merge"), "doc_id").where("now <> then").select("doc_id").distinct())
+    return write_table(source.join(changed, "doc_id", "left_semi"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id (rows of one
-    id are one document, and stay or go together)."""
+    id are one document, and stay or go together).
+
+    Texts are compared as they are and, where earlier stages cut lines out, as they were in
+    ``documents`` too: what the line stage leaves of a near copy need not resemble its original."""
     gone = _unused(docs, "gone")
-    copies = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    before = texts_before_cutting(spark, docs, sf_dir)
+    texts = docs.select("doc_id", "text").unionByName(before)
+    copies = near_dedup.near_duplicates(texts).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
     return docs.join(write_table(copies).hint("merge"), F.col("doc_id") == F.col(gone), "left_anti")
 
 
