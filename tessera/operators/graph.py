@@ -163,11 +163,11 @@ def _interior(path: str) -> Column:
 
 
 def _closed(met: DataFrame, g: list[str]) -> DataFrame:
-    """Cycles of two arms ``a`` and ``b`` of one length (then each pair is there in both orders) or with
-    ``b`` longer by one edge; a cycle runs towards the smaller neighbour of its start."""
-    first = F.element_at("a", 2) < F.element_at("b", 2)
-    cycle = F.when(first, F.concat("a", F.reverse(_interior("b")))).otherwise(F.concat("b", F.reverse(_interior("a"))))
-    return met.where(first | (F.size("a") < F.size("b"))).select(*g, F.size(cycle).alias("length"), cycle.alias("cycle"))
+    """Cycles of two arms, ``b`` as long as ``a`` or longer by one edge.  A cycle runs towards the smaller
+    neighbour of its start, which ``a`` holds: each cycle has one such pair of arms, and the other
+    pairs (in the other order, or split on the other side of the middle) don't count."""
+    cycle = F.concat("a", F.reverse(_interior("b")))
+    return met.where(F.element_at("a", 2) < F.element_at("b", 2)).select(*g, F.size(cycle).alias("length"), cycle.alias("cycle"))
 
 
 def simple_cycles(edges: DataFrame, graph_cols: Sequence[str], max_len: int | None = None,
