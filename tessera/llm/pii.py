@@ -16,6 +16,8 @@ decoys made from fixed finds by breaking what makes them valid, are negative.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -259,6 +261,25 @@ def _break(kind: int, found: str) -> str | None:
     return None
 
 
+class Taken:
+    """Whether a span touches one of some spans, by binary search."""
+
+    def __init__(self, spans: list[tuple]):
+        ordered = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in ordered]
+        self.reach = list(accumulate((e for _, e in ordered), max))
+
+    def touches(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at > 0 and self.reach[at - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """A further span that touches none so far."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.reach.insert(at, end)
+
+
 def training_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, labels and kinds of the proposals in texts, and in texts with finds rewritten."""
     x, y, kinds = [], [], []
@@ -288,8 +309,9 @@ def training_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             for how in [None, *DISGUISES[kind]] if broken else []:
                 new = _rewrite(kind, broken, how) if how else broken
                 near(left + new + right, len(left), len(left) + len(new), kind, 0)
+        taken = Taken(found)
         for p in proposals(text):
-            if not any(p[1] < e and p[2] > s for _, s, e in found):
+            if not taken.touches(p[1], p[2]):
                 add(text, p, 0)
     return np.array(x, float).reshape(-1, len(FEATURES)), np.array(y), np.array(kinds)
 
@@ -318,13 +340,16 @@ def spans_of(text: str, model: dict | None) -> tuple[list[tuple], list[tuple]]:
     fixed = fixed_spans(text)
     if model is None:
         return fixed, []
-    free = [p for p in proposals(text) if not any(p[1] < e and p[2] > s for _, s, e in fixed)]
+    taken = Taken(fixed)
+    free = [p for p in proposals(text) if not taken.touches(p[1], p[2])]
     if not free:
         return fixed, []
     chance = model["trees"].predict(np.array([features(text, p) for p in free]))
     added: list[tuple] = []
+    taken = Taken([])
     for c, (kind, start, end) in sorted(zip(chance.tolist(), free, strict=True), key=lambda z: (-z[0], z[1])):
-        if c >= model["thresholds"][kind] and not any(start < e and end > s for _, s, e in added):
+        if c >= model["thresholds"][kind] and not taken.touches(start, end):
+            taken.add(start, end)
             added.append((kind, start, end))
     return fixed, added
 

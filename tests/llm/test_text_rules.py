@@ -137,6 +137,23 @@ def test_pii_counts_equal_brute_force(spark):
     assert max(r.n_ip for r in got.values()) == 2
 
 
+def test_taken_spans_equal_a_scan_of_all():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans = [(0, s, s + rng.randint(1, 9)) for s in (rng.randrange(100) for _ in range(rng.randint(0, 12)))]
+        taken = pii.Taken(spans)
+        apart = pii.Taken([])
+        kept = []
+        for _ in range(30):
+            a = rng.randrange(105)
+            b = a + rng.randint(1, 6)
+            assert taken.touches(a, b) == any(a < e and b > s for _, s, e in spans)
+            assert apart.touches(a, b) == any(a < e and b > s for s, e in kept)
+            if not apart.touches(a, b):
+                apart.add(a, b)
+                kept.append((a, b))
+
+
 def test_codewords_keep_their_distance():
     for k in (2, 3, 4, 6, 9):
         code = language.codewords(k)
