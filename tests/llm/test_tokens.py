@@ -43,6 +43,31 @@ def test_chunk_encoder_is_the_same_when_its_memo_overflows():
     assert small(texts) == big(texts)
 
 
+@pytest.mark.parametrize("path,free", [(BYTE, False), (WORD, True)])
+def test_letters_that_normalizing_takes_apart(path, free):
+    """A capital I with a dot becomes a letter and a mark, which a full stop would join."""
+    ours, exact = library_encoder(path, free), library(path)
+    texts = ["İ.", "aİ, b", "\ufb1d. x", "ª. µ, ŉ ſt. ẞ,", "don't we'll ÀÉ Ǆ"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours(texts)] == [exact(t) for t in texts]
+
+
+@pytest.mark.parametrize("path,free", [(BYTE, False), (WORD, True)])
+def test_frequent_words_outlast_a_full_memo(path, free):
+    big, asked = library_encoder(path, free), []
+
+    def encode(chunks):
+        asked.extend(chunks)
+        return big.encode(chunks)
+
+    small = ChunkEncoder(encode, free, limit=100)
+    rng = random.Random(2)
+    for _ in range(60):
+        text = " ".join(["x", "often", *("".join(rng.choices("abcdefgh", k=9)) for _ in range(20))])
+        assert small([text]) == big([text])
+        assert len(small.memo) + len(small.memo.before) <= 100 + 22
+    assert sum(c.strip() == "often" for c in asked) == 1
+
+
 def test_packer_is_best_fit_and_bounded():
     rng = random.Random(1)
     packer, closed, bins = packing.BestFit(100, 3), [], {}
