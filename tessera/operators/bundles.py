@@ -1,7 +1,7 @@
 """Exact-quantity bundles: the cheapest multiset of offers that sums to a target.
 
 Each group (a menu: one part, one shop, ...) is solved independently by an unbounded
-knapsack recurrence evaluated as one ``aggregate`` fold inside the JVM:
+knapsack recurrence, evaluated for many groups at once by array operations in an Arrow pass:
 
     best(0) = (0 cents, 0 orders)
     best(n) = min over offers a <= n of (best(n - a).cents + price(a), best(n - a).orders + 1)
@@ -13,19 +13,26 @@ Money is integer cents, so ties are exact.
 Scale: offers are pre-aggregated to one row per ``(group, amount)`` (map-side partial
 aggregation, so a hot group shrinks before the shuffle) and amounts above the largest
 target are dropped before collection, so each collected menu is bounded by
-``max_target`` entries no matter how many source rows a group has.  The fold is one array
-expression per group (interpreted: Spark has no generated code for it).
+``max_target`` entries no matter how many source rows a group has.  A task solves ``CELLS``
+cells (groups x targets) at a time, whatever the size of its partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-_ACC = "array<struct<c:bigint,o:int>>"
+from tessera.session import ship_package
+
+#: Targets times groups that are solved at once.
+CELLS = 1 << 19
 
 
 def offers_from_lines(lines: DataFrame, group_col: str, amount_col: str, price_col: str,
@@ -44,28 +51,53 @@ def offers_from_lines(lines: DataFrame, group_col: str, amount_col: str, price_c
     )
 
 
-def _fold_sql(max_target: int) -> str:
-    """Unbounded knapsack over targets 1..max_target as one ``aggregate`` fold."""
-    return f"""aggregate(sequence(1, {int(max_target)}), cast(array(named_struct('c', 0L, 'o', 0)) as {_ACC}),
-              (acc, n) -> cast(concat(acc, array(array_min(filter(
-                  transform(filter(offers, x -> x.amount <= n),
-                            x -> named_struct('c', acc[n - x.amount].c + x.price_cents,
-                                              'o', acc[n - x.amount].o + 1)),
-                  y -> y.c is not null)))) as {_ACC}))"""
-
-
-# The lexicographically smallest sorted optimal bundle for n starts with the smallest
-# amount a that keeps the rest optimal (best(n-a) + (price(a), 1) = best(n)), and its rest
-# is the smallest optimal bundle for n-a.  So it is rebuilt from the (cents, orders)
-# table by a greedy walk of ``orders`` steps instead of carrying lists through the fold.
-_WALK = """transform(bst, (t, n) -> case when t.c is null then cast(null as struct<c:bigint,o:int,b:array<int>>)
-    else named_struct('c', t.c, 'o', t.o, 'b', aggregate(sequence(1, t.o + 1), named_struct('rem', n, 'b', cast(array() as array<int>)),
-        (s, i) -> case when s.rem = 0 then s else transform(array(array_min(transform(
-            filter(offers, x -> x.amount <= s.rem
-                                and bst[s.rem - x.amount].c + x.price_cents = bst[s.rem].c
-                                and bst[s.rem - x.amount].o + 1 = bst[s.rem].o),
-            x -> x.amount))), a -> named_struct('rem', s.rem - a, 'b', concat(s.b, array(a))))[0] end,
-        s -> s.b)) end)"""
+def _solve(groups: int, group: np.ndarray, amount: np.ndarray, cents: np.ndarray, max_target: int) -> tuple[np.ndarray, ...]:
+    """(cents, orders, feasible, first) of every target and group, as arrays of ``max_target`` + 1
+    rows.  ``first`` is the smallest amount that some best bundle holds.
+
+    Cents and orders are one number, cents * (max_target + 1) + orders, so that a comparison is
+    lexicographic; where that doesn't fit 64 bits, Python's integers take over."""
+    scale = max_target + 1
+    bound = (max(map(abs, (int(cents.max()), int(cents.min()))), default=0) + 1) * max_target * scale if len(cents) else scale
+    never = 4 * bound  # a sum with it stays above 2 * bound
+    kind = np.int64 if bound < 1 << 59 else object
+    price = np.full((scale, groups), never, kind)
+    np.minimum.at(price, (amount, group), cents.astype(kind) * scale + 1)
+    offered = np.unique(amount).tolist()
+    best = np.full((scale, groups), never, kind)
+    best[0] = 0
+    first = np.zeros((scale, groups), np.int32)
+    for n in range(1, scale):
+        for a in offered:
+            if a > n:
+                break
+            cost = best[n - a] + price[a]
+            less = cost < best[n]
+            best[n][less] = cost[less]
+            first[n][less] = a
+        best[n][best[n] > 2 * bound] = never
+    feasible = best < never
+    return np.where(feasible, best // scale, 0), np.where(feasible, best % scale, 0), feasible, first
+
+
+def _bundle_lists(orders: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The lexicographically smallest sorted best bundle of every group and target.
+
+    It starts with the smallest amount that some best bundle holds, and its rest is the smallest
+    best bundle for what is left; all of them are walked at once, an amount a step."""
+    targets, groups = orders.shape
+    lengths = orders.T.ravel()
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    amounts = np.empty(offsets[-1], np.int32)
+    group, left = np.divmod(np.arange(targets * groups), targets)
+    at, open_ = offsets[:-1].copy(), np.flatnonzero(lengths)
+    while len(open_):
+        a = first[left[open_], group[open_]]
+        amounts[at[open_]] = a
+        left[open_] -= a
+        at[open_] += 1
+        open_ = open_[left[open_] > 0]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(amounts))
 
 
 def solve_menus(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int,
@@ -80,12 +112,31 @@ def solve_menus(offers: DataFrame, group_cols: Sequence[str] | str, max_target:
         .groupBy(*keys)
         .agg(F.collect_list(F.struct("amount", "price_cents")).alias("offers"))
     )
-    fold = F.expr(_fold_sql(max_target))
+    entry = [T.StructField("c", T.LongType()), T.StructField("o", T.IntegerType())]
     if with_bundle:
-        # one expression: the solved table is bound to ``bst`` once and the walk reads it,
-        # so the optimizer cannot inline the fold into every lookup of the walk
-        fold = F.expr(f"transform(array({_fold_sql(max_target)}), bst -> {_WALK})[0]")
-    return menus.select(*keys, "offers", fold.alias("best"))
+        entry.append(T.StructField("b", T.ArrayType(T.IntegerType())))
+    schema = T.StructType([*menus.schema, T.StructField("best", T.ArrayType(T.StructType(entry)))])
+    size = max(1, CELLS // (max_target + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(at, size) for at in range(0, batch.num_rows, size)):
+                menu = part.column(len(keys))
+                amount, cents = menu.flatten().flatten()
+                priced = pc.is_valid(cents)  # an offer without a price is none
+                group = np.repeat(np.arange(part.num_rows), menu.value_lengths().to_numpy())[priced.to_numpy(zero_copy_only=False)]
+                amount = amount.filter(priced).cast(pa.int32()).to_numpy()
+                cents = cents.filter(priced).cast(pa.int64()).to_numpy()
+                c, o, feasible, first = _solve(part.num_rows, group, amount, cents, max_target)
+                fields = [pa.array(c.T.ravel(), pa.int64()), pa.array(o.T.ravel().astype(np.int32))]
+                if with_bundle:
+                    fields.append(_bundle_lists(o.astype(np.int64), first))
+                entries = pa.StructArray.from_arrays(fields, names=[f.name for f in entry], mask=pa.array(~feasible.T.ravel()))
+                offsets = pa.array(np.arange(part.num_rows + 1) * (max_target + 1), pa.int32())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offsets, entries)], names=schema.names)
+
+    ship_package(offers.sparkSession)
+    return menus.mapInArrow(run, schema)
 
 
 def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target: int,
@@ -98,8 +149,7 @@ def best_bundles(offers: DataFrame, group_cols: Sequence[str] | str, max_target:
     smallest sorted list wins, which the recurrence preserves exactly.
     """
     keys = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    # ``best`` always holds index 0, so the outer form returns the same rows; it avoids the
-    # inferred ``size(best) > 0`` filter, which would evaluate the fold a second time.
+    # ``best`` always holds index 0, so the outer form returns the same rows.
     solved = solve_menus(offers, keys, max_target, with_bundle).select(
         *keys, F.posexplode_outer("best").alias("n", "best"))
     cols = [

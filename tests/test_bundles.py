@@ -88,3 +88,18 @@ def test_offers_from_lines_prefilters(spark):
     rows = B.offers_from_lines(lines, "k", "q", "p", 50).collect()
     assert [(r["amount"], r["price_cents"]) for r in rows] == [(2, 850)]
     assert Decimal("8.50") * 100 == 850
+
+
+def test_menus_are_solved_in_array_passes(spark):
+    """No interpreted fold is left in the plan; prices beyond 64 bits of scaled cents stay exact."""
+    huge = 10**17
+    df = _menu(spark, [(2, huge), (2, huge + 5), (3, huge + 1), (4, None)]).unionByName(_menu(spark, [(5, None)], group=1))
+    best = B.best_bundles(df, "group_id", 8, with_bundle=True)
+    plan = best._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "aggregate(sequence" not in plan
+    rows = {(r["group_id"], r["n"]): r for r in best.collect()}
+    assert len(rows) == 16 and not any(r["feasible"] for (g, _), r in rows.items() if g == 1)
+    for n in range(1, 9):
+        want = _brute({2: huge, 3: huge + 1}, n)
+        got = rows[0, n]
+        assert (got["best_cents"], got["orders"], got["bundle"]) == (want or (None, None, None))
