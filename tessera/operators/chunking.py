@@ -24,6 +24,8 @@ from tessera.session import ship_package
 CHUNK_SIZE = 1024
 CHUNK_OVERLAP = 128
 SEPARATORS = ["\n\n", "\n", " ", ""]
+#: Characters and rows of an output batch: bounds the memory of a task.
+CHARS_OUT, ROWS_OUT = 1 << 20, 4096
 WORD_START = re.compile(r"[ \n]")
 
 
@@ -85,6 +87,29 @@ def cut_places(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
         start = word.end() if word and word.end() < end else end - overlap
 
 
+def chunk_batches(batches: Iterator[pa.RecordBatch], names: list[str], size: int, overlap: int) -> Iterator[pa.RecordBatch]:
+    """Chunks of (id, text) batches.  Texts are taken one at a time and their chunks go out as they
+    are cut, about ``CHARS_OUT`` characters at once, so a batch of long texts is never held again
+    in pieces."""
+    for batch in batches:
+        types, rows, held = _chunk_types(batch.column(0).type), [], 0
+
+        def out(types=types) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+            doc_id, text = doc_id.as_py(), text.as_py() or ""
+            for pos, (a, b) in enumerate(cut_places(text, size, overlap)):
+                rows.append((doc_id, pos, a, b - a, text[a:b]))
+                held += b - a
+                if held >= CHARS_OUT or len(rows) >= ROWS_OUT:
+                    yield out()
+                    rows.clear()
+                    held = 0
+        if rows:
+            yield out()
+
+
 def recursive_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """``(doc_id, chunk_pos, char_start, n_chars, chunk)``: chunks of at most ``size`` characters
@@ -92,20 +117,14 @@ def recursive_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(doc_id, pos, a, b - a, text[a:b])
-                    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for pos, (a, b) in enumerate(cut_places(text or "", size, overlap))]
-            for at in range(0, len(rows), 4096):
-                columns = zip(*rows[at:at + 4096])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, _chunk_types(batch.column(0).type))], names)
-
     names = [id_col, "chunk_pos", "char_start", "n_chars", "chunk"]
     src = docs.select(F.col(id_col), F.col(text_col))
     id_type = src.schema[id_col].dataType.simpleString()
     ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return chunk_batches(batches, names, size, overlap)
+
     return spread(src).mapInArrow(run, f"`{id_col}` {id_type}, chunk_pos int, char_start int, n_chars int, chunk string")
 
 

@@ -151,3 +151,36 @@ def test_text_vectors_are_unit_tf_idf_rows(spark):
     assert len(set(b.values())) == 3 and set(by) == {(1, b["red"]), (1, b["cat"]), (2, b["red"]), (2, b["dog"]), (3, b["red"])}
     red, rare = 2 * np.log(6 / 4), np.log(6 / 2)
     assert abs(by[1, b["cat"]] - rare / np.hypot(red, rare)) < 1e-12 and by[3, b["red"]] == 1.0
+
+
+def test_chunks_of_a_batch_of_long_texts_go_out_in_small_batches():
+    import pyarrow as pa
+
+    texts = ["ab cd\n" * 100_000, None, "", "x" * 3_000_000]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array(texts)], ["doc_id", "text"])
+    out = list(CH.chunk_batches(iter([batch]), ["doc_id", "chunk_pos", "char_start", "n_chars", "chunk"], 1024, 128))
+    assert max(sum(b.column(3).to_pylist()) for b in out) < CH.CHARS_OUT + 1024
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    assert rows == [(i, pos, a, b - a, t[a:b]) for i, t in zip([1, 2, 3, 4], texts) for pos, (a, b) in enumerate(CH.cut_places(t or ""))]
+
+
+def test_text_vectors_take_few_rows_at_a_time():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2 * postings.BLOCK_ROWS + 1))], ["a"])
+    parts = list(postings._parts(iter([batch])))
+    assert [p.num_rows for p in parts] == [postings.BLOCK_ROWS, postings.BLOCK_ROWS, 1]
+
+
+def test_text_vectors_by_hand(spark):
+    import math
+
+    texts = [(1, "Red red blue"), (2, "blue"), (3, None), (4, ""), (5, "green blue")]
+    got = {(r["id"], r["bucket"]): r["weight"] for r in postings.text_vectors(
+        spark.createDataFrame(texts, "id INT, t STRING"), ["id"], "t").collect()}
+    b = {w: postings.bucket_of(w, postings.FEATURES) for w in ("red", "blue", "green")}
+    idf = {w: math.log(6 / (n + 1)) for w, n in (("red", 1), ("blue", 3), ("green", 1))}
+    norm1, norm5 = math.hypot(2 * idf["red"], idf["blue"]), math.hypot(idf["green"], idf["blue"])
+    want = {(1, b["red"]): 2 * idf["red"] / norm1, (1, b["blue"]): idf["blue"] / norm1, (2, b["blue"]): 1.0,
+            (5, b["green"]): idf["green"] / norm5, (5, b["blue"]): idf["blue"] / norm5}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
