@@ -22,13 +22,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain, count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -202,6 +201,10 @@ def search(index: PostingIndex, queries: DataFrame, qid_col: str, qtext_col: str
     return found.select(F.col("qid").alias(qid_col), *index.keys, "score", "rank"), work
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, BLOCK_ROWS) for batch in batches for at in range(0, batch.num_rows, BLOCK_ROWS))
+
+
 def bucket_of(term: str, features: int) -> int:
     """The first 32 bits of the term's md5, modulo the number of features."""
     return int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % features
@@ -220,41 +223,49 @@ def text_vectors(corpus: DataFrame, keys: Sequence[str], text_col: str, features
     key_fields = [corpus.schema[c] for c in keys]
     counted = T.StructType([*key_fields, T.StructField("buckets", ints), T.StructField("tfs", ints)])
 
-    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, memo = re.compile(TOKEN).findall, {}
-        for pdf in batches:
-            buckets, tfs = [], []
-            for text in pdf["text"]:
-                got: Counter = Counter()
-                for term, tf in Counter(find(text.lower()) if text else []).items():
-                    b = memo.get(term)
-                    if b is None:
-                        if len(memo) >= 1 << 18:  # bounded: it starts afresh
-                            memo.clear()
-                        b = memo[term] = bucket_of(term, features)
-                    got[b] += tf
-                order = sorted(got)
-                buckets.append(order)
-                tfs.append([got[b] for b in order])
-            yield pdf[keys].assign(buckets=buckets, tfs=tfs)
-
-    rows = cut_lineage(spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInPandas(frequencies, counted))
+        for part in _parts(batches):
+            found = [find(t.lower()) if t else [] for t in part.column(len(keys)).to_pylist()]
+            number: dict[str, int] = defaultdict(_counter())
+            ids = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64)
+            if len(memo) >= 1 << 18:  # bounded: it starts afresh
+                memo.clear()
+            for term in number:
+                if term not in memo:
+                    memo[term] = bucket_of(term, features)
+            bucket = np.array([memo[term] for term in number], np.int64)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            # Sorted by row and then bucket.
+            pair, tf = np.unique(np.repeat(np.arange(len(found)), lengths) * features + bucket[ids], return_counts=True)
+            offsets = pa.array(np.searchsorted(pair, np.arange(len(found) + 1) * features), pa.int32())
+            yield pa.RecordBatch.from_arrays([
+                *part.columns[:len(keys)], pa.ListArray.from_arrays(offsets, pa.array(pair % features, pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(tf, pa.int32()))], counted.names)
+
+    rows = cut_lineage(spread(corpus.select(*keys, F.col(text_col).alias("text"))).mapInArrow(frequencies, counted))
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(features, np.int64)
+        for part in batches:
+            total += np.bincount(part.column(0).flatten().to_numpy(), minlength=features)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["b", "n"])
+
     n, df = rows.count(), np.zeros(features)
-    for r in rows.select(F.explode("buckets").alias("b")).groupBy("b").count().toLocalIterator():  # at most ``features`` rows
-        df[r["b"]] = r["count"]
+    for r in rows.select("buckets").mapInArrow(totals, "b long, n long").groupBy("b").agg(
+            F.sum("n").alias("n")).toLocalIterator():  # at most ``features`` rows
+        df[r["b"]] = r["n"]
     idf = spark.sparkContext.broadcast(np.log((n + 1.0) / (df + 1.0)))
-    out = T.StructType([*key_fields, T.StructField("vector", T.ArrayType(T.StructType([
-        T.StructField("bucket", T.IntegerType()), T.StructField("weight", T.DoubleType())])))])
-
-    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            vectors = []
-            for buckets, tfs in zip(pdf["buckets"], pdf["tfs"], strict=True):
-                at = np.asarray(buckets, np.int64)
-                w = np.asarray(tfs, np.float64) * idf.value[at]
-                norm = np.sqrt(w @ w)
-                w = w / norm if norm > 0 else w
-                vectors.append([{"bucket": b, "weight": x} for b, x in zip(at.tolist(), w.tolist(), strict=True)])
-            yield pdf[keys].assign(vector=vectors)
-
-    return rows.mapInPandas(weigh, out).select(*keys, F.inline("vector"))
+    out = T.StructType([*key_fields, T.StructField("bucket", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches):
+            buckets, tfs = part.column(len(keys)), part.column(len(keys) + 1).flatten().to_numpy()
+            row = np.repeat(np.arange(part.num_rows), buckets.value_lengths().to_numpy())
+            w = tfs * idf.value[buckets.flatten().to_numpy()]
+            norm = np.sqrt(np.bincount(row, w * w, minlength=part.num_rows))
+            w = w / np.where(norm > 0, norm, 1.0)[row]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in part.columns[:len(keys)]), buckets.flatten(), pa.array(w)], out.names)
+
+    return rows.mapInArrow(weigh, out)
