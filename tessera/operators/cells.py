@@ -37,7 +37,7 @@ SCORE_DECIMALS = 9
 CELLS, BITS = 16, 512
 #: Rows of a block, about, and queries that one task compares with a block.
 BLOCK = 4096
-#: Queries of one matrix product.
+#: Queries of one matrix product, and vectors that a pass handles at once.
 TOGETHER = 256
 #: Angles closer than this are not told apart by the bound.
 SLACK = 1e-6
@@ -82,6 +82,11 @@ def nearest(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.round(unit @ pivots.T, SCORE_DECIMALS)
 
 
+def _slices(batches):
+    """Few rows at a time: what is made of a row is many times as long."""
+    return (pdf.iloc[at:at + TOGETHER] for pdf in batches for at in range(0, len(pdf), TOGETHER))
+
+
 def build(corpus: DataFrame, keys: Sequence[str], vec_col: str, cells: int = CELLS, bits: int = BITS) -> CellIndex:
     if cells < 1 or bits < 0 or bits % 64:
         raise ValueError("at least one cell, and bits in words of 64")
@@ -102,7 +107,7 @@ def build(corpus: DataFrame, keys: Sequence[str], vec_col: str, cells: int = CEL
 
     def assign(batches):
         pivots, signs = shared.value
-        for pdf in batches:
+        for pdf in _slices(batches):
             good, unit = units(pdf["vec"])
             if not len(good) or unit.shape[1] != width:
                 continue
@@ -137,7 +142,7 @@ def _probed(queries: DataFrame, qid_col: str, qvec_col: str, index: CellIndex, p
 
     def run(batches):
         pivots, signs = shared.value
-        for pdf in batches:
+        for pdf in _slices(batches):
             good, unit = units(pdf["vec"])
             if not len(good) or unit.shape[1] != width:
                 continue

@@ -82,3 +82,12 @@ def test_hot_cell_and_empty_tables(spark, monkeypatch):
     assert [f.count() for f in cells.approximate(empty, queries, "q", "vec")] == [0, 0]
     with pytest.raises(ValueError):
         cells.build(none, ["q"], "vec", bits=10)
+
+
+def test_vectors_are_placed_few_at_a_time():
+    """A pass makes many rows of one; whole input batches at once took 16 times their size."""
+    import pandas as pd
+
+    frames = list(cells._slices([pd.DataFrame({"a": range(2 * cells.TOGETHER + 1)})]))
+    assert [len(f) for f in frames] == [cells.TOGETHER, cells.TOGETHER, 1]
+    assert [x for f in frames for x in f["a"]] == list(range(2 * cells.TOGETHER + 1))
