@@ -68,6 +68,17 @@ def test_frequent_words_outlast_a_full_memo(path, free):
     assert sum(c.strip() == "often" for c in asked) == 1
 
 
+def test_packing_empties_memos_of_earlier_stages():
+    from tessera.llm import near_dedup
+    from tessera.llm.common import forget
+
+    near_dedup.word_hashes("left by an earlier stage")
+    assert len(near_dedup.WORD_HASH)
+    forget()
+    assert not near_dedup.WORD_HASH
+    assert "forget" in packing.pack_documents.__globals__
+
+
 def test_packer_is_best_fit_and_bounded():
     rng = random.Random(1)
     packer, closed, bins = packing.BestFit(100, 3), [], {}
