@@ -1,8 +1,8 @@
 """Splitting documents into overlapping chunks.
 
 * ``fixed_chunks``: character windows of ``size`` with ``overlap`` (the splitter's final
-  character-level fallback) as pure column expressions -- ``explode(sequence())`` and
-  ``substring``, no Python.
+  character-level fallback), cut in an Arrow pass: ``substring`` would scan a text from its
+  start for every window, which is quadratic in its length.
 * ``recursive_chunks``: chunks that end at the coarsest separator at hand (paragraph, line,
   word, character).  Where a chunk ends decides where the next starts, so each document is
   cut by a small Python helper in an Arrow pass; every text is processed whole.
@@ -13,9 +13,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.parallelism import spread
 from tessera.session import ship_package
@@ -36,18 +38,47 @@ def fixed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``size - overlap`` characters while they add text beyond the overlap."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
+    names = [id_col, *carry, "chunk_pos", "char_start", "n_chars", "chunk"]
+    src = docs.select(id_col, *carry, text_col)
+    schema = T.StructType([*(src.schema[c] for c in (id_col, *carry)), *(T.StructField(c, T.IntegerType()) for c in names[-4:-1]),
+                           T.StructField("chunk", T.StringType())])
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return window_batches(batches, names, size, overlap)
+
+    return src.mapInArrow(run, schema)
+
+
+def window_batches(batches: Iterator[pa.RecordBatch], names: list[str], size: int, overlap: int) -> Iterator[pa.RecordBatch]:
+    """Windows of batches whose last column is the text; the others are repeated.  Slices of a
+    Python string cost their own length only, wherever they lie."""
     step = size - overlap
-    n = F.length(F.col(text_col))
-    k = F.when(n == 0, F.lit(0)).otherwise(F.greatest(F.lit(1), F.ceil((n - overlap) / F.lit(step)).cast("int")))
-    starts = F.when(k == 0, F.array().cast("array<int>")).otherwise(
-        F.sequence(F.lit(0), (k - 1) * step, F.lit(step)))
-    return (
-        docs.select(id_col, *carry, text_col, F.posexplode(starts).alias("chunk_pos", "char_start"))
-        .select(id_col, *carry, "chunk_pos", "char_start",
-                F.substring(F.col(text_col), F.col("char_start") + 1, F.lit(size)).alias("chunk"))
-        .withColumn("n_chars", F.length("chunk"))
-        .select(id_col, *carry, "chunk_pos", "char_start", "n_chars", "chunk")
-    )
+    for batch in batches:
+        *others, texts = batch.columns
+        row, pos, chunks, held = [], [], [], 0
+
+        def out(others=others) -> pa.RecordBatch:
+            at, place = pa.array(row, pa.int32()), np.array(pos, np.int32)
+            lengths = pa.array([None if c is None else len(c) for c in chunks], pa.int32())
+            return pa.RecordBatch.from_arrays([*(c.take(at) for c in others), pa.array(place), pa.array(place * np.int32(step)),
+                                               lengths, pa.array(chunks, pa.string())], names)
+
+        for i, text in enumerate(texts):
+            text = text.as_py()
+            windows = 1 if text is None else 0 if not text else max(1, -((overlap - len(text)) // step))
+            for k in range(windows):
+                row.append(i)
+                pos.append(k)
+                chunks.append(None if text is None else text[k * step:k * step + size])
+                held += size
+                if held >= CHARS_OUT:
+                    yield out()
+                    for held_rows in (row, pos, chunks):
+                        held_rows.clear()
+                    held = 0
+        if row:
+            yield out()
 
 
 def chunk_stats(chunks: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -114,7 +114,8 @@ def build(corpus: DataFrame, keys: Sequence[str], text_col: str, block_rows: int
 
 def _weighted(index: PostingIndex, terms: DataFrame) -> DataFrame:
     """(block, term, rows, weights, bound) of the wanted terms' postings."""
-    wanted = index.table.where("term <> ''").select("block", "term", "rows", "tfs", "dls").join(terms, "term", "left_semi")
+    # Written once: it is read for the frequencies and for the weights.
+    wanted = cut_lineage(index.table.where("term <> ''").select("block", "term", "rows", "tfs", "dls").join(terms, "term", "left_semi"))
     df = wanted.groupBy("term").agg(F.sum(F.size("rows")).cast("double").alias("df"))
     n, mean = F.lit(float(index.n_rows)), F.lit(index.mean_length or 1.0)
     idf = F.log(F.lit(1.0) + (n - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))

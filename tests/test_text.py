@@ -184,3 +184,21 @@ def test_text_vectors_by_hand(spark):
     want = {(1, b["red"]): 2 * idf["red"] / norm1, (1, b["blue"]): idf["blue"] / norm1, (2, b["blue"]): 1.0,
             (5, b["green"]): idf["green"] / norm5, (5, b["blue"]): idf["blue"] / norm5}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_windows_of_a_long_text_are_cut_in_an_arrow_pass(spark):
+    """Column expressions would scan a text from its start for each of its windows."""
+    texts = [(1, "aé" * 50_000, "en"), (2, "", "en"), (3, None, None), (None, "x" * 1025, "de"), (4, "y" * 128, "fr")]
+    chunks = CH.fixed_chunks(spark.createDataFrame(texts, "doc_id BIGINT, text STRING, lang STRING"), carry=["lang"])
+    assert "MapInArrow" in chunks._jdf.queryExecution().toString()
+    want = []
+    for i, t, lang in texts:
+        if t is None:
+            want.append((i, lang, 0, 0, None, None))
+        for k in range(0 if not t else max(1, -(-(len(t) - 128) // 896))):
+            part = t[k * 896:k * 896 + 1024]
+            want.append((i, lang, k, k * 896, len(part), part))
+    def order(r):
+        return (r[0] or 0, r[2])
+
+    assert sorted(map(tuple, chunks.collect()), key=order) == sorted(want, key=order)
