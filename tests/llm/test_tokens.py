@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tessera.llm import bpe, packing, token_files
-from tessera.llm.common import ChunkEncoder, library_encoder
+from tessera.llm.common import ChunkEncoder, library_encoder, text_slices
 from tokenizers import Tokenizer
 
 from .conftest import MESSY
@@ -51,6 +52,13 @@ def test_letters_that_normalizing_takes_apart(path, free):
     assert [np.frombuffer(x, "<u4").tolist() for x in ours(texts)] == [exact(t) for t in texts]
 
 
+def test_words_of_every_case_are_remembered_once():
+    ours, exact = library_encoder(WORD, True, limit=9999), library(WORD)
+    texts = ["Often often, OFTEN. oFten Éan éan ÉAN.", "H\u0331 h\u0331 \u1e96 I\u0307 i\u0307 İ J\u030c. \u01f0", "K \u212a k ΑΣ ας ΣΑ, ẞ Ĳ"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours(texts)] == [exact(t) for t in texts]
+    assert {w for w in ours.memo if "ften" in w.lower() or "an" in w.lower()} == {"often", "often,", "often.", "éan", "éan."}
+
+
 @pytest.mark.parametrize("path,free", [(BYTE, False), (WORD, True)])
 def test_frequent_words_outlast_a_full_memo(path, free):
     big, asked = library_encoder(path, free), []
@@ -79,6 +87,48 @@ def test_packing_empties_memos_of_earlier_stages():
     assert "forget" in packing.pack_documents.__globals__
 
 
+def test_a_call_asks_the_memo_once_for_each_distinct_word():
+    big, looked = library_encoder(BYTE, False), []
+    small = ChunkEncoder(big.encode, False, limit=1000)
+
+    class Memo(type(small.memo)):
+        def of(self, words):
+            looked.extend(words)
+            return super().of(words)
+
+    small.memo = Memo({})
+    texts = ["a bb  a\nbb a ", "bb a a", "", " ", "a\0b a"] * 50
+    assert small(texts) == big(texts)
+    assert len(looked) == len(set(looked)) < 20
+
+
+def test_texts_are_cut_by_their_bytes():
+    """256 rows of long texts at once took a worker's memory."""
+    texts = ["x" * 900, None, "é" * 100, "", "y" * 5000, "z", None] * 40
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    for whole in ([batch], [batch.slice(0, 0), batch.slice(3, 100), batch.slice(103)]):
+        cut = list(text_slices(whole, "text", 2000))
+        assert [i for b in cut for i in b.column(0).to_pylist()] == [i for b in whole for i in b.column(0).to_pylist()]
+        assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column(1).to_pylist()) <= 2000 for b in cut)
+        assert len(cut) < len(texts)
+
+
+def test_workers_that_read_files_forget_words():
+    """Two workers' words beside the files took more memory than an executor has."""
+    from tessera.llm.common import forget
+
+    ours = library_encoder(WORD, True, limit=5000)
+    other = library_encoder(BYTE, False, limit=5000)
+    ours(["some words"])
+    other(["some words"])
+    forget(ours)
+    assert len(ours.memo) and not len(other.memo)
+    forget()
+    assert not len(ours.memo) and not len(ours.memo.before)
+    names = token_files.read_token_files.__code__.co_consts
+    assert any("forget" in c.co_names for c in names if hasattr(c, "co_names"))
+
+
 def test_packer_is_best_fit_and_bounded():
     rng = random.Random(1)
     packer, closed, bins = packing.BestFit(100, 3), [], {}
