@@ -321,3 +321,20 @@ def test_registered():
     assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in E.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "minhash_near_dedup", "pii", "best_fit_packing"]
     assert SCHEMA and pd.__version__
+
+
+def test_tables_of_texts_and_words_go_as_soon_as_they_are_used(spark):
+    """They stayed on disk beside the tables of the steps behind them."""
+    import glob
+
+    from tessera.session import ensure_checkpoint_dir
+
+    def tables():
+        return set(glob.glob(f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/tables/*"))
+
+    rows = [(k, " ".join(f"w{k % 5}x{j}" for j in range(60)) + (" more" if k > 6 else "")) for k in range(12)]
+    before = tables()
+    result = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2))
+    left = [set(spark.read.parquet(t).columns) for t in tables() - before]
+    assert left and not [c for c in left if c & {"text", "chunk", "bucket"}]
+    assert sorted((r.doc_id, r.class_id) for r in result.collect()) == [(k, k % 5) for k in range(12)]
