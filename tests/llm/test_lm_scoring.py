@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -133,3 +134,65 @@ def test_requests_round_trip():
                     keys = np.cumsum(lm.from_planes(r["keys"]), dtype=np.uint64)
                     want = [sum(int(g.trained[m][g.keys[m] == k].sum()) for g in grams) for k in keys]
                     assert t.tolist() == want
+
+
+def walk(machine, ids):
+    """The traversal of one text, step by step."""
+    at, total = machine.next_empty[0], 0.0  # the state of the start of a text
+    for w in ids:
+        while at and at * machine.wide + w not in machine.arcs:
+            total += machine.fail_weight[at]
+            at = machine.fail[at]
+        if at:
+            arc = machine.arcs[at * machine.wide + w]
+            total += machine.weight[arc]
+            at = machine.next[arc]
+        else:
+            total += machine.base[w]
+            at = machine.next_empty[w]
+    return total
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_moves_by_array_passes_equal_steps(order):
+    rng = random.Random(order)
+    texts = [speech(k, rng.randint(0, 60)).encode() for k in range(40)] + [b"", b" \n", b"never Seen words Here", "é\x85b\x1cc".encode() * 3]
+    for share in (0, 0.5, 1):
+        grams = lm.Grams(texts, np.array([rng.random() < share for _ in texts]), order)
+        n, v = int(grams.trained[1][1:].sum()), int((grams.trained[1][1:] > 0).sum())
+        machine = lm.Automaton(grams, grams.trained, n, v, 3.0)
+        ids = [grams.at[1][a:b].tolist() for a, b in zip(grams.starts + 1, grams.ends, strict=True)]
+        assert machine.traverse(grams).tolist() == [walk(machine, x) for x in ids]
+
+
+def test_words_are_cut_as_bytes_split():
+    rng = random.Random(1)
+    for _ in range(200):
+        texts = ["".join(rng.choice("aAbBÉé \t\n\r\x0b\x0c\x1c\x85\xa0\x00") for _ in range(rng.randint(0, 25))).encode()
+                 for _ in range(rng.randint(0, 8))]
+        split = [t.lower().split() for t in texts]
+        words, numbers, held = lm.cut_words(texts)
+        assert words == list(dict.fromkeys(w for x in split for w in x))
+        assert [words[k] for k in numbers] == [w for x in split for w in x] and held.tolist() == [len(x) for x in split]
+
+
+def test_scoring_a_chunk_runs_no_python_step_a_token():
+    """Lines of Python run while a chunk is cut, joined to its counts and traversed, however many tokens it has."""
+    def lines(words):
+        texts = [speech(k, words).encode() for k in range(20)]
+        ran = 0
+
+        def trace(frame, event, _):
+            nonlocal ran
+            ran += event in ("line", "call")
+            return trace
+
+        sys.settrace(trace)
+        try:
+            grams = lm.Grams(texts, np.ones(20, bool), 2)
+            lm.Automaton(grams, grams.trained, 20 * words, 15, 3.0).traverse(grams)
+        finally:
+            sys.settrace(None)
+        return ran
+
+    assert lines(2000) < 2 * lines(200)
