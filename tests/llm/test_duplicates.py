@@ -338,3 +338,50 @@ def test_tables_of_texts_and_words_go_as_soon_as_they_are_used(spark):
     left = [set(spark.read.parquet(t).columns) for t in tables() - before]
     assert left and not [c for c in left if c & {"text", "chunk", "bucket"}]
     assert sorted((r.doc_id, r.class_id) for r in result.collect()) == [(k, k % 5) for k in range(12)]
+
+
+def odd_texts():
+    rng = random.Random(4)
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    marks = ["a", "b", "é", "中", "‐", "ᚁ", "​", "\U0001f642", "aa", *spaces, *[" "] * 12]
+    return [["".join(rng.choice(marks) for _ in range(rng.choice([0, 3, 20, 200]))) for _ in range(rng.randint(0, 12))] for _ in range(200)]
+
+
+def test_words_of_a_chunk_are_those_of_each_text():
+    for texts in odd_texts():
+        hashes, numbers, held = near_dedup.hashed_words(texts)
+        each = [near_dedup.word_hashes(t) for t in texts]
+        assert held.tolist() == list(map(len, each)) and (np.diff(hashes.astype(float)) >= 0).all()
+        assert hashes[numbers].tolist() == [h for e in each for h in e.tolist()]
+
+
+def test_elements_of_a_chunk_are_those_of_each_text():
+    for texts in odd_texts():
+        hashes, numbers, held = near_dedup.hashed_words(texts)
+        own = 1 + np.arange(len(hashes)) % 7 / 3
+        shingles, level, sizes = near_dedup.elements_of(hashes[numbers], own[numbers], held)
+        stops = np.cumsum(sizes)
+        for k, t in enumerate(texts):
+            mine = slice(stops[k] - sizes[k], stops[k])
+            words, seen, want = t.split(), {}, {}
+            m = min(5, len(words))
+            h = near_dedup.word_hashes(t)
+            for s in range(len(words) - m + 1 if words else 0):
+                key = 0
+                for w in h[s:s + m].tolist():
+                    key = (key * int(near_dedup.STEP) + w) % 2 ** 64
+                key = int(near_dedup._mix(np.array([(key + m) % 2 ** 64], np.uint64))[0])
+                weight = sum(own[np.searchsorted(hashes, h[s:s + m])]) / m
+                turn = seen[key] = seen.get(key, -1) + 1
+                if turn:
+                    key = int(near_dedup._mix(np.array([(key + turn * int(near_dedup.STEP)) % 2 ** 64], np.uint64))[0])
+                want[key] = np.clip(np.rint(4 * np.log2(weight)), 0, 31)
+            assert dict(zip(shingles[mine].tolist(), level[mine].tolist(), strict=True)) == want
+            assert shingles[mine].tolist() == sorted(want)
+
+
+def test_a_worker_draws_one_table_of_samples():
+    """A table was drawn for every chunk, and every group of candidates became a pandas frame."""
+    assert near_dedup.sampler() is near_dedup.sampler()
+    plan = near_dedup.near_duplicates.__code__.co_names
+    assert "applyInArrow" in plan and "applyInPandas" not in plan
